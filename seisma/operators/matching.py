@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from seisma.functions.geo import EARTH_RADIUS_KM, haversine_km, km_to_lat_degrees
 from seisma.functions.times import seconds_between
+from seisma.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -173,18 +174,19 @@ def mutual_best(cands: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
         "s.side", "s.id", "s.k"
     )
     best = sides.groupBy("side", "id").agg(F.min("k").alias("b"))
-    # Filter on the aggregate *result* (b.side), which cannot be pushed below
-    # the aggregation, so both branches share one exchange (ReusedExchange).
-    best_l = best.where(F.col("b.side") == "L").select(F.col("b.row").alias("row"), F.col("b.other").alias("_r"))
-    best_r = best.where(F.col("b.side") == "R").select(F.col("id").alias("_rr"), F.col("b.other").alias("_l"))
-    mutual = best_l.join(
-        best_r, (F.col("_r") == F.col("_rr")) & (F.col("row").getField(lid) == F.col("_l")), "inner"
+    # Re-key every choice by the pair it names; a pair chosen from both sides
+    # is mutual.  A linear chain (no self-join), so the candidate join runs once.
+    pair = best.select(
+        F.when(F.col("side") == "L", F.col("id")).otherwise(F.col("b.other")).alias("_l"),
+        F.when(F.col("side") == "R", F.col("id")).otherwise(F.col("b.other")).alias("_r"),
+        F.col("b.row").alias("row"),
     )
-    return mutual.select("row.*")
+    votes = pair.groupBy("_l", "_r").agg(F.count(F.lit(1)).alias("_n"), F.max("row").alias("row"))
+    return votes.where(F.col("_n") == 2).select("row.*")
 
 
 def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
-              as_of: dt.datetime | None = None) -> DataFrame:
+              as_of: dt.datetime | None = None, materialize: bool = True) -> DataFrame:
     """Matched pairs plus left-only and right-only events: the 17 matcher columns.
 
     ``left``/``right`` carry ``earthquake_id, event_time, mag, lon, lat, place``.
@@ -199,6 +201,10 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
         right = recent(right, "event_time", as_of, cfg.lookback)
 
     best = mutual_best(match_candidates(left, right, cfg), cfg)
+    if materialize:
+        # Consumed three times (matched rows + two anti joins): cut the lineage
+        # once so the candidate join is not re-run per consumer.
+        best = checkpointed(best)
     matched = best.select(
         F.concat(F.col(lid), F.lit("_"), F.col(rid)).alias("match_id"),
         F.lit("matched").alias("match_status"),

@@ -9,6 +9,7 @@ rounded to 6 digits.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -172,3 +173,366 @@ def q_unify_events(spark, sf):
 SELECT * FROM unified""")
 def q_unify_recent(spark, sf):
     return naive_ts(unify_events(_matches(spark, sf, AS_OF), AS_OF))
+
+
+# --- 2.G / 2.H marts ------------------------------------------------------------------------
+
+from seisma.operators import contracts as K  # noqa: E402
+from seisma.operators import cost as C  # noqa: E402
+from seisma.operators import marts as M  # noqa: E402
+from seisma.operators import sinks  # noqa: E402
+
+_LATE = dt.timedelta(hours=5, minutes=30)
+
+
+def _raw(spark, sf):
+    return testdata.raw_feeds(spark, sf)
+
+
+@register("daily_stats", f"""{O.FEEDS}
+{O.daily_sql('stg')}""")
+def q_daily_stats(spark, sf):
+    return naive_ts(M.daily_stats(_stg(spark, sf), AS_OF))
+
+
+@register("union_sources", f"""{O.FEEDS}
+SELECT CAST(event_time AS DATE) AS event_date, source, mag AS magnitude, event_id FROM stg""")
+def q_union_sources(spark, sf):
+    return M.source_rows(_stg(spark, sf))
+
+
+@register("insert_overwrite_days", f"""{O.FEEDS}
+SELECT * FROM ({O.daily_sql('quake_base', "AND CAST(event_time AS DATE) < DATE '2024-01-28'")})
+UNION ALL
+SELECT * FROM ({O.daily_sql('stg', "AND CAST(event_time AS DATE) >= DATE '2024-01-28'")})""")
+def q_insert_overwrite_days(spark, sf):
+    """Full build from a stale state, then an incremental refresh of the last 3 days."""
+    ev = testdata.table(spark, sf, "events")
+    stale = models.staged({s: testdata.raw_feed(testdata.quake_base(ev), s) for s in SPECS})
+    path = sinks.table_path(spark, "dm_earthquake_daily")
+    sinks.write_days(M.daily_stats(stale, AS_OF), path, "event_date", overwrite_all=True)
+    since = AS_OF.date() - dt.timedelta(days=3)
+    sinks.write_days(M.daily_stats(_stg(spark, sf), AS_OF, since=since), path, "event_date")
+    return naive_ts(sinks.read_days(spark, path, "event_date"))
+
+
+@register("hourly_counts", f"""{O.FEEDS}
+SELECT date_trunc('hour', event_time) AS hour_bucket, count(*) AS event_count FROM quake_raw
+WHERE source = 'usgs' GROUP BY 1""")
+def q_hourly_counts(spark, sf):
+    return naive_ts(M.hourly_counts(_raw(spark, sf)["usgs"], "event_time"))
+
+
+_SRC24 = " UNION ALL ".join(
+    f"""SELECT '{label}' AS source, count(*) AS event_count,
+       round(CAST(sum(CAST(mag AS DECIMAL(28,4))) AS DOUBLE) / count(mag), 2) AS avg_mag
+FROM quake_raw WHERE source = '{src}' AND event_time >= {O.AS_OF_SQL} - INTERVAL 24 HOUR"""
+    for label, src in (("USGS", "usgs"), ("EMSC", "emsc"), ("Kandilli", "kandilli")))
+
+
+@register("source_24h_stats", f"""{O.FEEDS}
+{_SRC24}""")
+def q_source_24h(spark, sf):
+    r = _raw(spark, sf)
+    return M.source_stats([("USGS", r["usgs"], "event_time"), ("EMSC", r["emsc"], "event_time"),
+                           ("Kandilli", r["kandilli"], "date_time")], AS_OF)
+
+
+@register("recent_daily_top10", f"""{O.FEEDS}
+SELECT event_date, source, earthquake_count, avg_magnitude, max_magnitude FROM ({O.daily_sql('stg')})
+WHERE earthquake_count > 0 ORDER BY event_date DESC, source LIMIT 10""")
+def q_recent_top10(spark, sf):
+    return M.recent_daily_top(M.daily_stats(_stg(spark, sf), AS_OF), 10)
+
+
+@register("max_event_time", f"""{O.FEEDS}
+SELECT max(event_time) AS latest_event_time FROM quake_raw
+WHERE source = 'usgs' AND event_time >= {O.AS_OF_SQL} - INTERVAL 24 HOUR""")
+def q_max_event_time(spark, sf):
+    return naive_ts(M.max_event_time(_raw(spark, sf)["usgs"], "event_time", AS_OF, dt.timedelta(hours=24)))
+
+
+# --- 2.K contracts ----------------------------------------------------------------------------
+
+def _fresh_sql(src: str, col_hours: int, as_of: str, name: str) -> str:
+    return f"""{O.FEEDS},
+latest AS (SELECT max(event_time) AS latest_event_time FROM quake_raw
+           WHERE source = '{src}' AND event_time >= {as_of} - INTERVAL {col_hours} HOUR)
+SELECT '{name}' AS test_name, latest_event_time,
+       date_sub('minute', latest_event_time, {as_of}) AS minutes_since_last_event
+FROM latest WHERE latest_event_time IS NULL OR latest_event_time < {as_of} - INTERVAL 120 MINUTE"""
+
+
+_LATE_SQL = f"({O.AS_OF_SQL} + INTERVAL 330 MINUTE)"
+
+for _src, _hours, _col in (("usgs", 24, "event_time"), ("kandilli", 48, "date_time")):
+    for _suffix, _asof_sql, _delta in (("", O.AS_OF_SQL, dt.timedelta(0)), ("_late", _LATE_SQL, _LATE)):
+        _name = f"{'USGS' if _src == 'usgs' else 'Kandilli'} freshness check"
+
+        def _q(spark, sf, _src=_src, _hours=_hours, _col=_col, _delta=_delta, _name=_name):
+            return naive_ts(K.event_freshness(_raw(spark, sf)[_src], _col, AS_OF + _delta,
+                                              dt.timedelta(hours=_hours), name=_name))
+
+        register(f"freshness_{_src}{_suffix}", _fresh_sql(_src, _hours, _asof_sql, _name))(_q)
+
+
+_FRESH_AT = f"({O.AS_OF_SQL} + INTERVAL 4 HOUR)"
+_SRCFRESH = " UNION ALL ".join(
+    f"""SELECT '{s}' AS source, max(ingestion_time) AS max_loaded_at,
+       CAST(epoch_us({_FRESH_AT}) - epoch_us(max(ingestion_time)) AS DOUBLE) / 1e6 AS age_seconds,
+       CASE WHEN max(ingestion_time) IS NULL
+                 OR CAST(epoch_us({_FRESH_AT}) - epoch_us(max(ingestion_time)) AS DOUBLE) / 1e6 > {e} THEN 'error'
+            WHEN CAST(epoch_us({_FRESH_AT}) - epoch_us(max(ingestion_time)) AS DOUBLE) / 1e6 > {w} THEN 'warn'
+            ELSE 'pass' END AS status
+FROM quake_raw WHERE source = '{s}'"""
+    for s, (w, e) in ((s, tuple(int(x.total_seconds()) for x in K.SOURCE_FRESHNESS[s])) for s in ("usgs", "emsc", "kandilli")))
+
+
+@register("source_freshness", f"""{O.FEEDS}
+{_SRCFRESH}""")
+def q_source_freshness(spark, sf):
+    """Load age per feed four hours after the data ends: usgs/kandilli warn, emsc passes."""
+    r = _raw(spark, sf)
+    out = None
+    for s in ("usgs", "emsc", "kandilli"):
+        warn, err = K.SOURCE_FRESHNESS[s]
+        part = K.source_freshness(r[s], "ingestion_time", warn, err, AS_OF + dt.timedelta(hours=4), s)
+        out = part if out is None else out.unionByName(part)
+    return naive_ts(out)
+
+
+def _min_events_sql(as_of: str) -> str:
+    return f"""{O.FEEDS},
+hourly AS (SELECT date_trunc('hour', event_time) AS hour_bucket, count(*) AS event_count FROM quake_raw
+           WHERE source = 'usgs' AND event_time >= {as_of} - INTERVAL 6 HOUR GROUP BY 1)
+SELECT 'Min events check' AS test_name, count(*) AS hours_with_events,
+       CAST(coalesce(sum(event_count), 0) AS BIGINT) AS total_events
+FROM hourly HAVING count(*) < 2"""
+
+
+@register("min_events", _min_events_sql(O.AS_OF_SQL))
+def q_min_events(spark, sf):
+    return K.min_events(_raw(spark, sf)["usgs"], "event_time", AS_OF)
+
+
+@register("min_events_late", _min_events_sql(_LATE_SQL))
+def q_min_events_late(spark, sf):
+    return K.min_events(_raw(spark, sf)["usgs"], "event_time", AS_OF + _LATE)
+
+
+@register("count_sum_having", _min_events_sql(f"({O.AS_OF_SQL} + INTERVAL 30 DAY)"))
+def q_count_sum_having(spark, sf):
+    """Global COUNT / COALESCE(SUM) + HAVING over an empty window: still one row."""
+    return K.min_events(_raw(spark, sf)["usgs"], "event_time", AS_OF + dt.timedelta(days=30))
+
+
+_BAD_STG = f"""{O.FEEDS},
+bad AS (
+  SELECT event_id AS earthquake_id, source,
+         CASE WHEN n % 49 = 0 THEN mag * 4 WHEN n % 50 = 0 THEN mag - 3 ELSE mag END AS mag, event_time
+  FROM stg WHERE source IN ('usgs', 'kandilli')
+)"""
+
+
+def _bad_stg(spark, sf):
+    s = _stg(spark, sf)
+    out = []
+    for name in ("usgs", "kandilli"):
+        n = F.regexp_extract(F.col("earthquake_id"), r"([0-9]+)$", 1).cast("bigint")
+        out.append(s[name].withColumn(
+            "mag", F.when(n % 49 == 0, F.col("mag") * 4).when(n % 50 == 0, F.col("mag") - 3).otherwise(F.col("mag"))))
+    return out
+
+
+@register("range_invalid", f"""{_BAD_STG}
+SELECT earthquake_id, source, mag, event_time FROM bad WHERE mag IS NOT NULL AND (mag < -2 OR mag > 10)""")
+def q_range_invalid(spark, sf):
+    return naive_ts(K.union_invalid(_bad_stg(spark, sf)))
+
+
+@register("magnitude_range", f"""{_BAD_STG}
+SELECT 'Magnitude range check' AS test_name, count(*) AS invalid_count FROM bad
+WHERE mag IS NOT NULL AND (mag < -2 OR mag > 10) AND event_time >= {O.AS_OF_SQL} - INTERVAL 7 DAY
+HAVING count(*) > 0""")
+def q_magnitude_range(spark, sf):
+    return K.magnitude_range(_bad_stg(spark, sf), AS_OF)
+
+
+@register("magnitude_range_clean", f"""{O.FEEDS}
+SELECT 'Magnitude range check' AS test_name, count(*) AS invalid_count FROM stg
+WHERE source IN ('usgs', 'kandilli') AND mag IS NOT NULL AND (mag < -2 OR mag > 10)
+  AND event_time >= {O.AS_OF_SQL} - INTERVAL 7 DAY HAVING count(*) > 0""")
+def q_magnitude_range_clean(spark, sf):
+    s = _stg(spark, sf)
+    return K.magnitude_range([s["usgs"], s["kandilli"]], AS_OF)
+
+
+_DISAGREE = f"""{O.FEEDS},{O.matcher_ctes()},{O.UNIFIED_CTE},
+dis AS (SELECT * FROM unified WHERE match_status = 'matched' AND mag_disagreement > 0.5
+        AND event_time >= {O.AS_OF_SQL} - INTERVAL 7 DAY),
+top AS (SELECT unified_id, usgs_mag, kandilli_mag, mag_disagreement,
+               ROW_NUMBER() OVER (ORDER BY mag_disagreement DESC, unified_id) AS pos FROM dis)"""
+
+
+@register("cross_source_disagreement", f"""{_DISAGREE}
+SELECT 'Cross-source large disagreement' AS test_name, (SELECT count(*) FROM dis) AS disagreement_count,
+       pos, unified_id, usgs_mag, kandilli_mag, mag_disagreement
+FROM top WHERE pos <= 5 AND (SELECT count(*) FROM dis) > 0""")
+def q_disagreement(spark, sf):
+    return K.cross_source_disagreement(unify_events(_matches(spark, sf), AS_OF), AS_OF, threshold=0.5)
+
+
+@register("top5_struct_agg", f"""{_DISAGREE}
+SELECT pos, unified_id, usgs_mag, kandilli_mag, mag_disagreement FROM top WHERE pos <= 5""")
+def q_top5(spark, sf):
+    rows = K.disagreement_rows(unify_events(_matches(spark, sf), AS_OF), AS_OF, 0.5)
+    agg = M.top_n_structs(rows, ["unified_id", "usgs_mag", "kandilli_mag", "mag_disagreement"],
+                          [F.col("mag_disagreement").desc(), F.col("unified_id").asc()], 5)
+    return agg.select(F.posexplode("top").alias("p", "t")).select(
+        (F.col("p") + 1).alias("pos"), "t.unified_id", "t.usgs_mag", "t.kandilli_mag", "t.mag_disagreement")
+
+
+@register("expect_unique", f"""{O.FEEDS}
+SELECT event_id, count(*) AS n_records FROM quake_raw WHERE event_id IS NOT NULL GROUP BY event_id HAVING count(*) > 1""")
+def q_expect_unique(spark, sf):
+    return K.expect_unique(testdata.quake_raw(testdata.table(spark, sf, "events")), "event_id")
+
+
+@register("expect_unique_stg", f"""{O.FEEDS}
+SELECT event_id AS earthquake_id, count(*) AS n_records FROM stg GROUP BY event_id HAVING count(*) > 1""")
+def q_expect_unique_stg(spark, sf):
+    s = _stg(spark, sf)
+    out = None
+    for df in s.values():
+        part = K.expect_unique(df, "earthquake_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("expect_not_null", f"""{O.FEEDS}
+SELECT event_id AS earthquake_id, source FROM stg WHERE mag IS NULL""")
+def q_expect_not_null(spark, sf):
+    out = None
+    for df in _stg(spark, sf).values():
+        part = K.expect_not_null(df, "mag").select("earthquake_id", "source")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("expect_accepted_values", """
+SELECT event_type, count(*) AS n_records FROM events
+WHERE event_type IS NOT NULL AND event_type NOT IN ('view', 'click', 'purchase', 'signup') GROUP BY event_type""")
+def q_expect_accepted(spark, sf):
+    return K.expect_accepted_values(testdata.table(spark, sf, "events"), "event_type",
+                                    ["view", "click", "purchase", "signup"])
+
+
+@register("contract_report", f"""{_BAD_STG}
+SELECT 'unique_stg_key' AS contract, 'error' AS severity, count(*) AS failing_rows,
+       CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (SELECT event_id FROM stg GROUP BY event_id HAVING count(*) > 1)
+UNION ALL
+SELECT 'not_null_mag', 'error', count(*), CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END
+FROM stg WHERE mag IS NULL
+UNION ALL
+SELECT 'accepted_source', 'error', count(*), CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END
+FROM (SELECT source FROM stg WHERE source NOT IN ('usgs', 'emsc', 'kandilli') GROUP BY source)
+UNION ALL
+SELECT 'magnitude_range', 'warn', count(*), CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END
+FROM bad WHERE mag IS NOT NULL AND (mag < -2 OR mag > 10)""")
+def q_contract_report(spark, sf):
+    s = _stg(spark, sf)
+    allstg = s["usgs"].unionByName(s["emsc"], allowMissingColumns=True).unionByName(
+        s["kandilli"], allowMissingColumns=True)
+    return K.run_contracts([
+        K.Contract("unique_stg_key", K.expect_unique(allstg, "earthquake_id")),
+        K.Contract("not_null_mag", K.expect_not_null(allstg, "mag")),
+        K.Contract("accepted_source", K.expect_accepted_values(allstg, "source", K.ACCEPTED_SOURCES)),
+        K.Contract("magnitude_range", K.union_invalid(_bad_stg(spark, sf)), severity="warn"),
+    ])
+
+
+# --- cost ---------------------------------------------------------------------------------------
+
+def _jobs(spark, sf):
+    return testdata.job_log(testdata.table(spark, sf, "events"))
+
+
+@register("job_filter", f"""{O.COST_FEEDS}
+SELECT job_id, statement_type, query FROM jobs""")
+def q_job_filter(spark, sf):
+    return C.job_filter(_jobs(spark, sf), AS_OF).select("job_id", "statement_type", "query")
+
+
+@register("model_cost", f"""{O.COST_FEEDS}
+SELECT * FROM model_cost""")
+def q_model_cost(spark, sf):
+    return naive_ts(C.model_cost(_jobs(spark, sf), AS_OF))
+
+
+@register("daily_cost", f"""{O.COST_FEEDS}
+SELECT run_date, count(DISTINCT job_id) AS total_jobs, count(DISTINCT model_name) AS model_count,
+       CAST(sum(bytes_processed) AS BIGINT) AS total_bytes_processed,
+       CAST(sum(CAST(shadow_cost_usd AS DECIMAL(38,10))) AS DOUBLE) AS total_shadow_cost_usd,
+       round(CAST(sum(CAST(shadow_cost_usd AS DECIMAL(38,10))) AS DOUBLE) / count(shadow_cost_usd), 10)
+         AS avg_cost_per_model,
+       round(CAST(sum(CAST(shadow_cost_usd AS DECIMAL(38,10))) AS DOUBLE) / nullif(count(DISTINCT model_name), 0), 10)
+         AS cost_per_model_avg,
+       {O.AS_OF_SQL} AS processed_at
+FROM model_cost GROUP BY run_date""")
+def q_daily_cost(spark, sf):
+    return naive_ts(C.daily_cost(C.model_cost(_jobs(spark, sf), AS_OF), AS_OF))
+
+
+@register("cost_totals", f"""{O.COST_FEEDS}
+SELECT round(sum(bytes_processed) / 1024, 2) AS total_kb,
+       round(CAST(sum(CAST(shadow_cost_usd AS DECIMAL(38,10))) AS DOUBLE) * 1e9, 4) AS cost_nano_usd
+FROM model_cost""")
+def q_cost_totals(spark, sf):
+    return C.cost_totals(C.model_cost(_jobs(spark, sf), AS_OF))
+
+
+@register("scan_totals", f"""WITH {O.BASELINE}
+SELECT CAST(sum(bytes_processed) AS BIGINT) AS total_bytes,
+       CAST(sum(bytes_processed) AS DOUBLE) * 5.0 / 1099511627776 AS total_cost_usd,
+       CAST(sum(bytes_processed) AS DOUBLE) / 1099511627776 AS total_tib
+FROM current_bytes""")
+def q_scan_totals(spark, sf):
+    return C.scan_totals(testdata.cost_current(testdata.table(spark, sf, "part")))
+
+
+@register("cost_vs_baseline", f"""WITH {O.BASELINE}
+SELECT c.model, c.bytes_processed AS current_bytes, b.bytes_processed AS baseline_bytes
+FROM current_bytes c LEFT JOIN baseline b ON c.model = b.model""")
+def q_cost_vs_baseline(spark, sf):
+    part = testdata.table(spark, sf, "part")
+    return C.cost_vs_baseline(testdata.cost_current(part), testdata.cost_baseline(part))
+
+
+@register("cost_regression", f"""WITH {O.BASELINE},
+j AS (SELECT c.model, c.bytes_processed AS current_bytes, b.bytes_processed AS baseline_bytes,
+             CASE WHEN b.bytes_processed > 0
+                  THEN CAST(c.bytes_processed - b.bytes_processed AS DOUBLE) / b.bytes_processed * 100 END AS inc
+      FROM current_bytes c LEFT JOIN baseline b ON c.model = b.model)
+SELECT model, current_bytes, baseline_bytes, round(inc, 4) AS increase_pct,
+       round(CAST(current_bytes AS DOUBLE) * 5.0 / 1099511627776, 10) AS current_cost_usd,
+       CASE WHEN current_bytes IS NULL THEN 'unknown' WHEN baseline_bytes IS NULL THEN 'new'
+            WHEN inc > 20.0 THEN 'fail' ELSE 'pass' END AS status,
+       (CASE WHEN current_bytes IS NULL THEN 'unknown' WHEN baseline_bytes IS NULL THEN 'new'
+            WHEN inc > 20.0 THEN 'fail' ELSE 'pass' END) IN ('pass', 'new') AS passed
+FROM j""")
+def q_cost_regression(spark, sf):
+    part = testdata.table(spark, sf, "part")
+    return C.cost_regression(testdata.cost_current(part), testdata.cost_baseline(part))
+
+
+@register("baseline_update", f"""WITH {O.BASELINE},
+measured AS (SELECT * FROM current_bytes WHERE NOT ends_with(model, '1'))
+SELECT model, bytes_processed, round(CAST(bytes_processed AS DOUBLE) * 5.0 / 1099511627776, 10) AS shadow_cost_usd
+FROM baseline WHERE model NOT IN (SELECT model FROM measured)
+UNION ALL
+SELECT model, bytes_processed, round(CAST(bytes_processed AS DOUBLE) * 5.0 / 1099511627776, 10) FROM measured""")
+def q_baseline_update(spark, sf):
+    part = testdata.table(spark, sf, "part")
+    measured = testdata.cost_current(part).where(~F.col("model").endswith("1"))
+    return C.baseline_update(testdata.cost_baseline(part), measured)

@@ -75,3 +75,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sei
     ensure_utc(spark)
     checkpoint_dir(spark)
     return spark
+
+
+def checkpointed(df):
+    """Reliable checkpoint into the shared checkpoint folder (never a local one).
+
+    Survives executor loss (the data lives on the shared filesystem) and cuts
+    the lineage, so a DataFrame consumed several times is computed once.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
