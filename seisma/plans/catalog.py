@@ -25,6 +25,7 @@ from seisma.plans import oracle as O
 from seisma.sources import testdata
 from seisma.sources.schemas import SPECS
 from seisma.sources.testdata import AS_OF
+from seisma.session import checkpointed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -536,3 +537,173 @@ def q_baseline_update(spark, sf):
     part = testdata.table(spark, sf, "part")
     measured = testdata.cost_current(part).where(~F.col("model").endswith("1"))
     return C.baseline_update(testdata.cost_baseline(part), measured)
+
+
+# --- 2.B upsert -------------------------------------------------------------------------------
+
+from seisma.operators import upsert as U  # noqa: E402
+from seisma.sources import documents as D  # noqa: E402
+from seisma.sources import feeds as FD  # noqa: E402
+from seisma.sources import landing as L  # noqa: E402
+from seisma.functions.hashing import content_hash, staging_name  # noqa: E402
+
+
+def _merge_out(df, spec):
+    return naive_ts(df.select(
+        F.col(spec.key).alias("k"), "ingestion_id", "ingestion_time", F.col(spec.time_col).alias("t"),
+        F.col(spec.version).alias("v"), "mag", "lon", "lat", "raw_json"))
+
+
+_MERGE_SELECT = "SELECT k, " + ", ".join(O.MERGE_COLS) + " FROM merged"
+
+
+def _make_merge(src: str):
+    def q(spark, sf):
+        spec = SPECS[src]
+        t, s = testdata.merge_inputs(testdata.table(spark, sf, "events"), src)
+        return _merge_out(U.merge_spec(t, s, spec), spec)
+
+    return q
+
+
+for _src in ("usgs", "emsc", "kandilli"):
+    register(f"merge_{_src}", f"{O.merge_ctes(_src)}\n{_MERGE_SELECT}")(_make_merge(_src))
+
+
+@register("merge_affected", f"""{O.merge_ctes('usgs')}
+SELECT CAST(count(*) FILTER (WHERE action = 'insert') AS BIGINT) AS rows_inserted,
+       CAST(count(*) FILTER (WHERE action = 'update') AS BIGINT) AS rows_updated,
+       CAST(0 AS BIGINT) AS rows_deleted,
+       CAST(count(*) FILTER (WHERE action IN ('insert', 'update')) AS BIGINT) AS rows_affected
+FROM merged""")
+def q_merge_affected(spark, sf):
+    spec = SPECS["usgs"]
+    t, s = testdata.merge_inputs(testdata.table(spark, sf, "events"), "usgs")
+    return U.upsert_counts(t, s, spec.key, spec.version)
+
+
+@register("merge_idempotent", """
+SELECT CAST(0 AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted,
+       CAST(0 AS BIGINT) AS rows_affected""")
+def q_merge_idempotent(spark, sf):
+    """Applying the same batch a second time affects nothing."""
+    spec = SPECS["usgs"]
+    t, s = testdata.merge_inputs(testdata.table(spark, sf, "events"), "usgs")
+    once = checkpointed(U.merge_spec(t, s, spec))
+    return U.upsert_counts(once, s, spec.key, spec.version)
+
+
+@register("merge_days_usgs", f"{O.merge_ctes('usgs')}\n{_MERGE_SELECT}")
+def q_merge_days(spark, sf):
+    """Storage-level MERGE: rewrite only the touched day partitions of a Parquet table."""
+    spec = SPECS["usgs"]
+    t, s = testdata.merge_inputs(testdata.table(spark, sf, "events"), "usgs")
+    path = sinks.table_path(spark, "raw_usgs")
+    sinks.write_days(t.withColumn("event_date", F.to_date(spec.time_col)), path, "event_date", cluster_by=None,
+                     overwrite_all=True)
+    U.merge_into_days(spark, path, s, spec)
+    return _merge_out(spark.read.parquet(path).drop("event_date"), spec)
+
+
+# --- 2.A sources, sinks, landing -------------------------------------------------------------
+
+@register("archive_raw", """
+SELECT 'events' AS source, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+       strftime(ts, '%H') AS hour, substr(md5(props), 1, 8) AS content_hash, props AS doc FROM events""")
+def q_archive_raw(spark, sf):
+    ev = testdata.table(spark, sf, "events")
+    path = sinks.table_path(spark, "archive")
+    L.archive_raw(ev.select(F.col("props").alias("doc"), F.col("ts").cast("timestamp").alias("ingestion_time")),
+                  path, source="events")
+    return L.read_archive(spark, path).select("source", "year", "month", "day", "hour", "content_hash", "doc")
+
+
+@register("content_hash", "SELECT page_id, substr(md5(url), 1, 8) AS content_hash FROM pages")
+def q_content_hash(spark, sf):
+    return testdata.table(spark, sf, "pages").select("page_id", content_hash("url").alias("content_hash"))
+
+
+@register("staging_name", "SELECT page_id, substr(lower(replace(url, '-', '')), 1, 8) AS staging_name FROM pages")
+def q_staging_name(spark, sf):
+    return testdata.table(spark, sf, "pages").select("page_id", staging_name("url").alias("staging_name"))
+
+
+@register("load_ndjson", f"""{O.FEEDS}
+SELECT event_id, event_time, updated, mag, lon, lat, place, event_id || '#' || CAST(version AS VARCHAR) AS raw_json
+FROM quake_raw WHERE source = 'usgs'""")
+def q_load_ndjson(spark, sf):
+    raw = testdata.raw_feeds(spark, sf)["usgs"]
+    path = sinks.table_path(spark, "ndjson")
+    L.write_ndjson(raw, path)
+    back = L.load_ndjson(spark, path, SPECS["usgs"].raw_schema)
+    return naive_ts(back.select("event_id", "event_time", "updated", "mag", "lon", "lat", "place", "raw_json"))
+
+
+@register("ingest_stamp", f"""{O.FEEDS}
+SELECT event_id, 'batch-0001' AS ingestion_id, {O.AS_OF_SQL} AS ingestion_time FROM quake_base WHERE source = 'usgs'""")
+def q_ingest_stamp(spark, sf):
+    ev = testdata.quake_base(testdata.table(spark, sf, "events")).where(F.col("source") == "usgs")
+    return naive_ts(FD.to_raw(ev, SPECS["usgs"], "batch-0001", AS_OF).select(
+        "event_id", "ingestion_id", "ingestion_time"))
+
+
+def _to_raw_sql(src: str) -> str:
+    spec = SPECS[src]
+    expr = {
+        "ingestion_id": "'ing-' || CAST(version AS VARCHAR)", "ingestion_time": "ingestion_time",
+        spec.key: "event_id", spec.time_col: "event_time", spec.version: "updated", "mag": "mag", "place": "place",
+        "title": "place", "lon": "lon", "lat": "lat", "depth_km": "depth_km",
+        "raw_json": "event_id || '#' || CAST(version AS VARCHAR)",
+    }
+    types = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "timestamp": "TIMESTAMP"}
+    cols = [f"{expr[c]} AS {c}" if c in expr else f"CAST(NULL AS {types[t]}) AS {c}" for c, t in spec.raw_columns]
+    return f"{O.FEEDS}\nSELECT {', '.join(cols)} FROM quake_raw WHERE source = '{src}'"
+
+
+def _make_to_raw(src: str):
+    def q(spark, sf):
+        return naive_ts(testdata.raw_feeds(spark, sf)[src])
+
+    return q
+
+
+for _src in ("usgs", "emsc", "kandilli"):
+    register(f"to_raw_{_src}", _to_raw_sql(_src))(_make_to_raw(_src))
+
+
+def _docs_roundtrip(spark, sf, render, parser):
+    """Render feed rows as documents, land them as text lines, read and parse them back."""
+    q = testdata.quake_raw(testdata.table(spark, sf, "events"))
+    path = sinks.table_path(spark, "docs")
+    render(q).select("doc").write.mode("overwrite").text(path)
+    docs = spark.read.text(path).select(F.col("value").alias("doc"))
+    return parser(docs)
+
+
+_PARSED = "source, event_id, event_time, updated, mag, place, lon, lat, depth_km"
+
+
+@register("parse_usgs", f"""{O.FEEDS}
+SELECT source, event_id, date_trunc('millisecond', event_time) AS event_time,
+       date_trunc('millisecond', updated) AS updated, mag, place, lon, lat, depth_km
+FROM quake_raw WHERE source = 'usgs'""")
+def q_parse_usgs(spark, sf):
+    return naive_ts(_docs_roundtrip(spark, sf, D.usgs_documents, FD.parse_usgs).select(*_PARSED.split(", ")))
+
+
+@register("parse_emsc", f"""{O.FEEDS}
+SELECT source, event_id, event_time, date_trunc('millisecond', updated) AS updated, mag, place, lon, lat,
+       depth_km
+FROM quake_raw WHERE source = 'emsc'""")
+def q_parse_emsc(spark, sf):
+    return naive_ts(_docs_roundtrip(spark, sf, D.emsc_documents, FD.parse_emsc).select(*_PARSED.split(", ")))
+
+
+@register("parse_kandilli", f"""{O.FEEDS}
+SELECT source, event_id, date_trunc('second', event_time) AS event_time,
+       date_trunc('second', updated) AS created_at, mag, place, lon, lat, depth_km
+FROM quake_raw WHERE source = 'kandilli'""")
+def q_parse_kandilli(spark, sf):
+    out = _docs_roundtrip(spark, sf, D.kandilli_documents, FD.parse_kandilli)
+    return naive_ts(out.select("source", "event_id", "event_time", "created_at", "mag", "place", "lon", "lat",
+                               "depth_km"))

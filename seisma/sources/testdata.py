@@ -155,3 +155,24 @@ def cost_current(part: DataFrame) -> DataFrame:
     return part.groupBy(F.col("p_brand").alias("model")).agg(
         F.sum(F.col("p_size").cast("bigint") * (F.lit(1000) + (F.col("p_size") % 9) * 40)).alias("bytes_processed")
     )
+
+
+def merge_inputs(events: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """(target, batch) raw frames of one feed for the upsert operators.
+
+    target = first versions of rows with ``n % 3 <> 0`` (version NULL where
+    ``n % 11 = 0``); batch = all versions of rows with ``n % 2 = 0`` (version
+    NULL where ``n % 7 = 0``), not yet deduplicated.
+    """
+    spec = SPECS[source]
+    base = with_feed_columns(quake_base(events).where(F.col("source") == source))
+    raw = with_feed_columns(quake_raw(events).where(F.col("source") == source))
+    n = F.col("n")
+
+    def null_version(df: DataFrame, cond: Column) -> DataFrame:
+        return df.withColumn("updated", F.when(cond, F.lit(None)).otherwise(F.col("updated"))).withColumn(
+            "created_at", F.col("updated"))
+
+    target = to_raw(null_version(base.where(n % 3 != 0), n % 11 == 0), spec)
+    batch = to_raw(null_version(raw.where(n % 2 == 0), n % 7 == 0), spec)
+    return target, batch
