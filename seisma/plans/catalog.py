@@ -707,3 +707,66 @@ def q_parse_kandilli(spark, sf):
     out = _docs_roundtrip(spark, sf, D.kandilli_documents, FD.parse_kandilli)
     return naive_ts(out.select("source", "event_id", "event_time", "created_at", "mag", "place", "lon", "lat",
                                "depth_km"))
+
+
+# --- 2.J streaming ------------------------------------------------------------------------------
+
+from seisma.streaming import jobs as J  # noqa: E402
+
+_STREAM_DELAY = "31 days"  # test landings have no arrival-order guarantee; covers the whole data span
+
+
+@register("stream_ingest", f"{O.merge_ctes('usgs')}\n{_MERGE_SELECT}")
+def q_stream_ingest(spark, sf):
+    """Batch rows land as NDJSON files (all versions of a key in one file); a file-source
+    stream MERGEs them micro-batch by micro-batch into the day-partitioned raw table."""
+    spec = SPECS["usgs"]
+    t, s = testdata.merge_inputs(testdata.table(spark, sf, "events"), "usgs")
+    target = sinks.table_path(spark, "raw_usgs")
+    sinks.write_days(t.withColumn("event_date", F.to_date(spec.time_col)), target, "event_date", cluster_by=None,
+                     overwrite_all=True)
+    landing = sinks.table_path(spark, "landing_usgs")
+    L.write_ndjson(s.repartition(4, spec.key), landing)
+    J.run_to_end(J.stream_ingest(spark, landing, spec.raw_schema, spec, target, max_files_per_trigger=1))
+    return _merge_out(spark.read.parquet(target).drop("event_date"), spec)
+
+
+@register("stream_hourly_counts", f"""{O.FEEDS}
+SELECT date_trunc('hour', event_time) AS hour_bucket, count(*) AS event_count FROM quake_raw
+WHERE source = 'usgs' GROUP BY 1""")
+def q_stream_hourly(spark, sf):
+    raw = testdata.raw_feeds(spark, sf)["usgs"]
+    landing = sinks.table_path(spark, "landing_hourly")
+    raw.repartition(6).write.parquet(landing)
+    src = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    target = sinks.table_path(spark, "hourly_counts")
+    J.run_to_end(J.stream_hourly_counts(spark, src, "event_time", target, delay=_STREAM_DELAY))
+    return naive_ts(spark.read.parquet(target).select("hour_bucket", "event_count"))
+
+
+def _streamed_candidates(spark, sf):
+    s = _stg(spark, sf)
+    paths = {}
+    for side in ("usgs", "kandilli"):
+        p = sinks.table_path(spark, f"landing_{side}")
+        s[side].select(*matching.EVENT_COLS).repartition(3).write.parquet(p)
+        paths[side] = p
+    schema = s["usgs"].select(*matching.EVENT_COLS).schema
+    left = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["usgs"])
+    right = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["kandilli"])
+    out = sinks.table_path(spark, "candidates")
+    J.run_to_end(J.land_candidates(spark, J.stream_candidates(left, right, delay=_STREAM_DELAY), out))
+    return spark.read.parquet(out)
+
+
+@register("stream_candidates", f"""{O.FEEDS},{O.matcher_ctes()}
+SELECT {_CAND_COLS} FROM ranked""")
+def q_stream_candidates(spark, sf):
+    return naive_ts(_streamed_candidates(spark, sf).withColumn("distance_km", F.round("distance_km", 6)))
+
+
+@register("stream_match", f"""{O.FEEDS},{O.matcher_ctes()}
+SELECT {_CAND_COLS} FROM ranked WHERE rn_u = 1 AND rn_k = 1""")
+def q_stream_match(spark, sf):
+    best = matching.mutual_best(_streamed_candidates(spark, sf))
+    return naive_ts(best.withColumn("distance_km", F.round("distance_km", 6)))
