@@ -19,6 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Per-call Python call-site capture for error messages costs several
+    # driver<->JVM round trips per DataFrame API call; plans here are built
+    # from hundreds of calls, so it is switched off (error text only).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -69,6 +73,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sei
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
