@@ -46,6 +46,15 @@ class MatchConfig:
     # Rank distances at this many decimals so engines that differ in the last
     # floating-point digit still agree on the nearest neighbour.
     rank_digits: int = 9
+    # Skew.  By default hot (bucket, cell) blocks are split at runtime by AQE's
+    # skew-join handling, which splits *both* sides of a skewed partition and
+    # needs no extra pass.  ``salt > 1`` adds deterministic salting for
+    # left-heavy blocks (for clusters running without AQE): blocks with at
+    # least ``hot_rows`` left rows (the largest ``hot_blocks`` of them) are
+    # split into ``salt`` sub-blocks.  It costs one pre-aggregated count pass.
+    hot_rows: int = 50_000
+    hot_blocks: int = 1024
+    salt: int = 1
 
     @property
     def reach_micros(self) -> int:
@@ -112,7 +121,30 @@ def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAU
         F.explode(F.sequence(F.floor((F.col(f"{r}_lat") - lat_reach) / C), F.floor((F.col(f"{r}_lat") + lat_reach) / C))),
     )
 
-    pairs = L.join(R, ["_tb", "_lc"], "inner").drop("_tb", "_lc")
+    keys = ["_tb", "_lc"]
+    if cfg.salt > 1:
+        # A swarm can put a large share of all events into one (bucket, cell)
+        # block.  The block sizes are a map-side pre-aggregated count; the
+        # largest blocks above ``hot_rows`` -- at most ``hot_blocks`` rows, a
+        # proven bound, so the list is broadcast -- are split: each left row
+        # takes one of ``salt`` sub-blocks by id hash, right rows of a hot
+        # block are copied to all of them.  Every pair still meets once.
+        hot = (
+            L.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= cfg.hot_rows)
+            .orderBy(F.col("_n").desc()).limit(cfg.hot_blocks)
+            .select(*keys, F.lit(True).alias("_hot"))
+        )
+        L = L.join(F.broadcast(hot), keys, "left").withColumn(
+            "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(f"{l}_id"), F.lit(cfg.salt))).otherwise(F.lit(0))
+        ).drop("_hot")
+        R = R.join(F.broadcast(hot), keys, "left").withColumn(
+            "_salt",
+            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(cfg.salt - 1))).otherwise(F.array(F.lit(0)))),
+        ).drop("_hot")
+        keys = keys + ["_salt"]
+
+    pairs = L.join(R, keys, "inner").drop(*keys)
     return (
         pairs.select(
             f"{l}_id", f"{r}_id", f"{l}_time", f"{r}_time", f"{l}_mag", f"{r}_mag", f"{l}_lon", f"{l}_lat",
