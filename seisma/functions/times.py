@@ -89,8 +89,11 @@ def parse_iso_utc(c) -> Column:
 
 
 def to_utc_iso(c) -> Column:
-    """UTC instant rendered as ISO-8601 text with an explicit offset."""
-    return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    """UTC instant as ISO-8601 text with ``+00:00``; microseconds only when non-zero."""
+    c = _c(c)
+    whole = F.unix_micros(c) % 1_000_000 == 0
+    return F.when(whole, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssxxx")).otherwise(
+        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 
 def ntz(c) -> Column:

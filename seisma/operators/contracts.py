@@ -168,3 +168,9 @@ def run_contracts(contracts: Sequence[Contract]) -> DataFrame:
         )
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def store_failures(contracts: Sequence[Contract], root: str) -> None:
+    """Persist each contract's failing rows as a table ``root/<contract>`` (overwritten per run)."""
+    for c in contracts:
+        c.failing.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{c.name}")

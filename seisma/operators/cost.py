@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 from pyspark.sql import functions as F
 
 from seisma.operators.marts import exact_sum
@@ -142,3 +143,25 @@ def baseline_update(baseline: DataFrame, measured: DataFrame) -> DataFrame:
     if "shadow_cost_usd" not in keep.columns:
         keep = keep.withColumn("shadow_cost_usd", shadow_cost(F.col("bytes_processed")))
     return keep.select("model", "bytes_processed", "shadow_cost_usd").unionByName(m)
+
+
+BASELINE_ENTRY = StructType([StructField("bytes_processed", LongType()), StructField("shadow_cost_usd", DoubleType())])
+
+
+def read_baseline(spark: SparkSession, path: str) -> DataFrame:
+    """Baseline document(s) ``{model: {bytes_processed, shadow_cost_usd}}`` as rows; missing -> empty."""
+    empty = spark.createDataFrame([], "model string, bytes_processed bigint, shadow_cost_usd double")
+    try:
+        docs = spark.read.option("wholetext", "true").text(path)
+    except Exception:  # no such path: first run, every model is new
+        return empty
+    m = F.from_json("value", MapType(StringType(), BASELINE_ENTRY))
+    return docs.select(F.explode(m).alias("model", "e")).select(
+        "model", "e.bytes_processed", "e.shadow_cost_usd")
+
+
+def write_baseline(baseline: DataFrame, path: str) -> None:
+    """Write the baseline as one JSON map document (one entry per model of the project)."""
+    doc = baseline.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
+        "model", F.struct("bytes_processed", "shadow_cost_usd"))))).alias("value"))
+    doc.coalesce(1).write.mode("overwrite").text(path)

@@ -770,3 +770,147 @@ SELECT {_CAND_COLS} FROM ranked WHERE rn_u = 1 AND rn_k = 1""")
 def q_stream_match(spark, sf):
     best = matching.mutual_best(_streamed_candidates(spark, sf))
     return naive_ts(best.withColumn("distance_km", F.round("distance_km", 6)))
+
+
+# --- remaining inventory items ------------------------------------------------------------------
+
+from seisma.functions import geo, times  # noqa: E402
+
+
+@register("write_ndjson", f"""{O.FEEDS}
+SELECT event_id, mag FROM quake_raw WHERE source = 'emsc'""")
+def q_write_ndjson(spark, sf):
+    """Staging rows as newline-delimited JSON: one JSON object per text line."""
+    raw = testdata.raw_feeds(spark, sf)["emsc"]
+    path = sinks.table_path(spark, "ndjson")
+    L.write_ndjson(raw, path)
+    lines = spark.read.text(path)
+    return lines.select(F.get_json_object("value", "$.event_id").alias("event_id"),
+                        F.get_json_object("value", "$.mag").cast("double").alias("mag"))
+
+
+@register("materialize_unified", f"""{O.FEEDS},{O.matcher_ctes()},{O.UNIFIED_CTE}
+SELECT *, CAST(event_time AS DATE) AS event_date FROM unified""")
+def q_materialize_unified(spark, sf):
+    """Full rebuild of a table, day-partitioned and clustered by match status."""
+    u = unify_events(_matches(spark, sf), AS_OF).withColumn("event_date", F.to_date("event_time"))
+    path = sinks.table_path(spark, "fct_unified")
+    sinks.write_table(u, path, partition_by="event_date", cluster_by="match_status")
+    return naive_ts(spark.read.parquet(path))
+
+
+@register("store_failures", f"""{O.FEEDS}
+SELECT event_id AS earthquake_id, source, event_time FROM stg WHERE mag IS NULL""")
+def q_store_failures(spark, sf):
+    s = _stg(spark, sf)
+    allstg = s["usgs"].unionByName(s["emsc"], allowMissingColumns=True).unionByName(
+        s["kandilli"], allowMissingColumns=True)
+    root = sinks.table_path(spark, "audit")
+    K.store_failures([K.Contract("not_null_mag",
+                                 K.expect_not_null(allstg, "mag").select("earthquake_id", "source", "event_time"))],
+                     root)
+    return naive_ts(spark.read.parquet(f"{root}/not_null_mag"))
+
+
+@register("baseline_read", f"""WITH {O.BASELINE}
+SELECT model, bytes_processed, round(CAST(bytes_processed AS DOUBLE) * 5.0 / 1099511627776, 10) AS shadow_cost_usd
+FROM baseline""")
+def q_baseline_read(spark, sf):
+    part = testdata.table(spark, sf, "part")
+    b = testdata.cost_baseline(part)
+    path = sinks.table_path(spark, "cost_baseline")
+    C.write_baseline(b.select("model", "bytes_processed",
+                              C.shadow_cost(F.col("bytes_processed")).alias("shadow_cost_usd")), path)
+    return C.read_baseline(spark, path)
+
+
+@register("cost_gate", f"""WITH {O.BASELINE},
+j AS (SELECT c.model, c.bytes_processed AS cur, b.bytes_processed AS base,
+             CASE WHEN b.bytes_processed > 0
+                  THEN CAST(c.bytes_processed - b.bytes_processed AS DOUBLE) / b.bytes_processed * 100 END AS inc
+      FROM current_bytes c LEFT JOIN baseline b ON c.model = b.model),
+r AS (SELECT cur IS NOT NULL AND (base IS NULL OR inc IS NULL OR inc <= 20.0) AS passed FROM j)
+SELECT coalesce(bool_and(passed), true) AS passed, count(*) AS models_checked,
+       CAST(sum(CASE WHEN NOT passed THEN 1 ELSE 0 END) AS BIGINT) AS models_failed FROM r""")
+def q_cost_gate(spark, sf):
+    part = testdata.table(spark, sf, "part")
+    return C.regression_passed(C.cost_regression(testdata.cost_current(part), testdata.cost_baseline(part)))
+
+
+_PAIR_SQL = f"""{O.FEEDS},
+u AS (SELECT * FROM stg WHERE source = 'usgs'), k AS (SELECT * FROM stg WHERE source = 'kandilli')
+"""
+
+
+def _pairs(spark, sf):
+    s = _stg(spark, sf)
+    num = lambda c: F.regexp_extract(F.col(c), r"([0-9]+)$", 1).cast("bigint")
+    u = s["usgs"].select(num("earthquake_id").alias("n"), F.col("event_time").alias("ut"),
+                         F.col("lat").alias("ulat"), F.col("lon").alias("ulon"))
+    k = s["kandilli"].select(num("earthquake_id").alias("n"), F.col("event_time").alias("kt"),
+                             F.col("lat").alias("klat"), F.col("lon").alias("klon"))
+    return u.join(k, "n")
+
+
+@register("haversine_km", _PAIR_SQL + """SELECT u.n,
+  round(12742.0 * asin(sqrt(least(1.0, pow(sin((k.lat - u.lat) * (pi() / 360)), 2)
+        + cos(u.lat * (pi() / 180)) * cos(k.lat * (pi() / 180)) * pow(sin((k.lon - u.lon) * (pi() / 360)), 2)))), 6)
+  AS distance_km
+FROM u JOIN k ON u.n = k.n""")
+def q_haversine(spark, sf):
+    p = _pairs(spark, sf)
+    return p.select("n", F.round(geo.haversine_km("ulat", "ulon", "klat", "klon"), 6).alias("distance_km"))
+
+
+@register("time_diff_seconds", _PAIR_SQL + """SELECT u.n, abs(date_sub('second', k.event_time, u.event_time))
+  AS time_diff_seconds FROM u JOIN k ON u.n = k.n""")
+def q_time_diff(spark, sf):
+    return _pairs(spark, sf).select("n", times.seconds_between("ut", "kt").alias("time_diff_seconds"))
+
+
+@register("bbox_flag", _PAIR_SQL + """SELECT u.n,
+  coalesce(k.lat, u.lat) BETWEEN 35 AND 43 AND coalesce(k.lon, u.lon) BETWEEN 25 AND 46 AS in_region
+FROM u JOIN k ON u.n = k.n""")
+def q_bbox(spark, sf):
+    p = _pairs(spark, sf)
+    return p.select("n", geo.in_box(F.coalesce("klat", "ulat"), F.coalesce("klon", "ulon")).alias("in_region"))
+
+
+@register("parse_local_ts", """
+SELECT event_id, date_trunc('second', CAST(ts AS TIMESTAMP)) AS parsed FROM events""")
+def q_parse_local(spark, sf):
+    """Wall-clock Istanbul text (dotted date) rendered from ``events.ts`` and parsed back to UTC."""
+    ev = testdata.table(spark, sf, "events")
+    local = F.date_format(F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Europe/Istanbul"),
+                          "yyyy.MM.dd HH:mm:ss")
+    return naive_ts(ev.select("event_id", times.parse_local_ts(local).alias("parsed")))
+
+
+@register("parse_iso_utc", """
+SELECT event_id, CAST(ts AS TIMESTAMP) AS parsed FROM events""")
+def q_parse_iso(spark, sf):
+    ev = testdata.table(spark, sf, "events")
+    iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return naive_ts(ev.select("event_id", times.parse_iso_utc(iso).alias("parsed")))
+
+
+@register("epoch_ms_to_ts", """
+SELECT event_id, date_trunc('millisecond', CAST(ts AS TIMESTAMP)) AS parsed FROM events""")
+def q_epoch_ms(spark, sf):
+    ev = testdata.table(spark, sf, "events")
+    return naive_ts(ev.select("event_id", times.epoch_ms_to_ts(F.unix_millis(F.col("ts").cast("timestamp")))
+                              .alias("parsed")))
+
+
+@register("to_utc_iso", """
+SELECT event_id, CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                      ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END || '+00:00' AS iso FROM events""")
+def q_to_utc_iso(spark, sf):
+    ev = testdata.table(spark, sf, "events")
+    return ev.select("event_id", times.to_utc_iso(F.col("ts").cast("timestamp")).alias("iso"))
+
+
+# Inventory aliases: the same query serves two inventory rows.
+register("union_invalid", ORACLE["range_invalid"])(q_range_invalid)
+register("union_source_stats", ORACLE["source_24h_stats"])(q_source_24h)
+register("having_positive", ORACLE["magnitude_range"])(q_magnitude_range)
