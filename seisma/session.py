@@ -19,17 +19,17 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Per-call Python call-site capture for error messages costs several
-    # driver<->JVM round trips per DataFrame API call; plans here are built
-    # from hundreds of calls, so it is switched off (error text only).
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # pragma: no cover - conf locked by the cluster operator
+                if k == "spark.sql.session.timeZone":
+                    raise
     return spark
 
 
@@ -40,16 +40,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     read it.  When it is unset (unit tests, local runs) a fresh folder under the
     system temp dir is created and registered, never a fixed path.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
         d = tempfile.mkdtemp(prefix="seisma-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - already set / Connect session
-        pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -73,6 +70,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sei
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Per-call Python call-site capture for error messages costs several
+        # driver<->JVM round trips per DataFrame API call; plans here are built
+        # from hundreds of calls.  Static conf: only settable at session build.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
