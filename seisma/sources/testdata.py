@@ -33,7 +33,21 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a table stored as a single file over the cluster's cores.
+
+    A one-file table scans as one task (Parquet splits only at row groups), so
+    every narrow operator after it would run on a single core.  Tables with
+    several files -- every large table -- are returned untouched: no extra
+    shuffle where the scan is already parallel.  Decided from the file listing
+    the reader already holds (no job).
+    """
+    if len(df.inputFiles()) == 1:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df
 
 
 def _us(c: Column) -> Column:
