@@ -33,21 +33,27 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(df) if is_single_file(spark, path) else df
+
+
+def is_single_file(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is one file rather than a table directory (one metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a table stored as a single file over the cluster's cores.
 
     A one-file table scans as one task (Parquet splits only at row groups), so
-    every narrow operator after it would run on a single core.  Tables with
-    several files -- every large table -- are returned untouched: no extra
-    shuffle where the scan is already parallel.  Decided from the file listing
-    the reader already holds (no job).
+    every narrow operator after it would run on a single core.  Table
+    directories -- every large table -- are read as they are: no extra shuffle
+    where the scan is already parallel.
     """
-    if len(df.inputFiles()) == 1:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _us(c: Column) -> Column:
