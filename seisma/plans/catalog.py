@@ -914,3 +914,23 @@ def q_to_utc_iso(spark, sf):
 register("union_invalid", ORACLE["range_invalid"])(q_range_invalid)
 register("union_source_stats", ORACLE["source_24h_stats"])(q_source_24h)
 register("having_positive", ORACLE["magnitude_range"])(q_magnitude_range)
+
+
+from seisma.plans.ingest import ingest_batch  # noqa: E402
+
+
+@register("ingest_batch", O.ingest_counts_sql("usgs"))
+def q_ingest_batch(spark, sf):
+    """The ingest endpoint as a function: documents in, (status, counts) out."""
+    spec = SPECS["usgs"]
+    ev = testdata.table(spark, sf, "events")
+    t, _ = testdata.merge_inputs(ev, "usgs")
+    target = sinks.table_path(spark, "raw_usgs")
+    sinks.write_days(t.withColumn("event_date", F.to_date(spec.time_col)), target, "event_date", cluster_by=None,
+                     overwrite_all=True)
+    q = testdata.quake_raw(ev)
+    q = q.where((F.col("n") % 2 == 0)).withColumn(
+        "updated", F.when(F.col("n") % 7 == 0, F.lit(None)).otherwise(F.col("updated")))
+    docs = D.usgs_documents(q)
+    return ingest_batch(spark, docs, "usgs", target, "batch-0001", AS_OF,
+                        archive=sinks.table_path(spark, "archive"))
