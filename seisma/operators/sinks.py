@@ -16,10 +16,11 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, clust
     """Full rebuild (``materialized='table'``): overwrite the whole location.
 
     ``cluster_by`` sorts rows within each output partition so Parquet
-    row-group min/max statistics skip blocks on that column.
+    row-group min/max statistics skip blocks on that column.  The rebalance
+    hint lets AQE split a skewed partition value over several tasks.
     """
     if partition_by:
-        df = df.repartition(partition_by)
+        df = df.hint("rebalance", partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(cluster_by)
     w = df.write.mode("overwrite")
@@ -34,10 +35,11 @@ def write_days(df: DataFrame, path: str, date_col: str, cluster_by: str | None =
 
     Dynamic partition overwrite: days absent from ``df`` keep their files, so
     an incremental run that recomputes the last N days touches only those.
-    Rows are repartitioned by day so each day is written by one task (one
-    file per day) and sorted by ``cluster_by`` within it.
+    ``REBALANCE(day)`` groups a day's rows into few files, and AQE splits a
+    skewed day (one day holding a large share of all rows) across several
+    tasks instead of one; rows are sorted by ``cluster_by`` within each file.
     """
-    out = df.repartition(date_col)
+    out = df.hint("rebalance", date_col)
     if cluster_by and cluster_by in df.columns:
         out = out.sortWithinPartitions(cluster_by)
     (
