@@ -122,9 +122,13 @@ def count_with_top(df: DataFrame, order_by: Sequence[Column], n: int, fields: Se
     The count is a one-row aggregate and the top rows are at most ``n``; they
     are combined by a union and a window over those <= n+1 rows, not a join.
     """
-    top = top_n(df.select(*fields), order_by, n).select(
+    rows = df.select(*fields)
+    top = top_n(rows, order_by, n).select(
         F.lit(None).cast("bigint").alias(count_name), "pos", *fields)
-    cnt = df.agg(F.count(F.lit(1)).alias(count_name)).select(
+    # count(struct(fields)) counts every row (the struct is never NULL) and makes
+    # this branch read the same columns as the top-n branch, so the two share
+    # the exchanges of ``df``'s plan instead of computing it twice.
+    cnt = rows.agg(F.count(F.struct(*fields)).alias(count_name)).select(
         count_name, F.lit(0).alias("pos"), *[F.lit(None).cast(df.schema[f].dataType).alias(f) for f in fields])
     both = top.unionByName(cnt)
     total = F.max(count_name).over(Window.partitionBy(F.lit(1)))

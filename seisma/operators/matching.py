@@ -223,6 +223,16 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
 
     ``left``/``right`` carry ``earthquake_id, event_time, mag, lon, lat, place``.
     With ``as_of`` only events at or after ``as_of - cfg.lookback`` take part.
+
+    Leftovers are found without anti joins: every input row is tagged with its
+    side and left-joined to the mutual pairs keyed under both of their ids.
+    A left row with a pair yields the matched row, one without yields
+    ``<left>_only``; a right row without a pair yields ``<right>_only``.  The
+    pair set has a single consumer, so the candidate join runs once.  Each
+    input is read twice (candidate join, side tagging); with ``materialize``
+    its six-column projection is checkpointed once, so its lineage (a full
+    dedup of a raw table) never runs twice, whatever columns downstream
+    operators prune.
     """
     l, r = cfg.left, cfg.right
     lid, rid = f"{l}_id", f"{r}_id"
@@ -231,32 +241,49 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
     if as_of is not None:
         left = recent(left, "event_time", as_of, cfg.lookback)
         right = recent(right, "event_time", as_of, cfg.lookback)
+    if materialize:
+        left, right = checkpointed(left), checkpointed(right)
 
     best = mutual_best(match_candidates(left, right, cfg), cfg)
-    if materialize:
-        # Consumed three times (matched rows + two anti joins): cut the lineage
-        # once so the candidate join is not re-run per consumer.
-        best = checkpointed(best)
-    matched = best.select(
-        F.concat(F.col(lid), F.lit("_"), F.col(rid)).alias("match_id"),
-        F.lit("matched").alias("match_status"),
-        *[c for c in best.columns],
-    )
-    left_only = (
-        left.join(best.select(F.col(lid).alias("earthquake_id")), "earthquake_id", "left_anti")
-        .select(
-            F.concat(F.col("earthquake_id"), F.lit("_none")).alias("match_id"),
-            F.lit(f"{l}_only").alias("match_status"),
-            *[F.col(c).alias(f"{l}_{'id' if c == 'earthquake_id' else c.replace('event_', '')}") for c in EVENT_COLS],
-        )
-    )
-    right_only = (
-        right.join(best.select(F.col(rid).alias("earthquake_id")), "earthquake_id", "left_anti")
-        .select(
-            F.concat(F.lit("none_"), F.col("earthquake_id")).alias("match_id"),
-            F.lit(f"{r}_only").alias("match_status"),
-            *[F.col(c).alias(f"{r}_{'id' if c == 'earthquake_id' else c.replace('event_', '')}") for c in EVENT_COLS],
-        )
+    keyed = best.select(
+        F.explode(F.array(
+            F.struct(F.lit("L").alias("s"), F.col(lid).alias("k")),
+            F.struct(F.lit("R").alias("s"), F.col(rid).alias("k")),
+        )).alias("_bk"),
+        F.struct(*[F.col(c) for c in best.columns]).alias("_pair"),
+    ).select(F.col("_bk.s").alias("_side"), F.col("_bk.k").alias("earthquake_id"), "_pair")
+    sides = left.select(F.lit("L").alias("_side"), *EVENT_COLS).unionByName(
+        right.select(F.lit("R").alias("_side"), *EVENT_COLS))
+    j = sides.join(keyed, ["_side", "earthquake_id"], "left")
+    pair = F.col("_pair")
+    matched = pair.isNotNull()
+    is_l = F.col("_side") == "L"
+    j = j.where(is_l | ~matched)  # a matched right row is emitted from its left partner
+
+    def side_col(prefix: str, on_side, field: str, src: str):
+        return F.when(matched, pair.getField(f"{prefix}_{field}")).when(on_side, F.col(src)).alias(
+            f"{prefix}_{field}")
+
+    out = j.select(
+        F.when(matched, F.concat(pair.getField(lid), F.lit("_"), pair.getField(rid)))
+        .when(is_l, F.concat(F.col("earthquake_id"), F.lit("_none")))
+        .otherwise(F.concat(F.lit("none_"), F.col("earthquake_id"))).alias("match_id"),
+        F.when(matched, F.lit("matched")).when(is_l, F.lit(f"{l}_only")).otherwise(F.lit(f"{r}_only"))
+        .alias("match_status"),
+        side_col(l, is_l, "id", "earthquake_id"),
+        side_col(r, ~is_l, "id", "earthquake_id"),
+        side_col(l, is_l, "time", "event_time"),
+        side_col(r, ~is_l, "time", "event_time"),
+        side_col(l, is_l, "mag", "mag"),
+        side_col(r, ~is_l, "mag", "mag"),
+        side_col(l, is_l, "lon", "lon"),
+        side_col(l, is_l, "lat", "lat"),
+        side_col(r, ~is_l, "lon", "lon"),
+        side_col(r, ~is_l, "lat", "lat"),
+        side_col(l, is_l, "place", "place"),
+        side_col(r, ~is_l, "place", "place"),
+        pair.getField("time_diff_seconds").alias("time_diff_seconds"),
+        pair.getField("distance_km").alias("distance_km"),
+        pair.getField("mag_diff").alias("mag_diff"),
     )
-    out = matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
     return out.select(*match_columns(cfg))
