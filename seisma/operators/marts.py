@@ -107,9 +107,10 @@ def max_event_time(df: DataFrame, ts: str, as_of: dt.datetime, search: dt.timede
 def top_n(df: DataFrame, order_by: Sequence[Column], n: int) -> DataFrame:
     """Global top-``n`` rows with their 1-based position ``pos``.
 
-    ``row_number() <= n`` over an unpartitioned window: Catalyst inserts a
-    partial ``WindowGroupLimit`` per task, so the single final partition only
-    sees ``n`` rows per upstream task, never the whole input.
+    ``row_number() <= n`` over an unpartitioned window: Catalyst pushes the
+    limit below the window (``TakeOrderedAndProject``: a top-``n`` per task,
+    then a merge of those), so the single final partition only sees ``n``
+    rows per upstream task, never the whole input.
     """
     w = Window.orderBy(*order_by)
     return df.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= n)
