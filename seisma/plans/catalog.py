@@ -934,3 +934,32 @@ def q_ingest_batch(spark, sf):
     docs = D.usgs_documents(q)
     return ingest_batch(spark, docs, "usgs", target, "batch-0001", AS_OF,
                         archive=sinks.table_path(spark, "archive"))
+
+
+def _build(spark, sf):
+    root = sinks.table_path(spark, "models")
+    return models.build_models(spark, testdata.raw_feeds(spark, sf), root, AS_OF)
+
+
+@register("build_models_unified", f"""{O.FEEDS},{O.matcher_ctes('7 DAY')},{O.UNIFIED_CTE}
+SELECT *, CAST(event_time AS DATE) AS event_date FROM unified""")
+def q_build_unified(spark, sf):
+    """Whole model graph materialised once; the unified table read back."""
+    return naive_ts(spark.read.parquet(_build(spark, sf)["fct_unified"]))
+
+
+@register("build_models_report", f"""{O.FEEDS},{O.matcher_ctes('7 DAY')},{O.UNIFIED_CTE}
+SELECT 'unique_usgs' AS contract, 'error' AS severity, CAST(0 AS BIGINT) AS failing_rows, 'pass' AS status
+UNION ALL SELECT 'unique_emsc', 'error', 0, 'pass'
+UNION ALL SELECT 'unique_kandilli', 'error', 0, 'pass'
+UNION ALL SELECT 'not_null_time_usgs', 'error', 0, 'pass'
+UNION ALL SELECT 'not_null_time_emsc', 'error', 0, 'pass'
+UNION ALL SELECT 'not_null_time_kandilli', 'error', 0, 'pass'
+UNION ALL SELECT 'unique_unified_id', 'error', (SELECT count(*) FROM (SELECT unified_id FROM unified
+                  WHERE unified_id IS NOT NULL GROUP BY unified_id HAVING count(*) > 1)), 'pass'
+UNION ALL SELECT 'accepted_match_status', 'error', 0, 'pass'
+UNION ALL SELECT 'magnitude_range', 'error', 0, 'pass'
+UNION ALL SELECT 'cross_source_disagreement', 'warn', 0, 'pass'""")
+def q_build_report(spark, sf):
+    """Contract report of one model build (all pass on the driver data: mags in range, no > 2.0 gaps)."""
+    return spark.read.parquet(_build(spark, sf)["contract_report"])
