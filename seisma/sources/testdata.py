@@ -96,16 +96,22 @@ def quake_base(events: DataFrame) -> DataFrame:
 
 
 def quake_raw(events: DataFrame) -> DataFrame:
-    """``quake_base`` plus a later version of rows with ``n % 10 in (0,2,4)``."""
-    base = quake_base(events)
-    later = base.where((F.col("n") % 10).isin(0, 2, 4)).select(
+    """``quake_base`` plus a later version of rows with ``n % 10 in (0,2,4)``.
+
+    One scan per feed: the version number is exploded from the row itself.
+    """
+    base = quake_base(events).drop("version")
+    v = F.explode(F.when((F.col("n") % 10).isin(0, 2, 4), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    rows = base.select("*", v.alias("version"))
+    later = F.col("version") == 2
+    return rows.select(
         "source", "event_id", "n", "event_time",
-        (F.col("updated") + F.expr("INTERVAL 1 HOUR")).alias("updated"),
-        (F.col("ingestion_time") + F.expr("INTERVAL 15 MINUTES")).alias("ingestion_time"),
-        F.round(F.col("mag") + F.lit(0.1), 1).alias("mag"),
-        "depth_km", "lon", "lat", "place", F.lit(2).alias("version"),
+        F.when(later, F.col("updated") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("updated")).alias("updated"),
+        F.when(later, F.col("ingestion_time") + F.expr("INTERVAL 15 MINUTES")).otherwise(F.col("ingestion_time"))
+        .alias("ingestion_time"),
+        F.when(later, F.round(F.col("mag") + F.lit(0.1), 1)).otherwise(F.col("mag")).alias("mag"),
+        "depth_km", "lon", "lat", "place", "version",
     )
-    return base.unionByName(later)
 
 
 def with_feed_columns(q: DataFrame) -> DataFrame:
