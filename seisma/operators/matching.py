@@ -163,22 +163,6 @@ def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAU
     )
 
 
-def naive_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Reference formulation (cross join + filter).  For tests / comparison only."""
-    l, r = cfg.left, cfg.right
-    pairs = _side(left, l).crossJoin(_side(right, r))
-    return pairs.select(
-        "*",
-        seconds_between(f"{l}_time", f"{r}_time").alias("time_diff_seconds"),
-        haversine_km(f"{l}_lat", f"{l}_lon", f"{r}_lat", f"{r}_lon").alias("distance_km"),
-        F.abs(F.coalesce(F.col(f"{l}_mag"), F.lit(0.0)) - F.coalesce(F.col(f"{r}_mag"), F.lit(0.0))).alias("mag_diff"),
-    ).where(
-        (F.col("time_diff_seconds") <= cfg.max_seconds)
-        & (F.col("distance_km") <= cfg.max_km)
-        & (F.col("mag_diff") <= cfg.max_mag_diff)
-    )
-
-
 def mutual_best(cands: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Pairs that are each other's nearest candidate (distance, then time, then id).
 

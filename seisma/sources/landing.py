@@ -57,7 +57,10 @@ def archive_raw(docs: DataFrame, path: str, source: str | Column = "source",
         ts.alias("ingestion_time"), content_hash(F.col("doc")).alias("content_hash"), checked.alias("doc"),
         src.alias("source"), *archive_columns(ts),
     )
-    out.write.mode("append").partitionBy("source", "year", "month", "day", "hour").json(path)
+    parts = ("source", "year", "month", "day", "hour")
+    # REBALANCE by the path columns: one file per hour where possible instead
+    # of one per (task, hour); AQE splits an hour that holds a large share.
+    out.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).json(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
