@@ -214,9 +214,9 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
     ``<left>_only``; a right row without a pair yields ``<right>_only``.  The
     pair set has a single consumer, so the candidate join runs once.  Each
     input is read twice (candidate join, side tagging); with ``materialize``
-    its six-column projection is checkpointed once, so its lineage (a full
-    dedup of a raw table) never runs twice, whatever columns downstream
-    operators prune.
+    the side-tagged six-column union is checkpointed once (one job), so an
+    input's lineage (a full dedup of a raw table) never runs twice, whatever
+    columns downstream operators prune.
     """
     l, r = cfg.left, cfg.right
     lid, rid = f"{l}_id", f"{r}_id"
@@ -225,8 +225,12 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
     if as_of is not None:
         left = recent(left, "event_time", as_of, cfg.lookback)
         right = recent(right, "event_time", as_of, cfg.lookback)
+    sides = left.select(F.lit("L").alias("_side"), *EVENT_COLS).unionByName(
+        right.select(F.lit("R").alias("_side"), *EVENT_COLS))
     if materialize:
-        left, right = checkpointed(left), checkpointed(right)
+        sides = checkpointed(sides)
+        left = sides.where(F.col("_side") == "L").select(*EVENT_COLS)
+        right = sides.where(F.col("_side") == "R").select(*EVENT_COLS)
 
     best = mutual_best(match_candidates(left, right, cfg), cfg)
     keyed = best.select(
@@ -236,8 +240,6 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
         )).alias("_bk"),
         F.struct(*[F.col(c) for c in best.columns]).alias("_pair"),
     ).select(F.col("_bk.s").alias("_side"), F.col("_bk.k").alias("earthquake_id"), "_pair")
-    sides = left.select(F.lit("L").alias("_side"), *EVENT_COLS).unionByName(
-        right.select(F.lit("R").alias("_side"), *EVENT_COLS))
     j = sides.join(keyed, ["_side", "earthquake_id"], "left")
     pair = F.col("_pair")
     matched = pair.isNotNull()
