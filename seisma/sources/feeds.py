@@ -12,16 +12,25 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from seisma.functions.times import epoch_ms_to_ts, parse_iso_utc, parse_local_ts
+
 from seisma.sources.schemas import (
-    EMSC_DOC,
+    EMSC_FEATURE,
     EVENT_COLUMNS,
     KANDILLI_DOC,
-    USGS_DOC,
+    KANDILLI_ITEM,
+    USGS_FEATURE,
     SourceSpec,
 )
 
+KANDILLI_ENVELOPE = StructType([
+    StructField("status", BooleanType()),
+    StructField("result", ArrayType(StringType())),
+    StructField("results", ArrayType(StringType())),
+])
+
 _EVENT_TYPES = dict(EVENT_COLUMNS)
 
 
@@ -33,6 +42,18 @@ def read_docs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _items(docs: DataFrame, field: str, item_schema) -> DataFrame:
+    """Explode a document's item array keeping each item's original JSON text (``_raw``).
+
+    The array is first read as text elements (a STRING field over a JSON
+    object yields the object's text), then each element is parsed with the
+    item schema: ``raw_json`` is the item as delivered, not a re-serialisation.
+    """
+    env = StructType([StructField(field, ArrayType(StringType()))])
+    raw = docs.select(F.explode(F.from_json("doc", env).getField(field)).alias("_raw"))
+    return raw.select("_raw", F.from_json("_raw", item_schema).alias("_i")).select("_raw", "_i.*")
+
+
 def _events(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     """Project to the full normalised event layout (missing fields as typed NULLs)."""
     out = []
@@ -44,7 +65,7 @@ def _events(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
 
 def parse_usgs(docs: DataFrame) -> DataFrame:
     """FeatureCollection -> events.  Missing ``features`` -> no rows; NULL times are kept."""
-    f = docs.select(F.explode(F.from_json("doc", USGS_DOC).getField("features")).alias("f")).select("f.*")
+    f = _items(docs, "features", USGS_FEATURE)
     p = F.col("properties")
     coords = F.col("geometry.coordinates")
     return _events(f, {
@@ -72,13 +93,13 @@ def parse_usgs(docs: DataFrame) -> DataFrame:
         "lat": F.get(coords, 1),
         "depth_km": F.get(coords, 2),
         "source_url": p.getField("url"),
-        "raw_json": F.to_json(F.struct(F.col("type"), F.col("id"), F.col("geometry"), F.col("properties"))),
+        "raw_json": F.col("_raw"),
     })
 
 
 def parse_emsc(docs: DataFrame) -> DataFrame:
     """Properties-only features -> events; rows whose time does not parse are dropped."""
-    f = docs.select(F.explode(F.from_json("doc", EMSC_DOC).getField("features")).alias("f")).select("f.*")
+    f = _items(docs, "features", EMSC_FEATURE)
     p = F.col("properties")
     blank = lambda c: F.nullif(c, F.lit(""))
     ev = _events(f, {
@@ -93,7 +114,7 @@ def parse_emsc(docs: DataFrame) -> DataFrame:
         "lon": p.getField("lon"),
         "lat": p.getField("lat"),
         "depth_km": p.getField("depth"),
-        "raw_json": F.to_json(F.struct(F.col("type"), F.col("id"), F.col("properties"))),
+        "raw_json": F.col("_raw"),
     })
     return ev.where(F.col("event_time").isNotNull())
 
@@ -113,7 +134,7 @@ def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool
     whose status is not true fails the job (``raise_error``), as in the feed
     client; otherwise such documents are skipped (see ``kandilli_envelope_ok``).
     """
-    d = F.from_json("doc", KANDILLI_DOC)
+    d = F.from_json("doc", KANDILLI_ENVELOPE)
     ok = F.coalesce(d.getField("status"), F.lit(False))
     docs = docs.select(
         F.when(ok, d).otherwise(F.raise_error(F.lit("Kandilli response status is not true"))).alias("d")
@@ -123,11 +144,15 @@ def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool
         docs = docs.where(F.coalesce(F.col("d.status"), F.lit(False)))
     res, alt = F.col("d.result"), F.col("d.results")
     items = F.when(F.size(res) > 0, res).otherwise(F.coalesce(alt, F.array()))
-    it = docs.select(F.explode(items).alias("i")).select("i.*")
+    it = docs.select(F.explode(items).alias("_raw")).select(
+        "_raw", F.from_json("_raw", KANDILLI_ITEM).alias("i")).select("_raw", "i.*")
     coords = F.col("geojson.coordinates")
+    # str() of the id: an absent id is '', an explicit JSON null is the text 'None'.
+    present = F.array_contains(F.json_object_keys("_raw"), "earthquake_id")
     ev = _events(it, {
         "source": F.lit("kandilli"),
-        "event_id": F.coalesce(F.col("earthquake_id"), F.lit("")),
+        "event_id": F.when(F.col("earthquake_id").isNotNull(), F.col("earthquake_id"))
+        .when(present, F.lit("None")).otherwise(F.lit("")),
         "event_time": parse_local_ts(F.col("date_time"), zone),
         "created_at": parse_local_ts(F.col("created_at"), zone),
         "mag": F.col("mag"),
@@ -142,7 +167,7 @@ def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool
         "closest_city_name": F.col("closest_city_name"),
         "closest_city_distance_km": F.col("closest_city_distance_km"),
         "location_properties": F.col("location_properties"),
-        "raw_json": F.to_json(F.struct(*[F.col(c) for c in it.columns])),
+        "raw_json": F.col("_raw"),
     })
     return ev.where(F.col("event_time").isNotNull())
 
