@@ -99,6 +99,11 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
                    K.expect_accepted_values(unified, "match_status", K.ACCEPTED_MATCH_STATUS)),
         K.Contract("magnitude_range", K.magnitude_range([stg_tables["usgs"], stg_tables["kandilli"]], as_of)),
         K.Contract("cross_source_disagreement", K.disagreement_rows(unified, as_of), severity="warn"),
+        K.Contract("freshness_usgs", K.event_freshness(raw["usgs"], SPECS["usgs"].time_col, as_of,
+                                                       K.FRESHNESS_SEARCH["usgs"])),
+        K.Contract("freshness_kandilli", K.event_freshness(raw["kandilli"], SPECS["kandilli"].time_col, as_of,
+                                                           K.FRESHNESS_SEARCH["kandilli"])),
+        K.Contract("min_events", K.min_events(raw["usgs"], SPECS["usgs"].time_col, as_of)),
     ]
     r_path = f"{root}/contract_report"
     K.run_contracts(suite).coalesce(1).write.mode("overwrite").parquet(r_path)
