@@ -54,6 +54,12 @@ def upsert_actions(target: DataFrame, batch: DataFrame, key: str, version: str)
 def upsert(target: DataFrame, batch: DataFrame, key: str, version: str,
            keep_on_update: Sequence[str] = ("raw_json",), dedup: bool = True) -> DataFrame:
     """New target after MERGE (column layout of ``target``)."""
+    return upsert_tagged(target, batch, key, version, keep_on_update, dedup).drop("_action")
+
+
+def upsert_tagged(target: DataFrame, batch: DataFrame, key: str, version: str,
+                  keep_on_update: Sequence[str] = ("raw_json",), dedup: bool = True) -> DataFrame:
+    """``upsert`` plus the ``_action`` (insert / update / keep) that produced each row."""
     if dedup:
         batch = dedup_batch(batch, key, version)
     a = upsert_actions(target, batch, key, version)
@@ -65,7 +71,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, version: str,
             cols.append(F.when(act == "insert", s).otherwise(t).alias(c))
         else:
             cols.append(F.when(act.isin("insert", "update"), s).otherwise(t).alias(c))
-    return a.select(*cols)
+    return a.select(*cols, act)
 
 
 def upsert_counts(target: DataFrame, batch: DataFrame, key: str, version: str, dedup: bool = True) -> DataFrame:
@@ -99,31 +105,42 @@ def merge_into_days(spark: SparkSession, path: str, batch: DataFrame, spec: Sour
                     date_col: str = "event_date") -> DataFrame:
     """MERGE ``batch`` into the day-partitioned raw table at ``path``; returns the counts row.
 
-    1. dedup the batch; 2. days touched = days of target rows whose key is in
-    the batch, plus the days of the batch rows (an update can move an event to
-    another day); 3. rebuild just those days and overwrite them dynamically.
-    The day list is one row per calendar day, a size bounded by the table's
-    partition count, and dynamic partition pruning limits the target scan to
-    those days.  The rebuilt days are checkpointed before the overwrite,
-    because a job must not overwrite the files it is reading.
+    1. dedup the batch (one row per key);
+    2. touched days = the days of target rows whose key is in the batch (a
+       semi join against the table's key and day columns only) plus the batch
+       rows' own days (an update can move an event to another day);
+    3. rebuild only those days (static partition pruning) and overwrite them
+       dynamically.  Insert / update counts come from the same merge.
+
+    The day list is one entry per calendar day, so it is small and bounded.
+    The rebuilt days are checkpointed before the overwrite, because a job must
+    not overwrite the files it is reading.
     """
-    batch = dedup_batch(batch, spec.key, spec.version)
-    batch = batch.withColumn(date_col, F.to_date(spec.time_col))
+    key = spec.key
+    batch = checkpointed(dedup_batch(batch, key, spec.version).withColumn(date_col, F.to_date(spec.time_col)))
     target = spark.read.parquet(path)
-    counts = checkpointed(upsert_counts(target, batch.drop(date_col), spec.key, spec.version, dedup=False))
-    hit = target.join(batch.select(spec.key), spec.key, "left_semi").select(date_col)
-    days = hit.unionByName(batch.select(date_col)).distinct()
-    affected = target.join(F.broadcast(days), date_col, "left_semi")
+    hit = target.select(key, date_col).join(batch.select(key), key, "left_semi").select(date_col)
+    days = [r[0] for r in hit.unionByName(batch.select(date_col)).distinct().collect()]  # calendar days
+
     cols = [c for c in target.columns if c != date_col]
-    merged = upsert(affected.select(*cols), batch.select(*cols), spec.key, spec.version, spec.keep_on_update,
-                    dedup=False)
+    affected = target.where(F.col(date_col).isin(days)).select(*cols)
+    merged = upsert_tagged(affected, batch.select(*cols), key, spec.version, spec.keep_on_update, dedup=False)
     merged = checkpointed(merged.withColumn(date_col, F.to_date(spec.time_col)))
+    act = F.col("_action")
+    counts = merged.agg(
+        F.sum(F.when(act == "insert", 1).otherwise(0)).cast("bigint").alias("rows_inserted"),
+        F.sum(F.when(act == "update", 1).otherwise(0)).cast("bigint").alias("rows_updated"),
+    ).select(
+        F.coalesce("rows_inserted", F.lit(0).cast("bigint")).alias("rows_inserted"),
+        F.coalesce("rows_updated", F.lit(0).cast("bigint")).alias("rows_updated"),
+        F.lit(0).cast("bigint").alias("rows_deleted"),
+    ).withColumn("rows_affected", F.col("rows_inserted") + F.col("rows_updated"))
+
     # Dynamic overwrite replaces only days present in the output; a touched
     # day whose every row moved to another day must be dropped explicitly.
-    # The list is one entry per calendar day (bounded), so it may come back.
-    emptied = [r[0] for r in days.join(merged.select(date_col).distinct(), date_col, "left_anti").collect()]
-    if not merged.isEmpty():
-        write_days(merged, path, date_col, cluster_by=None)
+    kept = {r[0] for r in merged.select(date_col).distinct().collect()}
+    write_days(merged.drop("_action"), path, date_col, cluster_by=None)
+    emptied = [d for d in days if d not in kept]
     if emptied:
         jvm = spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(path)
