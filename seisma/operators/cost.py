@@ -152,7 +152,7 @@ def read_baseline(spark: SparkSession, path: str) -> DataFrame:
     """Baseline document(s) ``{model: {bytes_processed, shadow_cost_usd}}`` as rows; missing -> empty."""
     empty = spark.createDataFrame([], "model string, bytes_processed bigint, shadow_cost_usd double")
     try:
-        docs = spark.read.option("wholetext", "true").text(path)
+        docs = spark.read.text(path, wholetext=True)
     except Exception:  # no such path: first run, every model is new
         return empty
     m = F.from_json("value", MapType(StringType(), BASELINE_ENTRY))

@@ -37,8 +37,8 @@ _EVENT_TYPES = dict(EVENT_COLUMNS)
 def read_docs(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON document file: ``doc`` (text) and ``path``."""
     return (
-        spark.read.option("wholetext", "true").text(path)
-        .select(F.col("value").alias("doc"), F.input_file_name().alias("path"))
+        spark.read.text(path, wholetext=True)
+        .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path"))
     )
 
 
@@ -119,7 +119,7 @@ def parse_emsc(docs: DataFrame) -> DataFrame:
     return ev.where(F.col("event_time").isNotNull())
 
 
-def kandilli_envelope_ok(docs: DataFrame) -> DataFrame:
+def kandilli_rejected(docs: DataFrame) -> DataFrame:
     """Documents whose envelope is not ``status == true`` (the parser rejects them)."""
     d = docs.select("*", F.from_json("doc", KANDILLI_DOC).alias("_d"))
     return d.where(~F.coalesce(F.col("_d.status"), F.lit(False))).drop("_d")
@@ -132,7 +132,7 @@ def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool
     unless NULL, else the third coordinate (0.0 kept).  Items whose
     ``date_time`` does not parse are dropped.  With ``strict`` an envelope
     whose status is not true fails the job (``raise_error``), as in the feed
-    client; otherwise such documents are skipped (see ``kandilli_envelope_ok``).
+    client; otherwise such documents are skipped (see ``kandilli_rejected``).
     """
     d = F.from_json("doc", KANDILLI_ENVELOPE)
     ok = F.coalesce(d.getField("status"), F.lit(False))

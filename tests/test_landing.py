@@ -1,6 +1,7 @@
 """Landing zone: archive layout, NDJSON staging (FAILFAST, empty batch), baseline document."""
 
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -51,6 +52,24 @@ def test_baseline_document_roundtrip_and_missing(spark):
                                                                         "shadow_cost_usd double")
     C.write_baseline(b, path)
     assert sorted(map(tuple, C.read_baseline(spark, path).collect())) == [("m1", 100, 1e-9), ("m2", 200, 2e-9)]
+    pretty = table_path(spark, "baseline-pretty")  # the reference writes the map indented
+    os.makedirs(pretty.replace("file:", ""))
+    with open(pretty.replace("file:", "") + "/cost_baseline.json", "w") as f:
+        json.dump({"m1": {"bytes_processed": 7, "shadow_cost_usd": 0.5}}, f, indent=2)
+    assert [tuple(r) for r in C.read_baseline(spark, pretty).collect()] == [("m1", 7, 0.5)]
+
+
+def test_read_docs_whole_files(spark):
+    d = table_path(spark, "docs-test").replace("file:", "")
+    os.makedirs(d)
+    with open(d + "/a.json", "w") as f:
+        json.dump({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "id": "x", "geometry": {"coordinates": [1, 2, 3]},
+             "properties": {"time": 1719503100000}}]}, f, indent=2)
+    from seisma.sources.feeds import parse_usgs, read_docs
+    docs = read_docs(spark, d)
+    assert docs.count() == 1 and docs.first().path.endswith("a.json")
+    assert [(r.event_id, r.lat) for r in parse_usgs(docs).collect()] == [("x", 2.0)]
 
 
 def test_cost_regression_statuses(spark):
