@@ -16,16 +16,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from seisma.functions import geo, times
+from seisma.functions.hashing import content_hash, staging_name
+from seisma.operators import contracts as K
+from seisma.operators import cost as C
+from seisma.operators import marts as M
 from seisma.operators import matching
+from seisma.operators import sinks
+from seisma.operators import upsert as U
 from seisma.operators.dedup import dedup_latest
 from seisma.operators.staging import stg_project
 from seisma.operators.unify import unify_events
 from seisma.plans import models
 from seisma.plans import oracle as O
+from seisma.plans.ingest import ingest_batch
+from seisma.session import checkpointed
+from seisma.sources import documents as D
+from seisma.sources import feeds as FD
+from seisma.sources import landing as L
 from seisma.sources import testdata
 from seisma.sources.schemas import SPECS
 from seisma.sources.testdata import AS_OF
-from seisma.session import checkpointed
+from seisma.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -178,10 +190,6 @@ def q_unify_recent(spark, sf):
 
 # --- 2.G / 2.H marts ------------------------------------------------------------------------
 
-from seisma.operators import contracts as K  # noqa: E402
-from seisma.operators import cost as C  # noqa: E402
-from seisma.operators import marts as M  # noqa: E402
-from seisma.operators import sinks  # noqa: E402
 
 _LATE = dt.timedelta(hours=5, minutes=30)
 
@@ -541,12 +549,6 @@ def q_baseline_update(spark, sf):
 
 # --- 2.B upsert -------------------------------------------------------------------------------
 
-from seisma.operators import upsert as U  # noqa: E402
-from seisma.sources import documents as D  # noqa: E402
-from seisma.sources import feeds as FD  # noqa: E402
-from seisma.sources import landing as L  # noqa: E402
-from seisma.functions.hashing import content_hash, staging_name  # noqa: E402
-
 
 def _merge_out(df, spec):
     return naive_ts(df.select(
@@ -711,7 +713,6 @@ def q_parse_kandilli(spark, sf):
 
 # --- 2.J streaming ------------------------------------------------------------------------------
 
-from seisma.streaming import jobs as J  # noqa: E402
 
 _STREAM_DELAY = "31 days"  # test landings have no arrival-order guarantee; covers the whole data span
 
@@ -774,8 +775,6 @@ def q_stream_match(spark, sf):
 
 # --- remaining inventory items ------------------------------------------------------------------
 
-from seisma.functions import geo, times  # noqa: E402
-
 
 @register("write_ndjson", f"""{O.FEEDS}
 SELECT event_id, mag FROM quake_raw WHERE source = 'emsc'""")
@@ -916,9 +915,6 @@ register("union_source_stats", ORACLE["source_24h_stats"])(q_source_24h)
 register("having_positive", ORACLE["magnitude_range"])(q_magnitude_range)
 
 
-from seisma.plans.ingest import ingest_batch  # noqa: E402
-
-
 @register("ingest_batch", O.ingest_counts_sql("usgs"))
 def q_ingest_batch(spark, sf):
     """The ingest endpoint as a function: documents in, (status, counts) out."""
