@@ -35,23 +35,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    return spread(df) if is_single_file(spark, path) else df
+    return spread(df) if scans_as_one_task(spark, path) else df
 
 
-def is_single_file(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` is one file rather than a table directory (one metadata call)."""
+def scans_as_one_task(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is a single file no larger than one scan split (one metadata call).
+
+    Spark splits a larger file at ``spark.sql.files.maxPartitionBytes`` (by
+    row groups) and a table directory by its files, so those already scan in
+    parallel and are never spread.
+    """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return st.isFile() and st.getLen() <= split_bytes
+
+
+def _bytes(text: str) -> int:
+    """Spark byte-size text (``134217728b``, ``128m``, ``1g``) in bytes."""
+    import re
+
+    m = re.fullmatch(r"\s*([0-9]+)\s*([kmgtp]?)b?\s*", text.lower())
+    if not m:
+        return 128 * 1024 * 1024
+    return int(m.group(1)) * 1024 ** " kmgtp".index(m.group(2) or " ")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a table stored as a single file over the cluster's cores.
+    """Round-robin a table that scans as one task over the cluster's cores.
 
-    A one-file table scans as one task (Parquet splits only at row groups), so
-    every narrow operator after it would run on a single core.  Table
-    directories -- every large table -- are read as they are: no extra shuffle
-    where the scan is already parallel.
+    Without it every narrow operator after the scan would run on a single
+    core.  Only small single-file tables qualify (``scans_as_one_task``), so
+    the extra shuffle is never over a large input.
     """
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
