@@ -48,10 +48,11 @@ class MatchConfig:
     rank_digits: int = 9
     # Skew.  By default hot (bucket, cell) blocks are split at runtime by AQE's
     # skew-join handling, which splits *both* sides of a skewed partition and
-    # needs no extra pass.  ``salt > 1`` adds deterministic salting for
-    # left-heavy blocks (for clusters running without AQE): blocks with at
-    # least ``hot_rows`` left rows (the largest ``hot_blocks`` of them) are
-    # split into ``salt`` sub-blocks.  It costs one pre-aggregated count pass.
+    # needs no extra pass.  ``salt > 1`` adds deterministic salting (for
+    # clusters running without AQE, or to bound the work per task): blocks
+    # with at least ``hot_rows`` left rows (the largest ``hot_blocks`` of
+    # them) are split into a ``salt`` x ``salt`` grid.  It costs one
+    # pre-aggregated count pass over the left side.
     hot_rows: int = 50_000
     hot_blocks: int = 1024
     salt: int = 1
@@ -124,25 +125,35 @@ def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAU
     keys = ["_tb", "_lc"]
     if cfg.salt > 1:
         # A swarm can put a large share of all events into one (bucket, cell)
-        # block.  The block sizes are a map-side pre-aggregated count; the
-        # largest blocks above ``hot_rows`` -- at most ``hot_blocks`` rows, a
-        # proven bound, so the list is broadcast -- are split: each left row
-        # takes one of ``salt`` sub-blocks by id hash, right rows of a hot
-        # block are copied to all of them.  Every pair still meets once.
+        # block, on both sides.  Block sizes come from a map-side
+        # pre-aggregated count; the largest blocks at or above ``hot_rows``
+        # (at most ``hot_blocks`` rows, a proven bound, so the list is
+        # broadcast) are split into an S x S grid: a left row takes row
+        # ``hash(id) % S`` and is copied to every column, a right row takes
+        # column ``hash(id) % S`` and is copied to every row.  Each pair meets
+        # in exactly one cell; a hot block becomes S*S tasks at S-fold copying.
+        S = cfg.salt
         hot = (
             L.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") >= cfg.hot_rows)
             .orderBy(F.col("_n").desc()).limit(cfg.hot_blocks)
             .select(*keys, F.lit(True).alias("_hot"))
         )
-        L = L.join(F.broadcast(hot), keys, "left").withColumn(
-            "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(f"{l}_id"), F.lit(cfg.salt))).otherwise(F.lit(0))
-        ).drop("_hot")
-        R = R.join(F.broadcast(hot), keys, "left").withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(cfg.salt - 1))).otherwise(F.array(F.lit(0)))),
-        ).drop("_hot")
-        keys = keys + ["_salt"]
+        every = F.sequence(F.lit(0), F.lit(S - 1))
+        own = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(S))
+        L = (
+            L.join(F.broadcast(hot), keys, "left")
+            .withColumn("_sl", F.when(F.col("_hot"), own(f"{l}_id")).otherwise(F.lit(0)))
+            .withColumn("_sr", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
+            .drop("_hot")
+        )
+        R = (
+            R.join(F.broadcast(hot), keys, "left")
+            .withColumn("_sr", F.when(F.col("_hot"), own(f"{r}_id")).otherwise(F.lit(0)))
+            .withColumn("_sl", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
+            .drop("_hot")
+        )
+        keys = keys + ["_sl", "_sr"]
 
     pairs = L.join(R, keys, "inner").drop(*keys)
     return (
