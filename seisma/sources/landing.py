@@ -75,9 +75,16 @@ def write_ndjson(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
-def load_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read NDJSON with an explicit schema; any malformed record fails the read."""
-    return (
+def load_ndjson(spark: SparkSession, path: str, schema: StructType, observation=None) -> DataFrame:
+    """Read NDJSON with an explicit schema; any malformed record fails the read.
+
+    Pass a ``pyspark.sql.Observation`` to get the loaded row count
+    (``observation.get["rows"]``) from the same pass that consumes the data.
+    """
+    df = (
         spark.read.schema(schema).option("mode", "FAILFAST")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     )
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    return df

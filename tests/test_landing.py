@@ -35,6 +35,12 @@ def test_ndjson_roundtrip_failfast_and_empty(spark):
         "mag double",
     )
     L.write_ndjson(rows, path)
+    from pyspark.sql import Observation
+
+    obs = Observation("load")
+    loaded = L.load_ndjson(spark, path, EMSC.raw_schema, observation=obs)
+    loaded.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 1
     back = L.load_ndjson(spark, path, EMSC.raw_schema).first()
     assert back.event_time == dt.datetime(2024, 1, 1, 0, 0, 0, 123456) and back.mag == 4.2
     with pytest.raises(ValueError):
