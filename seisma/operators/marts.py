@@ -30,14 +30,19 @@ def source_rows(stg_tables: Mapping[str, DataFrame], since: dt.date | None = Non
     """UNION ALL of ``(event_date, source, magnitude, event_id)`` over the feeds."""
     out = None
     for name, df in stg_tables.items():
+        partitioned = "event_date" in df.columns  # day-partitioned table: prune by directory
+        if since is not None:
+            # to_date(event_time) >= since  <=>  event_time >= since 00:00 UTC,
+            # written on the raw column so it reaches the Parquet reader.
+            df = df.where(F.col("event_time") >= F.lit(dt.datetime.combine(since, dt.time())).cast("timestamp"))
+            if partitioned:
+                df = df.where(F.col("event_date") >= F.lit(since))
         part = df.select(
-            F.to_date("event_time").alias("event_date"),
+            (F.col("event_date") if partitioned else F.to_date("event_time")).alias("event_date"),
             F.lit(name).alias("source"),
             F.col("mag").alias("magnitude"),
             F.col("earthquake_id").alias("event_id"),
         )
-        if since is not None:
-            part = part.where(F.col("event_date") >= F.lit(since))
         out = part if out is None else out.unionByName(part)
     return out
 

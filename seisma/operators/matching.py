@@ -83,8 +83,16 @@ def match_columns(cfg: MatchConfig = DEFAULT) -> list[str]:
 
 
 def recent(df: DataFrame, ts: str, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
-    """``ts >= as_of - lookback`` (no upper bound: future rows pass)."""
-    return df.where(F.col(ts) >= F.lit(as_of - lookback).cast("timestamp"))
+    """``ts >= as_of - lookback`` (no upper bound: future rows pass).
+
+    On a day-partitioned table (an ``event_date`` column) the same cut is also
+    applied to the partition column, so whole day directories are skipped.
+    """
+    since = as_of - lookback
+    df = df.where(F.col(ts) >= F.lit(since).cast("timestamp"))
+    if "event_date" in df.columns:
+        df = df.where(F.col("event_date") >= F.lit(since.date()))
+    return df
 
 
 def _side(df: DataFrame, prefix: str) -> DataFrame:
@@ -231,11 +239,11 @@ def reconcile(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
     """
     l, r = cfg.left, cfg.right
     lid, rid = f"{l}_id", f"{r}_id"
-    left = left.select(*EVENT_COLS)
-    right = right.select(*EVENT_COLS)
     if as_of is not None:
         left = recent(left, "event_time", as_of, cfg.lookback)
         right = recent(right, "event_time", as_of, cfg.lookback)
+    left = left.select(*EVENT_COLS)
+    right = right.select(*EVENT_COLS)
     sides = left.select(F.lit("L").alias("_side"), *EVENT_COLS).unionByName(
         right.select(F.lit("R").alias("_side"), *EVENT_COLS))
     if materialize:

@@ -68,7 +68,7 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
         p = f"{root}/stg_{name}"
         write_days(stg(df, SPECS[name]).withColumn("event_date", F.to_date("event_time")), p, "event_date",
                    cluster_by=None, overwrite_all=True)
-        stg_tables[name] = spark.read.parquet(p).drop("event_date")
+        stg_tables[name] = spark.read.parquet(p)  # keeps event_date: later filters prune days
         paths[f"stg_{name}"] = p
 
     m_path = f"{root}/int_matches"
