@@ -138,7 +138,8 @@ def count_with_top(df: DataFrame, order_by: Sequence[Column], n: int, fields: Se
         count_name, F.lit(0).alias("pos"), *[F.lit(None).cast(df.schema[f].dataType).alias(f) for f in fields])
     both = top.unionByName(cnt)
     total = F.max(count_name).over(Window.partitionBy(F.lit(1)))
-    return both.withColumn(count_name, total).where((F.col("pos") > 0) & (F.col(count_name) > 0))
+    return both.withColumn(count_name, total).where((F.col("pos") > 0) & (F.col(count_name) > 0)).withColumn(
+        "pos", F.col("pos").cast("bigint"))
 
 
 def top_n_structs(df: DataFrame, fields: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:

@@ -398,7 +398,8 @@ def q_top5(spark, sf):
     agg = M.top_n_structs(rows, ["unified_id", "usgs_mag", "kandilli_mag", "mag_disagreement"],
                           [F.col("mag_disagreement").desc(), F.col("unified_id").asc()], 5)
     return agg.select(F.posexplode("top").alias("p", "t")).select(
-        (F.col("p") + 1).alias("pos"), "t.unified_id", "t.usgs_mag", "t.kandilli_mag", "t.mag_disagreement")
+        (F.col("p") + 1).cast("bigint").alias("pos"), "t.unified_id", "t.usgs_mag", "t.kandilli_mag",
+        "t.mag_disagreement")
 
 
 @register("expect_unique", f"""{O.FEEDS}
