@@ -95,23 +95,25 @@ def q_dedup_lineitem(spark, sf):
                                              F.col("l_partkey").asc(), F.col("l_suppkey").asc()])
 
 
-def _stg_project_sql(src: str) -> str:
+_SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "timestamp": "TIMESTAMP"}
+
+
+def _raw_column_sql(src: str) -> dict[str, str]:
+    """DuckDB expression of each raw column of a feed over ``quake_raw`` (typed NULL when absent)."""
     spec = SPECS[src]
-    raw_expr = {
+    known = {
         "ingestion_id": "'ing-' || CAST(version AS VARCHAR)", "ingestion_time": "ingestion_time",
         spec.key: "event_id", spec.time_col: "event_time", spec.version: "updated", "mag": "mag",
         "place": "place", "title": "place", "lon": "lon", "lat": "lat", "depth_km": "depth_km",
         "raw_json": "event_id || '#' || CAST(version AS VARCHAR)",
     }
-    types = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "timestamp": "TIMESTAMP"}
-    cols = []
-    for out, rawc in spec.stg_columns():
-        if out == "source":
-            cols.append(f"'{src}' AS source")
-        elif rawc in raw_expr:
-            cols.append(f"{raw_expr[rawc]} AS {out}")
-        else:
-            cols.append(f"CAST(NULL AS {types[spec.raw_types[rawc]]}) AS {out}")
+    return {c: known.get(c, f"CAST(NULL AS {_SQL_TYPES[t]})") for c, t in spec.raw_columns}
+
+
+def _stg_project_sql(src: str) -> str:
+    raw = _raw_column_sql(src)
+    cols = [f"'{src}' AS source" if out == "source" else f"{raw[rawc]} AS {out}"
+            for out, rawc in SPECS[src].stg_columns()]
     return f"WITH {O.QUAKE_BASE},{O.QUAKE_RAW}\nSELECT {', '.join(cols)} FROM quake_raw WHERE source = '{src}'"
 
 
@@ -651,15 +653,7 @@ def q_ingest_stamp(spark, sf):
 
 
 def _to_raw_sql(src: str) -> str:
-    spec = SPECS[src]
-    expr = {
-        "ingestion_id": "'ing-' || CAST(version AS VARCHAR)", "ingestion_time": "ingestion_time",
-        spec.key: "event_id", spec.time_col: "event_time", spec.version: "updated", "mag": "mag", "place": "place",
-        "title": "place", "lon": "lon", "lat": "lat", "depth_km": "depth_km",
-        "raw_json": "event_id || '#' || CAST(version AS VARCHAR)",
-    }
-    types = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "timestamp": "TIMESTAMP"}
-    cols = [f"{expr[c]} AS {c}" if c in expr else f"CAST(NULL AS {types[t]}) AS {c}" for c, t in spec.raw_columns]
+    cols = [f"{e} AS {c}" for c, e in _raw_column_sql(src).items()]
     return f"{O.FEEDS}\nSELECT {', '.join(cols)} FROM quake_raw WHERE source = '{src}'"
 
 
