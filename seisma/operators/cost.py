@@ -165,3 +165,28 @@ def write_baseline(baseline: DataFrame, path: str) -> None:
     doc = baseline.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
         "model", F.struct("bytes_processed", "shadow_cost_usd"))))).alias("value"))
     doc.coalesce(1).write.mode("overwrite").text(path)
+
+
+def run_cost_gate(spark: SparkSession, current: DataFrame, baseline_path: str,
+                  threshold_pct: float = REGRESSION_THRESHOLD_PCT, check_only: bool = False) -> DataFrame:
+    """The cost-regression gate over a stored baseline; returns the one-row verdict.
+
+    * the baseline document is read (missing -> empty: every model is new);
+    * with ``check_only`` an empty baseline fails the gate (nothing to compare);
+    * otherwise, and only when the gate passes, the measured models are merged
+      into the baseline and it is written back (a failing run keeps the old one).
+    The verdict is a small aggregate; the pass flag is read back as a scalar.
+    """
+    baseline = read_baseline(spark, baseline_path)
+    empty = baseline.isEmpty()
+    verdict = regression_passed(cost_regression(current, baseline, threshold_pct))
+    # A one-row verdict, taken before any write (the baseline file may be replaced below).
+    row = verdict.first()
+    passed = bool(row.passed) and not (check_only and empty)
+    if passed and not check_only:
+        # The new document is built from the old one: cut the lineage
+        # (reliable checkpoint) before overwriting the file it was read from.
+        from seisma.session import checkpointed
+
+        write_baseline(checkpointed(baseline_update(baseline, current)), baseline_path)
+    return spark.createDataFrame([(passed, row.models_checked, row.models_failed)], verdict.schema)

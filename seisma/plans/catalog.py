@@ -983,3 +983,13 @@ def q_stream_ingest_docs(spark, sf):
     out = spark.read.parquet(target)
     return naive_ts(out.select(F.col(spec.key).alias("k"), F.col(spec.time_col).alias("t"),
                                F.col(spec.version).alias("v"), "mag", "lon", "lat"))
+
+
+@register("cost_gate_run", ORACLE["cost_gate"])
+def q_cost_gate_run(spark, sf):
+    """The gate over a stored baseline document (some models grew > 20 %: fails, baseline kept)."""
+    part = testdata.table(spark, sf, "part")
+    path = sinks.table_path(spark, "cost_baseline")
+    C.write_baseline(testdata.cost_baseline(part).withColumn(
+        "shadow_cost_usd", C.shadow_cost(F.col("bytes_processed"))), path)
+    return C.run_cost_gate(spark, testdata.cost_current(part), path)

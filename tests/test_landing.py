@@ -85,3 +85,17 @@ def test_cost_regression_statuses(spark):
     assert rep == {"a": "fail", "b": "pass", "c": "new", "d": "unknown"}  # 20 % is not a regression
     gate = C.regression_passed(C.cost_regression(cur, base)).first()
     assert (gate.passed, gate.models_checked, gate.models_failed) == (False, 4, 2)
+
+
+def test_cost_gate_run_saves_baseline_only_on_pass(spark):
+    cur = spark.createDataFrame([("a", 110), ("b", 50)], "model string, bytes_processed bigint")
+    path = table_path(spark, "gate")
+    assert C.run_cost_gate(spark, cur, path, check_only=True).first().passed is False  # empty baseline
+    assert C.run_cost_gate(spark, cur, path).first().passed is True  # first run: all new, saved
+    assert sorted(r.model for r in C.read_baseline(spark, path).collect()) == ["a", "b"]
+    grown = spark.createDataFrame([("a", 200)], "model string, bytes_processed bigint")
+    assert C.run_cost_gate(spark, grown, path).first().passed is False
+    assert {r.model: r.bytes_processed for r in C.read_baseline(spark, path).collect()} == {"a": 110, "b": 50}
+    ok = spark.createDataFrame([("a", 120)], "model string, bytes_processed bigint")
+    assert C.run_cost_gate(spark, ok, path).first().passed is True
+    assert {r.model: r.bytes_processed for r in C.read_baseline(spark, path).collect()} == {"a": 120, "b": 50}
