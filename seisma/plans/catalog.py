@@ -993,3 +993,14 @@ def q_cost_gate_run(spark, sf):
     C.write_baseline(testdata.cost_baseline(part).withColumn(
         "shadow_cost_usd", C.shadow_cost(F.col("bytes_processed"))), path)
     return C.run_cost_gate(spark, testdata.cost_current(part), path)
+
+
+@register("quarantine_rows", f"""{O.FEEDS}
+SELECT event_id, 'unparseable date_time' AS reject_reason FROM quake_raw
+WHERE source = 'kandilli' AND n % 53 = 0""")
+def q_quarantine(spark, sf):
+    """Items whose time text does not parse go to a quarantine frame, not silently away."""
+    q = testdata.quake_raw(testdata.table(spark, sf, "events"))
+    docs = D.kandilli_documents(q, corrupt_every=53)
+    _, rejected = FD.split_rejects(FD.parse_kandilli(docs, keep_rejects=True))
+    return rejected.select("event_id", "reject_reason")

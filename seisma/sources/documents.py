@@ -60,13 +60,21 @@ def emsc_documents(q: DataFrame, block: int = BLOCK) -> DataFrame:
                                                          items.alias("features")), block)
 
 
-def kandilli_documents(q: DataFrame, block: int = BLOCK, zone: str = "Europe/Istanbul") -> DataFrame:
-    """``{status, result[]}`` envelopes (``results`` on odd documents), local wall-clock times."""
+def kandilli_documents(q: DataFrame, block: int = BLOCK, zone: str = "Europe/Istanbul",
+                       corrupt_every: int | None = None) -> DataFrame:
+    """``{status, result[]}`` envelopes (``results`` on odd documents), local wall-clock times.
+
+    With ``corrupt_every = k`` the items with ``n % k = 0`` carry a time text
+    that does not parse (for quarantine tests).
+    """
     q = q.where(F.col("source") == "kandilli")
     local = F.from_utc_timestamp(F.col("event_time"), zone)
+    text = F.date_format(local, "yyyy.MM.dd HH:mm:ss")
+    if corrupt_every:
+        text = F.when(F.col("n") % corrupt_every == 0, F.concat(F.lit("??"), text)).otherwise(text)
     item = F.struct(
         F.col("event_id").alias("earthquake_id"),
-        F.date_format(local, "yyyy.MM.dd HH:mm:ss").alias("date_time"),
+        text.alias("date_time"),
         F.concat(F.date_format(F.from_utc_timestamp(F.col("updated"), zone), "yyyy-MM-dd'T'HH:mm:ss"),
                  F.lit("+03:00")).alias("created_at"),
         F.col("mag").alias("mag"),

@@ -97,8 +97,12 @@ def parse_usgs(docs: DataFrame) -> DataFrame:
     })
 
 
-def parse_emsc(docs: DataFrame) -> DataFrame:
-    """Properties-only features -> events; rows whose time does not parse are dropped."""
+def parse_emsc(docs: DataFrame, keep_rejects: bool = False) -> DataFrame:
+    """Properties-only features -> events; rows whose time does not parse are dropped.
+
+    With ``keep_rejects`` they are kept with a ``reject_reason`` instead (see
+    ``split_rejects``), so a run can quarantine them rather than lose them.
+    """
     f = _items(docs, "features", EMSC_FEATURE)
     p = F.col("properties")
     blank = lambda c: F.nullif(c, F.lit(""))
@@ -116,7 +120,19 @@ def parse_emsc(docs: DataFrame) -> DataFrame:
         "depth_km": p.getField("depth"),
         "raw_json": F.col("_raw"),
     })
-    return ev.where(F.col("event_time").isNotNull())
+    return _rejects(ev, "unparseable time", keep_rejects)
+
+
+def _rejects(ev: DataFrame, reason: str, keep: bool) -> DataFrame:
+    if not keep:
+        return ev.where(F.col("event_time").isNotNull())
+    return ev.withColumn("reject_reason", F.when(F.col("event_time").isNull(), F.lit(reason)))
+
+
+def split_rejects(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted events, quarantined rows) of a parse run with ``keep_rejects``."""
+    bad = F.col("reject_reason").isNotNull()
+    return ev.where(~bad).drop("reject_reason"), ev.where(bad)
 
 
 def kandilli_rejected(docs: DataFrame) -> DataFrame:
@@ -125,7 +141,8 @@ def kandilli_rejected(docs: DataFrame) -> DataFrame:
     return d.where(~F.coalesce(F.col("_d.status"), F.lit(False))).drop("_d")
 
 
-def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool = True) -> DataFrame:
+def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool = True,
+                   keep_rejects: bool = False) -> DataFrame:
     """Envelope ``{status, result[]}`` -> events.
 
     Items = first non-empty of ``result``/``results``.  Depth = item ``depth``
@@ -169,7 +186,7 @@ def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool
         "location_properties": F.col("location_properties"),
         "raw_json": F.col("_raw"),
     })
-    return ev.where(F.col("event_time").isNotNull())
+    return _rejects(ev, "unparseable date_time", keep_rejects)
 
 
 PARSERS = {"usgs": parse_usgs, "emsc": parse_emsc, "kandilli": parse_kandilli}
