@@ -1004,3 +1004,20 @@ def q_quarantine(spark, sf):
     docs = D.kandilli_documents(q, corrupt_every=53)
     _, rejected = FD.split_rejects(FD.parse_kandilli(docs, keep_rejects=True))
     return rejected.select("event_id", "reject_reason")
+
+
+@register("stream_mutual_best", ORACLE["mutual_best"])
+def q_stream_mutual_best(spark, sf):
+    """Mutual-best recomputed inside foreachBatch as candidate pairs stream in."""
+    s = _stg(spark, sf)
+    paths = {}
+    for side in ("usgs", "kandilli"):
+        p = sinks.table_path(spark, f"landing_{side}")
+        s[side].select(*matching.EVENT_COLS).repartition(3).write.parquet(p)
+        paths[side] = p
+    schema = s["usgs"].select(*matching.EVENT_COLS).schema
+    left = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["usgs"])
+    right = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["kandilli"])
+    cands, out = sinks.table_path(spark, "candidates"), sinks.table_path(spark, "matches")
+    J.run_to_end(J.stream_matches(spark, J.stream_candidates(left, right, delay=_STREAM_DELAY), cands, out))
+    return naive_ts(spark.read.parquet(out).withColumn("distance_km", F.round("distance_km", 6)))

@@ -190,3 +190,35 @@ def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: s
     w = src.writeStream.foreachBatch(apply).option(
         "checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-docs-{source}"))
     return _trigger(w, trigger).start()
+
+
+def stream_matches(spark: SparkSession, cands: DataFrame, cands_path: str, matches_path: str,
+                   cfg: MatchConfig = DEFAULT, lookback: dt.timedelta | None = None,
+                   checkpoint: str | None = None, trigger: str | None = "availableNow") -> StreamingQuery:
+    """Keep a mutual-best matches table current while candidate pairs stream in.
+
+    Each micro-batch appends its candidate pairs to ``cands_path`` and then
+    recomputes the mutual nearest pairs over the stored candidates -- only
+    those whose left event lies within ``lookback`` of the newest one when
+    given -- into ``matches_path`` (a different table, so nothing is
+    overwritten while it is read).  A replayed micro-batch appends candidates
+    that are already there; the pair set is the same, so the matches are too.
+    """
+    from seisma.operators.matching import mutual_best
+
+    lt = f"{cfg.left}_time"
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        s = batch.sparkSession
+        batch.write.mode("append").parquet(cands_path)
+        stored = s.read.parquet(cands_path).dropDuplicates([f"{cfg.left}_id", f"{cfg.right}_id"])
+        if lookback is not None:
+            newest = stored.agg(F.max(lt)).first()[0]
+            stored = stored.where(F.col(lt) >= F.lit(newest - lookback))
+        mutual_best(stored, cfg).write.mode("overwrite").parquet(matches_path)
+
+    w = cands.writeStream.foreachBatch(apply).option(
+        "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-matches"))
+    return _trigger(w, trigger).start()

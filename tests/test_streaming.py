@@ -15,6 +15,7 @@ def rows(df):
     ("stream_ingest", "merge_usgs"),
     ("stream_candidates", "match_candidates"),
     ("stream_match", "mutual_best"),
+    ("stream_mutual_best", "mutual_best"),
     ("merge_days_usgs", "merge_usgs"),
 ])
 def test_stream_equals_batch(spark, stream, batch):
