@@ -109,38 +109,41 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """All (left, right) pairs within the time, distance and magnitude thresholds."""
-    l, r = cfg.left, cfg.right
+def usable(df: DataFrame, p: str) -> DataFrame:
+    """Matcher columns of one side, prefixed; rows without time or coordinates cannot match."""
+    return _side(df, p).where(
+        F.col(f"{p}_time").isNotNull() & F.col(f"{p}_lat").isNotNull() & F.col(f"{p}_lon").isNotNull())
+
+
+def home(df: DataFrame, p: str, cfg: MatchConfig = DEFAULT, tb: str = "_tb", lc: str = "_lc") -> DataFrame:
+    """One blocking key per event: its own (time bucket, latitude cell)."""
     W = cfg.time_bucket_seconds * 1_000_000
-    C = cfg.lat_cell_deg
-    reach, lat_reach = cfg.reach_micros, cfg.lat_reach_deg
+    return df.withColumn(tb, F.floor(F.unix_micros(f"{p}_time") / W)).withColumn(
+        lc, F.floor(F.col(f"{p}_lat") / cfg.lat_cell_deg))
 
-    def usable(df: DataFrame, p: str) -> DataFrame:
-        return _side(df, p).where(
-            F.col(f"{p}_time").isNotNull() & F.col(f"{p}_lat").isNotNull() & F.col(f"{p}_lon").isNotNull())
 
-    def home(df: DataFrame, p: str) -> DataFrame:
-        """One key per event: its own (bucket, cell)."""
-        return df.withColumn("_tb", F.floor(F.unix_micros(f"{p}_time") / W)).withColumn(
-            "_lc", F.floor(F.col(f"{p}_lat") / C))
+def reach_keys(df: DataFrame, p: str, cfg: MatchConfig = DEFAULT, tb: str = "_tb", lc: str = "_lc") -> DataFrame:
+    """Every (time bucket, latitude cell) a partner within the thresholds can occupy."""
+    W, C = cfg.time_bucket_seconds * 1_000_000, cfg.lat_cell_deg
+    reach, lat_reach = cfg.reach_micros, cfg.lat_reach_deg
+    us = F.unix_micros(f"{p}_time")
+    lat = F.col(f"{p}_lat")
+    return df.withColumn(
+        tb, F.explode(F.sequence(F.floor((us - reach) / W), F.floor((us + reach) / W)))
+    ).withColumn(
+        lc, F.explode(F.sequence(F.floor((lat - lat_reach) / C), F.floor((lat + lat_reach) / C))))
 
-    def reach_keys(df: DataFrame, p: str) -> DataFrame:
-        """Every (bucket, cell) a partner within the thresholds can occupy."""
-        us = F.unix_micros(f"{p}_time")
-        lat = F.col(f"{p}_lat")
-        return df.withColumn(
-            "_tb", F.explode(F.sequence(F.floor((us - reach) / W), F.floor((us + reach) / W)))
-        ).withColumn(
-            "_lc", F.explode(F.sequence(F.floor((lat - lat_reach) / C), F.floor((lat + lat_reach) / C))))
 
+def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+    """All (left, right) pairs within the time, distance and magnitude thresholds."""
+    l, r = cfg.left, cfg.right
     L, R = usable(left, l), usable(right, r)
     # Copy the side that is cheaper to replicate (``cfg.explode``); either way
     # every qualifying pair shares exactly one key.
     if cfg.explode == "left":
-        L, R = reach_keys(L, l), home(R, r)
+        L, R = reach_keys(L, l, cfg), home(R, r, cfg)
     else:
-        L, R = home(L, l), reach_keys(R, r)
+        L, R = home(L, l, cfg), reach_keys(R, r, cfg)
 
     keys = ["_tb", "_lc"]
     if cfg.salt > 1:

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from seisma.functions.geo import haversine_km
 from seisma.functions.times import seconds_between
-from seisma.operators.matching import DEFAULT, MatchConfig, _side
+from seisma.operators.matching import DEFAULT, MatchConfig, home, reach_keys, usable
 from seisma.operators.upsert import merge_into_days, upsert
 from seisma.operators.sinks import write_days
 from seisma.session import checkpointed, ensure_utc, scratch_path
@@ -107,23 +107,8 @@ def stream_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFA
     row can no longer find partners.
     """
     l, r = cfg.left, cfg.right
-    W = cfg.time_bucket_seconds * 1_000_000
-    C = cfg.lat_cell_deg
-    reach, lat_reach = cfg.reach_micros, cfg.lat_reach_deg
-    L = (
-        _side(left, l).withWatermark(f"{l}_time", delay)
-        .where(F.col(f"{l}_time").isNotNull() & F.col(f"{l}_lat").isNotNull() & F.col(f"{l}_lon").isNotNull())
-        .withColumn("_ltb", F.floor(F.unix_micros(f"{l}_time") / W))
-        .withColumn("_llc", F.floor(F.col(f"{l}_lat") / C))
-    )
-    us = F.unix_micros(f"{r}_time")
-    R = (
-        _side(right, r).withWatermark(f"{r}_time", delay)
-        .where(F.col(f"{r}_time").isNotNull() & F.col(f"{r}_lat").isNotNull() & F.col(f"{r}_lon").isNotNull())
-        .withColumn("_rtb", F.explode(F.sequence(F.floor((us - reach) / W), F.floor((us + reach) / W))))
-        .withColumn("_rlc", F.explode(F.sequence(F.floor((F.col(f"{r}_lat") - lat_reach) / C),
-                                                 F.floor((F.col(f"{r}_lat") + lat_reach) / C))))
-    )
+    L = home(usable(left, l).withWatermark(f"{l}_time", delay), l, cfg, "_ltb", "_llc")
+    R = reach_keys(usable(right, r).withWatermark(f"{r}_time", delay), r, cfg, "_rtb", "_rlc")
     span = F.expr(f"INTERVAL {cfg.max_seconds + 1} SECONDS")
     cond = (
         (F.col("_ltb") == F.col("_rtb")) & (F.col("_llc") == F.col("_rlc"))
