@@ -456,6 +456,8 @@ def q_contract_report(spark, sf):
     s = _stg(spark, sf)
     allstg = s["usgs"].unionByName(s["emsc"], allowMissingColumns=True).unionByName(
         s["kandilli"], allowMissingColumns=True)
+    # Three contracts read the same staging union: compute it once.
+    allstg = checkpointed(allstg.select("earthquake_id", "source", "mag"))
     return K.run_contracts([
         K.Contract("unique_stg_key", K.expect_unique(allstg, "earthquake_id")),
         K.Contract("not_null_mag", K.expect_not_null(allstg, "mag")),
