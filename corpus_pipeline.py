@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisma.llm import bpe, decontaminate, toxicity
+from seisma.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
 from seisma.llm.registry import tokenizer_path
 from seisma.llm.tables import table
 from seisma.session import scratch_path
@@ -15,6 +15,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: one line of each group of similar lines stays; n_chars follows the text."""
+    kept = line_dedup.dedup(docs)
+    columns = [F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    return kept.select(columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of documents linked at five words and similarity 0.8 the smallest doc_id stays."""
+    return ngram_join.keep_one(docs, ngram=5, percent=80)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: documents in which a benchmark window occurs go."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
@@ -27,6 +39,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("ngram_join", drop_near_copies),
     ("decontamination", drop_contaminated),
     ("bpe", tokenize),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisma.llm import bpe, decontaminate, pii, sharding, token_files, toxicity
+from seisma.llm import ann, bpe, decontaminate, line_dedup, ngram_join, pii, sharding, token_files, toxicity, warc
 from seisma.llm.tables import table
 from seisma.session import scratch_path
 
@@ -21,6 +21,10 @@ def tokenizer_path() -> str:
     return os.environ.get("SEISMA_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages"))).drop("record")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -39,6 +43,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(20)) == 0, 20)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_path(), END_ID)
@@ -53,13 +61,31 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line counts of every document, the numbers of the lines that went, and the digest of the text that stays."""
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    lines = F.size(F.split("text", "\n", -1)).cast("bigint")
+    dropped = F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("bigint")
+    return kept.select(
+        "doc_id", F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(lines).alias("n_kept"), dropped.alias("n_dropped"),
+        F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
     "op4_sharding": op4_sharding,
+    "op5_ann": op5_ann,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisma.session import checkpoint_dir
+from seisma.session import checkpoint_dir, scratch_path
 
 #: A side of a join is broadcast only when its counted rows fit this many (8 to 40 bytes a row).
 BROADCAST_ROWS = 1_000_000
@@ -41,3 +41,10 @@ def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]])
             yield b.filter(pa.array(keep(b), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder and read again (columnar, so later reads prune)."""
+    folder = scratch_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
