@@ -16,8 +16,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: one line of each group of similar lines stays; n_chars follows the text."""
+    """Operator 10: one line of each group of similar lines stays; n_chars follows the text.
+
+    A document all of whose content stands in earlier documents goes; one that was empty before stays.
+    """
     kept = line_dedup.dedup(docs)
+    kept = kept.where(F.col("dropped_lines").isNull() | F.col("text").rlike(r"\S"))
     columns = [F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return kept.select(columns)
 
