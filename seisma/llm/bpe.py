@@ -65,20 +65,20 @@ class FragmentBpe:
         return list(token)
 
     def _merge(self, s: list[str]) -> list[str]:
-        rank = self.rank.get
-        while len(s) > 1:
-            best = min((r for r in map(rank, zip(s, s[1:])) if r is not None), default=None)
-            if best is None:
+        """Join the neighbours of lowest rank, leftmost first, until no pair has a rank."""
+        rank, none = self.rank.get, len(self.rank)
+        ranks = [rank(p, none) for p in zip(s, s[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            out, i = [], 0
-            while i < len(s):
-                if i + 1 < len(s) and rank((s[i], s[i + 1])) == best:
-                    out.append(s[i] + s[i + 1])
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            s = out
+            i = ranks.index(best)
+            s[i : i + 2] = [s[i] + s[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((s[i - 1], s[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((s[i], s[i + 1]), none)
         return s
 
     def fragments(self, word: str) -> list[list[str]]:

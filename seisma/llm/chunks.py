@@ -29,7 +29,9 @@ def library(path: str) -> Tokenizer:
 def cuts_at_space(path: str) -> bool:
     """Whether chunks between white space are encoded independently of each other."""
     t = library(path)
-    if t.pre_tokenizer is None or any("Ġ" in k or "Ċ" in k for k in t.get_vocab(with_added_tokens=False) if len(k) > 1):
+    end = getattr(t.model, "end_of_word_suffix", None) or ""
+    symbols = (k.removesuffix(end) for k in t.get_vocab(with_added_tokens=False))
+    if t.pre_tokenizer is None or any(len(k) > 1 and ("Ġ" in k or "Ċ" in k) for k in symbols):
         return False
     if any(x.lstrip or x.rstrip or any(c.isspace() for c in x.content) for x in t.get_added_tokens_decoder().values()):
         return False

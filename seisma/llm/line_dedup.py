@@ -143,11 +143,14 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("dropped"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the dropped lines taken out of ``text``, and ``dropped_lines`` (their numbers, null for none)."""
-    gone = stored(dropped_lines(docs, doc_id, text)).select(F.col("doc_id").alias(doc_id), F.col("dropped").alias("dropped_lines"))
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", report: str = "dropped_lines") -> DataFrame:
+    """The documents with the dropped lines taken out of ``text``, and their numbers in ``report`` (null for none).
+
+    An input column named like ``report`` is left out.
+    """
+    gone = stored(dropped_lines(docs, doc_id, text)).select(F.col("doc_id").alias(doc_id), F.col("dropped").alias("__gone"))
     body = F.col(text).cast("string")
-    left = F.filter(F.split(body, "\n", -1), lambda x, k: ~F.array_contains("dropped_lines", k))
-    return docs.join(small(gone), doc_id, "left").select(
-        *(F.when(F.col("dropped_lines").isNull(), body).otherwise(F.array_join(left, "\n")).alias(c) if c == text else F.col(c) for c in docs.columns),
-        "dropped_lines")
+    left = F.filter(F.split(body, "\n", -1), lambda x, k: ~F.array_contains("__gone", k))
+    new = F.when(F.col("__gone").isNull(), body).otherwise(F.array_join(left, "\n")).alias(text)
+    columns = [new if c == text else F.col(c) for c in docs.columns if c != report]
+    return docs.join(small(gone), doc_id, "left").select(*columns, F.col("__gone").alias(report))

@@ -133,17 +133,20 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component): every id of a link with the smallest id it reaches.
 
     Each round points every id at its smallest neighbour, follows the pointers
-    twice, and moves the links to what they point at; links inside a component
-    vanish.  A round needs grouped minima and joins only.
+    to their ends (doubling their reach each time), and moves the links to
+    those; links inside a component vanish.  A round needs grouped minima and
+    joins only, and no step gathers a component.
     """
     edges = stored(edges.where(F.col("a") != F.col("b")))
     found = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct().select("id", F.col("id").alias("component"))
     while not edges.isEmpty():
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("n"), F.least("a", "b").alias("p")))
-        for _ in range(2):
-            up = up.select("n", F.col("p").alias("_p")).join(up.select(F.col("n").alias("_p"), "p"), "_p").select("n", "p")
-        up = stored(up)
+        while True:
+            further = stored(up.select("n", F.col("p").alias("_p")).join(up.select(F.col("n").alias("_p"), "p"), "_p").select("n", "p", (F.col("p") != F.col("_p")).alias("moved")))
+            up = further.select("n", "p")
+            if further.where("moved").isEmpty():
+                break
         found = stored(found.join(up, found["component"] == up["n"], "left").select("id", F.coalesce("p", "component").alias("component")))
         edges = stored(
             edges.join(up.select(F.col("n").alias("a"), F.col("p").alias("_a")), "a")

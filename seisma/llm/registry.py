@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seisma.llm import ann, bpe, decontaminate, line_dedup, ngram_join, pii, sharding, token_files, toxicity, warc
+from seisma.llm.oracle import ORACLE
 from seisma.llm.tables import table
 from seisma.session import scratch_path
 
@@ -35,7 +36,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "spans")
+        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+__all__ = ["END_ID", "ORACLE", "QUERIES", "tokenizer_path"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -88,4 +91,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
