@@ -21,14 +21,16 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
-from seisma.llm.chunks import LIMIT, cuts_at_space, library, pieces
+from seisma.llm.chunks import Memory, cuts_at_space, library, pieces
 
 
 class FragmentBpe:
@@ -54,8 +56,24 @@ class FragmentBpe:
         self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.spaced = cuts_at_space(path)
         self.token = {i: t for t, i in {**self.ids, **added}.items()}
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.known = Memory(self._known)
+        self.words = Memory(self._word)
+        self.ascii = self._ascii_splitter(made)
+
+    @staticmethod
+    def _ascii_splitter(made: dict) -> Callable[[str], list[str]] | None:
+        """Pre-tokens of printable ASCII without spaces, where the file's steps are plain ones on such text."""
+        steps = made.get("normalizer") or {}
+        steps = steps.get("normalizers", [steps] if steps else [])
+        split, *rest = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        if any(x["type"] not in ("NFC", "Lowercase") and not (x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"}) for x in steps):
+            return None
+        if split.get("type") != "Split" or split.get("behavior") != "Removed" or not split.get("invert") or "Regex" not in split["pattern"]:
+            return None
+        if [x["type"] for x in rest] != ["ByteLevel"] or rest[0]["add_prefix_space"] or rest[0]["use_regex"]:
+            return None
+        find = regex.compile(split["pattern"]["Regex"]).findall
+        return (lambda text: find(text.lower())) if any(x["type"] == "Lowercase" for x in steps) else find
 
     def symbols(self, token: str) -> list[str]:
         """The symbols a token is made of; the word end belongs to the last one."""
@@ -89,45 +107,33 @@ class FragmentBpe:
         cuts = [0, *(i for i in range(1, len(s)) if (s[i - 1], s[i]) not in self.inside), len(s)]
         return [s[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def word(self, word: str) -> tuple[int, ...]:
-        got = self.words.get(word)
-        if got is None:
-            if self.ignore_merges and word + self.end in self.ids:
-                got = (self.ids[word + self.end],)
-            else:
-                got = tuple(self.ids[t] for f in self.fragments(word) for t in self._merge(f) if t in self.ids)
-            if len(self.words) >= LIMIT:
-                self.words.clear()
-            self.words[word] = got
-        return got
+    def _word(self, word: str) -> tuple[int, ...]:
+        if self.ignore_merges and word + self.end in self.ids:
+            return (self.ids[word + self.end],)
+        return tuple(self.ids[t] for f in self.fragments(word) for t in self._merge(f) if t in self.ids)
 
     def plain(self, text: str) -> list[int]:
-        t = self.library
-        if t.normalizer is not None:
-            text = t.normalizer.normalize_str(text)
-        if not text:
-            return []
-        words = [w for w, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer is not None else [text]
-        return [i for w in words if w for i in self.word(w)]
+        if self.ascii is not None and text.isascii() and text.isprintable() and " " not in text:
+            words = self.ascii(text)
+        else:
+            t = self.library
+            if t.normalizer is not None:
+                text = t.normalizer.normalize_str(text)
+            words = [w for w, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer is not None and text else [text]
+        return [i for w in words if w for i in self.words[w]]
 
     def chunk(self, text: str) -> list[int]:
         if self.special is None or not self.special.search(text):
             return self.plain(text)
-        return [i for k, part in enumerate(self.special.split(text)) for i in ([self.added[part]] if k % 2 else self.plain(part))]
+        return [i for k, part in enumerate(self.special.split(text)) for i in ([self.added[part]] if k % 2 else self.plain(part) if part else [])]
 
     def _known(self, chunk: str) -> tuple[bytes, bytes]:
         ids = self.chunk(chunk)
-        got = (np.array(ids, dtype="<u4").tobytes(), " ".join([self.token[i] for i in ids]).encode())
-        if self.spaced:
-            if len(self.known) >= LIMIT:
-                self.known.clear()
-            self.known[chunk] = got
-        return got
+        return array("I", ids).tobytes(), " ".join([self.token[i] for i in ids]).encode()
 
     def encode(self, text: str | None) -> tuple[bytes, bytes]:
         """The ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
-        known, make = self.known.get, self._known
-        got = [known(c) or make(c) for c in pieces(text or "", self.spaced)]
+        got = list(map(self.known.__getitem__, pieces(text or "", True))) if self.spaced else [self._known(text or "")]
         ids = b"".join([g[0] for g in got])
         if self.library.decoder is None:
             return ids, b" ".join([g[1] for g in got if g[1]])

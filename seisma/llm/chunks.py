@@ -2,17 +2,39 @@
 
 Where no vocabulary token holds white space and the pre-tokenizer drops it, a
 text's ids are those of its chunks between spaces and line ends, one after the
-other.  Each worker process keeps what it has encoded, up to ``LIMIT`` chunks.
+other.  Each worker process remembers what it has encoded, in two generations of up to
+``LIMIT`` chunks.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import lru_cache
+from typing import Any
 
 from tokenizers import Tokenizer
 
-LIMIT = 300_000
+LIMIT = 250_000
+
+
+class Memory(dict):
+    """Results of ``make``; when full, the entries become the old generation, from which used ones return."""
+
+    def __init__(self, make: Callable[[str], Any], limit: int = LIMIT):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> Any:
+        got = self.old.get(key)
+        return self.put(key, self.make(key) if got is None else got)
+
+    def put(self, key: str, value: Any) -> Any:
+        if len(self) >= self.limit:
+            self.old = self.copy()
+            self.clear()
+        self[key] = value
+        return value
 
 
 @lru_cache(maxsize=4)

@@ -21,6 +21,7 @@ an empty folder.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from seisma.llm.chunks import LIMIT, cuts_at_space, library, pieces
+from seisma.llm.chunks import Memory, cuts_at_space, library, pieces
 
 BLOCK = 128
 #: Fixed values of the coding: ids a word, bits an id, by selector.
@@ -153,19 +154,19 @@ class _Ids:
 
     def __init__(self, path: str):
         self.library, self.spaced = library(path), cuts_at_space(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(lambda chunk: self._new([chunk])[0])
+
+    def _new(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [pieces(t or "", self.spaced) for t in texts]
-        if len(self.known) >= LIMIT:
-            self.known.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        for c, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [b"".join(map(self.known.__getitem__, s)) for s in split]
         if not self.spaced:
-            self.known.clear()
-        return out
+            return self._new([t or "" for t in texts])
+        split = [pieces(t or "", True) for t in texts]
+        new = [c for c in set(chain.from_iterable(split)).difference(self.known) if c not in self.known.old]
+        for c, ids in zip(new, self._new(new)):
+            self.known.put(c, ids)
+        return [b"".join(map(self.known.__getitem__, s)) for s in split]
 
 
 _ids: dict[str, _Ids] = {}
