@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 from pyspark.sql import functions as F
@@ -149,13 +150,15 @@ BASELINE_ENTRY = StructType([StructField("bytes_processed", LongType()), StructF
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:
-    """Baseline document(s) ``{model: {bytes_processed, shadow_cost_usd}}`` as rows; missing -> empty."""
+    """Baseline document(s) ``{model: {bytes_processed, shadow_cost_usd}}`` as rows; missing -> empty, unreadable -> error."""
     empty = spark.createDataFrame([], "model string, bytes_processed bigint, shadow_cost_usd double")
     try:
         docs = spark.read.text(path, wholetext=True)
-    except Exception:  # no such path: first run, every model is new
-        return empty
-    m = F.from_json("value", MapType(StringType(), BASELINE_ENTRY))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty  # first run, every model is new
+    m = F.from_json("value", MapType(StringType(), BASELINE_ENTRY), {"mode": "FAILFAST"})
     return docs.select(F.explode(m).alias("model", "e")).select(
         "model", "e.bytes_processed", "e.shadow_cost_usd")
 

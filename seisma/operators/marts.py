@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_mean(c: str | Column, scale: int = 4) -> Column:
-    """AVG as ``sum(decimal) / count``: order-independent, NULLs excluded."""
+def exact_mean(c: str | Column, scale: int = 12) -> Column:
+    """AVG as ``sum(decimal) / count``: order-independent, NULLs excluded (12 decimals hold a magnitude's digits)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(f"decimal(28,{scale})")).cast("double") / F.count(col)
+    return F.sum(col.cast(f"decimal(38,{scale})")).cast("double") / F.count(col)
 
 
 def exact_sum(c: str | Column, scale: int = 10) -> Column:
@@ -62,7 +62,7 @@ def daily_stats(stg_tables: Mapping[str, DataFrame], processed_at: dt.datetime,
     # then per (day, source) over one pre-aggregated row per event.
     m = F.col("magnitude")
     per_event = rows.groupBy("event_date", "source", "event_id").agg(
-        F.sum(m.cast("decimal(28,4)")).alias("_s"), F.count(m).alias("_c"),
+        F.sum(m.cast("decimal(38,12)")).alias("_s"), F.count(m).alias("_c"),
         F.max(m).alias("_max"), F.min(m).alias("_min"),
     )
     return per_event.groupBy("event_date", "source").agg(

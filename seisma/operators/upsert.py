@@ -15,12 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seisma.operators.dedup import dedup_latest
 from seisma.operators.sinks import write_days
-from seisma.session import checkpointed
+from seisma.session import checkpointed, read_if_exists
 from seisma.sources.schemas import SourceSpec
 
 
@@ -101,30 +101,66 @@ def merge_spec(target: DataFrame, batch: DataFrame, spec: SourceSpec) -> DataFra
     return upsert(target, batch, spec.key, spec.version, spec.keep_on_update)
 
 
+def split_required(batch: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows that can be stored, rows without a key or an event time).
+
+    The raw tables require both; an empty key would let unrelated events replace each other.
+    """
+    ok = F.col(spec.key).isNotNull() & (F.trim(F.col(spec.key).cast("string")) != "") & F.col(spec.time_col).isNotNull()
+    return batch.where(ok), batch.where(~F.coalesce(ok, F.lit(False)))
+
+
+def _day_in(col: str, days: list) -> Column:
+    """``col`` is one of ``days``; None stands for the NULL day."""
+    known = [d for d in days if d is not None]
+    return F.col(col).isin(known) | F.col(col).isNull() if None in days else F.col(col).isin(known)
+
+
+def quarantine_rows(rows: DataFrame, path: str) -> None:
+    """Append ``rows`` to the table at ``path``, leaving out rows that are there already (a replay adds none)."""
+    marked = rows.withColumn("reject_id", F.sha2(F.to_json(F.struct(*rows.columns)), 256)).dropDuplicates(["reject_id"])
+    have = read_if_exists(rows.sparkSession, path)
+    new = checkpointed(marked if have is None else marked.join(have.select("reject_id"), "reject_id", "left_anti").select(*marked.columns))
+    if not new.isEmpty():
+        new.write.mode("append").parquet(path)
+
+
 def merge_into_days(spark: SparkSession, path: str, batch: DataFrame, spec: SourceSpec,
-                    date_col: str = "event_date") -> DataFrame:
+                    date_col: str = "event_date", quarantine: str | None = None) -> DataFrame:
     """MERGE ``batch`` into the day-partitioned raw table at ``path``; returns the counts row.
 
-    1. dedup the batch (one row per key);
+    1. batch rows without key or time go to ``quarantine`` (default: ``<path>_rejected``), the
+       others are deduplicated to one row per key;
     2. touched days = the days of target rows whose key is in the batch (a
        semi join against the table's key and day columns only) plus the batch
-       rows' own days (an update can move an event to another day);
+       rows' own days (an update can move an event to another day); the NULL
+       day of old rows without a time is one of them when such a row is hit;
     3. rebuild only those days (static partition pruning) and overwrite them
        dynamically.  Insert / update counts come from the same merge.
 
+    A run that died between the overwrite and the clearing of days that lost
+    all their rows leaves a key in two days; the next run that touches the key
+    reads both days and keeps its newest row, so repeating the batch heals the table.
+
     The day list is one entry per calendar day, so it is small and bounded.
     The rebuilt days are checkpointed before the overwrite, because a job must
     not overwrite the files it is reading.
     """
     key = spec.key
-    batch = checkpointed(dedup_batch(batch, key, spec.version).withColumn(date_col, F.to_date(spec.time_col)))
+    root = path.rstrip("/")
+    good, bad = split_required(batch, spec)
+    quarantine_rows(bad, quarantine or f"{root}_rejected")
+    batch = checkpointed(dedup_batch(good, key, spec.version).withColumn(date_col, F.to_date(spec.time_col)))
     target = spark.read.parquet(path)
     hit = target.select(key, date_col).join(batch.select(key), key, "left_semi").select(date_col)
     days = [r[0] for r in hit.unionByName(batch.select(date_col)).distinct().collect()]  # calendar days
 
     cols = [c for c in target.columns if c != date_col]
-    affected = target.where(F.col(date_col).isin(days)).select(*cols)
+    affected = target.where(_day_in(date_col, days)).select(*cols)
+    keyless = affected.where(F.col(key).isNull())  # takes no part in the merge, but its day is rewritten
+    affected = dedup_batch(affected.where(F.col(key).isNotNull()), key, spec.version)
     merged = upsert_tagged(affected, batch.select(*cols), key, spec.version, spec.keep_on_update, dedup=False)
+    merged = merged.unionByName(keyless.withColumn("_action", F.lit("keep")))
     merged = checkpointed(merged.withColumn(date_col, F.to_date(spec.time_col)))
     act = F.col("_action")
     counts = merged.agg(
@@ -137,14 +173,12 @@ def merge_into_days(spark: SparkSession, path: str, batch: DataFrame, spec: Sour
     ).withColumn("rows_affected", F.col("rows_inserted") + F.col("rows_updated"))
 
     # Dynamic overwrite replaces only days present in the output; a touched
-    # day whose every row moved to another day must be dropped explicitly.
+    # day whose every row moved to another day is overwritten with no rows.
     kept = {r[0] for r in merged.select(date_col).distinct().collect()}
     write_days(merged.drop("_action"), path, date_col, cluster_by=None)
-    emptied = [d for d in days if d not in kept]
-    if emptied:
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for d in emptied:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{date_col}={d.isoformat()}"), True)
+    nothing = merged.select(*cols).limit(0).coalesce(1)
+    for d in days:
+        if d not in kept:
+            name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
+            nothing.write.mode("overwrite").parquet(f"{root}/{date_col}={name}")
     return counts

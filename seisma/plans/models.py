@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seisma.operators.matching import DEFAULT, MatchConfig, reconcile
 from seisma.operators.staging import stg
 from seisma.operators.unify import unify_events
+from seisma.session import read_if_exists
 from seisma.sources import testdata
 from seisma.sources.schemas import SPECS
 
@@ -82,11 +83,10 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     paths["fct_unified"] = u_path
 
     d_path = f"{root}/dm_daily"
-    try:
-        spark.read.parquet(d_path)
+    if read_if_exists(spark, d_path) is not None:
         since = as_of.date() - dt.timedelta(days=refresh_days)
         write_days(daily_stats(stg_tables, as_of, since=since), d_path, "event_date")
-    except Exception:  # first run: full build
+    else:  # first run: full build
         write_days(daily_stats(stg_tables, as_of), d_path, "event_date", overwrite_all=True)
     paths["dm_daily"] = d_path
 

@@ -8,9 +8,11 @@ caller owns; it is a runtime SQL conf, so it is safe on a shared session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime confs this package relies on.  All are plain SQL confs, settable on a
 # live session, and every one is a Spark default or a Spark-documented knob.
@@ -37,12 +39,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets this to a shared filesystem path; we only
-    read it.  When it is unset (unit tests, local runs) a fresh folder under the
-    system temp dir is created and registered, never a fixed path.
+    read it, and a cluster session without it is an error (a machine-local
+    folder would split data over the nodes' disks).  In local mode (unit
+    tests, local runs) a fresh folder under the system temp dir is registered.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="seisma-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -50,6 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when there is no such path; any other error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-path of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -28,7 +28,7 @@ from seisma.functions.times import seconds_between
 from seisma.operators.matching import DEFAULT, MatchConfig, home, reach_keys, usable
 from seisma.operators.upsert import merge_into_days, upsert
 from seisma.operators.sinks import write_days
-from seisma.session import checkpointed, ensure_utc, scratch_path
+from seisma.session import checkpointed, ensure_utc, read_if_exists, scratch_path
 from seisma.sources.schemas import SourceSpec
 
 
@@ -81,13 +81,13 @@ def stream_hourly_counts(spark: SparkSession, events: DataFrame, ts: str, target
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
             "event_date", F.to_date("hour_bucket"))
         s = batch.sparkSession
-        try:
-            cur = s.read.parquet(target)
-        except Exception:  # first batch: no table yet
+        cur = read_if_exists(s, target)
+        if cur is None:  # first batch: no table yet
             write_days(rows, target, "event_date", cluster_by=None, overwrite_all=True)
             return
+        # Spark broadcasts the day list when it is small; otherwise the join shuffles
         days = rows.select("event_date").distinct()
-        touched = cur.join(F.broadcast(days), "event_date", "left_semi")
+        touched = cur.join(days, "event_date", "left_semi")
         cols = ["hour_bucket", "event_count", "batch_id"]
         merged = upsert(touched.select(*cols), rows.select(*cols), "hour_bucket", "batch_id", keep_on_update=())
         merged = checkpointed(merged.withColumn("event_date", F.to_date("hour_bucket")))
@@ -148,32 +148,37 @@ def run_to_end(q: StreamingQuery, timeout: dt.timedelta = dt.timedelta(minutes=3
 
 def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: str, archive: str | None = None,
                        checkpoint: str | None = None, trigger: str | None = "availableNow",
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None, clock=None) -> StreamingQuery:
     """Feed documents landing as text lines (one document per line) -> one ingest run per micro-batch.
 
     Each micro-batch is parsed, stamped with one batch id and time, archived
-    and MERGEd (``seisma.plans.ingest.ingest_batch``).  The stamp is derived
-    from the query id and batch id, and the MERGE only takes strictly newer
-    versions, so a replayed micro-batch leaves the table unchanged.
+    and MERGEd (``seisma.plans.ingest.ingest_batch``).  The stamp is the source,
+    the checkpoint folder's name and the batch id; the MERGE only takes strictly
+    newer versions and the archive skips what it has, so a replayed micro-batch
+    leaves both unchanged.  ``clock`` gives the ingestion time of a batch id
+    (default: the wall clock).
     """
     from seisma.plans.ingest import ingest_batch
 
     ensure_utc(spark)
+    checkpoint = checkpoint or scratch_path(spark, f"ckpt-docs-{source}")
+    clock = clock or (lambda batch_id: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.text(landing).select(F.col("value").alias("doc"))
 
+    query_name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         s = batch.sparkSession
-        stamp = f"{source}-{batch_id:08d}"
-        ingest_batch(s, batch, source, target, stamp, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                     archive=archive).collect()
+        stamp = f"{source}-{query_name}-{batch_id:08d}"
+        ingest_batch(s, batch, source, target, stamp, clock(batch_id), archive=archive).collect()
 
     w = src.writeStream.foreachBatch(apply).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-docs-{source}"))
+        "checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
