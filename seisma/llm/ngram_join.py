@@ -8,7 +8,8 @@ reach it, and all of them are exact:
 1. Equal sets are one row; the smallest doc_id stands for them.
 2. In any fixed order of columns, two similar rows with ``a(n) = ceil(t n)`` share
    at least ``k`` of their first ``n - a(n) + k`` columns.  A row with fewer
-   shared columns among those has no partner and is left out.
+   shared columns among those has no partner and is left out; this is done with
+   ``k = n / 20`` for all rows, then with ``k = 3 n / 10`` for those that remain.
 3. Among the remaining rows, columns are ordered by how many rows have them;
    similar rows share one of the first ``n - a(n) + 1``, and rows that share one
    come together in a group.
@@ -44,13 +45,12 @@ def _least(n, percent: int):
     return (percent * n + 99) // 100
 
 
-def _spare(n):
-    """How many shared columns the first filter asks for."""
-    return np.maximum(1, n // 20)
+#: Share of a row's columns that each filter asks to be shared, as a fraction.
+FILTERS = ((1, 20), (3, 10))
 
 
-def _rows(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
-    """doc_id, n, two halves of the set's digest, and the first columns in hash order."""
+def _rows(docs: DataFrame, ngram: int, percent: int, share: tuple[int, int]) -> DataFrame:
+    """doc_id, n, two halves of the set's digest, and the first columns in hash order that the filter looks at."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +62,7 @@ def _rows(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
                 n.append(len(s))
                 high.append(int.from_bytes(digest[:8], "little", signed=True))
                 low.append(int.from_bytes(digest[8:], "little", signed=True))
-                first.append(signed(s[: len(s) - _least(len(s), percent) + int(_spare(len(s)))]))
+                first.append(signed(s[: len(s) - _least(len(s), percent) + max(1, len(s) * share[0] // share[1])]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
                 names=["doc_id", "n", "high", "low", "first"])
@@ -82,6 +82,15 @@ def _sets(docs: DataFrame, ngram: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, elements binary")
 
 
+def _busy(rows: DataFrame, percent: int, share: tuple[int, int]) -> DataFrame:
+    """doc_id of the rows that share enough of their first columns with other rows."""
+    first = rows.select(F.col("doc_id").alias("id"), "n", F.explode("first").alias("key"))
+    shared = first.join(small(linkage.shared_keys(first)), "key").groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("n"))
+    # a partner may be smaller, down to the least overlap, and then looks at fewer columns
+    fewest = F.floor(F.floor((F.col("n") * percent + 99) / 100) * share[0] / share[1])
+    return stored(shared.where(F.col("_shared") >= F.greatest(F.lit(1), fewest)).select(F.col("id").alias("doc_id")))
+
+
 def _elements(sets: DataFrame) -> DataFrame:
     """(id, n, key) for every column of a row."""
     kind = sets.schema["id"].dataType.simpleString()
@@ -98,16 +107,15 @@ def _elements(sets: DataFrame) -> DataFrame:
 def join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included)."""
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = stored(_rows(texts, ngram, percent))
+    rows = stored(_rows(texts, ngram, percent, FILTERS[0]))
     real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = real.groupBy("high", "low").agg(F.min("doc_id").alias("rep"))
-
-    first = real.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "n", F.explode("first").alias("key"))
-    shared = first.join(small(linkage.shared_keys(first)), "key").groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("n"))
-    fewest = F.floor(F.ceil(F.col("n") * percent / 100) / 20)
-    busy = stored(shared.where(F.col("_shared") >= F.greatest(F.lit(1), fewest)).select("id"))
+    classes = stored(real.groupBy("high", "low").agg(F.min("doc_id").alias("rep")))
+    copies = stored(real.select("doc_id", "high", "low").join(classes, ["high", "low"]).where(F.col("rep") != F.col("doc_id")).select("doc_id"))
 
-    sets = stored(_sets(texts.join(small(busy.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi"), ngram))
+    busy = _busy(real.join(small(copies), "doc_id", "left_anti"), percent, FILTERS[0])
+    for share in FILTERS[1:]:
+        busy = _busy(stored(_rows(texts.join(small(busy), "doc_id", "left_semi"), ngram, percent, share)), percent, share)
+    sets = stored(_sets(texts.join(small(busy), "doc_id", "left_semi"), ngram))
     columns = _elements(sets)
     often = columns.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     common = columns.join(often, "key")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from seisma.session import checkpoint_dir, scratch_path
 
 #: A side of a join is broadcast only when its counted rows fit this many (8 to 40 bytes a row).
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
