@@ -23,7 +23,6 @@ same lines; rows with a null doc_id keep all lines, and come first.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +44,7 @@ _R = np.random.default_rng(8)
 _XOR = _R.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _ODD = _R.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BAND = _R.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_UPPER = re.compile("[A-Z]+")
+_AT_ONCE = 50_000  # characters hashed at once
 
 
 def fold(line: str) -> str | None:
@@ -53,7 +52,7 @@ def fold(line: str) -> str | None:
     words = line.split()
     if len(words) < MIN_WORDS:
         return None
-    return _UPPER.sub(lambda m: m.group().lower(), " ".join(words))
+    return " ".join(words).encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # bytes fold A-Z alone
 
 
 def _codes(text: str) -> np.ndarray:
@@ -76,8 +75,11 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     at = np.arange(int(counts.sum())) + np.repeat(np.arange(len(lines)) * (SHINGLE - 1), counts)
     h = (windows[at] >> np.uint64(32)).astype(np.uint32)
     minima = np.empty((len(lines), BANDS * ROWS), dtype=np.uint64)
+    now = np.empty_like(h)
     for k in range(BANDS * ROWS):
-        minima[:, k] = np.minimum.reduceat((h ^ _XOR[k]) * _ODD[k], start)
+        np.bitwise_xor(h, _XOR[k], out=now)
+        np.multiply(now, _ODD[k], out=now)
+        minima[:, k] = np.minimum.reduceat(now, start)
     bands = (minima.reshape(-1, BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
     return signed(mix(bands))
 
@@ -92,13 +94,18 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            owner, number, ids, bands = [], [], [], []
+            owner, number, ids, bands, waiting, size = [], [], [], [], [], 0
             for i, text in enumerate(b.column(1).to_pylist()):
                 lines = [(k, f) for k, x in enumerate((text or "").split("\n")) if (f := fold(x)) is not None]
                 owner += [i] * len(lines)
                 number += [k for k, _ in lines]
                 ids += [line_id(f) for _, f in lines]
-                bands += list(band_hashes([f for _, f in lines]))
+                waiting += [f for _, f in lines]
+                size += len(text or "")
+                if size >= _AT_ONCE:
+                    bands += list(band_hashes(waiting))
+                    waiting, size = [], 0
+            bands += list(band_hashes(waiting))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(owner, pa.int32())), pa.array(number, pa.int32()), pa.array(ids, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["doc_id", "line", "id", "bands"])
@@ -107,7 +114,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """id and elements of the wanted lines (column ``wanted``: their numbers) of each text."""
+    """id and elements (the folded text) of the wanted lines (column ``wanted``: their numbers) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,10 +124,10 @@ def _sets(docs: DataFrame) -> DataFrame:
                 for folded in (fold(lines[k]) for k in wanted if k < len(lines)):
                     if folded is not None:
                         ids.append(line_id(folded))
-                        sets.append(shingle_set(folded).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "elements"])
+                        sets.append(folded)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.string())], names=["id", "elements"])
 
-    return docs.select("text", "wanted").mapInArrow(run, "id bigint, elements binary").dropDuplicates(["id"])
+    return docs.select("text", "wanted").mapInArrow(run, "id bigint, elements string").dropDuplicates(["id"])
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,7 +141,7 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     by_doc = stored(place.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_set("at.line").alias("wanted")))
     sets = stored(_sets(texts.join(small(by_doc), "doc_id")))
 
-    found = linkage.components(linkage.links(groups, sets, PERCENT))
+    found = linkage.components(linkage.links(groups, sets, PERCENT, read=shingle_set))
     lone = lines.select("doc_id", "line", "id")
     named = lone.join(small(stored(found)), "id", "left").select("doc_id", "line", F.coalesce("component", "id").alias("component"))
     firsts = named.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("_last"))

@@ -10,7 +10,7 @@ chunks of elements, and hands out a spanning forest of its links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,10 +88,15 @@ def forest(ids: list, sides: np.ndarray, sets: list[np.ndarray], percent: int) -
     return out
 
 
-def links(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def as_numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u8")
+
+
+def links(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK, read: Callable[..., np.ndarray] = as_numbers) -> DataFrame:
     """(a, b) links that connect all pairs of a group whose similarity reaches ``percent``.
 
-    ``groups`` has (pivot, id), ``sets`` (id, elements) with sorted distinct unsigned 64-bit values as bytes.
+    ``groups`` has (pivot, id), ``sets`` (id, elements); ``read`` makes a sorted array of distinct
+    unsigned 64-bit values out of elements.
     """
     kind, pivot_kind = (groups.schema[c].dataType for c in ("id", "pivot"))
     sizes = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
@@ -115,7 +120,7 @@ def links(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK)
 
         for key, side, id_, raw in chain(rows(), [(None, None, None, None)]):
             if key != now:
-                out += forest(ids, np.array(sides), sets_, percent) if len(ids) > 1 else []
+                out += forest(ids, np.array(sides), [read(x) for x in sets_], percent) if len(ids) > 1 else []
                 now, ids, sides, sets_ = key, [], [], []
                 if len(out) >= 10_000 or key is None and out:
                     yield pa.RecordBatch.from_pydict({"a": [x for x, _ in out], "b": [y for _, y in out]})
@@ -123,7 +128,7 @@ def links(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK)
             if key is not None:
                 ids.append(id_)
                 sides.append(side)
-                sets_.append(np.frombuffer(raw, "<u8"))
+                sets_.append(raw)
 
     cells = dealt.repartition("pivot", "lo", "hi").sortWithinPartitions("pivot", "lo", "hi")
     return cells.mapInArrow(run, f"a {kind.simpleString()}, b {pivot_kind.simpleString()}").distinct()
