@@ -8,19 +8,23 @@ search is an *exact* blocked equi-join:
   gets one time bucket ``floor(t / W)``; the right side is exploded to every
   bucket that a point less than ``S + 1`` seconds away can fall in.
 * latitude: a great-circle distance of ``D`` km spans at most ``D / (R*pi/180)``
-  degrees of latitude, so the same trick runs on latitude cells.  Longitude is
-  not blocked (antimeridian, meridian convergence).
+  degrees of latitude, so the same trick runs on latitude cells.
+* longitude: a circle of ``D`` km around latitude ``p`` spans ``asin(sin(D/R) / cos p)``
+  degrees to either side, or all longitudes where it holds a pole; cells wrap
+  around the antimeridian.
 
 Every pair within the thresholds shares exactly one (bucket, cell) key, so the
 blocked join returns exactly the pairs of the naive cross join, with a hash /
-sort-merge equi-join (no nested loop, no cartesian product).  Hot blocks are
-split by AQE skew-join handling; the threshold predicate runs inside the join
-and the very next operator is a map-side partial aggregation.
+sort-merge equi-join (no nested loop, no cartesian product).  A block is dear by
+its pairs, not its bytes: blocks are cut into a grid of sub-blocks of at most
+``pairs_per_block`` pairs each from the counts of both sides, and both sides are
+dealt by an explicit number of partitions, which adaptive execution leaves alone.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,22 +53,19 @@ class MatchConfig:
     # Rank distances at this many decimals so engines that differ in the last
     # floating-point digit still agree on the nearest neighbour.
     rank_digits: int = 9
-    # Skew.  By default hot (bucket, cell) blocks are split at runtime by AQE's
-    # skew-join handling, which splits *both* sides of a skewed partition and
-    # needs no extra pass.  ``salt > 1`` adds deterministic salting (for
-    # clusters running without AQE, or to bound the work per task): blocks
-    # with at least ``hot_rows`` left rows (the largest ``hot_blocks`` of
-    # them) are split into a ``salt`` x ``salt`` grid.  It costs one
-    # pre-aggregated count pass over the left side.
-    hot_rows: int = 50_000
-    hot_blocks: int = 1024
-    salt: int = 1
+    lon_cell_deg: float = 2.0
+    # A block with more pairs than this is cut into sub-blocks of at most so many.
+    pairs_per_block: int = 250_000
 
     @property
     def reach_micros(self) -> int:
         """Largest true time gap (micros) that still truncates to ``max_seconds``."""
         return (self.max_seconds + 1) * 1_000_000 - 1
 
+    @property
+    def lon_cells(self) -> int:
+        return max(1, math.ceil(360 / self.lon_cell_deg))
+
     @property
     def lat_reach_deg(self) -> float:
         return km_to_lat_degrees(self.max_km, EARTH_RADIUS_KM) * (1 + 1e-9) + 1e-9
@@ -115,23 +116,66 @@ def usable(df: DataFrame, p: str) -> DataFrame:
         F.col(f"{p}_time").isNotNull() & F.col(f"{p}_lat").isNotNull() & F.col(f"{p}_lon").isNotNull())
 
 
-def home(df: DataFrame, p: str, cfg: MatchConfig = DEFAULT, tb: str = "_tb", lc: str = "_lc") -> DataFrame:
-    """One blocking key per event: its own (time bucket, latitude cell)."""
+def _turned(lon):
+    """Longitude from 0 (inclusive) to 360."""
+    return F.pmod(lon, F.lit(360.0))
+
+
+def home(df: DataFrame, p: str, cfg: MatchConfig = DEFAULT, tb: str = "_tb", lc: str = "_lc", gc: str = "_gc") -> DataFrame:
+    """One blocking key per event: its own (time bucket, latitude cell, longitude cell)."""
     W = cfg.time_bucket_seconds * 1_000_000
     return df.withColumn(tb, F.floor(F.unix_micros(f"{p}_time") / W)).withColumn(
-        lc, F.floor(F.col(f"{p}_lat") / cfg.lat_cell_deg))
+        lc, F.floor(F.col(f"{p}_lat") / cfg.lat_cell_deg)).withColumn(
+        gc, F.least(F.floor(_turned(F.col(f"{p}_lon")) / cfg.lon_cell_deg), F.lit(cfg.lon_cells - 1)).cast("bigint"))
 
 
-def reach_keys(df: DataFrame, p: str, cfg: MatchConfig = DEFAULT, tb: str = "_tb", lc: str = "_lc") -> DataFrame:
-    """Every (time bucket, latitude cell) a partner within the thresholds can occupy."""
-    W, C = cfg.time_bucket_seconds * 1_000_000, cfg.lat_cell_deg
+def reach_keys(df: DataFrame, p: str, cfg: MatchConfig = DEFAULT, tb: str = "_tb", lc: str = "_lc", gc: str = "_gc") -> DataFrame:
+    """Every (time bucket, latitude cell, longitude cell) a partner within the thresholds can occupy."""
+    W, C, G, n = cfg.time_bucket_seconds * 1_000_000, cfg.lat_cell_deg, cfg.lon_cell_deg, cfg.lon_cells
     reach, lat_reach = cfg.reach_micros, cfg.lat_reach_deg
     us = F.unix_micros(f"{p}_time")
-    lat = F.col(f"{p}_lat")
+    lat, lon = F.col(f"{p}_lat"), _turned(F.col(f"{p}_lon"))
+    ratio = F.sin(F.radians(F.lit(lat_reach))) / F.cos(F.radians(lat))
+    lon_reach = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + 1e-9
+    # the last cell may be narrower, so cells are taken from both ends of the wrapped interval
+    low, high = lon - lon_reach, lon + lon_reach
+
+    def cell(x):
+        return F.least(F.floor(_turned(x) / G), F.lit(n - 1)).cast("bigint")
+
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+    some = F.when(cell(low) <= cell(high), F.sequence(cell(low), cell(high))).otherwise(
+        F.concat(F.sequence(F.lit(0).cast("bigint"), cell(high)), F.sequence(cell(low), F.lit(n - 1).cast("bigint"))))
+    polar = (F.abs(lat) + lat_reach >= 90) | (2 * lon_reach >= 360 - G)
     return df.withColumn(
         tb, F.explode(F.sequence(F.floor((us - reach) / W), F.floor((us + reach) / W)))
     ).withColumn(
-        lc, F.explode(F.sequence(F.floor((lat - lat_reach) / C), F.floor((lat + lat_reach) / C))))
+        lc, F.explode(F.sequence(F.floor((lat - lat_reach) / C), F.floor((lat + lat_reach) / C)))
+    ).withColumn(gc, F.explode(F.when(polar, every).otherwise(some)))
+
+
+def _sub_blocks(L: DataFrame, R: DataFrame, keys: list[str], lid: str, rid: str, cfg: MatchConfig) -> tuple[DataFrame, DataFrame]:
+    """Both sides with sub-block keys ``_sl``, ``_sr``: a block of too many pairs becomes a grid.
+
+    Counts are pre-aggregated; only blocks beyond the bound enter the join back to the rows, however
+    many they are (Spark broadcasts that list when it is small).  A left row takes grid row
+    ``hash(id)`` and is copied to every column, a right row the reverse, so a pair meets once.
+    """
+    n_l = L.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+    n_r = R.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+    edge = cfg.pairs_per_block ** 0.5
+    heavy = n_l.join(n_r, keys).where(F.col("_nl") * F.col("_nr") > cfg.pairs_per_block).select(
+        *keys, F.ceil(F.col("_nl") / edge).cast("int").alias("_pl"), F.ceil(F.col("_nr") / edge).cast("int").alias("_pr"))
+
+    def dealt(df: DataFrame, own: str, id_: str, parts: str, other: str, other_parts: str) -> DataFrame:
+        j = df.join(heavy, keys, "left").withColumns({p: F.coalesce(p, F.lit(1)) for p in ("_pl", "_pr")})
+        j = j.withColumn(own, F.pmod(F.xxhash64(id_), F.col(parts)).cast("int"))
+        return j.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_parts) - 1))).drop("_pl", "_pr")
+
+    n = int(L.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, "_sl", "_sr"]
+    return (dealt(L, "_sl", lid, "_pl", "_sr", "_pr").repartition(n, *by),
+            dealt(R, "_sr", rid, "_pr", "_sl", "_pl").repartition(n, *by))
 
 
 def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
@@ -145,39 +189,9 @@ def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAU
     else:
         L, R = home(L, l, cfg), reach_keys(R, r, cfg)
 
-    keys = ["_tb", "_lc"]
-    if cfg.salt > 1:
-        # A swarm can put a large share of all events into one (bucket, cell)
-        # block, on both sides.  Block sizes come from a map-side
-        # pre-aggregated count; the largest blocks at or above ``hot_rows``
-        # (at most ``hot_blocks`` rows, a proven bound, so the list is
-        # broadcast) are split into an S x S grid: a left row takes row
-        # ``hash(id) % S`` and is copied to every column, a right row takes
-        # column ``hash(id) % S`` and is copied to every row.  Each pair meets
-        # in exactly one cell; a hot block becomes S*S tasks at S-fold copying.
-        S = cfg.salt
-        hot = (
-            L.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= cfg.hot_rows)
-            .orderBy(F.col("_n").desc()).limit(cfg.hot_blocks)
-            .select(*keys, F.lit(True).alias("_hot"))
-        )
-        every = F.sequence(F.lit(0), F.lit(S - 1))
-        own = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(S))
-        L = (
-            L.join(F.broadcast(hot), keys, "left")
-            .withColumn("_sl", F.when(F.col("_hot"), own(f"{l}_id")).otherwise(F.lit(0)))
-            .withColumn("_sr", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-            .drop("_hot")
-        )
-        R = (
-            R.join(F.broadcast(hot), keys, "left")
-            .withColumn("_sr", F.when(F.col("_hot"), own(f"{r}_id")).otherwise(F.lit(0)))
-            .withColumn("_sl", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-            .drop("_hot")
-        )
-        keys = keys + ["_sl", "_sr"]
-
+    keys = ["_tb", "_lc", "_gc"]
+    L, R = _sub_blocks(L, R, keys, f"{l}_id", f"{r}_id", cfg)
+    keys = [*keys, "_sl", "_sr"]
     pairs = L.join(R, keys, "inner").drop(*keys)
     return (
         pairs.select(

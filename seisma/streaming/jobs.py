@@ -107,11 +107,11 @@ def stream_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFA
     row can no longer find partners.
     """
     l, r = cfg.left, cfg.right
-    L = home(usable(left, l).withWatermark(f"{l}_time", delay), l, cfg, "_ltb", "_llc")
-    R = reach_keys(usable(right, r).withWatermark(f"{r}_time", delay), r, cfg, "_rtb", "_rlc")
+    L = home(usable(left, l).withWatermark(f"{l}_time", delay), l, cfg, "_ltb", "_llc", "_lgc")
+    R = reach_keys(usable(right, r).withWatermark(f"{r}_time", delay), r, cfg, "_rtb", "_rlc", "_rgc")
     span = F.expr(f"INTERVAL {cfg.max_seconds + 1} SECONDS")
     cond = (
-        (F.col("_ltb") == F.col("_rtb")) & (F.col("_llc") == F.col("_rlc"))
+        (F.col("_ltb") == F.col("_rtb")) & (F.col("_llc") == F.col("_rlc")) & (F.col("_lgc") == F.col("_rgc"))
         & (F.col(f"{l}_time") > F.col(f"{r}_time") - span) & (F.col(f"{l}_time") < F.col(f"{r}_time") + span)
     )
     pairs = L.join(R, cond, "inner")
