@@ -15,6 +15,12 @@ def content_hash(c, length: int = 8) -> Column:
     return F.substring(F.md5(_c(c).cast("string")), 1, length)
 
 
+def document_hash(c, length: int = 8) -> Column:
+    """Content hash of a JSON document: the order of its keys and its blanks do not count (text that is no JSON: as it is)."""
+    text = _c(c).cast("string")
+    return content_hash(F.coalesce(F.to_json(F.try_parse_json(text)), text), length)
+
+
 def struct_content_hash(*cols: str, length: int = 8) -> Column:
     """Content hash of a record: JSON of the key-sorted fields, then MD5."""
     names = sorted(cols)

@@ -26,32 +26,39 @@ def minutes_between(a, b) -> Column:
 def epoch_ms_to_ts(c) -> Column:
     """Epoch milliseconds (number or numeric text) to a UTC timestamp; NULL stays NULL."""
     c = _c(c)
-    return F.timestamp_millis(F.round(c.cast("double")).cast("bigint"))
+    return F.timestamp_millis(F.round(c.try_cast("double")).cast("bigint"))
 
 
 _NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 _LOCAL = r"^[0-9]{4}[-.][0-9]{1,2}[-.][0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
-_OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+# ISO-8601 as the feeds write it: extended or basic date, any part of the time, fractions of any
+# length, offset as Z or +hh[:mm[:ss]].  Groups: year month day hour minute second fraction offset.
+_ISO = (r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})"
+        r"(?:[T ]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
+        r"(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)?)?$")
 
 
-def _iso_text(c: Column) -> Column:
-    """ISO text with a trailing ``Z`` written as ``+00:00`` (the parser reads offsets)."""
-    return F.regexp_replace(F.trim(c), "Z$", "+00:00")
+def _iso(s: Column) -> tuple[Column, Column]:
+    """(wall clock as if UTC, offset in seconds or NULL) of ISO text; both NULL for other text."""
+    def part(i: int) -> Column:
+        return F.regexp_extract(s, _ISO, i)
 
+    def two(i: int) -> Column:
+        return F.coalesce(F.nullif(part(i), F.lit("")), F.lit("00"))
 
-def _iso_with_offset(c: Column) -> Column:
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX")),
-    )
+    text = F.concat(part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit(" "), two(4), F.lit(":"), two(5), F.lit(":"), two(6),
+                    F.lit("."), F.rpad(F.substring(part(7), 1, 6), 6, "0"))
+    clock = F.when(s.rlike(_ISO), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    zone = part(8)
+    digits = F.rpad(F.regexp_replace(zone, "[^0-9]", ""), 6, "0")
+    seconds = (F.substring(digits, 1, 2).try_cast("bigint") * 3600 + F.substring(digits, 3, 2).try_cast("bigint") * 60
+               + F.substring(digits, 5, 2).try_cast("bigint"))
+    offset = F.when(zone == "Z", F.lit(0).cast("bigint")).when(zone != "", F.when(zone.startswith("-"), -seconds).otherwise(seconds))
+    return clock, offset
 
 
-def _iso_naive(c: Column) -> Column:
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm")),
-    )
+def _shifted(clock: Column, offset: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(clock) - offset * 1_000_000)
 
 
 def parse_local_ts(c, zone: str = "Europe/Istanbul") -> Column:
@@ -68,24 +75,20 @@ def parse_local_ts(c, zone: str = "Europe/Istanbul") -> Column:
     s = F.trim(_c(c).cast("string"))
     local = F.regexp_replace(s, r"^([0-9]{4})[-.]([0-9]{1,2})[-.]([0-9]{1,2}) ", "$1-$2-$3 ")
     local_ts = F.try_to_timestamp(local, F.lit("yyyy-M-d H:m:s"))
-    iso = _iso_text(s)
+    clock, offset = _iso(s)
     return (
         F.when(s.rlike(_NUMBER), epoch_ms_to_ts(s))
         .when(s.rlike(_LOCAL), F.to_utc_timestamp(local_ts, zone))
-        .when(iso.rlike(_OFFSET), _iso_with_offset(iso))
-        .otherwise(F.to_utc_timestamp(_iso_naive(s), zone))
+        .when(offset.isNotNull(), _shifted(clock, offset))
+        .otherwise(F.to_utc_timestamp(clock, zone))
     )
 
 
 def parse_iso_utc(c) -> Column:
     """ISO-8601 text to UTC (``Z`` or offset honoured, naive = UTC); number = epoch ms; bad -> NULL."""
     s = F.trim(_c(c).cast("string"))
-    iso = _iso_text(s)
-    return (
-        F.when(s.rlike(_NUMBER), epoch_ms_to_ts(s))
-        .when(iso.rlike(_OFFSET), _iso_with_offset(iso))
-        .otherwise(_iso_naive(s))
-    )
+    clock, offset = _iso(s)
+    return F.when(s.rlike(_NUMBER), epoch_ms_to_ts(s)).when(offset.isNotNull(), _shifted(clock, offset)).otherwise(clock)
 
 
 def to_utc_iso(c) -> Column:

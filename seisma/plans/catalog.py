@@ -616,7 +616,7 @@ def q_merge_days(spark, sf):
 
 @register("archive_raw", """
 SELECT 'events' AS source, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
-       strftime(ts, '%H') AS hour, substr(md5(props), 1, 8) AS content_hash, props AS doc FROM events""")
+       strftime(ts, '%H') AS hour, substr(md5(replace(props, ' ', '')), 1, 8) AS content_hash, props AS doc FROM events""")
 def q_archive_raw(spark, sf):
     ev = testdata.table(spark, sf, "events")
     path = sinks.table_path(spark, "archive")

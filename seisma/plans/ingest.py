@@ -4,7 +4,8 @@ parse documents -> stamp the batch (one id, one time) -> archive the raw
 documents -> MERGE into the day-partitioned raw table.  Returns the
 endpoint's answer as a one-row DataFrame:
 ``(status, source, ingestion_id, events_processed, rows_merged)``.
-An empty batch writes nothing and reports 0 / 0.
+An empty batch writes nothing, the archive neither, and reports 0 / 0; a document that
+is no JSON fails the run before anything is written.
 """
 
 from __future__ import annotations
@@ -25,14 +26,14 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, source: str, target: str,
     ensure_utc(spark)
     spec = spec_for(source)  # unknown source -> ValueError, as the endpoint's 4xx/5xx
     events = checkpointed(PARSERS[source](docs))
-    if archive is not None:
-        archive_raw(docs.select("doc"), archive, source=source, ingestion_time=ingestion_time)
     n_events = events.count()  # a scalar, like the endpoint's JSON answer
     rows_merged = 0
     if n_events:
+        if archive is not None:
+            archive_raw(docs.select("doc"), archive, source=source, ingestion_time=ingestion_time)
         rows = to_raw(events, spec, ingestion_id, ingestion_time)
         rows_merged = merge_into_days(spark, target, rows, spec).first().rows_affected
     return spark.createDataFrame(
-        [("success", source, ingestion_id, n_events, rows_merged)],
+        [("ok", source, ingestion_id, n_events, rows_merged)],
         "status string, source string, ingestion_id string, events_processed bigint, rows_merged bigint",
     )

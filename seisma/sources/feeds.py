@@ -59,13 +59,37 @@ def _events(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     out = []
     for name, typ in EVENT_COLUMNS:
         expr = cols.get(name)
-        out.append((expr if expr is not None else F.lit(None)).cast(typ).alias(name))
+        out.append((F.lit(None).cast(typ) if expr is None else _coerced(expr, typ)).alias(name))
     return df.select(*out)
 
 
-def parse_usgs(docs: DataFrame) -> DataFrame:
-    """FeatureCollection -> events.  Missing ``features`` -> no rows; NULL times are kept."""
-    f = _items(docs, "features", USGS_FEATURE)
+def _coerced(c: Column, typ) -> Column:
+    """``c`` as ``typ`` where no information is lost (``'12.0'`` is an integer, ``'12.5'`` and ``'x'`` are NULL)."""
+    if str(typ) not in ("bigint", "int"):
+        return c.try_cast(typ)
+    whole = c.try_cast("double")
+    return F.coalesce(c.try_cast(typ), F.when(whole == F.floor(whole), F.floor(whole).try_cast(typ)))
+
+
+def unreadable(docs: DataFrame) -> DataFrame:
+    """Documents that are no JSON (an error page, a cut-off answer); the strict parsers fail on them."""
+    return docs.where(F.col("doc").isNotNull() & F.try_parse_json("doc").isNull())
+
+
+def _readable(docs: DataFrame, strict: bool) -> DataFrame:
+    ok = F.col("doc").isNull() | F.try_parse_json("doc").isNotNull()
+    if not strict:
+        return docs.where(ok)
+    return docs.withColumn("doc", F.when(ok, F.col("doc")).otherwise(
+        F.raise_error(F.concat(F.lit("unreadable feed document: "), F.substring("doc", 1, 40)))))
+
+
+def parse_usgs(docs: DataFrame, strict: bool = True) -> DataFrame:
+    """FeatureCollection -> events.  Missing ``features`` -> no rows; NULL times are kept.
+
+    A document that is no JSON fails the job; with ``strict=False`` it is skipped (see ``unreadable``).
+    """
+    f = _items(_readable(docs, strict), "features", USGS_FEATURE)
     p = F.col("properties")
     coords = F.col("geometry.coordinates")
     return _events(f, {
@@ -97,13 +121,13 @@ def parse_usgs(docs: DataFrame) -> DataFrame:
     })
 
 
-def parse_emsc(docs: DataFrame, keep_rejects: bool = False) -> DataFrame:
+def parse_emsc(docs: DataFrame, keep_rejects: bool = False, strict: bool = True) -> DataFrame:
     """Properties-only features -> events; rows whose time does not parse are dropped.
 
     With ``keep_rejects`` they are kept with a ``reject_reason`` instead (see
     ``split_rejects``), so a run can quarantine them rather than lose them.
     """
-    f = _items(docs, "features", EMSC_FEATURE)
+    f = _items(_readable(docs, strict), "features", EMSC_FEATURE)
     p = F.col("properties")
     blank = lambda c: F.nullif(c, F.lit(""))
     ev = _events(f, {
@@ -173,7 +197,7 @@ def parse_kandilli(docs: DataFrame, zone: str = "Europe/Istanbul", strict: bool
         "event_time": parse_local_ts(F.col("date_time"), zone),
         "created_at": parse_local_ts(F.col("created_at"), zone),
         "mag": F.col("mag"),
-        "depth_km": F.coalesce(F.col("depth"), F.get(coords, 2)),
+        "depth_km": F.coalesce(F.col("depth").try_cast("double"), F.get(coords, 2).try_cast("double")),
         "lon": F.get(coords, 0),
         "lat": F.get(coords, 1),
         "place": F.col("title"),

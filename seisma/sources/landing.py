@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from seisma.functions.hashing import content_hash
+from seisma.functions.hashing import document_hash
+from seisma.session import checkpointed
 
 ARCHIVE_SCHEMA = StructType([
     StructField("ingestion_time", TimestampType()),
@@ -42,7 +44,11 @@ def archive_columns(ingestion_time: Column) -> list[Column]:
 
 def archive_raw(docs: DataFrame, path: str, source: str | Column = "source",
                 ingestion_time: dt.datetime | Column = "ingestion_time") -> None:
-    """Append documents (column ``doc``) to the partitioned archive; NULL documents are an error."""
+    """Append documents (column ``doc``) to the partitioned archive; NULL documents are an error.
+
+    A document that the archive has with the same source, ingestion time and content is not written
+    again, so a replayed batch adds nothing.
+    """
     src = F.col(source) if isinstance(source, str) and source in docs.columns else (
         source if isinstance(source, Column) else F.lit(source))
     if isinstance(ingestion_time, str):
@@ -54,15 +60,29 @@ def archive_raw(docs: DataFrame, path: str, source: str | Column = "source",
     checked = F.when(F.col("doc").isNull(), F.raise_error(F.lit("archive_raw: document is NULL"))).otherwise(
         F.col("doc"))
     out = docs.select(
-        ts.alias("ingestion_time"), content_hash(F.col("doc")).alias("content_hash"), checked.alias("doc"),
+        ts.alias("ingestion_time"), document_hash(F.col("doc")).alias("content_hash"), checked.alias("doc"),
         src.alias("source"), *archive_columns(ts),
     )
     parts = ("source", "year", "month", "day", "hour")
+    same = ["source", "ingestion_time", "content_hash"]
+    out = out.dropDuplicates([*same, "doc"])
+    have = archive_if_exists(docs.sparkSession, path)
+    if have is not None:
+        out = checkpointed(out.join(have.select(*same).distinct(), same, "left_anti").select(*out.columns))
     # REBALANCE by the path columns: one file per hour where possible instead
     # of one per (task, hour); AQE splits an hour that holds a large share.
     out.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).json(path)
 
 
+def archive_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return read_archive(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archive back with partition columns as (zero-padded) text."""
     return spark.read.schema(ARCHIVE_SCHEMA).option("basePath", path).json(path)

@@ -148,27 +148,28 @@ def spec_for(source: str) -> SourceSpec:
 
 
 # --- feed documents (nested JSON as delivered by the three feeds) -----------------
+# Leaves are read as text and coerced by the parsers, so a number sent as text is not lost.
 
 USGS_FEATURE = StructType([
     StructField("type", StringType()),
     StructField("id", StringType()),
     StructField("geometry", StructType([
         StructField("type", StringType()),
-        StructField("coordinates", ArrayType(DoubleType())),
+        StructField("coordinates", ArrayType(StringType())),
     ])),
     StructField("properties", StructType([
-        StructField("mag", DoubleType()), StructField("place", StringType()),
-        StructField("time", LongType()), StructField("updated", LongType()),
-        StructField("tz", IntegerType()), StructField("url", StringType()),
-        StructField("detail", StringType()), StructField("felt", LongType()),
-        StructField("cdi", DoubleType()), StructField("mmi", DoubleType()),
+        StructField("mag", StringType()), StructField("place", StringType()),
+        StructField("time", StringType()), StructField("updated", StringType()),
+        StructField("tz", StringType()), StructField("url", StringType()),
+        StructField("detail", StringType()), StructField("felt", StringType()),
+        StructField("cdi", StringType()), StructField("mmi", StringType()),
         StructField("alert", StringType()), StructField("status", StringType()),
-        StructField("tsunami", LongType()), StructField("sig", LongType()),
+        StructField("tsunami", StringType()), StructField("sig", StringType()),
         StructField("net", StringType()), StructField("code", StringType()),
         StructField("ids", StringType()), StructField("sources", StringType()),
-        StructField("types", StringType()), StructField("nst", LongType()),
-        StructField("dmin", DoubleType()), StructField("rms", DoubleType()),
-        StructField("gap", DoubleType()), StructField("magType", StringType()),
+        StructField("types", StringType()), StructField("nst", StringType()),
+        StructField("dmin", StringType()), StructField("rms", StringType()),
+        StructField("gap", StringType()), StructField("magType", StringType()),
         StructField("type", StringType()), StructField("title", StringType()),
     ])),
 ])
@@ -187,10 +188,10 @@ EMSC_FEATURE = StructType([
     StructField("id", StringType()),
     StructField("properties", StructType([
         StructField("source_id", StringType()), StructField("unid", StringType()),
-        StructField("mag", DoubleType()), StructField("magtype", StringType()),
+        StructField("mag", StringType()), StructField("magtype", StringType()),
         StructField("time", StringType()), StructField("lastupdate", StringType()),
-        StructField("lat", DoubleType()), StructField("lon", DoubleType()),
-        StructField("depth", DoubleType()), StructField("flynn_region", StringType()),
+        StructField("lat", StringType()), StructField("lon", StringType()),
+        StructField("depth", StringType()), StructField("flynn_region", StringType()),
         StructField("evtype", StringType()),
     ])),
 ])
@@ -198,15 +199,15 @@ EMSC_DOC = StructType([StructField("type", StringType()), StructField("features"
 
 KANDILLI_ITEM = StructType([
     StructField("earthquake_id", StringType()), StructField("date_time", StringType()),
-    StructField("created_at", StringType()), StructField("mag", DoubleType()),
-    StructField("depth", DoubleType()),
+    StructField("created_at", StringType()), StructField("mag", StringType()),
+    StructField("depth", StringType()),
     StructField("geojson", StructType([
-        StructField("type", StringType()), StructField("coordinates", ArrayType(DoubleType())),
+        StructField("type", StringType()), StructField("coordinates", ArrayType(StringType())),
     ])),
     StructField("title", StringType()), StructField("location_tz", StringType()),
     StructField("provider", StringType()), StructField("epi_center_name", StringType()),
-    StructField("epi_center_population", LongType()), StructField("closest_city_name", StringType()),
-    StructField("closest_city_distance_km", DoubleType()),
+    StructField("epi_center_population", StringType()), StructField("closest_city_name", StringType()),
+    StructField("closest_city_distance_km", StringType()),
     StructField("location_properties", StringType()),
 ])
 KANDILLI_DOC = StructType([

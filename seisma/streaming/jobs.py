@@ -155,18 +155,17 @@ def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: s
     and MERGEd (``seisma.plans.ingest.ingest_batch``).  The stamp is the source,
     the checkpoint folder's name and the batch id; the MERGE only takes strictly
     newer versions and the archive skips what it has, so a replayed micro-batch
-    leaves both unchanged.  ``clock`` gives the ingestion time of a batch id
-    (default: the wall clock).
+    leaves both unchanged.  The ingestion time is the newest landing time of the
+    batch's files, or what ``clock`` says for the batch id.
     """
     from seisma.plans.ingest import ingest_batch
 
     ensure_utc(spark)
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-docs-{source}")
-    clock = clock or (lambda batch_id: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.text(landing).select(F.col("value").alias("doc"))
+    src = reader.text(landing).select(F.col("value").alias("doc"), F.col("_metadata.file_modification_time").alias("_landed"))
 
     query_name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
@@ -175,7 +174,8 @@ def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: s
             return
         s = batch.sparkSession
         stamp = f"{source}-{query_name}-{batch_id:08d}"
-        ingest_batch(s, batch, source, target, stamp, clock(batch_id), archive=archive).collect()
+        at = clock(batch_id) if clock else batch.agg(F.max("_landed")).first()[0]
+        ingest_batch(s, batch.select("doc"), source, target, stamp, at, archive=archive).collect()
 
     w = src.writeStream.foreachBatch(apply).option(
         "checkpointLocation", checkpoint)

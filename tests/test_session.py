@@ -33,4 +33,4 @@ def test_empty_ingest_reports_zero(spark):
 
     empty = spark.createDataFrame([('{"type": "FeatureCollection", "features": []}',)], "doc string")
     r = ingest_batch(spark, empty, "usgs", table_path(spark, "never-written"), "b1", dt.datetime(2024, 1, 1)).first()
-    assert (r.status, r.events_processed, r.rows_merged) == ("success", 0, 0)
+    assert (r.status, r.events_processed, r.rows_merged) == ("ok", 0, 0)

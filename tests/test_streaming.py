@@ -25,4 +25,4 @@ def test_stream_equals_batch(spark, stream, batch):
 
 def test_ingest_batch_reports_counts(spark):
     r = E.queries()["ingest_batch"](spark, SF_SMALL).first()
-    assert r.status == "success" and r.events_processed > 0 and 0 < r.rows_merged <= r.events_processed
+    assert r.status == "ok" and r.events_processed > 0 and 0 < r.rows_merged <= r.events_processed
