@@ -156,6 +156,10 @@ class Contract:
     severity: str = "error"  # "error" fails the run, "warn" does not
 
 
+class ContractError(RuntimeError):
+    """A contract of severity ``error`` has failing rows."""
+
+
 def run_contracts(contracts: Sequence[Contract]) -> DataFrame:
     """Report ``(contract, severity, failing_rows, status)``: one tiny aggregate per contract."""
     out = None

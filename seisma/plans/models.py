@@ -45,7 +45,8 @@ def test_stg(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --- one run of the whole model graph, each model materialised once ---------------
 
 def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: dt.datetime,
-                 cfg: MatchConfig = DEFAULT, refresh_days: int = 3) -> dict[str, str]:
+                 cfg: MatchConfig = DEFAULT, refresh_days: int = 3, job_log: DataFrame | None = None,
+                 stop_on_error: bool = False) -> dict[str, str]:
     """Materialise staging, reconciliation, marts and the contract report under ``root``.
 
     Every model is written once (day-partitioned where it has a day) and the
@@ -54,7 +55,11 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     Staging and reconciliation are rebuilt in full (reconciliation over the
     ``cfg.lookback`` window); the daily mart is refreshed for the last
     ``refresh_days`` days when it exists (insert-overwrite), else built whole.
-    Returns the table paths.
+    With ``job_log`` the cost fact (by ``run_date``, clustered by model) and the
+    daily cost mart are built and checked too.  The failing rows of every failed
+    contract are stored under ``failures/``; with ``stop_on_error`` a failed
+    contract of severity ``error`` raises ``ContractError`` after the report is
+    written.  Returns the table paths.
     """
     from pyspark.sql import functions as F
 
@@ -90,7 +95,7 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
         write_days(daily_stats(stg_tables, as_of), d_path, "event_date", overwrite_all=True)
     paths["dm_daily"] = d_path
 
-    unified = spark.read.parquet(u_path)
+    unified, matched = spark.read.parquet(u_path), spark.read.parquet(m_path)
     suite = [K.Contract(f"unique_{n}", K.expect_unique(t, "earthquake_id")) for n, t in stg_tables.items()]
     suite += [K.Contract(f"not_null_time_{n}", K.expect_not_null(t, "event_time")) for n, t in stg_tables.items()]
     suite += [
@@ -105,7 +110,29 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
                                                            K.FRESHNESS_SEARCH["kandilli"])),
         K.Contract("min_events", K.min_events(raw["usgs"], SPECS["usgs"].time_col, as_of)),
     ]
-    r_path = f"{root}/contract_report"
+    more = [K.Contract("unique_match_id", K.expect_unique(matched, "match_id"))]
+    for n, t in stg_tables.items():
+        more += [K.Contract(f"not_null_{c}_{n}", K.expect_not_null(t, c)) for c in ("lon", "lat")]
+        more.append(K.Contract(f"accepted_source_{n}", K.expect_accepted_values(t, "source", list(SPECS))))
+    if job_log is not None:
+        from seisma.operators.cost import daily_cost, model_cost
+
+        c_path, dc_path = f"{root}/fct_model_cost", f"{root}/dm_daily_cost"
+        write_table(model_cost(job_log, as_of), c_path, partition_by="run_date", cluster_by="model_name")
+        fact = spark.read.parquet(c_path)
+        write_table(daily_cost(fact, as_of), dc_path, partition_by="run_date")
+        daily = spark.read.parquet(dc_path)
+        paths |= {"fct_model_cost": c_path, "dm_daily_cost": dc_path}
+        more += [K.Contract("unique_cost_job", K.expect_unique(fact, "job_id")), K.Contract("unique_cost_day", K.expect_unique(daily, "run_date"))]
+        more += [K.Contract(f"not_null_cost_{c}", K.expect_not_null(fact, c)) for c in ("job_id", "model_name", "bytes_processed", "run_date")]
+
+    r_path, more_path = f"{root}/contract_report", f"{root}/contract_report_more"
     K.run_contracts(suite).coalesce(1).write.mode("overwrite").parquet(r_path)
-    paths["contract_report"] = r_path
+    K.run_contracts(more).coalesce(1).write.mode("overwrite").parquet(more_path)
+    paths |= {"contract_report": r_path, "contract_report_more": more_path}
+    report = {r.contract: r for p in (r_path, more_path) for r in spark.read.parquet(p).collect()}  # a row for each contract
+    K.store_failures([c for c in (*suite, *more) if report[c.name].failing_rows], f"{root}/failures")
+    failed = sorted(n for n, r in report.items() if r.status == "fail")
+    if stop_on_error and failed:
+        raise K.ContractError(f"failed contracts: {', '.join(failed)}")
     return paths
