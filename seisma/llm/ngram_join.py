@@ -10,9 +10,10 @@ reach it, and all of them are exact:
    at least ``k`` of their first ``n - a(n) + k`` columns.  A row with fewer
    shared columns among those has no partner and is left out; this is done with
    ``k = n / 20`` for all rows, then with ``k = 3 n / 10`` for those that remain.
-3. Among the remaining rows, columns are ordered by how many rows have them;
-   similar rows share one of the first ``n - a(n) + 1``, and rows that share one
-   come together in a group.
+3. Among the remaining rows, columns are ordered by how often they occur, as a
+   table of ``BUCKETS`` counts tells (its size is fixed, any order is exact, and
+   rare columns first make small groups); similar rows share one of the first
+   ``n - a(n) + 1``, and rows that share one come together in a group.
 4. Groups are dealt into bounded blocks, the product is accumulated block by
    block over chunks of columns, pairs of sizes too far apart are discarded,
    and the exact bound decides (``linkage``).
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from seisma.llm import linkage
 from seisma.llm.shingles import signed, word_shingles
@@ -47,6 +48,8 @@ def _least(n, percent: int):
 
 #: Share of a row's columns that each filter asks to be shared, as a fraction.
 FILTERS = ((1, 20), (3, 10))
+BUCKETS = 1 << 19
+_PARTS = 64
 
 
 def _rows(docs: DataFrame, ngram: int, percent: int, share: tuple[int, int]) -> DataFrame:
@@ -91,17 +94,45 @@ def _busy(rows: DataFrame, percent: int, share: tuple[int, int]) -> DataFrame:
     return stored(shared.where(F.col("_shared") >= F.greatest(F.lit(1), fewest)).select(F.col("id").alias("doc_id")))
 
 
-def _elements(sets: DataFrame) -> DataFrame:
-    """(id, n, key) for every column of a row."""
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many elements fall into each of ``BUCKETS`` hash buckets, over all sets."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, dtype=np.int64)
+        for b in batches:
+            for raw in b.column(0).to_pylist():
+                np.add.at(counts, (np.frombuffer(raw, "<u8") & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+        parts = counts.reshape(_PARTS, -1)
+        yield pa.RecordBatch.from_pydict({"part": pa.array(range(_PARTS), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+
+    def total(part: pa.Table) -> pa.Table:
+        counts = sum(np.frombuffer(x, np.int64) for x in part.column("counts").to_pylist())
+        return pa.table({"part": part.column("part").slice(0, 1), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+    schema = "part int, counts binary"
+    rows = sets.select("elements").mapInArrow(count, schema).groupBy("part").applyInArrow(total, schema).collect()  # _PARTS rows
+    out = np.zeros((_PARTS, BUCKETS // _PARTS), dtype=np.int64)
+    for r in rows:
+        out[r.part] = np.frombuffer(r.counts, np.int64)
+    return out.reshape(-1)
+
+
+def _postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, key) of each row's rarest columns, as many as the least overlap asks for."""
     kind = sets.schema["id"].dataType.simpleString()
+    shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))  # 8 * BUCKETS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
         for b in batches:
-            keys = [np.frombuffer(x, "<i8") for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(k) for k in keys], pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "keys"])
+            keys = []
+            for raw in b.column(1).to_pylist():
+                s = np.frombuffer(raw, "<u8")
+                order = np.argsort(often[(s & np.uint64(BUCKETS - 1)).astype(np.int64)], kind="stable")  # ties in hash order
+                keys.append(signed(s[order[: len(s) - _least(len(s), percent) + 1]]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
 
-    return sets.mapInArrow(run, f"id {kind}, n bigint, keys array<bigint>").select("id", "n", F.explode("keys").alias("key"))
+    return sets.mapInArrow(run, f"id {kind}, keys array<bigint>").select("id", F.explode("keys").alias("key"))
 
 
 def join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,14 +147,7 @@ def join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, doc_id: st
     for share in FILTERS[1:]:
         busy = _busy(stored(_rows(texts.join(small(busy), "doc_id", "left_semi"), ngram, percent, share)), percent, share)
     sets = stored(_sets(texts.join(small(busy), "doc_id", "left_semi"), ngram))
-    columns = _elements(sets)
-    often = columns.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    common = columns.join(often, "key")
-    # columns that only this row has come first in its order; they fill `n - (number of common ones)` places
-    order = Window.partitionBy("id").orderBy("df", "key")
-    places = common.select("id", "n", "key", F.row_number().over(order).alias("_at"), F.count(F.lit(1)).over(Window.partitionBy("id")).alias("_common"))
-    spare = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
-    postings = stored(places.where(F.col("_at") + F.col("n") - F.col("_common") <= spare + 1).select("key", "id"))
+    postings = stored(_postings(sets, percent))
 
     found = linkage.components(linkage.links(linkage.members(postings), sets, percent))
     named = rows.select("doc_id", "n", "high", "low").join(classes, ["high", "low"], "left")
