@@ -137,7 +137,7 @@ _CAND_COLS = ("usgs_id, kandilli_id, usgs_time, kandilli_time, usgs_mag, kandill
 
 
 @register("match_candidates", f"""{O.FEEDS},{O.matcher_ctes()}
-SELECT {_CAND_COLS} FROM ranked""")
+SELECT {_CAND_COLS} FROM near""")
 def q_match_candidates(spark, sf):
     s = _stg(spark, sf)
     c = matching.match_candidates(s["usgs"], s["kandilli"])
@@ -145,7 +145,7 @@ def q_match_candidates(spark, sf):
 
 
 @register("mutual_best", f"""{O.FEEDS},{O.matcher_ctes()}
-SELECT {_CAND_COLS} FROM ranked WHERE rn_u = 1 AND rn_k = 1""")
+SELECT {_CAND_COLS} FROM couple""")
 def q_mutual_best(spark, sf):
     s = _stg(spark, sf)
     b = matching.mutual_best(matching.match_candidates(s["usgs"], s["kandilli"]))
@@ -266,12 +266,10 @@ def q_max_event_time(spark, sf):
 # --- 2.K contracts ----------------------------------------------------------------------------
 
 def _fresh_sql(src: str, col_hours: int, as_of: str, name: str) -> str:
-    return f"""{O.FEEDS},
-latest AS (SELECT max(event_time) AS latest_event_time FROM quake_raw
-           WHERE source = '{src}' AND event_time >= {as_of} - INTERVAL {col_hours} HOUR)
-SELECT '{name}' AS test_name, latest_event_time,
-       date_sub('minute', latest_event_time, {as_of}) AS minutes_since_last_event
-FROM latest WHERE latest_event_time IS NULL OR latest_event_time < {as_of} - INTERVAL 120 MINUTE"""
+    return f"""{O.FEEDS}
+SELECT '{name}' AS test_name, newest AS latest_event_time, date_sub('minute', newest, {as_of}) AS minutes_since_last_event
+FROM (SELECT max(event_time) FILTER (event_time >= {as_of} - INTERVAL {col_hours} HOUR) AS newest FROM quake_raw WHERE source = '{src}')
+WHERE coalesce(newest < {as_of} - INTERVAL 2 HOUR, true)"""
 
 
 _LATE_SQL = f"({O.AS_OF_SQL} + INTERVAL 330 MINUTE)"
@@ -313,12 +311,11 @@ def q_source_freshness(spark, sf):
 
 
 def _min_events_sql(as_of: str) -> str:
-    return f"""{O.FEEDS},
-hourly AS (SELECT date_trunc('hour', event_time) AS hour_bucket, count(*) AS event_count FROM quake_raw
-           WHERE source = 'usgs' AND event_time >= {as_of} - INTERVAL 6 HOUR GROUP BY 1)
-SELECT 'Min events check' AS test_name, count(*) AS hours_with_events,
-       CAST(coalesce(sum(event_count), 0) AS BIGINT) AS total_events
-FROM hourly HAVING count(*) < 2"""
+    return f"""{O.FEEDS}
+SELECT 'Min events check' AS test_name, * FROM (
+  SELECT count(DISTINCT date_trunc('hour', event_time)) AS hours_with_events, count(*) AS total_events
+  FROM quake_raw WHERE source = 'usgs' AND event_time >= {as_of} - INTERVAL 6 HOUR)
+WHERE hours_with_events < 2"""
 
 
 @register("min_events", _min_events_sql(O.AS_OF_SQL))
@@ -758,13 +755,13 @@ def _streamed_candidates(spark, sf):
 
 
 @register("stream_candidates", f"""{O.FEEDS},{O.matcher_ctes()}
-SELECT {_CAND_COLS} FROM ranked""")
+SELECT {_CAND_COLS} FROM near""")
 def q_stream_candidates(spark, sf):
     return naive_ts(_streamed_candidates(spark, sf).withColumn("distance_km", F.round("distance_km", 6)))
 
 
 @register("stream_match", f"""{O.FEEDS},{O.matcher_ctes()}
-SELECT {_CAND_COLS} FROM ranked WHERE rn_u = 1 AND rn_k = 1""")
+SELECT {_CAND_COLS} FROM couple""")
 def q_stream_match(spark, sf):
     best = matching.mutual_best(_streamed_candidates(spark, sf))
     return naive_ts(best.withColumn("distance_km", F.round("distance_km", 6)))
