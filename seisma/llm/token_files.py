@@ -9,12 +9,12 @@ offset, so that blocks are packed and unpacked all at once with array
 operations.
 
 A record is ``u32 n_ids, u32 n_blocks, u32 offset[n_blocks], padding to eight
-bytes, u64 word[...]``, little-endian.  ``write`` encodes the documents, brings
-the records into ascending id order by one range shuffle and writes them with
-Spark's writer; ``read`` decodes the files again.
+bytes, u64 word[...]``, little-endian.  ``write`` brings the documents into ascending id order by one
+range shuffle, encodes them and writes the records with Spark's writer; ``read``
+decodes the files again.
 
 Defined results: a null text is the empty text (the end id alone); null ids come
-first; rows with equal ids are ordered by their records; an empty table writes
+first; rows with equal ids are ordered by their texts' hashes; an empty table writes
 an empty folder.
 """
 
@@ -174,35 +174,33 @@ _AT_ONCE = 256  # documents packed at once
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Write the files: doc_id, n_tokens, record, with part and start_in_part telling the order."""
+    """Write the files: doc_id, n_tokens, record, with part and start_in_part telling the order.
+
+    The texts are range-partitioned, not the records: finding the range bounds runs over the shuffle's
+    input once more, which must not be the encoder.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _ids.setdefault(tokenizer, _Ids(tokenizer))
         tail = np.array([end_id], dtype="<u4").tobytes()
+        part, done = TaskContext.get().partitionId(), 0
         for whole in batches:
             for at in range(0, whole.num_rows, _AT_ONCE):
                 b = whole.slice(at, _AT_ONCE)
                 raw = [x + tail for x in of(b.column(1).to_pylist())]
                 lengths = np.array([len(x) // 4 for x in raw], dtype=np.int64)
                 records = pack(np.frombuffer(b"".join(raw), "<u4"), lengths)
+                start = done + np.cumsum(lengths) - lengths
+                done += int(lengths.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(lengths), pa.array(records, pa.binary())], names=["doc_id", "n_tokens", "record"])
+                    [b.column(0), pa.array(lengths), pa.array(records, pa.binary()), pa.array(np.full(len(lengths), part, dtype=np.int32)), pa.array(start)],
+                    names=["doc_id", "n_tokens", "record", "part", "start_in_part"])
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
-        for b in batches:
-            n = b.column(1).to_numpy()
-            start = done + np.cumsum(n) - n
-            done += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(start, pa.int64())],
-                names=["doc_id", "n_tokens", "record", "part", "start_in_part"])
-
-    fields = f"doc_id {kind}, n_tokens bigint, record binary"
-    records = docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(encode, fields)
-    ordered = records.withColumn("_h", F.xxhash64("record")).repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "record").drop("_h")
-    ordered.mapInArrow(number, fields + ", part int, start_in_part bigint").write.option("compression", "none").parquet(folder)
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
+    ordered = texts.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
+    ordered.mapInArrow(encode, f"doc_id {kind}, n_tokens bigint, record binary, part int, start_in_part bigint").write.option(
+        "compression", "none").parquet(folder)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
