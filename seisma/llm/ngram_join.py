@@ -88,7 +88,8 @@ def _sets(docs: DataFrame, ngram: int) -> DataFrame:
 def _busy(rows: DataFrame, percent: int, share: tuple[int, int]) -> DataFrame:
     """doc_id of the rows that share enough of their first columns with other rows."""
     first = rows.select(F.col("doc_id").alias("id"), "n", F.explode("first").alias("key"))
-    shared = first.join(small(linkage.shared_keys(first)), "key").groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("n"))
+    # shared columns grow with the input, so both sides of this join are shuffled at every size
+    shared = first.join(linkage.shared_keys(first), "key").groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("n"))
     # a partner may be smaller, down to the least overlap, and then looks at fewer columns
     fewest = F.floor(F.floor((F.col("n") * percent + 99) / 100) * share[0] / share[1])
     return stored(shared.where(F.col("_shared") >= F.greatest(F.lit(1), fewest)).select(F.col("id").alias("doc_id")))
