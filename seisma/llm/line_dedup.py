@@ -1,8 +1,8 @@
 """Fuzzy line de-duplication by MinHash over character shingles.
 
 Lines (between line ends) are folded: A-Z lower-cased, runs of white space one
-space, ends trimmed.  Lines of at least ``MIN_WORDS`` words take part; shorter
-ones (headings, list marks, single words) always stay.
+space, ends trimmed.  Every line that is not blank takes part; one shorter than
+a shingle is similar to its equals only.  Blank lines always stay.
 
 1. One pass over the texts gives each line a 64-bit id of its folded text and
    ``BANDS`` band hashes over ``ROWS`` minima each, of ``SHINGLE``-character
@@ -15,8 +15,8 @@ ones (headings, list marks, single words) always stay.
 At similarity 0.8 a pair shares no band with probability 0.5 %, at 0.9 with
 probability 2e-5.
 
-Defined results: a null text stays null; an empty text and texts without long
-lines stay as they are; a document may lose all its lines and is then empty
+Defined results: a null text stays null; an empty text and texts of blank lines
+alone stay as they are; a document may lose all its lines and is then empty
 text, its row stays; repeated rows of one doc_id are one document and keep the
 same lines; rows with a null doc_id keep all lines, and come first.
 """
@@ -38,7 +38,6 @@ SHINGLE = 8
 BANDS = 10
 ROWS = 4
 PERCENT = 80
-MIN_WORDS = 5
 
 _R = np.random.default_rng(8)
 _XOR = _R.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
@@ -48,9 +47,9 @@ _AT_ONCE = 50_000  # characters hashed at once
 
 
 def fold(line: str) -> str | None:
-    """The folded line, or None where it has too few words to take part."""
+    """The folded line, or None where it is blank."""
     words = line.split()
-    if len(words) < MIN_WORDS:
+    if not words:
         return None
     return " ".join(words).encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # bytes fold A-Z alone
 

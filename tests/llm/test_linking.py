@@ -162,6 +162,24 @@ def test_line_dedup_odd_rows(spark):
     assert got == sorted([(2, ""), (2, ""), (None, line), (3, "kept")], key=repr)
 
 
+def own_fold(line):
+    return re.sub("[A-Z]", lambda m: chr(ord(m.group()) + 32), " ".join(line.split())) or None
+
+
+def test_line_dedup_takes_short_lines(spark, monkeypatch):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    long_word = "".join(chr(0x4E00 + i * 37 % 900) for i in range(60))
+    extra = ["les.", "Les. \n\n  \nnew one", "a\nb\nA\n \na b", "aaaaaaaa\naaaaaaaaa", long_word, long_word[:-1] + "x\n" + long_word[::-1],
+             "one two three, four\nOne  two\tthree, four\nquite other words", "\u00a0\n\u3000\nles."]
+    docs |= {1000 + k: t for k, t in enumerate(extra)}
+    with monkeypatch.context() as m:
+        m.setattr(line_dedup, "fold", own_fold)
+        want = brute_lines(docs)
+    got = rows(line_dedup.dedup(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")))
+    assert len(got) == len(docs) and {r["doc_id"]: r["dropped_lines"] for r in got if r["dropped_lines"]} == want
+    assert 0 in want[1001] and want[1002] == [2] and want[1003] == [1] and want[1005] == [0] and want[1006] == [1] and want[1007] == [2]
+
+
 def test_band_recall():
     rng = np.random.default_rng(9)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz     "))
