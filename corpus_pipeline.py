@@ -21,7 +21,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document all of whose content stands in earlier documents goes; one that was empty before stays.
     """
     kept = line_dedup.dedup(docs, report="__dropped")
-    kept = kept.where(F.col("__dropped").isNull() | F.col("text").rlike(r"\S"))
+    kept = kept.where(F.col("__dropped").isNull() | F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]"))  # blank as in line_dedup.fold
     columns = [F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return kept.select(columns)
 

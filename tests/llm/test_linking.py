@@ -318,3 +318,16 @@ def test_pipeline_catches_planted_rows(spark):
     assert 900003 not in leaks and {900001, 900002, 900004} <= leaks
     lines = {r.doc_id: r.text for r in stages["line_dedup"](spark, both, SF_SMALL).collect()}
     assert lines[900001] == clean and 900002 not in lines and lines[900004] == planted.collect()[3].text
+
+
+def test_pipeline_drops_whole_copies(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    long = ["\n".join(" ".join(f"plain{j} text{(i * 5 + j) * 7 % 31}" for j in range(i * 20, i * 20 + 20)) for i in (2 * k, 2 * k + 1)) for k in range(3)]
+    text = f"Haanth.\n{long[0]}\n\nTwo words\n\u00a0\n{long[1]}\nthree short words\n \n{long[2]}\n\u65e5\u672c\u8a9e\u306e\u6587\n\u3000\n\x1f\nEnd"
+    planted = [text, text, text.upper(), text.replace(" ", "  ") + "\n", "another text that stands alone\nwith a short line"]
+    folder = str(tmp_path / "sf")
+    docs.unionByName(spark.createDataFrame([(900001 + k, t, "en", "s", len(t)) for k, t in enumerate(planted)], docs.schema)).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    done = {r.doc_id for r in corpus_pipeline.run(spark, folder).select("doc_id").collect()}
+    assert {i for i in done if i > 900000} == {900001, 900005}
