@@ -10,7 +10,9 @@ matches as they are and keep the work linear in very long runs.
 Kinds: ``email``, ``ip`` (parts at most 255), ``card`` (13 to 19 digits, Luhn),
 ``phone`` (9 to 15 digits after a plus sign), and ``iban`` (mod-97), which is
 reported beside the others.  A match that fails its check is dropped without
-another try.  A span's score starts at its kind's prior and moves with words
+another try.  An account number is tried at each head (two capitals, two digits),
+in its country's length or, for other codes, in 34 to 15 characters, the longest
+that passes; of spans that overlap the first stays.  A span's score starts at its kind's prior and moves with words
 found within ``CONTEXT`` code points around it; scores rank spans, they drop none.
 
 Defined results: a null text is the empty text, without spans; repeated rows
@@ -31,7 +33,14 @@ _PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",  # the head only, see _accounts
+}
+#: Countries by the length of their account numbers.
+_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
 _TRACE = {
     "email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}",
@@ -67,6 +76,28 @@ def _mod97(match: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), lambda acc, c: F.when(c == "", acc).otherwise(step(acc, c)))
 
 
+def _accounts(text: Column, heads: Column) -> Column:
+    """array<struct<start, end>> of the account numbers that begin at the heads and pass mod-97."""
+
+    def whole(codes: str, n: int) -> str:
+        return rf"(?:{codes})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])"
+
+    codes = {n: x.replace(" ", "|") for n, x in _COUNTRIES.items()}
+    known = "^(?:" + "|".join(whole(x, n) for n, x in codes.items()) + ")"
+
+    def place(head: Column) -> Column:
+        near = F.substring(text, head["start"] + 1, F.lit(65))  # 34 characters, 30 blanks and what follows
+        tries = F.when(near.rlike(f"^(?:{'|'.join(codes.values())})"), F.array(F.regexp_extract(near, known, 0))).otherwise(
+            F.array(*(F.regexp_extract(near, "^" + whole("[A-Z]{2}", n), 0) for n in range(34, 14, -1))))
+        passed = F.filter(tries, lambda m: (m != "") & (_mod97(m) == 1))
+        return F.struct(head["start"].alias("start"), (head["start"] + F.length(F.try_element_at(passed, F.lit(1)))).alias("end"))
+
+    found = F.filter(F.transform(heads, place), lambda p: p["end"].isNotNull())
+    return F.aggregate(
+        found, F.array().cast("array<struct<start:int,end:int>>"),
+        lambda acc, p: F.when(F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)) <= p["start"], F.concat(acc, F.array(p))).otherwise(acc))
+
+
 def _valid(kind: str, match: Column) -> Column:
     n = F.length(_digits(match))
     if kind == "ip":
@@ -116,6 +147,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     out = out.withColumns({f"_m_{k}": F.when(body.rlike(_TRACE[k]), F.regexp_extract_all(body, F.lit(_PATTERNS[k]), F.lit(0))).otherwise(none) for k in ALL_KINDS})
     out = out.withColumns({f"_p_{k}": F.when(F.size(f"_m_{k}") > 0, _places(F.split(body, _PATTERNS[k], -1), F.col(f"_m_{k}"))).otherwise(
         F.array().cast("array<struct<start:int,end:int>>")) for k in ALL_KINDS})
+    out = out.withColumn("_p_iban", _accounts(body, F.col("_p_iban")))
+    out = out.withColumn("_m_iban", F.transform("_p_iban", lambda p: F.substring(body, p["start"] + 1, p["end"] - p["start"])))
     return out.select("doc_id", *(_spans(k, body, F.col(f"_m_{k}"), F.col(f"_p_{k}")).alias(k) for k in ALL_KINDS))
 
 

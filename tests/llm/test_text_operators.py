@@ -287,3 +287,24 @@ def test_pii_against_brute_force(spark, docs, odd, empty):
 def test_pii_has_no_python(spark, docs):
     plan = pii.report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def account(code, rest):
+    """A valid account number: the check digits are 98 less the remainder."""
+    n = int("".join(str(int(c, 36)) for c in rest + code + "00"))
+    return f"{code}{98 - n % 97:02d}{rest}"
+
+
+def test_pii_account_numbers_before_capitals_and_digits(spark):
+    de, gb, no = "DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947"
+    mt, zz = "MT84MALT011000012345MTLCAST001S", account("ZZ", "0123456789ABCDE")
+    spaced = [" ".join(x[i : i + 4] for i in range(0, len(x), 4)) for x in (de, gb, no, mt, zz)]
+    wanted = [  # text with its numbers in braces
+        *(f"😀 {{{x}}}{tail}" for x in (de, gb, no, mt, *spaced[:4]) for tail in (" Please", " Bank", " 12 times", " A", " 1", "", ".", " NO WAY 12 AND 34 MORE", "\nX1")),
+        f"{{{zz}}} please", f"{{{spaced[4]}}}, A", f"{{{de}}} {{{gb}}} {{{no}}}", f"{{{spaced[0]}}} {{{spaced[1]}}} 77", f"ID12 {{{spaced[0]}}} OK",
+        f"x{de} {de}x {de}7 {de[:-1]} DE88370400440532013000 Please"]
+    df = spark.createDataFrame(list(enumerate(x.replace("{", "").replace("}", "") for x in wanted)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["iban"]] for r in rows(pii.find(df))}
+    for i, x in enumerate(wanted):
+        marks = [m.start() - k for k, m in enumerate(re.finditer("[{}]", x))]
+        assert got[i] == list(zip(marks[::2], marks[1::2])), x
