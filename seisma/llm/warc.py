@@ -91,10 +91,15 @@ def _body(heads: dict[str, str], payload: bytes) -> bytes:
         payload = b"".join(out)
     coding = heads.get("content-encoding", "").lower()
     if coding in ("gzip", "x-gzip", "deflate"):
+        out, rest = [], payload
         try:
-            payload = zlib.decompressobj(47 if "gzip" in coding else 15).decompress(payload)
-        except zlib.error:
+            while rest:  # a body may have several gzip members
+                member = zlib.decompressobj(47 if "gzip" in coding else 15)
+                out.append(member.decompress(rest))
+                rest = member.unused_data if "gzip" in coding else b""
+        except zlib.error:  # not compressed, or padding after the last member
             pass
+        payload = b"".join(out) if out else payload
     return payload
 
 

@@ -287,6 +287,17 @@ def test_warc_other_records(spark):
     assert not warc.derive(df.limit(0)).collect()
 
 
+def test_warc_body_of_several_members():
+    import gzip
+    import zlib
+
+    a, b = gzip.compress(b"<p>one "), gzip.compress(b"two")
+    heads = {"content-encoding": "gzip"}
+    assert warc._body(heads, a + b) == b"<p>one two" and warc._body(heads, a + b + bytes(9)) == b"<p>one two"
+    assert warc._body(heads, b"plain") == b"plain" and warc._body(heads, b"") == b"" and warc._body(heads, a) == b"<p>one "
+    assert warc._body({"content-encoding": "deflate"}, zlib.compress(b"x") + b"junk") == b"x"
+
+
 # the pipeline
 
 
