@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisma.llm import ann, bpe, decontaminate, line_dedup, ngram_join, pii, sharding, token_files, toxicity, warc
+from seisma.llm import ann, bpe, decontaminate, line_dedup, merkle, ngram_join, pii, sharding, token_files, toxicity, warc
 from seisma.llm.oracle import ORACLE
 from seisma.llm.tables import table
 from seisma.session import scratch_path
@@ -76,6 +77,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs over all documents; of those whose id's checksum 5 divides, the text is found lower-cased."""
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    return merkle.verify(merkle.build(merkle.leaves(docs, now={"text": lower}, when=tampered)))
+
+
 __all__ = ["END_ID", "ORACLE", "QUERIES", "tokenizer_path"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -89,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
+    "op12_merkle": op12_merkle,
 }
 
