@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisma.llm import ann, bpe, decontaminate, line_dedup, merkle, ngram_join, pii, sharding, token_files, toxicity, warc
+from seisma.llm import alignment, ann, bpe, decontaminate, line_dedup, merkle, ngram_join, pii, sharding, token_files, toxicity, warc
 from seisma.llm.oracle import ORACLE
 from seisma.llm.tables import table
 from seisma.session import scratch_path
@@ -85,6 +85,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.build(merkle.leaves(docs, now={"text": lower}, when=tampered)))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 __all__ = ["END_ID", "ORACLE", "QUERIES", "tokenizer_path"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -99,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
     "op12_merkle": op12_merkle,
+    "op13_alignment": op13_alignment,
 }
 
