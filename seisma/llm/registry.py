@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisma.llm import alignment, ann, bpe, decontaminate, line_dedup, merkle, ngram_join, pii, sharding, token_files, toxicity, warc
+from seisma.llm import alignment, ann, bpe, decontaminate, line_dedup, merkle, ngram_join, pii, quality, sharding, token_files, toxicity, warc
 from seisma.llm.oracle import ORACLE
 from seisma.llm.tables import table
 from seisma.session import scratch_path
@@ -77,6 +77,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs over all documents; of those whose id's checksum 5 divides, the text is found lower-cased."""
     docs = table(spark, sf_dir, "documents")
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
+    "op11_quality": op11_quality,
     "op12_merkle": op12_merkle,
     "op13_alignment": op13_alignment,
 }
