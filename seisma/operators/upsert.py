@@ -9,6 +9,8 @@ keep the first-seen value on update.  Re-applying a batch changes nothing.
 day-partitioned Parquet table and rewrites only the days the batch touches
 (the old day of every updated key and the day of every batch row), so the
 cost per batch is proportional to the touched days, not to the whole table.
+``merge_snapshot`` does the same on a ``DayTable``: the changed days become a
+new version in one step, and a batch that changes nothing commits nothing.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from seisma.operators.dedup import dedup_latest
 from seisma.operators.sinks import write_days
+from seisma.operators.snapshots import DayTable, in_days
 from seisma.session import checkpointed, read_if_exists
 from seisma.sources.schemas import SourceSpec
 
@@ -110,12 +113,6 @@ def split_required(batch: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataF
     return batch.where(ok), batch.where(~F.coalesce(ok, F.lit(False)))
 
 
-def _day_in(col: str, days: list) -> Column:
-    """``col`` is one of ``days``; None stands for the NULL day."""
-    known = [d for d in days if d is not None]
-    return F.col(col).isin(known) | F.col(col).isNull() if None in days else F.col(col).isin(known)
-
-
 def quarantine_rows(rows: DataFrame, path: str) -> None:
     """Append ``rows`` to the table at ``path``, leaving out rows that are there already (a replay adds none)."""
     marked = rows.withColumn("reject_id", F.sha2(F.to_json(F.struct(*rows.columns)), 256)).dropDuplicates(["reject_id"])
@@ -156,14 +153,35 @@ def merge_into_days(spark: SparkSession, path: str, batch: DataFrame, spec: Sour
     days = [r[0] for r in hit.unionByName(batch.select(date_col)).distinct().collect()]  # calendar days
 
     cols = [c for c in target.columns if c != date_col]
-    affected = target.where(_day_in(date_col, days)).select(*cols)
+    merged = _rebuilt(target.where(in_days(date_col, days)), batch, spec, date_col)
+    counts = _counts(merged)
+
+    # Dynamic overwrite replaces only days present in the output; a touched
+    # day whose every row moved to another day is overwritten with no rows.
+    kept = {r[0] for r in merged.select(date_col).distinct().collect()}
+    write_days(merged.drop("_action"), path, date_col, cluster_by=None)
+    nothing = merged.select(*cols).limit(0).coalesce(1)
+    for d in days:
+        if d not in kept:
+            name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
+            nothing.write.mode("overwrite").parquet(f"{root}/{date_col}={name}")
+    return counts
+
+
+def _rebuilt(affected: DataFrame, batch: DataFrame, spec: SourceSpec, date_col: str) -> DataFrame:
+    """All rows of the affected days after the merge, with ``_action`` and their day, computed once."""
+    key, cols = spec.key, [c for c in affected.columns if c != date_col]
+    affected = affected.select(*cols)
     keyless = affected.where(F.col(key).isNull())  # takes no part in the merge, but its day is rewritten
     affected = dedup_batch(affected.where(F.col(key).isNotNull()), key, spec.version)
     merged = upsert_tagged(affected, batch.select(*cols), key, spec.version, spec.keep_on_update, dedup=False)
     merged = merged.unionByName(keyless.withColumn("_action", F.lit("keep")))
-    merged = checkpointed(merged.withColumn(date_col, F.to_date(spec.time_col)))
+    return checkpointed(merged.withColumn(date_col, F.to_date(spec.time_col)))
+
+
+def _counts(merged: DataFrame) -> DataFrame:
     act = F.col("_action")
-    counts = merged.agg(
+    return merged.agg(
         F.sum(F.when(act == "insert", 1).otherwise(0)).cast("bigint").alias("rows_inserted"),
         F.sum(F.when(act == "update", 1).otherwise(0)).cast("bigint").alias("rows_updated"),
     ).select(
@@ -172,13 +190,38 @@ def merge_into_days(spark: SparkSession, path: str, batch: DataFrame, spec: Sour
         F.lit(0).cast("bigint").alias("rows_deleted"),
     ).withColumn("rows_affected", F.col("rows_inserted") + F.col("rows_updated"))
 
-    # Dynamic overwrite replaces only days present in the output; a touched
-    # day whose every row moved to another day is overwritten with no rows.
-    kept = {r[0] for r in merged.select(date_col).distinct().collect()}
-    write_days(merged.drop("_action"), path, date_col, cluster_by=None)
-    nothing = merged.select(*cols).limit(0).coalesce(1)
-    for d in days:
-        if d not in kept:
-            name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
-            nothing.write.mode("overwrite").parquet(f"{root}/{date_col}={name}")
-    return counts
+
+def merge_snapshot(table: DayTable, batch: DataFrame, spec: SourceSpec, quarantine: str | None = None,
+                   note: dict | None = None) -> DataFrame:
+    """MERGE ``batch`` into a snapshot table; returns the counts row.
+
+    As ``merge_into_days``, but the days that really change (the days of inserted and updated rows,
+    and the days those keys left) are written beside the old ones and become visible together.  The
+    table before the merge stays readable by its version.  A writer that came first makes this one
+    raise ``SnapshotConflict``; repeating the batch is then right, as it is after any crash.
+    """
+    key, day = spec.key, table.date_col
+    good, bad = split_required(batch, spec)
+    quarantine_rows(bad, quarantine or f"{table.root}_rejected")
+    batch = checkpointed(dedup_batch(good, key, spec.version).withColumn(day, F.to_date(spec.time_col)))
+    base = table.version()
+    if base is None:
+        first = batch.select(*spec.raw_names, day)
+        table.create(first, note)
+        return _counts(first.withColumn("_action", F.lit("insert")))
+    hit = checkpointed(table.read(base).select(key, day).join(batch.select(key), key, "left_semi"))  # at most a row for each batch key
+    days = [r[0] for r in hit.select(day).unionByName(batch.select(day)).distinct().collect()]  # calendar days
+    merged = _rebuilt(table.read(base, days), batch, spec, day)
+    changed = merged.where(F.col("_action") != "keep").select(key, day)
+    left = hit.join(changed.select(key), key, "left_semi").select(day)
+    touched = [r[0] for r in changed.select(day).unionByName(left).distinct().collect()]
+    if touched:
+        table.replace(merged.where(in_days(day, touched)).drop("_action"), touched, base, note)
+    return _counts(merged)
+
+
+def merge_stored(spark: SparkSession, target: str | DayTable, batch: DataFrame, spec: SourceSpec, **options) -> DataFrame:
+    """MERGE into a snapshot table, or into the day-partitioned table at a path."""
+    if isinstance(target, DayTable):
+        return merge_snapshot(target, batch, spec, **options)
+    return merge_into_days(spark, target, batch, spec, **options)

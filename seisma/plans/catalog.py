@@ -25,6 +25,7 @@ from seisma.operators import matching
 from seisma.operators import sinks
 from seisma.operators import upsert as U
 from seisma.operators.dedup import dedup_latest
+from seisma.operators.snapshots import DayTable
 from seisma.operators.staging import stg_project
 from seisma.operators.unify import unify_events
 from seisma.plans import models
@@ -609,6 +610,58 @@ def q_merge_days(spark, sf):
     return _merge_out(spark.read.parquet(path).drop("event_date"), spec)
 
 
+def _snapshot_target(spark, sf, src: str) -> tuple[DayTable, DataFrame]:
+    """The feed's raw table as a snapshot table holding the merge target, and the batch."""
+    t, s = testdata.merge_inputs(testdata.table(spark, sf, "events"), src)
+    table = DayTable(spark, sinks.table_path(spark, f"snapshot_{src}"))
+    table.create(t.withColumn("event_date", F.to_date(SPECS[src].time_col)))
+    return table, s
+
+
+def _make_snapshot_merge(src: str):
+    def q(spark, sf):
+        """Storage-level MERGE as a new version of a snapshot table."""
+        table, s = _snapshot_target(spark, sf, src)
+        U.merge_snapshot(table, s, SPECS[src])
+        return _merge_out(table.read().drop("event_date"), SPECS[src])
+
+    return q
+
+
+for _src in ("usgs", "emsc", "kandilli"):
+    register(f"merge_snapshot_{_src}", f"{O.merge_ctes(_src)}\n{_MERGE_SELECT}")(_make_snapshot_merge(_src))
+
+
+@register("snapshot_versions", f"""{O.merge_ctes('usgs')},
+told AS (SELECT 0 AS version, k, v, mag FROM tgt UNION ALL SELECT 1, k, v, mag FROM merged)
+SELECT version, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(v) AS BIGINT) AS n_versions, CAST(count(mag) AS BIGINT) AS n_mags FROM told GROUP BY 1""")
+def q_snapshot_versions(spark, sf):
+    """Both versions of a table stay readable: before the merge and after it; a replayed batch adds none."""
+    spec = SPECS["usgs"]
+    table, s = _snapshot_target(spark, sf, "usgs")
+    for _ in range(2):
+        U.merge_snapshot(table, s, spec)
+    out = None
+    for v in table.versions():
+        part = table.read(v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows"), F.count(spec.version).alias("n_versions"), F.count("mag").alias("n_mags"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("build_days_daily", f"""{O.merged_stg()}
+{O.daily_sql('stg')}""")
+def q_build_days(spark, sf):
+    """Daily mart after a build, a merge into all three feeds and a second build of the touched days."""
+    raw, batches = {}, {}
+    for src in SPECS:
+        raw[src], batches[src] = _snapshot_target(spark, sf, src)
+    root = sinks.table_path(spark, "build_days")
+    models.build_days(spark, raw, root, AS_OF)
+    for src, b in batches.items():
+        U.merge_snapshot(raw[src], b, SPECS[src])
+    return naive_ts(models.build_days(spark, raw, root, AS_OF)["dm_daily"].read())
+
+
 # --- 2.A sources, sinks, landing -------------------------------------------------------------
 
 @register("archive_raw", """

@@ -166,9 +166,9 @@ def cost_current(part: DataFrame) -> DataFrame:
 def merge_inputs(events: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """(target, batch) raw frames of one feed for the upsert operators.
 
-    target = first versions of rows with ``n % 3 <> 0`` (version NULL where
+    target = first versions of rows with ``n % 6 <> 0`` (version NULL where
     ``n % 11 = 0``); batch = all versions of rows with ``n % 2 = 0`` (version
-    NULL where ``n % 7 = 0``), not yet deduplicated.
+    NULL where ``n % 7 = 0``), not yet deduplicated.  Every event is in one of them.
     """
     spec = SPECS[source]
     base = with_feed_columns(quake_base(events).where(F.col("source") == source))
@@ -179,6 +179,6 @@ def merge_inputs(events: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
         return df.withColumn("updated", F.when(cond, F.lit(None)).otherwise(F.col("updated"))).withColumn(
             "created_at", F.col("updated"))
 
-    target = to_raw(null_version(base.where(n % 3 != 0), n % 11 == 0), spec)
+    target = to_raw(null_version(base.where(n % 6 != 0), n % 11 == 0), spec)
     batch = to_raw(null_version(raw.where(n % 2 == 0), n % 7 == 0), spec)
     return target, batch

@@ -26,8 +26,9 @@ from pyspark.sql.types import StructType
 from seisma.functions.geo import haversine_km
 from seisma.functions.times import seconds_between
 from seisma.operators.matching import DEFAULT, MatchConfig, home, reach_keys, usable
-from seisma.operators.upsert import merge_into_days, upsert
 from seisma.operators.sinks import write_days
+from seisma.operators.snapshots import DayTable
+from seisma.operators.upsert import merge_stored, upsert
 from seisma.session import checkpointed, ensure_utc, read_if_exists, scratch_path
 from seisma.sources.schemas import SourceSpec
 
@@ -38,7 +39,7 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def stream_ingest(spark: SparkSession, landing: str, schema: StructType, spec: SourceSpec, target: str,
+def stream_ingest(spark: SparkSession, landing: str, schema: StructType, spec: SourceSpec, target: str | DayTable,
                   checkpoint: str | None = None, trigger: str | None = "availableNow",
                   max_files_per_trigger: int | None = None, date_col: str = "event_date") -> StreamingQuery:
     """Raw feed rows landing as NDJSON -> MERGE into ``target`` once per micro-batch."""
@@ -52,7 +53,7 @@ def stream_ingest(spark: SparkSession, landing: str, schema: StructType, spec: S
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # nothing fetched: write nothing
             return
-        merge_into_days(batch.sparkSession, target, batch, spec, date_col)
+        merge_stored(batch.sparkSession, target, batch, spec, **({} if isinstance(target, DayTable) else {"date_col": date_col}))
 
     w = src.writeStream.foreachBatch(apply).option(
         "checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-ingest-{spec.name}"))
@@ -146,7 +147,7 @@ def run_to_end(q: StreamingQuery, timeout: dt.timedelta = dt.timedelta(minutes=3
         raise RuntimeError(str(q.exception()))
 
 
-def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: str, archive: str | None = None,
+def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: str | DayTable, archive: str | None = None,
                        checkpoint: str | None = None, trigger: str | None = "availableNow",
                        max_files_per_trigger: int | None = None, clock=None) -> StreamingQuery:
     """Feed documents landing as text lines (one document per line) -> one ingest run per micro-batch.
