@@ -15,10 +15,20 @@ def content_hash(c, length: int = 8) -> Column:
     return F.substring(F.md5(_c(c).cast("string")), 1, length)
 
 
+def _canonical(c) -> Column:
+    """JSON text without blanks and with sorted keys; text that is no JSON as it is."""
+    text = _c(c).cast("string")
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+
+
 def document_hash(c, length: int = 8) -> Column:
     """Content hash of a JSON document: the order of its keys and its blanks do not count (text that is no JSON: as it is)."""
-    text = _c(c).cast("string")
-    return content_hash(F.coalesce(F.to_json(F.try_parse_json(text)), text), length)
+    return content_hash(_canonical(c), length)
+
+
+def document_digest(c) -> Column:
+    """A JSON document's identity: the whole SHA-256 of the same text that ``document_hash`` shortens."""
+    return F.sha2(_canonical(c).cast("binary"), 256)
 
 
 def struct_content_hash(*cols: str, length: int = 8) -> Column:

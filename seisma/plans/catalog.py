@@ -675,6 +675,18 @@ def q_archive_raw(spark, sf):
     return L.read_archive(spark, path).select("source", "year", "month", "day", "hour", "content_hash", "doc")
 
 
+@register("archive_replay", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_docs FROM (SELECT DISTINCT ts, event_id FROM events) GROUP BY 1""")
+def q_archive_replay(spark, sf):
+    """Documents per day after the same batch was archived twice, each event a document of its own."""
+    ev = testdata.table(spark, sf, "events")
+    path = sinks.table_path(spark, "archive")
+    docs = ev.select(F.to_json(F.struct("event_id", "props")).alias("doc"), F.col("ts").cast("timestamp").alias("ingestion_time"))
+    for _ in range(2):
+        L.archive_raw(docs, path, source="events")
+    return L.read_archive(spark, path).groupBy(F.concat_ws("-", "year", "month", "day").alias("day")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
 @register("content_hash", "SELECT page_id, substr(md5(url), 1, 8) AS content_hash FROM pages")
 def q_content_hash(spark, sf):
     return testdata.table(spark, sf, "pages").select("page_id", content_hash("url").alias("content_hash"))

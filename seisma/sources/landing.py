@@ -2,7 +2,8 @@
 
 * ``archive_raw`` writes feed documents under
   ``source=S/year=Y/month=MM/day=DD/hour=HH`` (partitioned JSON lines) with a
-  content hash, so a re-fetched identical document is recognisable.
+  content hash.  What the archive holds is looked up in ``<archive>_digests``,
+  a narrow Parquet table of whole digests partitioned by source and day.
 * ``write_ndjson`` / ``load_ndjson`` are the staging hop: newline-delimited
   JSON, read back with an explicit schema in FAILFAST mode (a bad record
   fails the load instead of being dropped).
@@ -17,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from seisma.functions.hashing import document_hash
-from seisma.session import checkpointed
+from seisma.functions.hashing import document_digest, document_hash
+from seisma.session import checkpointed, read_if_exists
 
 ARCHIVE_SCHEMA = StructType([
     StructField("ingestion_time", TimestampType()),
@@ -47,7 +48,10 @@ def archive_raw(docs: DataFrame, path: str, source: str | Column = "source",
     """Append documents (column ``doc``) to the partitioned archive; NULL documents are an error.
 
     A document that the archive has with the same source, ingestion time and content is not written
-    again, so a replayed batch adds nothing.
+    again, so a replayed batch adds nothing.  Content means the whole digest; only the index
+    partitions of the batch's own days are read.  The digests are noted as ``pending`` before the
+    documents are written and as ``done`` after, so after a crash in between the replay looks into
+    the archive's hours for the pending ones, and nothing is lost or doubled.
     """
     src = F.col(source) if isinstance(source, str) and source in docs.columns else (
         source if isinstance(source, Column) else F.lit(source))
@@ -61,17 +65,63 @@ def archive_raw(docs: DataFrame, path: str, source: str | Column = "source",
         F.col("doc"))
     out = docs.select(
         ts.alias("ingestion_time"), document_hash(F.col("doc")).alias("content_hash"), checked.alias("doc"),
-        src.alias("source"), *archive_columns(ts),
+        src.alias("source"), *archive_columns(ts), document_digest(F.col("doc")).alias("_digest"),
     )
+    spark = docs.sparkSession
+    out = checkpointed(out.dropDuplicates(["source", "ingestion_time", "_digest"]))
+    out = _not_archived(spark, out, path)
+    if out.isEmpty():
+        return
+    note = out.select("ingestion_time", F.col("_digest").alias("digest"), "source", _at().alias("at"))
+    index = digest_index_path(path)
+    _note(note, index, "pending")
     parts = ("source", "year", "month", "day", "hour")
-    same = ["source", "ingestion_time", "content_hash"]
-    out = out.dropDuplicates([*same, "doc"])
-    have = archive_if_exists(docs.sparkSession, path)
-    if have is not None:
-        out = checkpointed(out.join(have.select(*same).distinct(), same, "left_anti").select(*out.columns))
     # REBALANCE by the path columns: one file per hour where possible instead
     # of one per (task, hour); AQE splits an hour that holds a large share.
-    out.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).json(path)
+    out.drop("_digest").hint("rebalance", *parts).write.mode("append").partitionBy(*parts).json(path)
+    _note(note, index, "done")
+
+
+def digest_index_path(path: str) -> str:
+    return f"{path.rstrip('/')}_digests"
+
+
+def _at() -> Column:
+    """Partition value of the index: the day of the archive's path."""
+    return F.concat_ws("-", "year", "month", "day")
+
+
+def _note(digests: DataFrame, index: str, state: str) -> None:
+    digests.withColumn("state", F.lit(state)).hint("rebalance", "source", "at").write.mode("append").partitionBy("source", "at").parquet(index)
+
+
+def _not_archived(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
+    """Rows of ``new`` that the archive does not hold."""
+    same = ["source", "ingestion_time", "_digest"]
+    found = new.select("source", _at().alias("at")).distinct().collect()  # one row for each source and day of the batch
+    noted = archived_digests(spark, path, [(r.source, r.at) for r in found])
+    if noted is not None:
+        noted = checkpointed(noted.select("source", "ingestion_time", F.col("digest").alias("_digest"), "state"))
+        new = checkpointed(new.join(noted.where(F.col("state") == "done").select(*same), same, "left_anti").select(*new.columns))
+        doubtful = new.join(noted.where(F.col("state") == "pending").select(*same), same, "left_semi")
+    else:
+        doubtful = new  # an archive from before the index, or none at all
+    have = archive_if_exists(spark, path)
+    if have is None or doubtful.isEmpty():
+        return new
+    parts = F.concat_ws("-", "source", "year", "month", "day", "hour")  # path columns only: other folders are pruned
+    hours = [r[0] for r in doubtful.select(parts).distinct().collect()]
+    there = have.where(parts.isin(hours)).select("source", "ingestion_time", document_digest("doc").alias("_digest"))
+    return checkpointed(new.join(there.distinct(), same, "left_anti").select(*new.columns))
+
+
+def archived_digests(spark: SparkSession, path: str, days: list[tuple[str, str]]) -> DataFrame | None:
+    """Noted digests of the given (source, ``yyyy-MM-dd``) partitions; None where there is no index."""
+    if read_if_exists(spark, digest_index_path(path)) is None:
+        return None
+    schema = "ingestion_time timestamp, digest string, state string, source string, at string"
+    return spark.read.schema(schema).parquet(digest_index_path(path)).where(
+        F.col("source").isin(sorted({s for s, _ in days})) & F.col("at").isin(sorted({d for _, d in days})))
 
 
 def archive_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seisma.operators import cost as C
 from seisma.operators.sinks import table_path
+from seisma.session import scratch_path
 from seisma.sources import landing as L
 from seisma.sources.schemas import EMSC
 
@@ -99,3 +100,70 @@ def test_cost_gate_run_saves_baseline_only_on_pass(spark):
     ok = spark.createDataFrame([("a", 120)], "model string, bytes_processed bigint")
     assert C.run_cost_gate(spark, ok, path).first().passed is True
     assert {r.model: r.bytes_processed for r in C.read_baseline(spark, path).collect()} == {"a": 120, "b": 50}
+
+
+COLLIDING = ("25302", "82945")  # equal in the first eight digits of their MD5
+
+
+def archived(spark, path):
+    return sorted(r.doc for r in L.read_archive(spark, path).collect())
+
+
+def test_documents_that_share_a_short_hash_both_stay(spark):
+    path, at = scratch_path(spark, "archive"), dt.datetime(2030, 5, 1, 10)
+    docs = spark.createDataFrame([(d,) for d in COLLIDING], "doc string")
+    for one in COLLIDING:
+        L.archive_raw(docs.where(F.col("doc") == one), path, "s", at)
+    assert archived(spark, path) == sorted(COLLIDING) and len({r.content_hash for r in L.read_archive(spark, path).collect()}) == 1
+    L.archive_raw(docs, path, "s", at)  # a replay adds nothing
+    assert archived(spark, path) == sorted(COLLIDING)
+    L.archive_raw(docs, path, "s", at + dt.timedelta(hours=1))
+    L.archive_raw(docs, path, "t", at)
+    assert len(archived(spark, path)) == 6
+
+
+def test_only_the_days_of_the_batch_are_looked_up(spark):
+    path = scratch_path(spark, "archive")
+    docs = spark.createDataFrame([(f"d{h}", dt.datetime(2030, 5, 1 + h // 24, h % 24)) for h in range(30)], "doc string, at timestamp")
+    L.archive_raw(docs, path, "s", F.col("at"))
+    plan = L.archived_digests(spark, path, [("s", "2030-05-02")])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "2030-05-02" in text.split("PartitionFilters", 1)[1]
+    assert plan.count() == 12 and {r.state for r in plan.collect()} == {"pending", "done"}
+
+
+@pytest.mark.parametrize("dies", ["pending", "documents", "done"])
+def test_archive_heals_after_a_crash(spark, monkeypatch, dies):
+    path, at = scratch_path(spark, "archive"), dt.datetime(2030, 5, 1, 10)
+    docs = spark.createDataFrame([("x",), ("y",)], "doc string")
+    real, seen = L._note, []
+
+    def note(digests, index, state):
+        if dies == state:
+            raise RuntimeError("killed")
+        real(digests, index, state)
+        if dies == "documents":
+            raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(L, "_note", note)
+        with pytest.raises(RuntimeError):
+            L.archive_raw(docs, path, "s", at)
+    assert L.archive_if_exists(spark, path) is None or archived(spark, path) == ["x", "y"]
+    for _ in range(2):
+        L.archive_raw(docs, path, "s", at)
+        seen.append(archived(spark, path))
+    assert seen == [["x", "y"]] * 2
+
+
+def test_archive_without_an_index_is_looked_through(spark):
+    path, at = scratch_path(spark, "archive"), dt.datetime(2030, 5, 1, 10)
+    docs = spark.createDataFrame([("x",), ("y",)], "doc string")
+    L.archive_raw(docs.where("doc = 'x'"), path, "s", at)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = scratch_path(spark, "old-archive")
+    assert spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, spark._jvm.org.apache.hadoop.fs.Path(path), fs, spark._jvm.org.apache.hadoop.fs.Path(old), False, spark._jsc.hadoopConfiguration())
+    L.archive_raw(docs, old, "s", at)
+    assert archived(spark, old) == ["x", "y"]
+    L.archive_raw(docs.limit(0), old, "s", at)
+    assert archived(spark, old) == ["x", "y"]
