@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -773,7 +773,23 @@ def q_parse_kandilli(spark, sf):
 # --- 2.J streaming ------------------------------------------------------------------------------
 
 
-_STREAM_DELAY = "31 days"  # test landings have no arrival-order guarantee; covers the whole data span
+def _land(df: DataFrame, ts: str, name: str, slices: int = 6, late: Column | None = None) -> str:
+    """``df`` as Parquet files that land in time order; rows of ``late`` come with the last file."""
+    spark = df.sparkSession
+    path = sinks.table_path(spark, name)
+    us = F.unix_micros(ts)
+    lo, hi = checkpointed(df.agg(F.min(us), F.max(us))).first()
+    place = F.least(F.floor((us - lo) * slices / (hi - lo + 1)), F.lit(slices - 1))
+    if late is not None:
+        place = F.when(late, slices - 1).otherwise(place)
+    rows = checkpointed(df.withColumn("_slice", place))
+    for k in range(slices):
+        rows.where(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _landed(spark, path: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @register("stream_ingest", f"{O.merge_ctes('usgs')}\n{_MERGE_SELECT}")
@@ -795,27 +811,45 @@ def q_stream_ingest(spark, sf):
 SELECT date_trunc('hour', event_time) AS hour_bucket, count(*) AS event_count FROM quake_raw
 WHERE source = 'usgs' GROUP BY 1""")
 def q_stream_hourly(spark, sf):
+    """A fiftieth of the rows lands days too late: the watermarked stream counts the others, a replay the late ones."""
     raw = testdata.raw_feeds(spark, sf)["usgs"]
-    landing = sinks.table_path(spark, "landing_hourly")
-    raw.repartition(6).write.parquet(landing)
-    src = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    target = sinks.table_path(spark, "hourly_counts")
-    J.run_to_end(J.stream_hourly_counts(spark, src, "event_time", target, delay=_STREAM_DELAY))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(50)) == 0
+    path = _land(raw, "event_time", "landing_hourly", late=late)
+    root, target = sinks.table_path(spark, "routed"), sinks.table_path(spark, "hourly_counts")
+    J.run_to_end(J.route_late(spark, _landed(spark, path, raw.schema), "event_time", "1 hour", root))
+    J.run_to_end(J.stream_hourly_counts(spark, J.on_time_rows(spark, root, raw.schema, 1), "event_time", target, delay="1 hour"))
+    for _ in range(2):  # the second replay adds nothing
+        J.add_late_counts(spark, J.late_rows(spark, root, raw.schema), "event_time", target)
     return naive_ts(spark.read.parquet(target).select("hour_bucket", "event_count"))
 
 
-def _streamed_candidates(spark, sf):
+@register("stream_late_rows", f"""{O.FEEDS},
+place AS (SELECT *, least(floor((epoch_us(event_time) - lo) * 6 / (hi - lo + 1)), 5) AS slice
+  FROM quake_raw, (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM quake_raw WHERE source = 'kandilli') WHERE source = 'kandilli'),
+arrival AS (SELECT *, CASE WHEN n % 40 = 3 THEN 5 ELSE slice END AS came FROM place),
+newest AS (SELECT came, max(event_time) AS seen FROM arrival GROUP BY 1)
+SELECT CAST(event_time AS DATE) AS day, count(*) AS n_late FROM arrival
+WHERE event_time < (SELECT max(seen) FROM newest WHERE newest.came < arrival.came) - INTERVAL 2 HOUR GROUP BY 1""")
+def q_stream_late_rows(spark, sf):
+    """Rows that a two-hour watermark would have dropped, by day."""
+    spec, raw = SPECS["kandilli"], testdata.raw_feeds(spark, sf)["kandilli"]
+    number = F.regexp_extract(spec.key, r"([0-9]+)$", 1).cast("bigint")
+    path, root = _land(raw, spec.time_col, "landing_late", late=number % 40 == 3), sinks.table_path(spark, "routed")
+    J.run_to_end(J.route_late(spark, _landed(spark, path, raw.schema), spec.time_col, "2 hours", root))
+    return J.late_rows(spark, root, raw.schema).groupBy(F.to_date(spec.time_col).alias("day")).agg(F.count(F.lit(1)).alias("n_late"))
+
+
+def _candidate_stream(spark, sf):
+    """Candidate pairs of both sides landing in time order, joined under a short watermark."""
     s = _stg(spark, sf)
-    paths = {}
-    for side in ("usgs", "kandilli"):
-        p = sinks.table_path(spark, f"landing_{side}")
-        s[side].select(*matching.EVENT_COLS).repartition(3).write.parquet(p)
-        paths[side] = p
-    schema = s["usgs"].select(*matching.EVENT_COLS).schema
-    left = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["usgs"])
-    right = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["kandilli"])
+    sides = [s[side].select(*matching.EVENT_COLS) for side in ("usgs", "kandilli")]
+    left, right = (_landed(spark, _land(df, "event_time", "landing_side"), df.schema) for df in sides)
+    return J.stream_candidates(left, right, delay="1 hour")
+
+
+def _streamed_candidates(spark, sf):
     out = sinks.table_path(spark, "candidates")
-    J.run_to_end(J.land_candidates(spark, J.stream_candidates(left, right, delay=_STREAM_DELAY), out))
+    J.run_to_end(J.land_candidates(spark, _candidate_stream(spark, sf), out))
     return spark.read.parquet(out)
 
 
@@ -1085,16 +1119,7 @@ def q_quarantine(spark, sf):
 
 @register("stream_mutual_best", ORACLE["mutual_best"])
 def q_stream_mutual_best(spark, sf):
-    """Mutual-best recomputed inside foreachBatch as candidate pairs stream in."""
-    s = _stg(spark, sf)
-    paths = {}
-    for side in ("usgs", "kandilli"):
-        p = sinks.table_path(spark, f"landing_{side}")
-        s[side].select(*matching.EVENT_COLS).repartition(3).write.parquet(p)
-        paths[side] = p
-    schema = s["usgs"].select(*matching.EVENT_COLS).schema
-    left = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["usgs"])
-    right = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["kandilli"])
-    cands, out = sinks.table_path(spark, "candidates"), sinks.table_path(spark, "matches")
-    J.run_to_end(J.stream_matches(spark, J.stream_candidates(left, right, delay=_STREAM_DELAY), cands, out))
-    return naive_ts(spark.read.parquet(out).withColumn("distance_km", F.round("distance_km", 6)))
+    """Mutual best kept current as candidate pairs stream in, micro-batch by micro-batch."""
+    stored, out = (DayTable(spark, sinks.table_path(spark, n)) for n in ("candidates", "matches"))
+    J.run_to_end(J.stream_matches(spark, _candidate_stream(spark, sf), stored, out))
+    return naive_ts(out.read().drop("event_date").withColumn("distance_km", F.round("distance_km", 6)))

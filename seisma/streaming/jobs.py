@@ -9,7 +9,9 @@
 * ``stream_candidates``: stream-stream inner join on the matcher's blocking
   key with a time-range condition and watermarks on both sides (bounded
   state); ranking windows are not allowed on streams, so mutual-best runs
-  over the landed candidates in batch (``seisma.operators.matching``).
+  over the landed candidates in batch (``seisma.operators.matching``) or per
+  micro-batch over the neighbourhood of its pairs (``stream_matches``).
+* ``route_late`` parts off the rows that a watermark would drop without a word.
 
 Checkpoints always live under the shared ``spark.checkpoint.dir``.
 """
@@ -21,11 +23,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from seisma.functions.geo import haversine_km
 from seisma.functions.times import seconds_between
-from seisma.operators.matching import DEFAULT, MatchConfig, home, reach_keys, usable
+from seisma.operators.dedup import dedup_latest
+from seisma.operators.matching import DEFAULT, MatchConfig, home, mutual_best, reach_keys, usable
 from seisma.operators.sinks import write_days
 from seisma.operators.snapshots import DayTable
 from seisma.operators.upsert import merge_stored, upsert
@@ -183,33 +186,121 @@ def stream_ingest_docs(spark: SparkSession, landing: str, source: str, target: s
     return _trigger(w, trigger).start()
 
 
-def stream_matches(spark: SparkSession, cands: DataFrame, cands_path: str, matches_path: str,
-                   cfg: MatchConfig = DEFAULT, lookback: dt.timedelta | None = None,
-                   checkpoint: str | None = None, trigger: str | None = "availableNow") -> StreamingQuery:
-    """Keep a mutual-best matches table current while candidate pairs stream in.
-
-    Each micro-batch appends its candidate pairs to ``cands_path`` and then
-    recomputes the mutual nearest pairs over the stored candidates -- only
-    those whose left event lies within ``lookback`` of the newest one when
-    given -- into ``matches_path`` (a different table, so nothing is
-    overwritten while it is read).  A replayed micro-batch appends candidates
-    that are already there; the pair set is the same, so the matches are too.
+def update_matches(batch: DataFrame, batch_id: int, cands: DayTable, matches: DayTable, cfg: MatchConfig = DEFAULT) -> int:
+    """Bring the mutual-best matches up to date with a batch of candidate pairs; returns the number of days read.
+
+    ``cands`` holds one row a pair (that of the newest batch), ``matches`` the mutual pairs, both by the
+    day of the left event.  The best partner can only change for events that stand in a pair of the
+    batch, so only pairs of those events, and of their partners, are ranked again; partners lie within
+    the matcher's seconds, so the batch's days and their neighbours are all that is read and written,
+    however long the history.  A repeated batch leaves both tables as they are.  A pair is replaced
+    when it comes again; one whose event moved to another day stays until its own day sees it again.
     """
-    from seisma.operators.matching import mutual_best
+    l, r = f"{cfg.left}_id", f"{cfg.right}_id"
+    columns, day = [c for c in batch.columns if c not in ("batch_id", cands.date_col)], cands.date_col
+    new = checkpointed(batch.select(*columns).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(day, F.to_date(f"{cfg.left}_time")))
+    found = [d[0] for d in new.select(day).distinct().collect()]  # calendar days
+    # partners of either event of a pair, a day away at most
+    near = {d for (t,) in new.select(F.explode(F.array(F.to_date(f"{cfg.left}_time"), F.to_date(f"{cfg.right}_time")))).distinct().collect() for d in
+            (t - dt.timedelta(days=1), t, t + dt.timedelta(days=1))}
+    spark = new.sparkSession
+    old = cands.read(days=near) if cands.version() is not None else spark.createDataFrame([], new.schema)
+    order = [F.col("batch_id").desc(), *[F.col(c).asc_nulls_last() for c in columns]]
+    pairs = checkpointed(dedup_latest(old.unionByName(new), [l, r], order))
+
+    changed_l, changed_r = new.select(l).distinct(), new.select(r).distinct()
+    mine = pairs.join(changed_l, l, "left_semi").select(l, r).unionByName(pairs.join(changed_r, r, "left_semi").select(l, r))
+    around = checkpointed(mine.distinct())  # pairs of the changed events
+    known_l, known_r = around.select(l).distinct().withColumn("_l", F.lit(True)), around.select(r).distinct().withColumn("_r", F.lit(True))
+    ranked = pairs.join(known_l, l, "left").join(known_r, r, "left").where(F.col("_l").isNotNull() | F.col("_r").isNotNull()).select(*columns)
+    # both ends of a pair of a changed event have all their pairs here, so its verdict is whole
+    now = mutual_best(ranked, cfg).join(around, [l, r], "left_semi").withColumn(day, F.to_date(f"{cfg.left}_time")).select(*columns, day)
+    base = matches.version()
+    kept = matches.read(base, near) if base is not None else spark.createDataFrame([], now.schema)
+    kept = kept.join(changed_l, l, "left_anti").join(changed_r, r, "left_anti")
+    after = checkpointed(kept.unionByName(now))
+
+    rewritten = sorted(set(found) | near)
+    cands.replace(pairs.select(*columns, "batch_id", day), rewritten, cands.version(), {"batch_id": batch_id})
+    matches.replace(after, rewritten, base, {"batch_id": batch_id})
+    return len(near)
+
+
+def stream_matches(spark: SparkSession, cands: DataFrame, stored: DayTable, matches: DayTable, cfg: MatchConfig = DEFAULT,
+                   checkpoint: str | None = None, trigger: str | None = "availableNow") -> StreamingQuery:
+    """Keep a mutual-best matches table current while candidate pairs stream in (``update_matches`` per micro-batch)."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            update_matches(batch, batch_id, stored, matches, cfg)
+
+    w = cands.writeStream.foreachBatch(apply).option(
+        "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-matches"))
+    return _trigger(w, trigger).start()
+
+
+# --- late rows ----------------------------------------------------------------------
 
-    lt = f"{cfg.left}_time"
+
+def route_late(spark: SparkSession, events: DataFrame, ts: str, delay: str, root: str, checkpoint: str | None = None,
+               trigger: str | None = "availableNow") -> StreamingQuery:
+    """Part a stream into rows within ``delay`` of the newest event seen before their micro-batch, and late ones.
+
+    ``<root>/on_time/batch=<id>`` feeds the stateful queries: read in order with a watermark of the
+    same delay (or a longer one), no row of it is behind the watermark, so Spark drops none unseen.
+    ``<root>/late/batch=<id>`` keeps the others with the limit they missed, for ``late_rows`` and a
+    replay.  The newest event time is kept by batch id, so a repeated micro-batch parts its rows as
+    before; rows without a time are late.
+    """
+    ensure_utc(spark)
+    root = root.rstrip("/")
+    seen = f"{root}/seen"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         s = batch.sparkSession
-        batch.write.mode("append").parquet(cands_path)
-        stored = s.read.parquet(cands_path).dropDuplicates([f"{cfg.left}_id", f"{cfg.right}_id"])
-        if lookback is not None:
-            newest = stored.agg(F.max(lt)).first()[0]
-            stored = stored.where(F.col(lt) >= F.lit(newest - lookback))
-        mutual_best(stored, cfg).write.mode("overwrite").parquet(matches_path)
-
-    w = cands.writeStream.foreachBatch(apply).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-matches"))
+        batch = checkpointed(batch)
+        before = read_if_exists(s, seen)
+        newest = None if before is None else before.where(F.col("batch") < batch_id).agg(F.max("newest")).first()[0]
+        limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        punctual = F.col(ts).isNotNull() & F.coalesce(F.col(ts) >= limit, F.lit(newest is None))
+        batch.where(~punctual).withColumn("missed", limit).write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
+        batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+        batch.where(punctual).write.mode("overwrite").parquet(f"{root}/on_time/batch={batch_id}")
+
+    w = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-late"))
     return _trigger(w, trigger).start()
+
+
+def on_time_rows(spark: SparkSession, root: str, schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The punctual rows as a stream, in the order in which they came."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{root.rstrip('/')}/on_time/*")
+
+
+def late_rows(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """All rows that came too late so far, with ``missed`` (the limit they were behind) and their batch."""
+    return spark.read.schema(StructType([*schema.fields, StructField("missed", TimestampType()), StructField("batch", LongType())])).parquet(f"{root.rstrip('/')}/late")
+
+
+def add_late_counts(spark: SparkSession, late: DataFrame, ts: str, target: str) -> None:
+    """Replay late rows into a table of hourly counts: once, by the batches already added for each hour.
+
+    Each hour's row carries the number of the last late batch added to it, so a repeated replay adds nothing.
+    """
+    cur = spark.read.parquet(target)
+    if "late_batch" not in cur.columns:
+        cur = cur.withColumn("late_batch", F.lit(-1).cast("bigint"))
+    cur = checkpointed(cur)
+    late = late.where(F.col(ts).isNotNull()).withColumn("hour_bucket", F.date_trunc("HOUR", F.col(ts)))
+    done = cur.select("hour_bucket", F.col("late_batch").alias("_done"))
+    fresh = late.join(done, "hour_bucket", "left").where(F.col("batch") > F.coalesce("_done", F.lit(-1)))
+    more = fresh.groupBy("hour_bucket").agg(F.count(F.lit(1)).alias("_more"), F.max("batch").alias("_last"))
+    out = cur.join(more, "hour_bucket", "full").select(
+        "hour_bucket", (F.coalesce("event_count", F.lit(0)) + F.coalesce("_more", F.lit(0))).alias("event_count"),
+        F.coalesce("batch_id", F.lit(-1)).cast("bigint").alias("batch_id"), F.greatest("late_batch", "_last").alias("late_batch"),
+        F.to_date("hour_bucket").alias("event_date"))
+    write_days(checkpointed(out), target, "event_date", cluster_by=None, overwrite_all=True)
