@@ -8,7 +8,9 @@ other.  Each worker process remembers what it has encoded, in two generations of
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Callable
 from functools import lru_cache
 from typing import Any
@@ -65,3 +67,24 @@ def cuts_at_space(path: str) -> bool:
 def pieces(text: str, spaced: bool) -> list[str]:
     """Chunks between spaces and line ends (other white space stays inside), or the whole text."""
     return text.replace("\n", " ").split(" ") if spaced else [text]
+
+
+def plain_splitter(path: str) -> Callable[[str], list[str]] | None:
+    """Pre-tokens of printable Latin-1 text without spaces, where the file's steps are plain ones on such text; else None."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    steps = made.get("normalizer") or {}
+    steps = steps.get("normalizers", [steps] if steps else [])
+    split, *rest = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    if any(x["type"] not in ("NFC", "Lowercase") and not (x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"}) for x in steps):
+        return None
+    if split.get("type") != "Split" or split.get("behavior") != "Removed" or not split.get("invert") or "Regex" not in split["pattern"]:
+        return None
+    if [x["type"] for x in rest] != ["ByteLevel"] or rest[0]["add_prefix_space"] or rest[0]["use_regex"]:
+        return None
+    # within Latin-1 the letters and numbers can be named one by one, for the faster pattern library
+    pattern = split["pattern"]["Regex"].replace(r"\p{L}", "A-Za-zªµºÀ-ÖØ-öø-ÿ").replace(r"\p{N}", "0-9²³¹¼½¾")
+    if r"\p" in pattern:
+        return None
+    find = re.compile(pattern).findall
+    return (lambda text: find(text.lower())) if any(x["type"] == "Lowercase" for x in steps) else find

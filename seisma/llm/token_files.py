@@ -20,6 +20,7 @@ an empty folder.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from seisma.llm.chunks import Memory, cuts_at_space, library, pieces
+from seisma.llm.chunks import Memory, cuts_at_space, library, pieces, plain_splitter
 
 BLOCK = 128
 #: Fixed values of the coding: ids a word, bits an id, by selector.
@@ -149,26 +150,97 @@ def unpack(records: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ids, lengths
 
 
+class _Short(Memory):
+    """Remembers short keys only: in scripts without spaces a chunk is a whole line."""
+
+    def put(self, key: str, value: bytes) -> bytes:
+        return super().put(key, value) if len(key) <= _KEEP_CHARS else value
+
+
 class _Ids:
-    """Ids of whole texts by the library; chunks that this process has met are remembered."""
+    """Ids of whole texts by the library; what this process has met is remembered.
+
+    Texts (else chunks) of plain letters and marks fall into pre-tokens by the file's own pattern, which
+    are remembered; new ones go to the library joined by spaces, and its ids are cut behind the tokens
+    that end a word.
+    """
 
     def __init__(self, path: str):
         self.library, self.spaced = library(path), cuts_at_space(path)
-        self.known = Memory(lambda chunk: self._new([chunk])[0])
-
-    def _new(self, texts: list[str]) -> list[bytes]:
+        self.split = plain_splitter(path)
+        end = getattr(self.library.model, "end_of_word_suffix", None)
+        vocab = self.library.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        if end:
+            self.ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda chunk: None
+        self.known, self.words = _Short(self._one, 100_000), _Short(self._one, _KEEP_WORDS)
+
+    def _one(self, chunk: str) -> bytes:
+        return self._each([chunk])[0]
+
+    def _each(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if not self.spaced:
-            return self._new([t or "" for t in texts])
-        split = [pieces(t or "", True) for t in texts]
+    def _plain(self, chunk: str) -> bool:
+        """Printable Latin-1, which no normalisation but the lower case changes, without the name of an added token."""
+        return chunk == "" or ((chunk.isascii() or max(chunk) < "\u0100") and chunk.isprintable() and not self.added(chunk))
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new pre-tokens, by one call."""
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some) or cuts[-1] != len(ids):  # a word that does not end as words do
+                got = self._each(some)
+            else:
+                raw, at_byte = ids.tobytes(), [0, *(cuts * 4).tolist()]
+                got = [raw[lo:hi] for lo, hi in zip(at_byte, at_byte[1:])]
+            for w, x in zip(some, got):
+                self.words.put(w, x)
+
+    def _words_of(self, parts: list[list[str]]) -> list[bytes]:
+        """Ids of lists of pre-tokens."""
+        fresh = set(chain.from_iterable(parts)).difference(self.words)
+        self._learn([w for w in fresh if len(w) <= _KEEP_CHARS and w not in self.words.old])
+        return [b"".join(map(self.words.__getitem__, p)) for p in parts]
+
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        if self.split is None or not self.ends.any():
+            return self._each(chunks)
+        plain = [self._plain(c) for c in chunks]
+        words = iter(self._words_of([self.split(c) for c, p in zip(chunks, plain) if p]))
+        others = iter(self._each([c for c, p in zip(chunks, plain) if not p]))
+        return [next(words if p else others) for p in plain]
+
+    def _chunked(self, texts: list[str]) -> list[bytes]:
+        """Texts by their chunks between spaces."""
+        split = [pieces(t, True) for t in texts]
         new = [c for c in set(chain.from_iterable(split)).difference(self.known) if c not in self.known.old]
-        for c, ids in zip(new, self._new(new)):
+        fresh = dict(zip(new, self._new(new)))
+        out = [b"".join([fresh[c] if c in fresh else self.known[c] for c in s]) for s in split]
+        for c, ids in fresh.items():
             self.known.put(c, ids)
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
-
+        return out
 
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        texts = [(t or "").replace("\n", " ") if self.spaced else t or "" for t in texts]
+        if not self.spaced:
+            return self._each(texts)
+        if self.split is None or not self.ends.any():
+            return self._chunked(texts)
+        plain = [self._plain(t) for t in texts]
+        words = iter(self._words_of([self.split(t) for t, p in zip(texts, plain) if p]))
+        others = iter(self._chunked([t for t, p in zip(texts, plain) if not p]))
+        return [next(words if p else others) for p in plain]
+
+
+#: Longer chunks and pre-tokens are not remembered.
+_KEEP_CHARS = 64
+#: Pre-tokens remembered, and as many older ones.
+_KEEP_WORDS = 400_000
 _ids: dict[str, _Ids] = {}
 _AT_ONCE = 256  # documents packed at once
 
