@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from seisma.llm import linkage
 from seisma.llm.shingles import char_shingles, mix, signed
-from seisma.llm.tables import small, stored, written
+from seisma.llm.tables import slices, small, stored, written
 
 SHINGLE = 8
 BANDS = 10
@@ -92,7 +92,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1)):
             owner, number, ids, bands, waiting, size = [], [], [], [], [], 0
             for i, text in enumerate(b.column(1).to_pylist()):
                 lines = [(k, f) for k, x in enumerate((text or "").split("\n")) if (f := fold(x)) is not None]
@@ -102,11 +102,13 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 waiting += [f for _, f in lines]
                 size += len(text or "")
                 if size >= _AT_ONCE:
-                    bands += list(band_hashes(waiting))
+                    bands.append(band_hashes(waiting))
                     waiting, size = [], 0
-            bands += list(band_hashes(waiting))
+            bands.append(band_hashes(waiting))
+            values = np.concatenate(bands)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(owner, pa.int32())), pa.array(number, pa.int32()), pa.array(ids, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                [b.column(0).take(pa.array(owner, pa.int32())), pa.array(number, pa.int32()), pa.array(ids, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * BANDS, pa.int32()), pa.array(values.ravel()))],
                 names=["doc_id", "line", "id", "bands"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, line int, id bigint, bands array<bigint>")
@@ -116,7 +118,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     """id and elements (the folded text) of the wanted lines (column ``wanted``: their numbers) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 0)):
             ids, sets = [], []
             for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 lines = (text or "").split("\n")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seisma.session import checkpoint_dir, scratch_path
@@ -33,6 +35,16 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, text: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of up to ``limit`` bytes of its text column (a longer text is a part of its own)."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
+    ends, lo = np.cumsum(sizes), 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
     """Rows for which ``keep`` answers true; every column passes through untouched."""
 
