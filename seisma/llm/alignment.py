@@ -42,6 +42,7 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from seisma.llm.chunks import byte_symbols
 from seisma.llm.tables import written
 
 #: Text that is aligned at once, and text whose links share a list of pairs, in bytes (a longer document is one by itself).
@@ -55,13 +56,6 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 _RUN = re.compile(r"\s ")
 
 
-def byte_symbols() -> dict[str, int]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ... in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shifted = (b for b in range(256) if b not in set(plain))
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(shifted)}
-
-
 class Pair:
     """Both encoders and the bytes of their tokens."""
 

@@ -6,7 +6,7 @@ table of adjacent symbol pairs is read off the vocabulary once; every
 pre-token falls apart at pairs outside that table, each fragment is encoded on
 its own (lowest merge rank first) and the ids are concatenated.  White space
 never occurs inside a token of a tokenizer that drops it, which makes every
-space a certain cut too, and whole chunks can be remembered.
+space a certain cut too, and pre-tokens can be remembered.
 
 Normalisation, pre-tokenization and added tokens follow the tokenizer's file.
 Only BPE models over byte symbols, without byte fallback, unknown token or
@@ -22,15 +22,20 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
-from seisma.llm.chunks import Memory, cuts_at_space, library, pieces
+from seisma.llm.chunks import Memory, byte_symbols, cuts_at_space, library, pieces, plain, plain_splitter
+
+#: Pre-tokens remembered by a worker, and as many older ones.
+_KEEP = 150_000
+#: Fragments of more symbols are merged by a heap.
+_LONG = 64
 
 
 class FragmentBpe:
@@ -56,24 +61,11 @@ class FragmentBpe:
         self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.spaced = cuts_at_space(path)
         self.token = {i: t for t, i in {**self.ids, **added}.items()}
-        self.known = Memory(self._known)
-        self.words = Memory(self._word)
-        self.ascii = self._ascii_splitter(made)
-
-    @staticmethod
-    def _ascii_splitter(made: dict) -> Callable[[str], list[str]] | None:
-        """Pre-tokens of printable ASCII without spaces, where the file's steps are plain ones on such text."""
-        steps = made.get("normalizer") or {}
-        steps = steps.get("normalizers", [steps] if steps else [])
-        split, *rest = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        if any(x["type"] not in ("NFC", "Lowercase") and not (x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"}) for x in steps):
-            return None
-        if split.get("type") != "Split" or split.get("behavior") != "Removed" or not split.get("invert") or "Regex" not in split["pattern"]:
-            return None
-        if [x["type"] for x in rest] != ["ByteLevel"] or rest[0]["add_prefix_space"] or rest[0]["use_regex"]:
-            return None
-        find = regex.compile(split["pattern"]["Regex"]).findall
-        return (lambda text: find(text.lower())) if any(x["type"] == "Lowercase" for x in steps) else find
+        self.split = plain_splitter(path) if self.spaced and self.library.decoder is None else None
+        self.symbol = {b: c for c, b in byte_symbols().items()}
+        self.pairs = Memory(self._pair, _KEEP)  # pre-tokens of plain texts
+        self.known = Memory(self._known, _KEEP // 4)  # chunks of other texts, and their pre-tokens
+        self.words = Memory(self._word, _KEEP // 4)
 
     def symbols(self, token: str) -> list[str]:
         """The symbols a token is made of; the word end belongs to the last one."""
@@ -84,6 +76,8 @@ class FragmentBpe:
 
     def _merge(self, s: list[str]) -> list[str]:
         """Join the neighbours of lowest rank, leftmost first, until no pair has a rank."""
+        if len(s) > _LONG:
+            return self._merge_long(s)
         rank, none = self.rank.get, len(self.rank)
         ranks = [rank(p, none) for p in zip(s, s[1:])]
         while ranks:
@@ -99,6 +93,29 @@ class FragmentBpe:
                 ranks[i] = rank((s[i], s[i + 1]), none)
         return s
 
+    def _merge_long(self, s: list[str]) -> list[str]:
+        """The same with a heap of ranked pairs over a linked list: a long run costs little more than its length."""
+        rank, n = self.rank.get, len(s)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, p in enumerate(zip(s, s[1:])) if (r := rank(p)) is not None]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            j = after[i]
+            if s[i] is None or j >= n or rank((s[i], s[j])) != r:
+                continue  # one of the two has been joined elsewhere
+            s[i] += s[j]
+            s[j] = None
+            k, h = after[j], before[i]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                if (r := rank((s[i], s[k]))) is not None:
+                    heappush(heap, (r, i))
+            if h >= 0 and (r := rank((s[h], s[i]))) is not None:
+                heappush(heap, (r, h))
+        return [x for x in s if x is not None]
+
     def fragments(self, word: str) -> list[list[str]]:
         """A pre-token's symbols, cut at every pair that no vocabulary token holds."""
         s = list(word)
@@ -113,13 +130,10 @@ class FragmentBpe:
         return tuple(self.ids[t] for f in self.fragments(word) for t in self._merge(f) if t in self.ids)
 
     def plain(self, text: str) -> list[int]:
-        if self.ascii is not None and text.isascii() and text.isprintable() and " " not in text:
-            words = self.ascii(text)
-        else:
-            t = self.library
-            if t.normalizer is not None:
-                text = t.normalizer.normalize_str(text)
-            words = [w for w, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer is not None and text else [text]
+        t = self.library
+        if t.normalizer is not None:
+            text = t.normalizer.normalize_str(text)
+        words = [w for w, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer is not None and text else [text]
         return [i for w in words if w for i in self.words[w]]
 
     def chunk(self, text: str) -> list[int]:
@@ -127,13 +141,23 @@ class FragmentBpe:
             return self.plain(text)
         return [i for k, part in enumerate(self.special.split(text)) for i in ([self.added[part]] if k % 2 else self.plain(part) if part else [])]
 
-    def _known(self, chunk: str) -> tuple[bytes, bytes]:
-        ids = self.chunk(chunk)
+    def _pair(self, word: str) -> tuple[bytes, bytes]:
+        return self._both(self._word("".join([self.symbol[b] for b in word.encode()])))
+
+    def _both(self, ids: Sequence[int]) -> tuple[bytes, bytes]:
         return array("I", ids).tobytes(), " ".join([self.token[i] for i in ids]).encode()
 
+    def _known(self, chunk: str) -> tuple[bytes, bytes]:
+        return self._both(self.chunk(chunk))
+
     def encode(self, text: str | None) -> tuple[bytes, bytes]:
         """The ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
-        got = list(map(self.known.__getitem__, pieces(text or "", True))) if self.spaced else [self._known(text or "")]
+        text = text or ""
+        flat = text.replace("\n", " ")
+        if self.split is not None and plain(flat) and not (self.special and self.special.search(flat)):
+            got = list(map(self.pairs.__getitem__, self.split(flat)))
+        else:
+            got = list(map(self.known.__getitem__, pieces(text, True))) if self.spaced else [self._known(text)]
         ids = b"".join([g[0] for g in got])
         if self.library.decoder is None:
             return ids, b" ".join([g[1] for g in got if g[1]])

@@ -18,6 +18,8 @@ from typing import Any
 from tokenizers import Tokenizer
 
 LIMIT = 250_000
+#: Longer keys are not remembered: in scripts without spaces a chunk is a whole line.
+KEEP_CHARS = 64
 
 
 class Memory(dict):
@@ -32,6 +34,8 @@ class Memory(dict):
         return self.put(key, self.make(key) if got is None else got)
 
     def put(self, key: str, value: Any) -> Any:
+        if len(key) > KEEP_CHARS:
+            return value
         if len(self) >= self.limit:
             self.old = self.copy()
             self.clear()
@@ -69,6 +73,18 @@ def pieces(text: str, spaced: bool) -> list[str]:
     return text.replace("\n", " ").split(" ") if spaced else [text]
 
 
+def plain(text: str) -> bool:
+    """Printable Latin-1: nothing but the lower case can change in normalisation."""
+    return text == "" or ((text.isascii() or max(text) < "\u0100") and text.isprintable())
+
+
+def byte_symbols() -> dict[str, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ... in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in set(printable))
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 def plain_splitter(path: str) -> Callable[[str], list[str]] | None:
     """Pre-tokens of printable Latin-1 text without spaces, where the file's steps are plain ones on such text; else None."""
     with open(path, encoding="utf-8") as f:

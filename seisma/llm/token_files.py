@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from seisma.llm.chunks import Memory, cuts_at_space, library, pieces, plain_splitter
+from seisma.llm.chunks import KEEP_CHARS, Memory, cuts_at_space, library, pieces, plain, plain_splitter
 
 BLOCK = 128
 #: Fixed values of the coding: ids a word, bits an id, by selector.
@@ -150,13 +150,6 @@ def unpack(records: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ids, lengths
 
 
-class _Short(Memory):
-    """Remembers short keys only: in scripts without spaces a chunk is a whole line."""
-
-    def put(self, key: str, value: bytes) -> bytes:
-        return super().put(key, value) if len(key) <= _KEEP_CHARS else value
-
-
 class _Ids:
     """Ids of whole texts by the library; what this process has met is remembered.
 
@@ -175,7 +168,7 @@ class _Ids:
             self.ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda chunk: None
-        self.known, self.words = _Short(self._one, 100_000), _Short(self._one, _KEEP_WORDS)
+        self.known, self.words = Memory(self._one, 100_000), Memory(self._one, _KEEP_WORDS)
 
     def _one(self, chunk: str) -> bytes:
         return self._each([chunk])[0]
@@ -184,8 +177,8 @@ class _Ids:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _plain(self, chunk: str) -> bool:
-        """Printable Latin-1, which no normalisation but the lower case changes, without the name of an added token."""
-        return chunk == "" or ((chunk.isascii() or max(chunk) < "\u0100") and chunk.isprintable() and not self.added(chunk))
+        """Whether the pattern alone gives the pre-tokens: no added token's name either."""
+        return plain(chunk) and not self.added(chunk)
 
     def _learn(self, words: list[str]) -> None:
         """Ids of new pre-tokens, by one call."""
@@ -204,16 +197,16 @@ class _Ids:
     def _words_of(self, parts: list[list[str]]) -> list[bytes]:
         """Ids of lists of pre-tokens."""
         fresh = set(chain.from_iterable(parts)).difference(self.words)
-        self._learn([w for w in fresh if len(w) <= _KEEP_CHARS and w not in self.words.old])
+        self._learn([w for w in fresh if len(w) <= KEEP_CHARS and w not in self.words.old])
         return [b"".join(map(self.words.__getitem__, p)) for p in parts]
 
     def _new(self, chunks: list[str]) -> list[bytes]:
         if self.split is None or not self.ends.any():
             return self._each(chunks)
-        plain = [self._plain(c) for c in chunks]
-        words = iter(self._words_of([self.split(c) for c, p in zip(chunks, plain) if p]))
-        others = iter(self._each([c for c, p in zip(chunks, plain) if not p]))
-        return [next(words if p else others) for p in plain]
+        simple = [self._plain(c) for c in chunks]
+        words = iter(self._words_of([self.split(c) for c, p in zip(chunks, simple) if p]))
+        others = iter(self._each([c for c, p in zip(chunks, simple) if not p]))
+        return [next(words if p else others) for p in simple]
 
     def _chunked(self, texts: list[str]) -> list[bytes]:
         """Texts by their chunks between spaces."""
@@ -231,14 +224,12 @@ class _Ids:
             return self._each(texts)
         if self.split is None or not self.ends.any():
             return self._chunked(texts)
-        plain = [self._plain(t) for t in texts]
-        words = iter(self._words_of([self.split(t) for t, p in zip(texts, plain) if p]))
-        others = iter(self._chunked([t for t, p in zip(texts, plain) if not p]))
-        return [next(words if p else others) for p in plain]
+        simple = [self._plain(t) for t in texts]
+        words = iter(self._words_of([self.split(t) for t, p in zip(texts, simple) if p]))
+        others = iter(self._chunked([t for t, p in zip(texts, simple) if not p]))
+        return [next(words if p else others) for p in simple]
 
 
-#: Longer chunks and pre-tokens are not remembered.
-_KEEP_CHARS = 64
 #: Pre-tokens remembered, and as many older ones.
 _KEEP_WORDS = 400_000
 _ids: dict[str, _Ids] = {}

@@ -308,3 +308,30 @@ def test_pii_account_numbers_before_capitals_and_digits(spark):
     for i, x in enumerate(wanted):
         marks = [m.start() - k for k, m in enumerate(re.finditer("[{}]", x))]
         assert got[i] == list(zip(marks[::2], marks[1::2])), x
+
+
+def test_bpe_heap_merge_equals_the_plain_one_and_is_fast(monkeypatch):
+    enc = bpe.encoder(registry.tokenizer_path())
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 40, 200):
+        for letters in ("ab", "the rain"):
+            s = [*rng.choice(list(letters.replace(" ", "")), n)]
+            monkeypatch.setattr(bpe, "_LONG", 10**9)
+            want = enc._merge([str(x) for x in s])
+            assert enc._merge_long([str(x) for x in s]) == want
+    monkeypatch.undo()
+    library = Tokenizer.from_file(registry.tokenizer_path())
+    for text in ("a" * 200_000, "ab" * 50_000 + " c"):
+        ids, _ = enc.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_texts_take_the_short_way_with_equal_results():
+    enc, ids = bpe.encoder(registry.tokenizer_path()), token_files._Ids(registry.tokenizer_path())
+    library = Tokenizer.from_file(registry.tokenizer_path())
+    texts = [*ODD, " à É ß\n\nÿ× ", "²½ ª µ", "don't I'LL 12a3 ''ve !!'s", "soft\xadhyphen", "x" * 500 + " q", "“quoted” word, word. (word"]
+    for _ in range(2):  # the second time from memory
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(enc.encode(t)[0], "<u4").tolist() for t in texts] == want
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == want
+    assert all(len(w) <= 64 for m in (enc.pairs, enc.known, enc.words, ids.known, ids.words) for w in m)
