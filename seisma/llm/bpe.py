@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from seisma.llm.chunks import Memory, byte_symbols, cuts_at_space, library, pieces, plain, plain_splitter
+from seisma.llm.tables import slices, tidy
 
 #: Pre-tokens remembered by a worker, and as many older ones.
 _KEEP = 150_000
@@ -187,8 +188,8 @@ def _each(docs: DataFrame, path: str, doc_id: str, text: str, fields: str, resul
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1)):
             rows = [result(*bpe.encode(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
 
-    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(run, f"doc_id {kind}, {fields}")
+    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(tidy(run), f"doc_id {kind}, {fields}")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from seisma.llm import linkage
 from seisma.llm.shingles import char_shingles, mix, signed
-from seisma.llm.tables import slices, small, stored, written
+from seisma.llm.tables import slices, small, stored, tidy, written
 
 SHINGLE = 8
 BANDS = 10
@@ -111,7 +111,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * BANDS, pa.int32()), pa.array(values.ravel()))],
                 names=["doc_id", "line", "id", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, line int, id bigint, bands array<bigint>")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, line int, id bigint, bands array<bigint>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                         sets.append(folded)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.string())], names=["id", "elements"])
 
-    return docs.select("text", "wanted").mapInArrow(run, "id bigint, elements string").dropDuplicates(["id"])
+    return docs.select("text", "wanted").mapInArrow(tidy(run), "id bigint, elements string").dropDuplicates(["id"])
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

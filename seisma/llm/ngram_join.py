@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from seisma.llm import linkage
 from seisma.llm.shingles import signed, word_shingles
-from seisma.llm.tables import small, stored, utf8
+from seisma.llm.tables import slices, small, stored, tidy, utf8
 
 NGRAM = 3
 PERCENT = 90
@@ -57,7 +57,7 @@ def _rows(docs: DataFrame, ngram: int, percent: int, share: tuple[int, int]) ->
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1)):
             n, high, low, first = [], [], [], []
             for raw in utf8(b.column(1)):
                 s = word_shingles(raw, ngram)
@@ -70,7 +70,7 @@ def _rows(docs: DataFrame, ngram: int, percent: int, share: tuple[int, int]) ->
                 [b.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
                 names=["doc_id", "n", "high", "low", "first"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n bigint, high bigint, low bigint, first array<bigint>")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, n bigint, high bigint, low bigint, first array<bigint>")
 
 
 def _sets(docs: DataFrame, ngram: int) -> DataFrame:
@@ -78,11 +78,11 @@ def _sets(docs: DataFrame, ngram: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1)):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([word_shingles(raw, ngram).tobytes() for raw in utf8(b.column(1))], pa.binary())], names=["id", "elements"])
 
-    return docs.mapInArrow(run, f"id {kind}, elements binary")
+    return docs.mapInArrow(tidy(run), f"id {kind}, elements binary")
 
 
 def _busy(rows: DataFrame, percent: int, share: tuple[int, int]) -> DataFrame:
@@ -133,7 +133,7 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
                 keys.append(signed(s[order[: len(s) - _least(len(s), percent) + 1]]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
 
-    return sets.mapInArrow(run, f"id {kind}, keys array<bigint>").select("id", F.explode("keys").alias("key"))
+    return sets.mapInArrow(tidy(run), f"id {kind}, keys array<bigint>").select("id", F.explode("keys").alias("key"))
 
 
 def join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
