@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from seisma.llm import linkage
-from seisma.llm.shingles import signed, word_shingles
+from seisma.llm.shingles import mix, signed, word_shingles
 from seisma.llm.tables import slices, small, stored, tidy, utf8
 
 NGRAM = 3
@@ -50,6 +50,9 @@ def _least(n, percent: int):
 FILTERS = ((1, 20), (3, 10))
 BUCKETS = 1 << 19
 _PARTS = 64
+#: Keys that a task of a filter gathers before it sends them, and keys that one part of the filter compares.
+CHUNK_KEYS = 1 << 19
+PART_KEYS = 1 << 20
 
 
 def _rows(docs: DataFrame, ngram: int, percent: int, share: tuple[int, int]) -> DataFrame:
@@ -85,11 +88,111 @@ def _sets(docs: DataFrame, ngram: int) -> DataFrame:
     return docs.mapInArrow(tidy(run), f"id {kind}, elements binary")
 
 
+def _classes(n: np.ndarray, percent: int) -> np.ndarray:
+    """Size classes: two sizes that the bound allows together lie in one class or in neighbours (a little room for rounding)."""
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent * (1 + 1e-9))).astype(np.int64)
+
+
+def _met(keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Which entries share their key with another entry of the same or a neighbouring class."""
+    order = np.lexsort((classes, keys))
+    k, c = keys[order], classes[order]
+    near = (k[1:] == k[:-1]) & (c[1:] - c[:-1] <= 1)
+    out = np.zeros(len(keys), dtype=bool)
+    out[order] = np.r_[near, False] | np.r_[False, near]
+    return out
+
+
+def _requests(ids: pa.Array, n: np.ndarray, owners: np.ndarray, keys: np.ndarray, parts: int, percent: int) -> pa.RecordBatch:
+    """One chunk's keys as a row a part; keys met inside the chunk go once a size class, without owner."""
+    classes = _classes(n, percent)[owners]
+    met = _met(keys, classes)
+    counts = np.bincount(owners[met], minlength=len(ids))
+    here = np.flatnonzero(counts)
+    _, once = np.unique(np.stack([keys[met].view(np.int64), classes[met]]), axis=1, return_index=True)
+    use = np.sort(np.r_[np.flatnonzero(~met), np.flatnonzero(met)[once]])
+    keys, owners, met = keys[use], owners[use], met[use]
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((owners, met, part))
+    keys, owners, met, part = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")[order], owners[order], met[order], part[order]
+    ends = np.flatnonzero(np.r_[part[1:] != part[:-1], len(part) > 0])
+    # the first row hands over what the chunk itself has counted; any part will do for it
+    rows = [(int(keys[0]) % parts if len(keys) else 0, here, counts[here].astype("<u4").tobytes(), None, b"")]
+    lo = 0
+    for hi in (ends + 1).tolist():
+        own = lo + int(np.searchsorted(met[lo:hi], True))
+        first = np.flatnonzero(np.r_[True, owners[lo + 1 : own] != owners[lo : own - 1]]) if own > lo else np.zeros(0, np.int64)
+        runs = np.diff(np.r_[first, own - lo]).astype("<u4")
+        rows.append((int(part[lo]), owners[lo:own][first], runs.tobytes(), keys[lo:hi].tobytes(), n[owners[own:hi]].astype("<u4").tobytes()))
+        lo = hi
+    who = np.concatenate([r[1] for r in rows])
+    at = np.cumsum([0] + [len(r[1]) for r in rows])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), ids.take(pa.array(who, pa.int64()))),
+         pa.array([n[r[1]].astype("<u4").tobytes() for r in rows], pa.binary())] + [pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4)],
+        names=["part", "ids", "n", "runs", "keys", "more"])
+
+
 def _busy(rows: DataFrame, percent: int, share: tuple[int, int]) -> DataFrame:
-    """doc_id of the rows that share enough of their first columns with other rows."""
-    first = rows.select(F.col("doc_id").alias("id"), "n", F.explode("first").alias("key"))
-    # shared columns grow with the input, so both sides of this join are shuffled at every size
-    shared = first.join(linkage.shared_keys(first), "key").groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("n"))
+    """doc_id of the rows that share enough of their first columns with rows of a size that the bound allows.
+
+    Keys travel as 32 bits beside the part that the other bits name, about ``PART_KEYS`` to a part at every
+    size of input; keys that fall together there only keep more rows.  A key met inside a chunk of
+    ``CHUNK_KEYS`` travels once a size class, so a key of all rows adds a few entries a chunk.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    total = rows.agg(F.sum(F.size("first"))).first()[0] or 0
+    parts = max(1, -(-total // PART_KEYS))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, n, lengths, keys, held = [], [], [], [], 0
+
+        def chunk() -> pa.RecordBatch:
+            owners = np.repeat(np.arange(sum(map(len, n))), np.concatenate(lengths))
+            return _requests(pa.concat_arrays(ids), np.concatenate(n), owners, np.concatenate(keys), parts, percent)
+
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                b = whole.slice(lo, 512)
+                ids.append(b.column(0))
+                n.append(b.column(1).to_numpy())
+                lengths.append(b.column(2).value_lengths().to_numpy())
+                keys.append(b.column(2).flatten().to_numpy().view(np.uint64))
+                held += len(keys[-1])
+                if held >= CHUNK_KEYS:
+                    yield chunk()
+                    ids, n, lengths, keys, held = [], [], [], [], 0
+        if ids:
+            yield chunk()
+
+    def answer(table: pa.Table) -> pa.Table:
+        ids, n, counts, owners, keys, sizes, at = [], [], [], [], [], [], 0
+        for i in range(table.num_rows):
+            own, size, runs = table.column("ids")[i].values, *(np.frombuffer(table.column(c)[i].as_py(), "<u4") for c in ("n", "runs"))
+            ids.append(own)
+            n.append(size)
+            sent = table.column("keys")[i].as_py()
+            if sent is None:
+                counts.append((at, runs))
+            else:
+                more = np.frombuffer(table.column("more")[i].as_py(), "<u4")
+                keys.append(np.frombuffer(sent, "<u4"))
+                sizes += [np.repeat(size, runs), more]
+                owners += [np.repeat(np.arange(at, at + len(own)), runs), np.full(len(more), -1)]
+            at += len(own)
+        shared = np.zeros(at, dtype=np.int64)
+        if keys:
+            who = np.concatenate(owners)
+            met = _met(np.concatenate(keys), _classes(np.concatenate(sizes), percent)) & (who >= 0)
+            shared += np.bincount(who[met], minlength=at)
+        for start, runs in counts:
+            shared[start : start + len(runs)] += runs
+        keep = pa.array(shared > 0)
+        return pa.table({"id": pa.concat_arrays(ids).filter(keep), "n": pa.array(np.concatenate(n).astype(np.int64)).filter(keep), "shared": pa.array(shared).filter(keep)})
+
+    asked = rows.select("doc_id", "n", "first").mapInArrow(tidy(ask), f"part int, ids array<{kind}>, n binary, runs binary, keys binary, more binary")
+    shared = asked.groupBy("part").applyInArrow(answer, f"id {kind}, n bigint, shared bigint")
+    shared = shared.groupBy("id").agg(F.sum("shared").alias("_shared"), F.max("n").alias("n"))
     # a partner may be smaller, down to the least overlap, and then looks at fewer columns
     fewest = F.floor(F.floor((F.col("n") * percent + 99) / 100) * share[0] / share[1])
     return stored(shared.where(F.col("_shared") >= F.greatest(F.lit(1), fewest)).select(F.col("id").alias("doc_id")))
@@ -119,7 +222,10 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, key) of each row's rarest columns, as many as the least overlap asks for."""
+    """(id, key) of each row's rarest columns, as many as the least overlap asks for, once for the row's size class and once for the next.
+
+    Rows of sizes that the bound allows together share such a key; rows too far apart in size share none.
+    """
     kind = sets.schema["id"].dataType.simpleString()
     shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))  # 8 * BUCKETS bytes
 
@@ -130,7 +236,8 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
             for raw in b.column(1).to_pylist():
                 s = np.frombuffer(raw, "<u8")
                 order = np.argsort(often[(s & np.uint64(BUCKETS - 1)).astype(np.int64)], kind="stable")  # ties in hash order
-                keys.append(signed(s[order[: len(s) - _least(len(s), percent) + 1]]))
+                rare, own = s[order[: len(s) - _least(len(s), percent) + 1]], _classes(np.array([len(s)]), percent).view(np.uint64)
+                keys.append(signed(mix(np.concatenate([rare ^ mix(own), rare ^ mix(own + np.uint64(1))]))))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
 
     return sets.mapInArrow(tidy(run), f"id {kind}, keys array<bigint>").select("id", F.explode("keys").alias("key"))
