@@ -3,7 +3,8 @@
 Every aggregate is a ``groupBy().agg`` (partial + final hash aggregation, so a
 hot group is combined map-side before the shuffle).  Means that get rounded
 are taken as an exact decimal sum over a count, so the rounded value does not
-depend on the summation order of floating-point partials.
+depend on the summation order of floating-point partials; values too large for
+that and NaN are added as doubles (several such values in any order).
 """
 
 from __future__ import annotations
@@ -15,15 +16,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_mean(c: str | Column, scale: int = 12) -> Column:
-    """AVG as ``sum(decimal) / count``: order-independent, NULLs excluded (12 decimals hold a magnitude's digits)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(f"decimal(38,{scale})")).cast("double") / F.count(col)
+#: Finite values up to this size are summed as decimals; beyond it, and for NaN and infinities, as doubles.
+DECIMAL_LIMIT = 1e15
+
+
+def _decimal_part(col: Column, scale: int) -> Column:
+    """Sum of the values that a decimal holds; NULL when there are none."""
+    return F.sum(F.when(F.abs(col.cast("double")) < DECIMAL_LIMIT, col.cast("double").cast(f"decimal(38,{scale})")))
+
+
+def _double_part(col: Column) -> Column:
+    """Sum of the others, NaN (greater than all numbers) and infinities included; NULL when there are none."""
+    return F.sum(F.when(F.abs(col.cast("double")) >= DECIMAL_LIMIT, col.cast("double")))
+
+
+def _whole(decimals: Column, doubles: Column) -> Column:
+    return F.when(doubles.isNull(), decimals.cast("double")).otherwise(F.coalesce(decimals.cast("double"), F.lit(0.0)) + doubles)
 
 
 def exact_sum(c: str | Column, scale: int = 10) -> Column:
+    """SUM whose decimal part does not depend on the order of rows; a NaN gives NaN, values of any size are taken."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(f"decimal(38,{scale})")).cast("double")
+    return _whole(_decimal_part(col, scale), _double_part(col))
+
+
+def exact_mean(c: str | Column, scale: int = 12) -> Column:
+    """AVG as ``exact_sum`` over the count, NULLs excluded (12 decimals hold a magnitude's digits)."""
+    return exact_sum(c, scale) / F.count(F.col(c) if isinstance(c, str) else c)
 
 
 def source_rows(stg_tables: Mapping[str, DataFrame], since: dt.date | None = None) -> DataFrame:
@@ -62,12 +81,12 @@ def daily_stats(stg_tables: Mapping[str, DataFrame], processed_at: dt.datetime,
     # then per (day, source) over one pre-aggregated row per event.
     m = F.col("magnitude")
     per_event = rows.groupBy("event_date", "source", "event_id").agg(
-        F.sum(m.cast("decimal(38,12)")).alias("_s"), F.count(m).alias("_c"),
+        _decimal_part(m, 12).alias("_s"), _double_part(m).alias("_d"), F.count(m).alias("_c"),
         F.max(m).alias("_max"), F.min(m).alias("_min"),
     )
     return per_event.groupBy("event_date", "source").agg(
         F.count(F.lit(1)).alias("earthquake_count"),
-        F.round(F.sum("_s").cast("double") / F.sum("_c"), 2).alias("avg_magnitude"),
+        F.round(_whole(F.sum("_s"), F.sum("_d")) / F.sum("_c"), 2).alias("avg_magnitude"),
         F.round(F.max("_max"), 2).alias("max_magnitude"),
         F.round(F.min("_min"), 2).alias("min_magnitude"),
         F.lit(processed_at).cast("timestamp").alias("processed_at"),

@@ -237,7 +237,7 @@ def q_hourly_counts(spark, sf):
 
 _SRC24 = " UNION ALL ".join(
     f"""SELECT '{label}' AS source, count(*) AS event_count,
-       round(CAST(sum(CAST(mag AS DECIMAL(38,12))) AS DOUBLE) / count(mag), 2) AS avg_mag
+       round(favg(mag), 2) AS avg_mag
 FROM quake_raw WHERE source = '{src}' AND event_time >= {O.AS_OF_SQL} - INTERVAL 24 HOUR"""
     for label, src in (("USGS", "usgs"), ("EMSC", "emsc"), ("Kandilli", "kandilli")))
 
