@@ -156,9 +156,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", report: s
 
     An input column named like ``report`` is left out.
     """
-    gone = stored(dropped_lines(docs, doc_id, text)).select(F.col("doc_id").alias(doc_id), F.col("dropped").alias("__gone"))
+    drop = "__gone"
+    while drop in docs.columns:
+        drop += "_"
+    gone = stored(dropped_lines(docs, doc_id, text)).select(F.col("doc_id").alias(doc_id), F.col("dropped").alias(drop))
     body = F.col(text).cast("string")
-    left = F.filter(F.split(body, "\n", -1), lambda x, k: ~F.array_contains("__gone", k))
-    new = F.when(F.col("__gone").isNull(), body).otherwise(F.array_join(left, "\n")).alias(text)
+    left = F.filter(F.split(body, "\n", -1), lambda x, k: ~F.array_contains(drop, k))
+    new = F.when(F.col(drop).isNull(), body).otherwise(F.array_join(left, "\n")).alias(text)
     columns = [new if c == text else F.col(c) for c in docs.columns if c != report]
-    return docs.join(small(gone), doc_id, "left").select(*columns, F.col("__gone").alias(report))
+    return docs.join(small(gone), doc_id, "left").select(*columns, F.col(drop).alias(report))

@@ -9,12 +9,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from seisma.session import checkpoint_dir, scratch_path
 
-#: A side of a join is broadcast only when its counted rows fit this many (8 to 40 bytes a row).
-BROADCAST_ROWS = 2_000_000
+#: A side of a join is broadcast only when its measured values fit this many bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,30 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _bytes(column: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in a row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        inner = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType):
+        fixed = not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType))
+        inner = F.size(column) * 8 if fixed else F.aggregate(column, F.lit(0).cast("bigint"), lambda n, x: n + _bytes(x, kind.elementType))
+    elif isinstance(kind, T.StructType):
+        inner = sum((_bytes(column[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    elif isinstance(kind, T.MapType):
+        inner = _bytes(F.map_keys(column), T.ArrayType(kind.keyType)) + _bytes(F.map_values(column), T.ArrayType(kind.valueType))
+    else:
+        inner = F.lit(0)
+    return F.coalesce(inner.cast("bigint"), F.lit(0)) + 8
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    row = sum((_bytes(df[f.name], f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
 def small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast when its counted rows allow it, else unchanged (shuffle join)."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """``df`` marked for broadcast when the measured bytes of its rows allow it, else unchanged (shuffle join)."""
+    return F.broadcast(df) if size_in_bytes(df) <= BROADCAST_BYTES else df
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

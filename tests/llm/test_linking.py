@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from seisma.llm import ann, line_dedup, linkage, ngram_join, warc
+from seisma.llm.tables import size_in_bytes
 
 
 def rows(df):
@@ -76,6 +77,32 @@ def test_ngram_join_against_brute_force(spark, n, percent):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if c == i)
 
 
+def test_ngram_join_in_many_chunks_and_parts(spark, monkeypatch):
+    texts = made_texts(seed=8)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    want = {r["doc_id"]: r["component_id"] for r in rows(ngram_join.join(df))}
+    monkeypatch.setattr(ngram_join, "CHUNK_KEYS", 8)
+    monkeypatch.setattr(ngram_join, "PART_KEYS", 8)
+    monkeypatch.setattr("seisma.llm.tables.BROADCAST_BYTES", 0)
+    assert {r["doc_id"]: r["component_id"] for r in rows(ngram_join.join(df))} == want
+    assert want == {d: c for d, (_, c) in brute_join(texts, 3, 90).items()}
+
+
+def test_size_classes_of_allowed_sizes_are_neighbours():
+    for percent in (50, 80, 90, 99, 100):
+        for n in range(1, 3000):
+            least = -(-percent * n // 100)
+            a, b = ngram_join._classes(np.array([least, n]), percent)
+            assert b - a in (0, 1)
+
+
+def test_bytes_of_a_table(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3], "abc"), (None, None, None)], "id bigint, numbers array<bigint>, name string")
+    assert size_in_bytes(df) == 2 * (16 + 3 * 8) + 24 + 3
+    assert size_in_bytes(df.limit(0)) == 0
+    assert size_in_bytes(df.select(F.struct("id", "name").alias("s"), F.array("name").alias("a"))) > 0
+
+
 def test_ngram_join_odd_rows(spark):
     schema = "doc_id bigint, text string"
     assert ngram_join.join(spark.createDataFrame([], schema)).count() == 0
@@ -153,6 +180,12 @@ def test_line_dedup_against_brute_force(spark):
     assert 1006 in want and want[1006] == [0, 1] and want[1009] == [0]
 
 
+def test_line_dedup_keeps_a_column_named_like_its_own(spark):
+    df = spark.createDataFrame([(1, "one two three four five", "x"), (2, "one two three four five", "y")], "doc_id bigint, text string, __gone string")
+    got = {r["doc_id"]: (r["text"], r["__gone"], r["dropped_lines"]) for r in rows(line_dedup.dedup(df))}
+    assert got == {1: ("one two three four five", "x", None), 2: ("", "y", [0])}
+
+
 def test_line_dedup_odd_rows(spark):
     schema = "doc_id bigint, text string"
     assert line_dedup.dedup(spark.createDataFrame([], schema)).count() == 0
