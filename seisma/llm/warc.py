@@ -19,7 +19,8 @@ neither HTML nor text, or a status other than 200, gives a metadata record only;
 payload converts to empty text; a null URL leaves the URI heads out; a payload
 digest that does not fit its payload is reported in ``digest-mismatch`` and the
 record is kept; repeated rows give repeated records; bytes that do not decode
-become U+FFFD.
+become U+FFFD; heads may end in bare line feeds.  Work is linear in a page's
+length, also where tags, titles or anchors are opened and never closed.
 """
 
 from __future__ import annotations
@@ -40,8 +41,16 @@ _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: t
 _DROP = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)|<head\b.*?(?:</head\s*>|(?=<body\b)|\Z)")
 _BREAK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|header|footer|blockquote|pre|hr|title|body)\b[^>]*>")
 _TAG = re.compile(r"(?s)<[a-zA-Z/!?][^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LINK = re.compile(r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_TITLE = re.compile(r"(?i)<title\b")
+_TITLE_END = re.compile(r"(?i)</title\s*>")
+_ANCHOR = re.compile(r"(?i)<a\b")
+_HREF = re.compile(r"""(?is)[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_ZEROS = re.compile(r"&#0+(?=[0-9])")
+_BEYOND = re.compile(r"&#[1-9][0-9]{7,};?")
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
+_LENGTH = re.compile(r"[0-9]{1,18}")
+_CHUNK = re.compile(rb"([0-9A-Fa-f]{1,15})[^\n]*\n")
+_PIECE = 1 << 14
 _BLANK = re.compile(r"[^\S\n]+")
 
 
@@ -56,7 +65,7 @@ def record(heads: list[tuple[str, str | None]], block: bytes) -> bytes:
 
 
 def _heads(raw: bytes) -> tuple[str, list[tuple[str, str]]]:
-    first, *rest = raw.decode("utf-8", "replace").split("\r\n")
+    first, *rest = re.split(r"\r?\n", raw.decode("utf-8", "replace"))
     out: list[tuple[str, str]] = []
     for line in rest:
         if line[:1] in " \t" and out:  # a folded head goes on
@@ -67,51 +76,88 @@ def _heads(raw: bytes) -> tuple[str, list[tuple[str, str]]]:
     return first, out
 
 
+def _parted(raw: bytes) -> tuple[bytes, bytes]:
+    """What stands before and after the first empty line."""
+    m = _HEAD_END.search(raw)
+    return (raw[: m.start()], raw[m.end() :]) if m else (raw, b"")
+
+
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     """The heads (names lower-cased) and the block of a record."""
-    head, _, block = raw.partition(2 * _END)
+    head, block = _parted(raw)
     heads = {k.lower(): v for k, v in _heads(head)[1]}
     length = heads.get("content-length", "")
-    return heads, block[: int(length)] if length.isdigit() else block
+    return heads, block[: int(length)] if _LENGTH.fullmatch(length) else block
+
+
+def _unzipped(payload: bytes, bits: int, members: bool) -> bytes | None:
+    """The members' contents up to what is not compressed; None if that is the whole payload."""
+    out, at = [], 0
+    try:
+        while at < len(payload):
+            member = zlib.decompressobj(bits)
+            while at < len(payload) and not member.eof:  # in pieces: a member gives back what follows it
+                piece = payload[at : at + _PIECE]
+                out.append(member.decompress(piece))
+                at += len(piece) - len(member.unused_data)
+            if not members:
+                break
+    except zlib.error:  # not compressed, or padding after the last member
+        pass
+    return b"".join(out) if out else None
 
 
 def _body(heads: dict[str, str], payload: bytes) -> bytes:
     if heads.get("transfer-encoding", "").lower() == "chunked":
-        out, rest = [], payload
-        while rest:
-            size, _, rest = rest.partition(_END)
-            try:
-                n = int(size.split(b";")[0], 16)
-            except ValueError:
-                break
-            if not n:
-                break
-            out.append(rest[:n])
-            rest = rest[n + 2 :]
+        out, at = [], 0
+        while (m := _CHUNK.match(payload, at)) and (n := int(m[1], 16)):
+            out.append(payload[m.end() : m.end() + n])
+            at = m.end() + n
+            at += 2 if payload[at : at + 2] == _END else 1
         payload = b"".join(out)
     coding = heads.get("content-encoding", "").lower()
     if coding in ("gzip", "x-gzip", "deflate"):
-        out, rest = [], payload
-        try:
-            while rest:  # a body may have several gzip members
-                member = zlib.decompressobj(47 if "gzip" in coding else 15)
-                out.append(member.decompress(rest))
-                rest = member.unused_data if "gzip" in coding else b""
-        except zlib.error:  # not compressed, or padding after the last member
-            pass
-        payload = b"".join(out) if out else payload
+        plain = _unzipped(payload, 47 if "gzip" in coding else 15, "gzip" in coding)
+        payload = payload if plain is None else plain
     return payload
 
 
+def _unescaped(text: str) -> str:
+    """Entities resolved; numbers of any length, those beyond Unicode as U+FFFD."""
+    return html.unescape(_BEYOND.sub("\ufffd", _ZEROS.sub("&#", text)) if "&#" in text else text)
+
+
+def _without(tags: re.Pattern[str], by: str, text: str) -> str:
+    """The text with its tags replaced; after the last ``>`` no tag ends, so none is looked for."""
+    end = text.rfind(">") + 1
+    return tags.sub(by, text[:end]) + text[end:]
+
+
 def readable(markup: str) -> str:
     """The text a reader sees: blocks on lines of their own, blanks collapsed, entities resolved."""
-    text = _TAG.sub(" ", _BREAK.sub("\n", _DROP.sub(" ", markup)))
-    lines = (_BLANK.sub(" ", x).strip() for x in html.unescape(text).split("\n"))
+    text = _without(_TAG, " ", _without(_BREAK, "\n", _DROP.sub(" ", markup)))
+    lines = (_BLANK.sub(" ", x).strip() for x in _unescaped(text).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
-def _plain(text: str) -> str:
-    return " ".join(html.unescape(_TAG.sub(" ", text)).split())
+def _title(markup: str) -> str | None:
+    """The first title; if its tag or it has no end, no later one has."""
+    m = _TITLE.search(markup)
+    start = markup.find(">", m.end()) + 1 if m else 0
+    end = _TITLE_END.search(markup, start) if start else None
+    return " ".join(_unescaped(_without(_TAG, " ", markup[start : end.start()])).split()) if end else None
+
+
+def _links(markup: str) -> list[str]:
+    """The targets of the anchors; an anchor without one is left at its ``>``, as those it holds have none either."""
+    out, at = [], 0
+    while m := _ANCHOR.search(markup, at):
+        if href := _HREF.match(markup, m.end()):
+            out.append(" ".join(_unescaped(next(filter(None, href.groups()), "")).split()))
+            at = href.end()
+        elif not (at := markup.find(">", m.end()) + 1):
+            break
+    return [x for x in dict.fromkeys(out) if x]
 
 
 def derivatives(raw: bytes | None) -> list[dict]:
@@ -121,15 +167,15 @@ def derivatives(raw: bytes | None) -> list[dict]:
     heads, block = parse(raw)
     if heads.get("warc-type") != "response":
         return []
-    head, _, payload = block.partition(2 * _END)
+    head, payload = _parted(block)
     status, http = _heads(head)
     of = {k.lower(): v for k, v in http}
     body = _body(of, payload)
     kind = of.get("content-type", "text/html").lower()
     charset = re.search(r"charset=[\"']?([\w.:-]+)", kind)
     try:
-        markup = body.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
+        markup = body.decode(charset[1] if charset else "utf-8", "replace").encode("utf-8", "replace").decode()
+    except (LookupError, UnicodeError):  # no text encoding of that name
         markup = body.decode("utf-8", "replace")
     code = (status.split() + ["", ""])[1]
     source, uri, date = heads.get("warc-record-id"), heads.get("warc-target-uri"), heads.get("warc-date")
@@ -140,11 +186,11 @@ def derivatives(raw: bytes | None) -> list[dict]:
     own = digest(payload)
     told = heads.get("warc-payload-digest")
     carried = [("source-payload-digest", told or own), ("source-block-digest", heads.get("warc-block-digest") or digest(block))]
-    fields = [("title", _plain(m[1]) if (m := _TITLE.search(markup)) and is_html else None), ("http-status", code), *carried,
+    fields = [("title", _title(markup) if is_html else None), ("http-status", code), *carried,
               ("digest-mismatch", own if told and told.startswith("sha1:") and told != own else None),
               *((f"http-{k.lower()}", v) for k, v in http)]
-    links = [html.unescape(next(filter(None, m), "")).strip() for m in _LINK.findall(markup)] if is_html else []
-    fields += [("outlink", " ".join(x.split())) for x in dict.fromkeys(links) if x]
+    links = _links(markup) if is_html else []
+    fields += [("outlink", x) for x in links]
     blocks = {"metadata": "".join(f"{k}: {v}\r\n" for k, v in fields if v is not None)}
     if converted:
         blocks = {"conversion": readable(markup) if is_html else markup, **blocks}
@@ -159,7 +205,7 @@ def derivatives(raw: bytes | None) -> list[dict]:
             *(carried if t == "conversion" else []),
             ("Content-Type", "text/plain; charset=utf-8" if t == "conversion" else "application/warc-fields")], content)
         out.append({"record_type": t, "record_id": ids[t], "refers_to": source, "target_uri": uri, "block_digest": mark,
-                    "source_digest": told or own, "block": text, "n_links": len(dict.fromkeys(x for x in links if x)), "record": made.decode("utf-8", "replace")})
+                    "source_digest": told or own, "block": text, "n_links": len(links), "record": made.decode("utf-8", "replace")})
     return out
 
 

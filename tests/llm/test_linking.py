@@ -3,11 +3,14 @@
 import base64
 import collections
 import hashlib
+import html
 import re
+import time
 
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -331,6 +334,54 @@ def test_warc_body_of_several_members():
     assert warc._body({"content-encoding": "deflate"}, zlib.compress(b"x") + b"junk") == b"x"
 
 
+def html_response(body, heads=b"Content-Type: text/html; charset=utf-8"):
+    return warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], b"HTTP/1.1 200 OK\r\n" + heads + b"\r\n\r\n" + body)
+
+
+def brute_page(markup):
+    """Title and links by patterns that try every opening anew."""
+    title = re.search(r"(?is)<title\b[^>]*>(.*?)</title\s*>", markup)
+    plain = title and " ".join(html.unescape(re.sub(r"(?s)<[a-zA-Z/!?][^>]*>", " ", title[1])).split())
+    anchors = re.findall(r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", markup)
+    links = [" ".join(html.unescape("".join(m)).split()) for m in anchors]
+    return plain, [x for x in dict.fromkeys(links) if x]
+
+
+PARTS = ["<a", "<a ", "<title", ">", "</title>", " href=", '"', "'", "x", "<", "</p", "<p ", " ", "\n", "<!--", "-->", "<script>", "</script>", "&amp;", "="]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=30).map("".join))
+def test_warc_titles_and_links_against_brute_force(markup):
+    assert (warc._title(markup), warc._links(markup)) == brute_page(markup)
+
+
+@pytest.mark.parametrize("part", ["<title>", "<title ", "<a ", "<a href=", '<a href="', "<a x>", "<!--", "<head>", "</title ", "<p ", "<", "&#", "&#1", "<a href='\" ", "<a \thref"])
+def test_warc_long_pages_that_close_nothing(part):
+    for end in ("", ">"):
+        started = time.process_time()
+        made = warc.derivatives(html_response((part * ((1 << 20) // len(part)) + end).encode()))
+        assert [r["record_type"] for r in made] == ["conversion", "metadata"] and time.process_time() - started < 10
+
+
+def test_warc_odd_heads_numbers_and_bodies():
+    import gzip
+
+    text = warc.derivatives(html_response(b"&#" + b"1" * 9000 + b"; &#" + b"0" * 9000 + b"65;<title>&#99999999999;</title>"))
+    assert text[0]["block"].split() == ["\ufffd", "A", "\ufffd"] and "title: \ufffd\r\n" in text[1]["block"]
+    bare = b"WARC/1.1\nWARC-Type: response\nWARC-Record-ID: <u>\nContent-Length: " + b"9" * 5000 + b"\n\nHTTP/1.1 200 OK\nContent-Type: text/plain; charset=undefined\n\na\n\nb"
+    assert warc.derivatives(bare)[0]["block"] == "a\n\nb"
+    wide = html_response(b"\\ud800x", b"Content-Type: text/plain; charset=raw_unicode_escape")
+    assert warc.derivatives(wide)[0]["block"] == "?x"
+    members = b"".join(gzip.compress(b"p%d " % i) for i in range(20_000))
+    chunks = b"".join(b"1;x=y\r\nz\r\n" for _ in range(100_000)) + b"0\r\n\r\n"
+    started = time.process_time()
+    zipped = warc.derivatives(html_response(members, b"Content-Type: text/plain\r\nContent-Encoding: gzip"))
+    dealt = warc.derivatives(html_response(chunks, b"Content-Type: text/plain\r\nTransfer-Encoding: chunked"))
+    assert zipped[0]["block"] == "".join(f"p{i} " for i in range(20_000)) and dealt[0]["block"] == "z" * 100_000
+    assert time.process_time() - started < 10
+
+
 # the pipeline
 
 

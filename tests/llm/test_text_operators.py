@@ -79,6 +79,45 @@ def test_toxicity_odd_rows(spark, odd, empty):
     assert toxicity.keep_clean(odd, none).count() == odd.count()
 
 
+def test_toxicity_fit_is_the_maximum_of_the_penalised_likelihood():
+    rng = np.random.default_rng(5)
+    words = [bytes([97 + i, 113]) for i in range(12)]  # two letters: no beginnings of their own
+    counts = rng.poisson(0.6, (900, 12))
+    truth, cuts = rng.normal(0, 1.5, 12), np.array([0.5, 1.5, 3.0])
+    x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0)
+    grades = ((x @ truth + rng.logistic(size=900))[:, None] > cuts).sum(axis=1)
+    texts = [b" ".join(w for w, n in zip(words, row) for _ in range(n)) for row in counts]
+    m = toxicity.fit(texts, grades, words)
+    w, b = np.array([m.weights.get(f, 0.0) for f in words]), np.array(m.cuts)
+
+    def loss(w, b):
+        p = 1 / (1 + np.exp(b[None, :] - (x @ w)[:, None]))
+        above = grades[:, None] >= np.arange(1, 4)
+        return -np.log(np.where(above, p, 1 - p)).sum() + 0.15 * (w**2).sum()
+
+    at, eps = loss(w, b), 1e-4
+    slopes = [(loss(w + eps * d, b) - loss(w - eps * d, b)) / (2 * eps) for d in np.eye(12)]
+    slopes += [(loss(w, b + eps * d) - loss(w, b - eps * d)) / (2 * eps) for d in np.eye(3)]
+    assert np.abs(slopes).max() < 0.5 and (b[1:] >= b[:-1]).all()  # of a loss of several hundred
+    for _ in range(200):  # no step in any direction betters it
+        d = rng.normal(size=15)
+        d *= 0.1 / np.linalg.norm(d)
+        assert loss(w + d[:12], b + d[12:]) > at
+    for text, row in zip(texts[:50], x):
+        p = 1 / (1 + np.exp(b - row @ w))
+        assert np.allclose(m.probabilities(text), p)
+
+
+def test_toxicity_severity_is_the_expected_grade(spark):
+    m = toxicity.OrdinalModel({b"bad": 2.0, b"vill*": 1.0}, [1.0, 2.5, 4.0])
+    df = spark.createDataFrame([(1, "bad bad village VILLA"), (2, "fine"), (3, None)], "doc_id bigint, text string")
+    for r in rows(toxicity.score(df, m)):
+        z = 3 * (1 + np.log(2)) if r["doc_id"] == 1 else 0.0  # two words and two beginnings
+        p = [1 / (1 + np.exp(b - z)) for b in m.cuts]
+        grade = [1 - p[0], p[0] - p[1], p[1] - p[2], p[2]]
+        assert abs(r["severity"] - sum(k * q for k, q in enumerate(grade))) < 1e-9 and abs(r["p_toxic"] - p[0]) < 1e-9
+
+
 # decontamination
 
 
