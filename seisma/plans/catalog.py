@@ -1025,9 +1025,10 @@ def q_ingest_batch(spark, sf):
                         archive=sinks.table_path(spark, "archive"))
 
 
-def _build(spark, sf):
+def _build(spark, sf, job_log=None):
+    """One model build; its queries report failed contracts instead of stopping at them."""
     root = sinks.table_path(spark, "models")
-    return models.build_models(spark, testdata.raw_feeds(spark, sf), root, AS_OF)
+    return models.build_models(spark, testdata.raw_feeds(spark, sf), root, AS_OF, job_log=job_log, stop_on_error=False)
 
 
 @register("build_models_unified", f"""{O.FEEDS},{O.matcher_ctes('7 DAY')},{O.UNIFIED_CTE}
@@ -1037,7 +1038,7 @@ def q_build_unified(spark, sf):
     return naive_ts(spark.read.parquet(_build(spark, sf)["fct_unified"]))
 
 
-def _contract_report_sql() -> str:
+def _contract_report_sql(every: bool = False) -> str:
     """Failing rows of each contract, counted; the status follows from the count and the severity."""
     at, hours = O.AS_OF_SQL, lambda d: f"INTERVAL {int(d.total_seconds() // 3600)} HOUR"
     lo, hi = K.MAG_RANGE
@@ -1058,9 +1059,24 @@ def _contract_report_sql() -> str:
     counts["min_events"] = (
         f"SELECT CAST(count(DISTINCT date_trunc('hour', event_time)) < {K.MIN_HOUR_BUCKETS} AS BIGINT) FROM quake_raw "
         f"WHERE source = 'usgs' AND event_time >= {at} - {hours(K.MIN_EVENTS_WINDOW)}")
-    parts = " UNION ALL ".join(
-        f"SELECT '{n}' AS contract, '{'warn' if n == 'cross_source_disagreement' else 'error'}' AS severity, ({q}) AS failing_rows" for n, q in counts.items())
-    return f"""{O.FEEDS},{O.matcher_ctes('7 DAY')},{O.UNIFIED_CTE}, counted AS ({parts})
+    if every:
+        counts["unique_match_id"] = "SELECT count(*) FROM (FROM matches SELECT match_id WHERE match_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+        for f in ("usgs", "emsc", "kandilli"):
+            counts |= {f"not_null_{c}_{f}": f"SELECT count(*) FROM stg WHERE source = '{f}' AND {c} IS NULL" for c in ("lon", "lat")}
+            counts[f"accepted_source_{f}"] = f"SELECT count(DISTINCT source) FROM stg WHERE source = '{f}' AND source NOT IN ('usgs', 'emsc', 'kandilli')"
+            for level, age in zip(("warn", "error"), K.SOURCE_FRESHNESS[f]):
+                counts[f"loaded_{level}_{f}"] = (
+                    f"SELECT CAST(count(*) = 0 AS BIGINT) FROM quake_raw WHERE source = '{f}' AND ingestion_time >= {at} - {hours(age)}")
+        counts["unique_cost_job"] = "SELECT count(*) FROM (FROM model_cost SELECT job_id WHERE job_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+        counts["unique_cost_day"] = "SELECT 0"  # the mart is grouped by day
+        counts |= {f"not_null_cost_{c}": f"SELECT count(*) FROM model_cost WHERE {c} IS NULL" for c in ("job_id", "model_name", "bytes_processed", "run_date")}
+
+    def severity(n: str) -> str:
+        return "warn" if n == "cross_source_disagreement" or n.startswith("loaded_warn") else "error"
+
+    parts = " UNION ALL ".join(f"SELECT '{n}' AS contract, '{severity(n)}' AS severity, ({q}) AS failing_rows" for n, q in counts.items())
+    cost = f",{O.JOB_LOG},{O.JOB_FILTERED},{O.MODEL_COST}" if every else ""
+    return f"""{O.FEEDS},{O.matcher_ctes('7 DAY')},{O.UNIFIED_CTE}{cost}, counted AS ({parts})
 SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM counted"""
 
 
@@ -1070,6 +1086,28 @@ def q_build_report(spark, sf):
     return spark.read.parquet(_build(spark, sf)["contract_report"])
 
 
+@register("build_models_contracts", _contract_report_sql(every=True))
+def q_build_contracts(spark, sf):
+    """Every contract of one build with the cost models, source freshness included; one scan a table."""
+    paths = _build(spark, sf, _jobs(spark, sf))
+    return spark.read.parquet(paths["contract_report"]).unionByName(spark.read.parquet(paths["contract_report_more"]))
+
+
+@register("build_models_cost", f"""{O.COST_FEEDS}
+SELECT * FROM model_cost""")
+def q_build_cost(spark, sf):
+    """The cost fact as the build stores it, partitioned by day."""
+    out = spark.read.parquet(_build(spark, sf, _jobs(spark, sf))["fct_model_cost"])
+    return naive_ts(out.select(*C.model_cost(_jobs(spark, sf), AS_OF).columns))
+
+
+@register("build_models_daily_cost", ORACLE["daily_cost"])
+def q_build_daily_cost(spark, sf):
+    """The daily cost mart, built from the stored fact."""
+    out = spark.read.parquet(_build(spark, sf, _jobs(spark, sf))["dm_daily_cost"])
+    return naive_ts(out.select(*C.daily_cost(C.model_cost(_jobs(spark, sf), AS_OF), AS_OF).columns))
+
+
 @register("stream_ingest_docs", O.merge_docs_sql("usgs"))
 def q_stream_ingest_docs(spark, sf):
     """Feed documents land as text files; each micro-batch is parsed, stamped, archived and MERGEd."""

@@ -47,7 +47,7 @@ def test_stg(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: dt.datetime,
                  cfg: MatchConfig = DEFAULT, refresh_days: int = 3, job_log: DataFrame | None = None,
-                 stop_on_error: bool = False) -> dict[str, str]:
+                 stop_on_error: bool = True) -> dict[str, str]:
     """Materialise staging, reconciliation, marts and the contract report under ``root``.
 
     Every model is written once (day-partitioned where it has a day) and the
@@ -58,9 +58,9 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     ``refresh_days`` days when it exists (insert-overwrite), else built whole.
     With ``job_log`` the cost fact (by ``run_date``, clustered by model) and the
     daily cost mart are built and checked too.  The failing rows of every failed
-    contract are stored under ``failures/``; with ``stop_on_error`` a failed
-    contract of severity ``error`` raises ``ContractError`` after the report is
-    written.  Returns the table paths.
+    contract are stored under ``failures/``; a failed contract of severity
+    ``error`` raises ``ContractError`` after the report is written, unless
+    ``stop_on_error`` is false.  Returns the table paths.
     """
     from pyspark.sql import functions as F
 
@@ -97,24 +97,22 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     paths["dm_daily"] = d_path
 
     unified, matched = spark.read.parquet(u_path), spark.read.parquet(m_path)
-    suite = [K.Contract(f"unique_{n}", K.expect_unique(t, "earthquake_id")) for n, t in stg_tables.items()]
-    suite += [K.Contract(f"not_null_time_{n}", K.expect_not_null(t, "event_time")) for n, t in stg_tables.items()]
+    suite = [K.unique(f"unique_{n}", t, "earthquake_id") for n, t in stg_tables.items()]
+    suite += [K.not_null(f"not_null_time_{n}", t, "event_time") for n, t in stg_tables.items()]
     suite += [
-        K.Contract("unique_unified_id", K.expect_unique(unified, "unified_id")),
-        K.Contract("accepted_match_status",
-                   K.expect_accepted_values(unified, "match_status", K.ACCEPTED_MATCH_STATUS)),
-        K.Contract("magnitude_range", K.magnitude_range([stg_tables["usgs"], stg_tables["kandilli"]], as_of)),
-        K.Contract("cross_source_disagreement", K.disagreement_rows(unified, as_of), severity="warn"),
-        K.Contract("freshness_usgs", K.event_freshness(raw["usgs"], SPECS["usgs"].time_col, as_of,
-                                                       K.FRESHNESS_SEARCH["usgs"])),
-        K.Contract("freshness_kandilli", K.event_freshness(raw["kandilli"], SPECS["kandilli"].time_col, as_of,
-                                                           K.FRESHNESS_SEARCH["kandilli"])),
-        K.Contract("min_events", K.min_events(raw["usgs"], SPECS["usgs"].time_col, as_of)),
+        K.unique("unique_unified_id", unified, "unified_id"),
+        K.accepted_values("accepted_match_status", unified, "match_status", K.ACCEPTED_MATCH_STATUS),
+        K.magnitudes_in_range("magnitude_range", [stg_tables["usgs"], stg_tables["kandilli"]], as_of),
+        K.small_disagreements("cross_source_disagreement", unified, as_of),
+        *(K.fresh_events(f"freshness_{n}", raw[n], SPECS[n].time_col, as_of, K.FRESHNESS_SEARCH[n]) for n in ("usgs", "kandilli")),
+        K.enough_events("min_events", raw["usgs"], SPECS["usgs"].time_col, as_of),
     ]
-    more = [K.Contract("unique_match_id", K.expect_unique(matched, "match_id"))]
+    more = [K.unique("unique_match_id", matched, "match_id")]
     for n, t in stg_tables.items():
-        more += [K.Contract(f"not_null_{c}_{n}", K.expect_not_null(t, c)) for c in ("lon", "lat")]
-        more.append(K.Contract(f"accepted_source_{n}", K.expect_accepted_values(t, "source", list(SPECS))))
+        more += [K.not_null(f"not_null_{c}_{n}", t, c) for c in ("lon", "lat")]
+        more.append(K.accepted_values(f"accepted_source_{n}", t, "source", list(SPECS)))
+        warn, error = K.SOURCE_FRESHNESS[n]
+        more += [K.fresh_loads(f"loaded_{level}_{n}", raw[n], "ingestion_time", age, as_of, level) for level, age in (("warn", warn), ("error", error))]
     if job_log is not None:
         from seisma.operators.cost import daily_cost, model_cost
 
@@ -124,8 +122,8 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
         write_table(daily_cost(fact, as_of), dc_path, partition_by="run_date")
         daily = spark.read.parquet(dc_path)
         paths |= {"fct_model_cost": c_path, "dm_daily_cost": dc_path}
-        more += [K.Contract("unique_cost_job", K.expect_unique(fact, "job_id")), K.Contract("unique_cost_day", K.expect_unique(daily, "run_date"))]
-        more += [K.Contract(f"not_null_cost_{c}", K.expect_not_null(fact, c)) for c in ("job_id", "model_name", "bytes_processed", "run_date")]
+        more += [K.unique("unique_cost_job", fact, "job_id"), K.unique("unique_cost_day", daily, "run_date")]
+        more += [K.not_null(f"not_null_cost_{c}", fact, c) for c in ("job_id", "model_name", "bytes_processed", "run_date")]
 
     r_path, more_path = f"{root}/contract_report", f"{root}/contract_report_more"
     K.run_contracts(suite).coalesce(1).write.mode("overwrite").parquet(r_path)

@@ -18,8 +18,8 @@ from seisma.sources.testdata import AS_OF
 def test_build_twice_equals_full_daily(spark):
     raw = testdata.raw_feeds(spark, SF_SMALL)
     root = table_path(spark, "build-test")
-    models.build_models(spark, raw, root, AS_OF)
-    paths = models.build_models(spark, raw, root, AS_OF + dt.timedelta(hours=1))
+    models.build_models(spark, raw, root, AS_OF, stop_on_error=False)
+    paths = models.build_models(spark, raw, root, AS_OF + dt.timedelta(hours=1), stop_on_error=False)
     got = spark.read.parquet(paths["dm_daily"]).drop("processed_at")
     exp = daily_stats(models.staged(raw), AS_OF).drop("processed_at")
     key = lambda r: (str(r.event_date), r.source)
@@ -32,7 +32,7 @@ def test_build_stores_costs_and_failures_and_stops(spark):
     raw = testdata.raw_feeds(spark, SF_SMALL)
     jobs = testdata.job_log(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     root = table_path(spark, "build-costs")
-    paths = models.build_models(spark, raw, root, AS_OF, job_log=jobs)
+    paths = models.build_models(spark, raw, root, AS_OF, job_log=jobs, stop_on_error=False)
     fact, day = spark.read.parquet(paths["fct_model_cost"]), spark.read.parquet(paths["dm_daily_cost"])
     assert fact.count() == model_cost(jobs, AS_OF).count() > 0
     assert day.agg(F.sum("total_jobs")).first()[0] == fact.count()
@@ -43,4 +43,4 @@ def test_build_stores_costs_and_failures_and_stops(spark):
         assert spark.read.parquet(f"{root}/failures/{name}").count() > 0
     bad = dict(raw, usgs=raw["usgs"].withColumn("event_time", F.lit(None).cast("timestamp")))
     with pytest.raises(ContractError, match="not_null_time_usgs"):
-        models.build_models(spark, bad, table_path(spark, "build-bad"), AS_OF, stop_on_error=True)
+        models.build_models(spark, bad, table_path(spark, "build-bad"), AS_OF)

@@ -77,3 +77,49 @@ def test_run_contracts_report(spark):
         K.Contract("warn", K.expect_unique(df, "earthquake_id"), severity="warn"),
     ]).collect()}
     assert (rep["uniq"].status, rep["nn"].status, rep["warn"].status) == ("fail", "pass", "warn")
+
+
+def old_way(contracts):
+    """Each contract's failing rows, counted on their own."""
+    return sorted((c.name, c.severity, n, "pass" if not n else "warn" if c.severity == "warn" else "fail")
+                  for c, n in ((c, c.failing.count()) for c in contracts))
+
+
+def suite(df, as_of):
+    return [
+        K.unique("unique_id", df, "earthquake_id"), K.unique("unique_mag", df, "mag", "warn"), K.unique("unique_time", df, "event_time"),
+        K.not_null("nn_id", df, "earthquake_id"), K.not_null("nn_mag", df, "mag", "warn"), K.not_null("nn_source", df, "source"),
+        K.accepted_values("accepted", df, "source", K.ACCEPTED_SOURCES), K.accepted_values("accepted_warn", df, "source", ["usgs"], "warn"),
+        K.row_rule("rule", df, F.col("mag") > 5), K.magnitudes_in_range("range", [df, df.limit(1)], as_of),
+        K.fresh_events("fresh", df, "event_time", as_of, dt.timedelta(hours=24)),
+        K.fresh_loads("loaded", df, "event_time", dt.timedelta(minutes=10), as_of, "warn"), K.enough_events("enough", df, "event_time", as_of)]
+
+
+def test_counted_contracts_equal_their_failing_rows(spark):
+    late = AS_OF - dt.timedelta(hours=5)
+    data = [("a", "usgs", 1.0, AS_OF), ("a", "x", -0.0, late), (None, "x", 0.0, late), (None, None, None, None), ("b", "y", 11.0, AS_OF),
+            ("c", "emsc", float("nan"), late), ("d", "emsc", float("nan"), None), ("", "", 4.0, late), ("", "", 4.0, late)]
+    for held, as_of in ((data, AS_OF), (data, AS_OF + dt.timedelta(days=30)), (data[:0], AS_OF)):
+        df = rows(spark, held)
+        contracts = [*suite(df, as_of), K.Contract("plain", df.where("mag is null"), "warn")]
+        report = K.run_contracts(contracts)
+        assert sorted(tuple(r) for r in report.collect()) == old_way(contracts)
+        assert report.columns == ["contract", "severity", "failing_rows", "status"]
+
+
+def test_contracts_of_a_table_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows(spark, [("a", "usgs", 1.0, AS_OF)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    contracts = [c for c in suite(df, AS_OF) if c.name != "range"]
+    plan = K.run_contracts(contracts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    alone = K.run_contracts([K.Contract(c.name, c.failing) for c in contracts])._jdf.queryExecution().optimizedPlan().toString()
+    assert alone.count("Relation [") == len(contracts)
+
+
+def test_a_hot_value_is_counted_before_the_shuffle(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    report = K.run_contracts([K.unique("u", df, "k"), K.not_null("n", df, "k")])
+    assert {r.contract: r.failing_rows for r in report.collect()} == {"u": 1, "n": 0}
+    assert "partial_count" in report._jdf.queryExecution().executedPlan().toString()
