@@ -26,6 +26,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "iban")
 CONTEXT = 40
+#: Matches are worked on in blocks, so that no step copies or walks over all of a text's matches for each of them.
+BLOCK = 128
+_AHEAD = 65  # an account number's 34 characters, 30 blanks and what follows
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _PATTERNS = {
@@ -76,8 +79,53 @@ def _mod97(match: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), lambda acc, c: F.when(c == "", acc).otherwise(step(acc, c)))
 
 
-def _accounts(text: Column, heads: Column) -> Column:
-    """array<struct<start, end>> of the account numbers that begin at the heads and pass mod-97."""
+_SPAN = "struct<start:int,end:int,match:string>"
+
+
+def _blocks(pieces: Column) -> Column:
+    """The pieces in blocks; ``pieces`` is a column, as it is read for every block."""
+    last = F.floor((F.size(pieces) - 1) / BLOCK).cast("int")
+    return F.when(F.size(pieces) > 0, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(pieces, b * BLOCK + 1, BLOCK)))
+
+
+def _carried(blocks: Column, step) -> Column:
+    """array<array<span>>: ``step`` gives a piece's spans from where the text before it ends, and the new end; a block starts where the last one ended."""
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def inner(at: Column, block: Column) -> Column:
+        def add(acc: Column, x: Column) -> Column:
+            spans, end = step(acc["at"], x)
+            return F.struct(end.alias("at"), F.concat(acc["out"], spans).alias("out"))
+
+        return F.aggregate(block, F.struct(F.coalesce(at, F.lit(0)).alias("at"), none.alias("out")), add)
+
+    whole = F.aggregate(blocks, F.array().cast(f"array<struct<at:int,out:array<{_SPAN}>>>"),
+                        lambda done, block: F.concat(done, F.array(inner(F.try_element_at(done, F.lit(-1))["at"], block))))
+    return F.coalesce(F.transform(whole, lambda b: b["out"]), F.array().cast(f"array<array<{_SPAN}>>"))
+
+
+def _placed(at: Column, x: Column) -> tuple[Column, Column]:
+    start, end = at + x["gap"], at + x["gap"] + F.length(x["match"])
+    return F.array(F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"))), end
+
+
+def _not_overlapping(at: Column, x: Column) -> tuple[Column, Column]:
+    free = at <= x["start"]
+    return F.when(free, F.array(x)).otherwise(F.array().cast(f"array<{_SPAN}>")), F.when(free, x["end"]).otherwise(at)
+
+
+def _near(text: Column, blocks: Column) -> Column:
+    """For each block the text from before its first span to behind its last, and where that begins."""
+
+    def cut(block: Column) -> Column:
+        start = F.greatest(F.try_element_at(block, F.lit(1))["start"] - CONTEXT, F.lit(0))
+        return F.struct(start.alias("start"), F.substring(text, start + 1, F.try_element_at(block, F.lit(-1))["end"] + _AHEAD - start).alias("text"))
+
+    return F.transform(blocks, cut)
+
+
+def _accounts(heads: Column, near: Column) -> Column:
+    """array<array<span>> of the account numbers that begin at the heads and pass mod-97."""
 
     def whole(codes: str, n: int) -> str:
         return rf"(?:{codes})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])"
@@ -85,17 +133,17 @@ def _accounts(text: Column, heads: Column) -> Column:
     codes = {n: x.replace(" ", "|") for n, x in _COUNTRIES.items()}
     known = "^(?:" + "|".join(whole(x, n) for n, x in codes.items()) + ")"
 
-    def place(head: Column) -> Column:
-        near = F.substring(text, head["start"] + 1, F.lit(65))  # 34 characters, 30 blanks and what follows
-        tries = F.when(near.rlike(f"^(?:{'|'.join(codes.values())})"), F.array(F.regexp_extract(near, known, 0))).otherwise(
-            F.array(*(F.regexp_extract(near, "^" + whole("[A-Z]{2}", n), 0) for n in range(34, 14, -1))))
-        passed = F.filter(tries, lambda m: (m != "") & (_mod97(m) == 1))
-        return F.struct(head["start"].alias("start"), (head["start"] + F.length(F.try_element_at(passed, F.lit(1)))).alias("end"))
+    def place(head: Column, around: Column) -> Column:
+        here = F.substring(around["text"], head["start"] - around["start"] + 1, F.lit(_AHEAD))
+        tries = F.when(here.rlike(f"^(?:{'|'.join(codes.values())})"), F.array(F.regexp_extract(here, known, 0))).otherwise(
+            F.array(*(F.regexp_extract(here, "^" + whole("[A-Z]{2}", n), 0) for n in range(34, 14, -1))))
+        match = F.try_element_at(F.filter(tries, lambda m: (m != "") & (_mod97(m) == 1)), F.lit(1))
+        return F.struct(head["start"].alias("start"), match.alias("match"))
 
-    found = F.filter(F.transform(heads, place), lambda p: p["end"].isNotNull())
-    return F.aggregate(
-        found, F.array().cast("array<struct<start:int,end:int>>"),
-        lambda acc, p: F.when(F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)) <= p["start"], F.concat(acc, F.array(p))).otherwise(acc))
+    found = F.zip_with(heads, near, lambda block, around: F.filter(F.transform(block, lambda h: place(h, around)), lambda p: p["match"].isNotNull()))
+    ended = F.transform(found, lambda block: F.transform(block, lambda p: F.struct(
+        p["start"].alias("start"), (p["start"] + F.length(p["match"])).alias("end"), p["match"].alias("match"))))
+    return _carried(ended, _not_overlapping)
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -112,30 +160,24 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _places(gaps: Column, matches: Column) -> Column:
-    """array<struct<start, end>> of the matches, from the lengths of what lies between them."""
-    lengths = F.zip_with(F.slice(F.transform(gaps, F.length), F.lit(1), F.size(matches)), F.transform(matches, F.length),
-                         lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(
-        lengths, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + x["m"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + x["m"]).alias("end")))).alias("out")),
-        lambda acc: acc["out"])
+def _pieces(text: Column, kind: str, matches: Column) -> Column:
+    """array<struct<gap, match>>: each match with the length of what lies between it and the one before."""
+    gaps = F.slice(F.transform(F.split(text, _PATTERNS[kind], -1), F.length), F.lit(1), F.size(matches))
+    return F.when(F.size(matches) > 0, F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))).otherwise(
+        F.array().cast("array<struct<gap:int,match:string>>"))
 
 
-def _spans(kind: str, text: Column, matches: Column, places: Column) -> Column:
+def _spans(kind: str, places: Column, near: Column) -> Column:
     """array<struct<kind, start, end, score>> of the kind's confirmed matches, in order."""
 
-    def span(place: Column, match: Column) -> Column:
-        around = F.substring(text, F.greatest(place["start"] + 1 - CONTEXT, F.lit(1)), place["end"] - place["start"] + 2 * CONTEXT)
-        score = F.lit(_PRIOR[kind]) + F.when(around.rlike(_FOR[kind]), 0.2).otherwise(0.0) - F.when(around.rlike(_AGAINST[kind]), 0.2).otherwise(0.0)
-        return F.struct(F.lit(kind).alias("kind"), place["start"].alias("start"), place["end"].alias("end"),
-                        F.round(score, 2).alias("score"), _valid(kind, match).alias("ok"))
+    def span(place: Column, around: Column) -> Column:
+        first = F.greatest(place["start"] - CONTEXT, F.lit(0))
+        beside = F.substring(around["text"], first - around["start"] + 1, place["end"] - place["start"] + 2 * CONTEXT)
+        score = F.lit(_PRIOR[kind]) + F.when(beside.rlike(_FOR[kind]), 0.2).otherwise(0.0) - F.when(beside.rlike(_AGAINST[kind]), 0.2).otherwise(0.0)
+        return F.struct(F.lit(kind).alias("kind"), place["start"].alias("start"), place["end"].alias("end"), F.round(score, 2).alias("score"))
 
-    found = F.filter(F.zip_with(places, matches, span), lambda s: s["ok"])
-    return F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
+    return F.flatten(F.zip_with(places, near, lambda block, around: F.transform(
+        F.filter(block, lambda p: _valid(kind, p["match"])), lambda p: span(p, around))))
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -145,11 +187,10 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     out = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     # one step a column: what a later step uses several times is computed once
     out = out.withColumns({f"_m_{k}": F.when(body.rlike(_TRACE[k]), F.regexp_extract_all(body, F.lit(_PATTERNS[k]), F.lit(0))).otherwise(none) for k in ALL_KINDS})
-    out = out.withColumns({f"_p_{k}": F.when(F.size(f"_m_{k}") > 0, _places(F.split(body, _PATTERNS[k], -1), F.col(f"_m_{k}"))).otherwise(
-        F.array().cast("array<struct<start:int,end:int>>")) for k in ALL_KINDS})
-    out = out.withColumn("_p_iban", _accounts(body, F.col("_p_iban")))
-    out = out.withColumn("_m_iban", F.transform("_p_iban", lambda p: F.substring(body, p["start"] + 1, p["end"] - p["start"])))
-    return out.select("doc_id", *(_spans(k, body, F.col(f"_m_{k}"), F.col(f"_p_{k}")).alias(k) for k in ALL_KINDS))
+    out = out.withColumns({f"_l_{k}": _pieces(body, k, F.col(f"_m_{k}")) for k in ALL_KINDS})
+    out = out.withColumns({f"_p_{k}": _carried(_blocks(F.col(f"_l_{k}")), _placed) for k in ALL_KINDS})
+    out = out.withColumn("_p_iban", _accounts(F.col("_p_iban"), _near(body, F.col("_p_iban"))))
+    return out.select("doc_id", *(_spans(k, F.col(f"_p_{k}"), _near(body, F.col(f"_p_{k}"))).alias(k) for k in ALL_KINDS))
 
 
 def _listed(kinds: tuple[str, ...]) -> Column:

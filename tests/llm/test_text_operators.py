@@ -328,6 +328,22 @@ def test_pii_has_no_python(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_pii_many_spans_in_one_text(spark):
+    import time
+
+    iban = "DE89370400440532013000"
+    texts = ["é ".join(f"jo{i}@ex.org mail 10.0.{i % 256}.7" for i in range(n)) for n in (127, 128, 129, 257)] + [
+        f"{iban} " * 300, "+49 30 1234567, " * 400, "a@b.c " * 170_000, f"bank {iban} x" * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    started = time.time()
+    got = {r["doc_id"]: r for r in rows(pii.report(df))}
+    assert time.time() - started < 60
+    for i, t in enumerate(texts):
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(brute_pii(t)).encode()).hexdigest()
+    assert got[4]["spans"].endswith(",".join(f"iban:{23 * i}:{23 * i + 22}" for i in range(300))) and got[4]["n_iban"] == 300
+    assert got[6]["n_email"] == 170_000
+
+
 def account(code, rest):
     """A valid account number: the check digits are 98 less the remainder."""
     n = int("".join(str(int(c, 36)) for c in rest + code + "00"))
