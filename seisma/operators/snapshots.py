@@ -103,24 +103,48 @@ class DayTable:
         folders = [f"{self.root}/data/commit={c}/{self.date_col}={d}" for d, c in sorted(wanted.items())]
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*folders).select(*schema.names)
 
-    def replace(self, rows: DataFrame, days: Iterable[dt.date | None], base: int | None = None, note: dict | None = None) -> int:
-        """Commit ``rows`` as the whole content of ``days`` on top of version ``base``; other days stay.
+    def stage(self, rows: DataFrame) -> tuple[str, DataFrame]:
+        """Write ``rows`` once, each task its own files, as a folder that no version names yet; returns it and its rows.
 
-        A day without rows leaves the table.  Returns the new version.
+        ``replace`` may commit whole days of it as they are.
         """
-        days = {_name(d) for d in days}
         commit = uuid.uuid4().hex[:16]
         folder = f"{self.root}/data/commit={commit}"
-        self._write(rows, folder)
-        found = {s.getPath().getName().split("=", 1)[1] for s in self._fs.listStatus(self._path(folder)) if s.isDirectory()}
-        if found - days:
-            raise ValueError(f"rows of days that are not being replaced: {sorted(found - days)}")
+        rows.write.partitionBy(self.date_col).parquet(folder)
+        return commit, self.spark.read.schema(rows.schema).parquet(folder).select(*rows.columns)
+
+    def replace(self, rows: DataFrame | None, days: Iterable[dt.date | None], base: int | None = None, note: dict | None = None,
+                staged: tuple[str, Iterable[dt.date | None]] | None = None, schema: StructType | None = None) -> int:
+        """Commit ``rows`` as the whole content of ``days`` on top of version ``base``; other days stay.
+
+        A day without rows leaves the table.  Days named with a ``staged`` folder are committed from there,
+        without being written again; with nothing else to write ``rows`` is None and ``schema`` is given.
+        Returns the new version.
+        """
+        days = {_name(d) for d in days}
+        found = {}
+        if rows is not None:
+            commit = uuid.uuid4().hex[:16]
+            folder = f"{self.root}/data/commit={commit}"
+            self._write(rows, folder)
+            found = dict.fromkeys(self._folders(folder), commit)
+        if found.keys() - days:
+            raise ValueError(f"rows of days that are not being replaced: {sorted(found.keys() - days)}")
+        if staged is not None:
+            have, as_staged = self._folders(f"{self.root}/data/commit={staged[0]}"), {_name(d) for d in staged[1]}
+            if as_staged & days:
+                raise ValueError(f"days both staged and written: {sorted(as_staged & days)}")
+            found, days = found | dict.fromkeys(as_staged & have, staged[0]), days | as_staged
         old = self.manifest(base) if base is not None else {"days": {}, "note": {}}
-        held = {d: c for d, c in old["days"].items() if d not in days} | dict.fromkeys(sorted(found), commit)
+        held = {d: c for d, c in old["days"].items() if d not in days} | {d: found[d] for d in sorted(found)}
         version = 0 if base is None else base + 1
-        self._publish(version, {"version": version, "days": held, "changed": sorted(days), "note": old["note"] | (note or {}), "schema": rows.schema.jsonValue()})
+        self._publish(version, {"version": version, "days": held, "changed": sorted(days), "note": old["note"] | (note or {}), "schema": (schema or rows.schema).jsonValue()})
         return version
 
+    def _folders(self, folder: str) -> set[str]:
+        """Names of the days that a data folder holds."""
+        return {s.getPath().getName().split("=", 1)[1] for s in self._fs.listStatus(self._path(folder)) if s.isDirectory()}
+
     def create(self, rows: DataFrame, note: dict | None = None) -> int:
         """The first version: all days of ``rows`` (which have ``date_col``)."""
         days = [r[0] for r in rows.select(self.date_col).distinct().collect()]  # calendar days

@@ -30,7 +30,7 @@ from seisma.functions.times import seconds_between
 from seisma.operators.dedup import dedup_latest
 from seisma.operators.matching import DEFAULT, MatchConfig, home, mutual_best, reach_keys, usable
 from seisma.operators.sinks import write_days
-from seisma.operators.snapshots import DayTable
+from seisma.operators.snapshots import DayTable, in_days
 from seisma.operators.upsert import merge_stored, upsert
 from seisma.session import checkpointed, ensure_utc, read_if_exists, scratch_path
 from seisma.sources.schemas import SourceSpec
@@ -191,41 +191,65 @@ def update_matches(batch: DataFrame, batch_id: int, cands: DayTable, matches: Da
 
     ``cands`` holds one row a pair (that of the newest batch), ``matches`` the mutual pairs, both by the
     day of the left event.  The best partner can only change for events that stand in a pair of the
-    batch, so only pairs of those events, and of their partners, are ranked again; partners lie within
-    the matcher's seconds, so the batch's days and their neighbours are all that is read and written,
-    however long the history.  A repeated batch leaves both tables as they are.  A pair is replaced
+    batch, so only verdicts on pairs of those events are replaced; partners lie within the matcher's
+    seconds, so the batch's days and their neighbours are all that is read and written, however long
+    the history.  A batch's pairs are written once, straight into the candidates' folder; days that
+    held pairs before are written again.  A repeated batch leaves both tables as they are.  A pair is replaced
     when it comes again; one whose event moved to another day stays until its own day sees it again.
     """
     l, r = f"{cfg.left}_id", f"{cfg.right}_id"
     columns, day = [c for c in batch.columns if c not in ("batch_id", cands.date_col)], cands.date_col
-    new = checkpointed(batch.select(*columns).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(day, F.to_date(f"{cfg.left}_time")))
-    found = [d[0] for d in new.select(day).distinct().collect()]  # calendar days
-    # partners of either event of a pair, a day away at most
-    near = {d for (t,) in new.select(F.explode(F.array(F.to_date(f"{cfg.left}_time"), F.to_date(f"{cfg.right}_time")))).distinct().collect() for d in
-            (t - dt.timedelta(days=1), t, t + dt.timedelta(days=1))}
+    rows = batch.select(*columns).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(day, F.to_date(f"{cfg.left}_time"))
+    commit, new = cands.stage(rows)  # the stream's join runs once
     spark = new.sparkSession
-    old = cands.read(days=near) if cands.version() is not None else spark.createDataFrame([], new.schema)
-    order = [F.col("batch_id").desc(), *[F.col(c).asc_nulls_last() for c in columns]]
-    pairs = checkpointed(dedup_latest(old.unionByName(new), [l, r], order))
-
-    changed_l, changed_r = new.select(l).distinct(), new.select(r).distinct()
-    mine = pairs.join(changed_l, l, "left_semi").select(l, r).unionByName(pairs.join(changed_r, r, "left_semi").select(l, r))
-    around = checkpointed(mine.distinct())  # pairs of the changed events
-    known_l, known_r = around.select(l).distinct().withColumn("_l", F.lit(True)), around.select(r).distinct().withColumn("_r", F.lit(True))
-    ranked = pairs.join(known_l, l, "left").join(known_r, r, "left").where(F.col("_l").isNotNull() | F.col("_r").isNotNull()).select(*columns)
-    # both ends of a pair of a changed event have all their pairs here, so its verdict is whole
-    now = mutual_best(ranked, cfg).join(around, [l, r], "left_semi").withColumn(day, F.to_date(f"{cfg.left}_time")).select(*columns, day)
-    base = matches.version()
-    kept = matches.read(base, near) if base is not None else spark.createDataFrame([], now.schema)
-    kept = kept.join(changed_l, l, "left_anti").join(changed_r, r, "left_anti")
-    after = checkpointed(kept.unionByName(now))
-
-    rewritten = sorted(set(found) | near)
-    cands.replace(pairs.select(*columns, "batch_id", day), rewritten, cands.version(), {"batch_id": batch_id})
-    matches.replace(after, rewritten, base, {"batch_id": batch_id})
+    times = [(a, b) for a, b in new.select(day, F.to_date(f"{cfg.right}_time")).distinct().collect()]  # calendar days
+    found = {a for a, _ in times}
+    # partners of either event of a pair, a day away at most
+    near = {d for t in times for x in t for d in (x - dt.timedelta(days=1), x, x + dt.timedelta(days=1))}
+    version, base = cands.version(), matches.version()
+    held = near & set(cands.days(version)) if version is not None else set()
+    pairs = cands.read(version, held).unionByName(new) if held else new
+
+    # pairs that stand twice are told by their hashes, so that only those rows are sorted and compared
+    key = F.xxhash64(l, r)
+    again = pairs.groupBy(key.alias("_pair")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_pair")
+    again = _written(again, "pairs-again")
+    moved = set()
+    if not again.isEmpty():
+        order = [F.col("batch_id").desc(), *[F.col(c).asc_nulls_last() for c in columns]]
+        keyed = pairs.withColumn("_pair", key)
+        twice = _written(keyed.join(again, "_pair", "left_semi").select(*pairs.columns), "pairs-twice")
+        moved = {d[0] for d in twice.select(day).distinct().collect()}  # calendar days
+        pairs = keyed.join(again, "_pair", "left_anti").select(*pairs.columns).unionByName(
+            _written(dedup_latest(twice, [l, r], order), "pairs-newest"))
+
+    # all pairs of the days around stand here, so every verdict on a pair of a changed event is whole
+    now = mutual_best(pairs.select(*columns), cfg)
+    near_matches = near & set(matches.days(base)) if base is not None else set()
+    if held or near_matches:
+        changed_l, changed_r = (_written(new.select(c).distinct(), "changed") for c in (l, r))
+        marked = now.join(changed_l.withColumn("_l", F.lit(True)), l, "left").join(changed_r.withColumn("_r", F.lit(True)), r, "left")
+        now = marked.where(F.col("_l").isNotNull() | F.col("_r").isNotNull())
+    after = now.withColumn(day, F.to_date(f"{cfg.left}_time")).select(*columns, day)
+    if near_matches:
+        kept = matches.read(base, near_matches).join(changed_l, l, "left_anti").join(changed_r, r, "left_anti")
+        after = kept.select(*columns, day).unionByName(after)
+
+    # only days that had pairs before, or pairs twice, are written again; others are committed as staged
+    mixed = (found & held) | moved
+    stored = pairs.select(*columns, "batch_id", day)
+    cands.replace(stored.where(in_days(day, mixed)) if mixed else None, mixed, version, {"batch_id": batch_id}, (commit, found - mixed), stored.schema)
+    matches.replace(after, found | near, base, {"batch_id": batch_id})
     return len(near)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: its size is known, so a small one is broadcast."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stream_matches(spark: SparkSession, cands: DataFrame, stored: DayTable, matches: DayTable, cfg: MatchConfig = DEFAULT,
                    checkpoint: str | None = None, trigger: str | None = "availableNow") -> StreamingQuery:
     """Keep a mutual-best matches table current while candidate pairs stream in (``update_matches`` per micro-batch)."""

@@ -86,3 +86,18 @@ def test_late_rows_go_to_the_side_and_come_back_by_a_replay(spark):
     more = late.where("id < 0").union(spark.createDataFrame([(11, at(2, 5), at(5), 9)], late.schema))
     J.add_late_counts(spark, late.union(more), "at", target)
     assert counts()[2] == 2
+
+
+def test_pairs_are_written_once_and_keep_their_columns(spark, monkeypatch):
+    cands, matches = tables(spark)
+    written, real = [], DayTable._write
+    monkeypatch.setattr(DayTable, "_write", lambda self, rows, folder: written.append(self.root) or real(self, rows, folder))
+    monkeypatch.setattr(J, "checkpointed", lambda df: (_ for _ in ()).throw(AssertionError("a copy of the pairs")))
+    for batch_id, day in enumerate((0, 10, 11)):
+        J.update_matches(spark.createDataFrame([pair(1 + day, 1 + day, 5, day), pair(2 + day, 1 + day, 3, day)], PAIR), batch_id, cands, matches)
+    assert cands.root not in written  # new days are committed as staged
+    names = [f.split()[0] for f in PAIR.split(", ")]
+    assert cands.read().columns[:15] == names and matches.read().columns[:15] == names
+    J.update_matches(spark.createDataFrame([pair(5, 1, 1)], PAIR), 3, cands, matches)
+    assert written.count(cands.root) == 1 and cands.read().count() == 7
+    assert ids(matches.read()) == [("u12", "k11", 3.0), ("u13", "k12", 3.0), ("u5", "k1", 1.0)]
