@@ -25,8 +25,12 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -211,6 +215,61 @@ def match_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAU
     )
 
 
+#: Pairs that are compared at once by ``contenders``.
+_AT_ONCE = 1 << 18
+
+
+def contenders(cands: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+    """The pairs that are the nearest of either event among a task's next ``_AT_ONCE`` pairs.
+
+    A stage before any sort or shuffle, in bounded memory: where events are dense each has many
+    pairs, most of which meet a nearer one in the same task.  An event's nearest pair over all rows is
+    the nearest among any of them too, so it stays, and with it every verdict.  Rows with NULL or NaN
+    among the ranked values all stay.
+    """
+    names = list(cands.columns)
+    lid, rid, far, secs = (names.index(c) for c in (f"{cfg.left}_id", f"{cfg.right}_id", "_dist", "time_diff_seconds"))
+
+    # all nested: workers get these functions by value and need no copy of this package
+    def coded(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each row's text, and the place of each number's text in the order of UTF-8 bytes."""
+        c = column.combine_chunks().dictionary_encode()
+        c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+        place = np.empty(len(c.dictionary), dtype=np.int64)
+        place[pc.sort_indices(c.dictionary.cast(pa.binary())).to_numpy()] = np.arange(len(place))
+        return c.indices.to_numpy().astype(np.int64), place
+
+    def reduced(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        dist = rows.column(far).to_numpy()
+        if any(rows.column(k).null_count for k in (lid, rid, far, secs)) or np.isnan(dist).any():
+            yield from batches
+            return
+        seconds = rows.column(secs).to_numpy()
+        (lc, lr), (rc, rr) = (coded(rows.column(k)) for k in (lid, rid))
+        keep = np.zeros(rows.num_rows, dtype=bool)
+        for code, other in ((lc, rr[rc]), (rc, lr[lc])):
+            low = np.full(int(code.max()) + 1, np.inf)
+            np.minimum.at(low, code, dist)
+            near = np.flatnonzero(dist == low[code])
+            near = near[np.lexsort((other[near], seconds[near], code[near]))]
+            keep[near[np.diff(code[near], prepend=-1) != 0]] = True
+        yield from rows.filter(pa.array(keep)).to_batches(max_chunksize=10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= _AT_ONCE:
+                yield from reduced(held)
+                held, n = [], 0
+        if n:
+            yield from reduced(held)
+
+    return cands.mapInArrow(run, cands.schema)
+
+
 def mutual_best(cands: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Pairs that are each other's nearest candidate (distance, then time, then id).
 
@@ -218,19 +277,21 @@ def mutual_best(cands: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     keeping rows ranked first in both, but computed as ``min(struct)``
     aggregates: both directions come from *one* pass over the candidates
     (exploded into a left-keyed and a right-keyed copy), and the aggregation
-    is partial on the map side, so a hot id ships one row per task.
+    is partial on the map side, so a hot id ships one row per task.  Values with
+    texts are aggregated by sorting, so pairs that cannot win leave before (``contenders``).
     """
     l, r = cfg.left, cfg.right
     lid, rid = f"{l}_id", f"{r}_id"
-    dist = F.round(F.col("distance_km"), cfg.rank_digits)
-    row = F.struct(*[F.col(c) for c in cands.columns])
+    columns = cands.columns
+    cands = contenders(cands.withColumn("_dist", F.round("distance_km", cfg.rank_digits)), cfg)
+    row = F.struct(*[F.col(c) for c in columns])
     row_type = cands.select(row.alias("row")).schema["row"].dataType
     # Only the left-keyed copy carries the pair; the right-keyed copy needs the
     # partner id alone, so it ships a typed NULL in place of the row.
 
     def keyed(side: str, key: str, other: str):
         payload = row if side == "L" else F.lit(None).cast(row_type)
-        k = F.struct(F.lit(side).alias("side"), dist.alias("d"), F.col("time_diff_seconds").alias("t"),
+        k = F.struct(F.lit(side).alias("side"), F.col("_dist").alias("d"), F.col("time_diff_seconds").alias("t"),
                      F.col(other).alias("other"), payload.alias("row"))
         return F.struct(F.lit(side).alias("side"), F.col(key).alias("id"), k.alias("k"))
 
