@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
 from seisma.functions import geo, times
 from seisma.functions.hashing import content_hash, staging_name
@@ -782,7 +782,9 @@ def _land(df: DataFrame, ts: str, name: str, slices: int = 6, late: Column | Non
     place = F.least(F.floor((us - lo) * slices / (hi - lo + 1)), F.lit(slices - 1))
     if late is not None:
         place = F.when(late, slices - 1).otherwise(place)
-    rows = checkpointed(df.withColumn("_slice", place))
+    sliced = sinks.table_path(spark, f"{name}_slices")  # each slice a folder of its own: its file is made from its rows alone
+    df.withColumn("_slice", place).write.partitionBy("_slice").parquet(sliced)
+    rows = spark.read.schema(StructType([*df.schema.fields, StructField("_slice", IntegerType())])).parquet(sliced)
     for k in range(slices):
         rows.where(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(path)
     return path

@@ -7,8 +7,7 @@
 * ``stream_hourly_counts``: watermarked tumbling 1-hour windows in update
   mode, upserted into a day-partitioned counts table per micro-batch.
 * ``stream_candidates``: stream-stream inner join on the matcher's blocking
-  key with a time-range condition and watermarks on both sides (bounded
-  state); ranking windows are not allowed on streams, so mutual-best runs
+  key with watermarks on its time bucket on both sides (bounded state); ranking windows are not allowed on streams, so mutual-best runs
   over the landed candidates in batch (``seisma.operators.matching``) or per
   micro-batch over the neighbourhood of its pairs (``stream_matches``).
 * ``route_late`` parts off the rows that a watermark would drop without a word.
@@ -25,10 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
-from seisma.functions.geo import haversine_km
-from seisma.functions.times import seconds_between
 from seisma.operators.dedup import dedup_latest
-from seisma.operators.matching import DEFAULT, MatchConfig, home, mutual_best, reach_keys, usable
+from seisma.operators.matching import DEFAULT, MatchConfig, home, mutual_best, pair_columns, reach_keys, usable, within
 from seisma.operators.sinks import write_days
 from seisma.operators.snapshots import DayTable, in_days
 from seisma.operators.upsert import merge_stored, upsert
@@ -104,32 +101,23 @@ def stream_hourly_counts(spark: SparkSession, events: DataFrame, ts: str, target
 
 def stream_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
                       delay: str = "10 minutes") -> DataFrame:
-    """Streaming candidate pairs: stream-stream equi-join on (time bucket, lat cell) + time range.
+    """Streaming candidate pairs: stream-stream equi-join on (start of the time bucket, lat cell, lon cell).
 
-    Both inputs are streaming DataFrames with the matcher's event columns.
-    The time-range condition plus watermarks let Spark drop join state once a
-    row can no longer find partners.
+    Both inputs are streaming DataFrames with the matcher's event columns.  The
+    watermarks stand on the bucket's start, which is a join key, so Spark drops a whole
+    bucket once no row of it can come any more, and a pair is tested by its thresholds alone.
+    A bucket a row is copied to may start up to the matcher's seconds and a bucket before
+    the row, or those seconds after it: the watermarks wait so much longer than ``delay``.
     """
     l, r = cfg.left, cfg.right
-    L = home(usable(left, l).withWatermark(f"{l}_time", delay), l, cfg, "_ltb", "_llc", "_lgc")
-    R = reach_keys(usable(right, r).withWatermark(f"{r}_time", delay), r, cfg, "_rtb", "_rlc", "_rgc")
-    span = F.expr(f"INTERVAL {cfg.max_seconds + 1} SECONDS")
-    cond = (
-        (F.col("_ltb") == F.col("_rtb")) & (F.col("_llc") == F.col("_rlc")) & (F.col("_lgc") == F.col("_rgc"))
-        & (F.col(f"{l}_time") > F.col(f"{r}_time") - span) & (F.col(f"{l}_time") < F.col(f"{r}_time") + span)
-    )
-    pairs = L.join(R, cond, "inner")
-    return pairs.select(
-        f"{l}_id", f"{r}_id", f"{l}_time", f"{r}_time", f"{l}_mag", f"{r}_mag", f"{l}_lon", f"{l}_lat",
-        f"{r}_lon", f"{r}_lat", f"{l}_place", f"{r}_place",
-        seconds_between(f"{l}_time", f"{r}_time").alias("time_diff_seconds"),
-        haversine_km(f"{l}_lat", f"{l}_lon", f"{r}_lat", f"{r}_lon").alias("distance_km"),
-        F.abs(F.coalesce(F.col(f"{l}_mag"), F.lit(0.0)) - F.coalesce(F.col(f"{r}_mag"), F.lit(0.0))).alias("mag_diff"),
-    ).where(
-        (F.col("time_diff_seconds") <= cfg.max_seconds)
-        & (F.col("distance_km") <= cfg.max_km)
-        & (F.col("mag_diff") <= cfg.max_mag_diff)
-    )
+    width = cfg.time_bucket_seconds
+    L = home(usable(left, l), l, cfg, "_ltb", "_llc", "_lgc")
+    R = reach_keys(usable(right, r), r, cfg, "_rtb", "_rlc", "_rgc")
+    later = f"{delay} {2 * (cfg.max_seconds + 1) + width} seconds"
+    L, R = (df.withColumn(start, F.timestamp_micros(F.col(tb) * (width * 1_000_000))).drop(tb).withWatermark(start, later)
+            for df, tb, start in ((L, "_ltb", "_lstart"), (R, "_rtb", "_rstart")))
+    same = (F.col("_lstart") == F.col("_rstart")) & (F.col("_llc") == F.col("_rlc")) & (F.col("_lgc") == F.col("_rgc"))
+    return L.join(R, same & within(cfg), "inner").select(*pair_columns(cfg))
 
 
 def land_candidates(spark: SparkSession, cands: DataFrame, path: str, checkpoint: str | None = None,

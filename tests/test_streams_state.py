@@ -101,3 +101,33 @@ def test_pairs_are_written_once_and_keep_their_columns(spark, monkeypatch):
     J.update_matches(spark.createDataFrame([pair(5, 1, 1)], PAIR), 3, cands, matches)
     assert written.count(cands.root) == 1 and cands.read().count() == 7
     assert ids(matches.read()) == [("u12", "k11", 3.0), ("u13", "k12", 3.0), ("u5", "k1", 1.0)]
+
+
+def test_candidate_stream_keeps_what_is_within_the_delay_and_drops_old_buckets(spark):
+    from conftest import EVENT_SCHEMA, events
+
+    hour = lambda h, m, s=0: f"2030-05-01 {h:02d}:{m:02d}:{s:02d}"
+    lands = {"u": [[("u1", hour(10, 0)), ("u2", hour(6, 0))], [("u3", hour(9, 1))], [("u4", hour(20, 0))]],
+             "k": [[("k1", hour(10, 2)), ("k2", hour(6, 5))], [("k3", hour(9, 0, 1)), ("k4", hour(9, 2, 50))], [("k5", hour(20, 1))]]}
+    sides = []
+    for side, files in lands.items():
+        path = scratch_path(spark, f"landing-{side}")
+        for rows in files:
+            events(spark, [(i, t, 4.0, 35.0, 25.0) for i, t in rows]).coalesce(1).write.mode("append").parquet(path)
+        sides.append(spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path))
+    out = scratch_path(spark, "pairs")
+    q = J.land_candidates(spark, J.stream_candidates(*sides, delay="1 hour"), out)
+    J.run_to_end(q)
+    assert sorted(map(tuple, spark.read.parquet(out).select("usgs_id", "kandilli_id", "time_diff_seconds").collect())) == [
+        ("u1", "k1", 120), ("u3", "k3", 59), ("u3", "k4", 110), ("u4", "k5", 60)]
+    assert 0 < q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 10  # the newest bucket's rows and copies alone
+
+
+def test_pairs_of_a_block_are_tested_cheaply_first(spark):
+    from conftest import events
+
+    side = events(spark, [("a", "2030-05-01 10:00:00", 4.0, 35.0, 25.0)])
+    plan = J.stream_candidates(side, side)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(x for x in plan.splitlines() if "Join Inner" in x)
+    assert "INTERVAL" not in join and "timestampdiff" not in join.lower()  # no calendar arithmetic for each pair
+    assert join.index("unix_micros") < join.index("_mag#") < join.index("SIN(")
