@@ -15,6 +15,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from typing import Any
 
+import numpy as np
 from tokenizers import Tokenizer
 
 LIMIT = 250_000
@@ -104,3 +105,64 @@ def plain_splitter(path: str) -> Callable[[str], list[str]] | None:
         return None
     find = re.compile(pattern).findall
     return (lambda text: find(text.lower())) if any(x["type"] == "Lowercase" for x in steps) else find
+
+
+#: The one pattern whose pre-tokens ``cut`` finds.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACE, _OTHER, _LETTER, _NUMBER = range(4)
+_LATIN = [chr(i) for i in range(256)]
+_CLASSES = bytes(
+    _SPACE if c in " \n" else _LETTER if c.isalpha() else _NUMBER if c.isnumeric() else _OTHER for c in _LATIN)
+_LOWER = "".join(c.lower() for c in _LATIN).encode("latin-1")
+#: Bytes of texts that ``plain`` accepts, line ends included.
+_PLAIN = "".join(c for c in _LATIN if c.isprintable() or c == "\n").encode("latin-1")
+
+
+def plain_bytes(text: str) -> bytes | None:
+    """The text in Latin-1 where it is plain but for line ends, else None."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if raw.translate(None, _PLAIN) else raw
+
+
+def cuts_by_class(path: str) -> bool:
+    """Whether ``cut`` finds the pre-tokens of the file's tokenizer, which lower-cases, in plain texts."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    steps = (made.get("normalizer") or {}).get("normalizers", [])
+    if plain_splitter(path) is None or not any(x["type"] == "Lowercase" for x in steps):
+        return False
+    return made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == _CUT
+
+
+def cut(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Pre-tokens of plain texts in Latin-1, all texts at once.
+
+    Returns the lower-cased pre-tokens one after the other, where each begins (and the last ends), and how
+    many of them stand before each text (and in all).  A pre-token is a run of letters, one number or a run of
+    other signs; an apostrophe that begins such a run takes a following s, t, m, d, re, ve or ll.
+    """
+    joined = b" ".join([b"", *texts, b"  "])
+    low = np.frombuffer(joined.translate(_LOWER), np.uint8)
+    kind = np.frombuffer(joined.translate(_CLASSES), np.uint8)
+    starts = np.zeros(len(kind), dtype=bool)
+    starts[1:] = kind[1:] != kind[:-1]
+    starts |= kind == _NUMBER
+    inside = kind != _SPACE
+    starts &= inside
+    quote = np.flatnonzero(starts & (low == ord("'")))
+    if len(quote):
+        a, b = low[quote + 1], low[quote + 2]
+        one = np.isin(a, np.frombuffer(b"stmd", np.uint8))
+        two = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+        for q, n in ((quote[one], 1), (quote[two], 2)):
+            starts[q + 1] = False
+            behind = q + n + 1
+            starts[behind[kind[behind] == _LETTER]] = True
+    begins = np.flatnonzero(starts[inside])
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    ends = np.concatenate([[0], np.cumsum(sizes)])  # the space before each text
+    before = np.searchsorted(np.flatnonzero(starts), ends)
+    return low[inside].tobytes(), np.append(begins, int(inside.sum())), before

@@ -20,10 +20,10 @@ an empty folder.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from seisma.llm.chunks import KEEP_CHARS, Memory, cuts_at_space, library, pieces, plain, plain_splitter
+from seisma.llm.chunks import Memory, byte_symbols, cut, cuts_at_space, cuts_by_class, library, pieces, plain_bytes
+from seisma.llm.tables import slices
 
 BLOCK = 128
 #: Fixed values of the coding: ids a word, bits an id, by selector.
@@ -50,52 +51,69 @@ def _layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, np.minimum(BLOCK, np.repeat(lengths, n_blocks) - inside * BLOCK), doc
 
 
+def _selectors(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each id the first selector with which a word that begins there holds all ids it can, up to its block's end."""
+    need = np.zeros(len(ids), dtype=np.uint8)  # the first selector wide enough for the id itself
+    top = int(ids.max()) if len(ids) else 0
+    for bits in BITS[: _LAST + 1].tolist():
+        if top >> bits == 0:
+            break
+        need += ids >= ids.dtype.type(1 << bits)
+    inside = np.arange(BLOCK) < sizes[:, None]
+    wide = {1: np.zeros((len(sizes), BLOCK + int(COUNTS.max())), dtype=np.uint8)}  # behind a block all ids fit
+    wide[1][:, :BLOCK][inside] = need
+    for n in sorted(set(COUNTS[: _LAST + 1].tolist()) - {1}):  # the largest need among n ids, from two windows of half of them
+        half = min(k for k in wide if 2 * k >= n)
+        wide[n] = wide[half].copy()
+        np.maximum(wide[n][:, : half - n], wide[half][:, n - half :], out=wide[n][:, : half - n])
+    selector = np.full((len(sizes), BLOCK), 15, dtype=np.uint8)
+    for s in range(_LAST, -1, -1):
+        np.copyto(selector, np.uint8(s), where=wide[int(COUNTS[s])][:, :BLOCK] <= s)
+    return selector[inside]
+
+
 def pack(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """One record for each document; ``ids`` are all documents' ids, one after the other."""
-    ids, lengths = np.asarray(ids, dtype=np.uint64), np.asarray(lengths, dtype=np.int64)
+    ids, lengths = np.asarray(ids), np.asarray(lengths, dtype=np.int64)
+    ids = ids if ids.dtype.kind == "u" and ids.dtype.itemsize >= 4 else ids.astype(np.uint64)
     begin, sizes, doc = _layout(lengths)
     n = len(ids)
-    end = np.zeros(n, dtype=np.int64)
-    end[:] = np.repeat(begin + sizes, sizes)
-    at = np.arange(n)
-    selector = np.full(n, 15, dtype=np.int8)
-    open_ = np.ones(n, dtype=bool)
-    for s in range(_LAST + 1):
-        wide = np.concatenate([[0], np.cumsum(ids >> np.uint64(BITS[s]) != 0)])
-        if wide[-1] == n:
-            continue
-        fits = open_ & (wide[np.minimum(at + COUNTS[s], end)] == wide[:-1])
-        selector[fits] = s
-        open_ &= ~fits
-    step = np.minimum(at + COUNTS[selector], end)
-    firsts, blocks = [], []  # all blocks walk on together, a word a round
-    where, block = begin[sizes > 0], np.arange(len(begin))[sizes > 0]
+    selector = _selectors(ids, sizes)
+    begins = np.zeros(n, dtype=bool)
+    where, end = begin, begin + sizes  # all blocks walk on together, a word a round
     while len(where):
-        firsts.append(where)
-        blocks.append(block)
-        more = step[where] < end[where]
-        where, block = step[where][more], block[more]
-    first = np.concatenate(firsts) if firsts else np.zeros(0, dtype=np.int64)
-    order = np.argsort(first, kind="stable")
-    first = first[order]
-    sel = selector[first] if n else np.zeros(0, dtype=np.int8)
+        begins[where] = True
+        where = where + COUNTS[selector[where]]
+        more = where < end
+        where, end = where[more], end[more]
+    first = np.flatnonzero(begins)
+    sel = selector[first]
+    place_of = np.searchsorted(first, begin)
+    # an id beyond its block's end does not belong to the word
+    held = np.diff(first, append=n)
     escape = sel == 15
     place = np.arange(len(first)) + np.cumsum(escape) - escape  # an escape takes two words
     words = np.zeros(len(first) + int(escape.sum()), dtype=np.uint64)
     for s in np.unique(sel):
-        mine = first[sel == s]
+        mine = np.flatnonzero(sel == s)
         if s == 15:
-            words[place[sel == 15]] = (ids[mine] & _LOW) << np.uint64(4) | np.uint64(15)
-            words[place[sel == 15] + 1] = (ids[mine] >> np.uint64(60)) << np.uint64(4) | np.uint64(14)
+            long = ids[first[mine]].astype(np.uint64)
+            words[place[mine]] = (long & _LOW) << np.uint64(4) | np.uint64(15)
+            words[place[mine] + 1] = (long >> np.uint64(60)) << np.uint64(4) | np.uint64(14)
             continue
-        out = np.full(len(mine), s, dtype=np.uint64)
-        for k in range(COUNTS[s]):
-            i = mine + k
-            inside = i < end[mine]
-            out |= np.where(inside, ids[np.where(inside, i, 0)], np.uint64(0)) << np.uint64(4 + k * BITS[s])
-        words[place[sel == s]] = out
+        short = held[mine] < COUNTS[s]
+        for some, whole in ((mine[~short], True), (mine[short], False)):
+            out = np.full(len(some), s, dtype=np.uint64)
+            for k in range(COUNTS[s] if len(some) else 0):
+                if whole:
+                    value = ids[first[some] + k].astype(np.uint64)
+                else:
+                    inside = held[some] > k
+                    value = np.where(inside, ids[np.where(inside, first[some] + k, 0)], 0).astype(np.uint64)
+                out |= value << np.uint64(4 + k * BITS[s])
+            words[place[some]] = out
     # word offsets of the blocks, and of the documents
-    of_block = place[np.searchsorted(first, begin)] if len(begin) else np.zeros(0, dtype=np.int64)
+    of_block = place[place_of]
     n_blocks = -(-lengths // BLOCK)
     block_at = np.concatenate([[0], np.cumsum(n_blocks)])
     raw, records = words.tobytes(), []
@@ -153,22 +171,18 @@ def unpack(records: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class _Ids:
     """Ids of whole texts by the library; what this process has met is remembered.
 
-    Texts (else chunks) of plain letters and marks fall into pre-tokens by the file's own pattern, which
-    are remembered; new ones go to the library joined by spaces, and its ids are cut behind the tokens
-    that end a word.
+    Texts (else chunks) of plain letters and marks are cut into pre-tokens all at once, by the rules of the
+    file's own pattern; each different one is looked up once, and the library's model encodes new ones.
     """
 
     def __init__(self, path: str):
         self.library, self.spaced = library(path), cuts_at_space(path)
-        self.split = plain_splitter(path)
-        end = getattr(self.library.model, "end_of_word_suffix", None)
-        vocab = self.library.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        if end:
-            self.ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
-        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda chunk: None
-        self.known, self.words = Memory(self._one, 100_000), Memory(self._one, _KEEP_WORDS)
+        added = self.library.get_added_tokens_decoder().values()
+        self.cuts = self.spaced and cuts_by_class(path) and not any(t.normalized for t in added)
+        self.model, self.added = self.library.model, [t.content for t in added]
+        symbol = {b: c for c, b in byte_symbols().items()}
+        self.symbols = {i: "".join([symbol[b] for b in chr(i).encode()]) for i in range(256)}
+        self.known, self.words = Memory(self._one, _KEEP_CHUNKS), Memory(self._word, _KEEP_WORDS)
 
     def _one(self, chunk: str) -> bytes:
         return self._each([chunk])[0]
@@ -176,64 +190,64 @@ class _Ids:
     def _each(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, chunk: str) -> bool:
-        """Whether the pattern alone gives the pre-tokens: no added token's name either."""
-        return plain(chunk) and not self.added(chunk)
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new pre-tokens, by one call."""
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(some) or cuts[-1] != len(ids):  # a word that does not end as words do
-                got = self._each(some)
-            else:
-                raw, at_byte = ids.tobytes(), [0, *(cuts * 4).tolist()]
-                got = [raw[lo:hi] for lo, hi in zip(at_byte, at_byte[1:])]
-            for w, x in zip(some, got):
-                self.words.put(w, x)
-
-    def _words_of(self, parts: list[list[str]]) -> list[bytes]:
-        """Ids of lists of pre-tokens."""
-        fresh = set(chain.from_iterable(parts)).difference(self.words)
-        self._learn([w for w in fresh if len(w) <= KEEP_CHARS and w not in self.words.old])
-        return [b"".join(map(self.words.__getitem__, p)) for p in parts]
-
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        if self.split is None or not self.ends.any():
-            return self._each(chunks)
-        simple = [self._plain(c) for c in chunks]
-        words = iter(self._words_of([self.split(c) for c, p in zip(chunks, simple) if p]))
-        others = iter(self._each([c for c, p in zip(chunks, simple) if not p]))
-        return [next(words if p else others) for p in simple]
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a lower-cased pre-token in Latin-1."""
+        symbols = word.decode("latin-1").translate(self.symbols)
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def _plain(self, text: str) -> bytes | None:
+        """The text in Latin-1 where the pattern alone gives the pre-tokens: no added token's name either."""
+        raw = plain_bytes(text) if self.cuts else None
+        return None if raw is None or any(name in text for name in self.added) else raw
+
+    def _words_of(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of plain texts."""
+        body, begins, before = cut(texts)
+        if len(begins) == 1:
+            return [b""] * len(texts)
+        kind = pa.large_binary()
+        met = pa.Array.from_buffers(kind, len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(body)]).dictionary_encode()
+        of = [self.words[w] for w in met.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, of), np.int64, len(of)) // 4
+        word = met.indices.to_numpy()
+        n = sizes[word]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], n) + np.arange(ends[-1])
+        ids, cuts = np.frombuffer(b"".join(of), "<u4")[at].tobytes(), (ends[before] * 4).tolist()
+        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+
+    def _by(self, texts: list[str], others: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of plain texts by their pre-tokens, of the rest by ``others``."""
+        raw = [self._plain(t) for t in texts]
+        words = iter(self._words_of([r for r in raw if r is not None]))
+        rest = iter(others([t for t, r in zip(texts, raw) if r is None]))
+        return [next(rest if r is None else words) for r in raw]
 
     def _chunked(self, texts: list[str]) -> list[bytes]:
         """Texts by their chunks between spaces."""
         split = [pieces(t, True) for t in texts]
         new = [c for c in set(chain.from_iterable(split)).difference(self.known) if c not in self.known.old]
-        fresh = dict(zip(new, self._new(new)))
+        fresh = dict(zip(new, self._by(new, self._each)))
         out = [b"".join([fresh[c] if c in fresh else self.known[c] for c in s]) for s in split]
         for c, ids in fresh.items():
             self.known.put(c, ids)
         return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        texts = [(t or "").replace("\n", " ") if self.spaced else t or "" for t in texts]
-        if not self.spaced:
-            return self._each(texts)
-        if self.split is None or not self.ends.any():
-            return self._chunked(texts)
-        simple = [self._plain(t) for t in texts]
-        words = iter(self._words_of([self.split(t) for t, p in zip(texts, simple) if p]))
-        others = iter(self._chunked([t for t, p in zip(texts, simple) if not p]))
-        return [next(words if p else others) for p in simple]
+        texts = [t or "" for t in texts]
+        return self._by(texts, self._chunked if self.spaced else self._each)
+
 
+#: Pre-tokens and chunks of other texts remembered, and as many older ones.
+_KEEP_WORDS, _KEEP_CHUNKS = 400_000, 100_000
+_AT_ONCE = 256  # documents unpacked at once
+_TEXT_BYTES = 2 << 20  # of texts encoded at once
 
-#: Pre-tokens remembered, and as many older ones.
-_KEEP_WORDS = 400_000
-_ids: dict[str, _Ids] = {}
-_AT_ONCE = 256  # documents packed at once
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> _Ids:
+    """One for the process: what a task has learnt serves the next."""
+    return _Ids(path)
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -245,20 +259,18 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, doc_id: str
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _ids.setdefault(tokenizer, _Ids(tokenizer))
+        of = _encoder(tokenizer)
         tail = np.array([end_id], dtype="<u4").tobytes()
         part, done = TaskContext.get().partitionId(), 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, _AT_ONCE):
-                b = whole.slice(at, _AT_ONCE)
-                raw = [x + tail for x in of(b.column(1).to_pylist())]
-                lengths = np.array([len(x) // 4 for x in raw], dtype=np.int64)
-                records = pack(np.frombuffer(b"".join(raw), "<u4"), lengths)
-                start = done + np.cumsum(lengths) - lengths
-                done += int(lengths.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(lengths), pa.array(records, pa.binary()), pa.array(np.full(len(lengths), part, dtype=np.int32)), pa.array(start)],
-                    names=["doc_id", "n_tokens", "record", "part", "start_in_part"])
+        for b in (some for whole in batches for some in slices(whole, 1, _TEXT_BYTES)):
+            raw = [x + tail for x in of(b.column(1).to_pylist())]
+            lengths = np.array([len(x) // 4 for x in raw], dtype=np.int64)
+            records = pack(np.frombuffer(b"".join(raw), "<u4"), lengths)
+            start = done + np.cumsum(lengths) - lengths
+            done += int(lengths.sum())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(lengths), pa.array(records, pa.binary()), pa.array(np.full(len(lengths), part, dtype=np.int32)), pa.array(start)],
+                names=["doc_id", "n_tokens", "record", "part", "start_in_part"])
 
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     ordered = texts.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")

@@ -12,7 +12,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seisma.llm import bpe, decontaminate, pii, registry, sharding, token_files, toxicity
+from seisma.llm import bpe, chunks, decontaminate, pii, registry, sharding, token_files, toxicity
 from seisma.session import scratch_path
 
 SCHEMA = "doc_id bigint, text string, n_words string, shard int"
@@ -390,3 +390,57 @@ def test_plain_texts_take_the_short_way_with_equal_results():
         assert [np.frombuffer(enc.encode(t)[0], "<u4").tolist() for t in texts] == want
         assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == want
     assert all(len(w) <= 64 for m in (enc.pairs, enc.known, enc.words, ids.known, ids.words) for w in m)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=255), st.sampled_from("'' sStmdrevl 1²é!\n")), max_size=40), max_size=5))
+def test_texts_are_cut_as_by_the_pattern(texts):
+    assert chunks.cuts_by_class(registry.tokenizer_path())
+    split = chunks.plain_splitter(registry.tokenizer_path())
+    raw = [chunks.plain_bytes(t) for t in texts]
+    assert [r is not None for r in raw] == [chunks.plain(t.replace("\n", " ")) for t in texts]
+    kept = [t for t, r in zip(texts, raw) if r is not None]
+    body, begins, before = chunks.cut([r for r in raw if r is not None])
+    words = [body[a:b].decode("latin-1") for a, b in zip(begins, begins[1:])]
+    assert [words[a:b] for a, b in zip(before, before[1:])] == [split(t) for t in kept]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from("aeiounthr'' sd 1-éÀ́“”\n\t")), max_size=60))
+def test_token_file_ids_are_those_of_the_library(text):
+    ids = token_files._encoder(registry.tokenizer_path())
+    texts = [text, text + " <|endoftext|>s", None, "plain " + text]
+    want = [ids.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == want
+
+
+def test_each_different_pre_token_is_looked_up_once():
+    ids, asked = token_files._Ids(registry.tokenizer_path()), []
+
+    class Asked(type(ids.words)):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    ids.words = Asked(ids.words.make, 1000)
+    got = ids(["The rain, the rain!"] * 200)
+    assert len(asked) == 4 and len(set(got)) == 1
+    assert np.frombuffer(got[0], "<u4").tolist() == ids.library.encode("The rain, the rain!", add_special_tokens=False).ids
+
+
+def test_words_are_filled_as_far_as_ids_fit():
+    """A word takes the most ids of the narrowest width that holds them, up to its block's end."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        lengths = rng.integers(0, 300, 4)
+        n_ids = int(lengths.sum())
+        ids = rng.integers(0, 2**63, n_ids, dtype=np.uint64) >> rng.integers(0, 64, n_ids).astype(np.uint64)
+        want, at = [], 0
+        for n in lengths:
+            for lo in range(0, n, token_files.BLOCK):
+                block = ids[at + lo : at + min(n, lo + token_files.BLOCK)].tolist()
+                want += [next((s for s in range(14) if all(x >> int(token_files.BITS[s]) == 0 for x in block[i : i + token_files.COUNTS[s]])), 15)
+                         for i in range(len(block))]
+            at += n
+        _, sizes, _ = token_files._layout(lengths)
+        assert token_files._selectors(ids, sizes).tolist() == want
