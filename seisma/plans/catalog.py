@@ -25,6 +25,7 @@ from seisma.operators import matching
 from seisma.operators import sinks
 from seisma.operators import upsert as U
 from seisma.operators.dedup import dedup_latest
+from seisma.operators.packs import unpacked
 from seisma.operators.snapshots import DayTable
 from seisma.operators.staging import stg_project
 from seisma.operators.unify import unify_events
@@ -841,17 +842,17 @@ def q_stream_late_rows(spark, sf):
     return J.late_rows(spark, root, raw.schema).groupBy(F.to_date(spec.time_col).alias("day")).agg(F.count(F.lit(1)).alias("n_late"))
 
 
-def _candidate_stream(spark, sf):
+def _candidate_stream(spark, sf, packs=False):
     """Candidate pairs of both sides landing in time order, joined under a short watermark."""
     s = _stg(spark, sf)
     sides = [s[side].select(*matching.EVENT_COLS) for side in ("usgs", "kandilli")]
     left, right = (_landed(spark, _land(df, "event_time", "landing_side"), df.schema) for df in sides)
-    return J.stream_candidates(left, right, delay="1 hour")
+    return J.stream_candidates(left, right, delay="1 hour", packs=packs)
 
 
-def _streamed_candidates(spark, sf):
+def _streamed_candidates(spark, sf, packs=False):
     out = sinks.table_path(spark, "candidates")
-    J.run_to_end(J.land_candidates(spark, _candidate_stream(spark, sf), out))
+    J.run_to_end(J.land_candidates(spark, _candidate_stream(spark, sf, packs), out))
     return spark.read.parquet(out)
 
 
@@ -864,7 +865,8 @@ def q_stream_candidates(spark, sf):
 @register("stream_match", f"""{O.FEEDS},{O.matcher_ctes()}
 SELECT {_CAND_COLS} FROM couple""")
 def q_stream_match(spark, sf):
-    best = matching.mutual_best(_streamed_candidates(spark, sf))
+    """All candidate pairs land in packed form; those that are the nearest of either event in a packed row are ranked."""
+    best = matching.mutual_best(unpacked(_streamed_candidates(spark, sf, packs=True), nearest=True))
     return naive_ts(best.withColumn("distance_km", F.round("distance_km", 6)))
 
 

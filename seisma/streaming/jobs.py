@@ -7,7 +7,8 @@
 * ``stream_hourly_counts``: watermarked tumbling 1-hour windows in update
   mode, upserted into a day-partitioned counts table per micro-batch.
 * ``stream_candidates``: stream-stream inner join on the matcher's blocking
-  key with watermarks on its time bucket on both sides (bounded state); ranking windows are not allowed on streams, so mutual-best runs
+  key with watermarks on its time bucket on both sides (bounded state), as pairs or, where they
+  are many, as packed rows (``seisma.operators.packs``); ranking windows are not allowed on streams, so mutual-best runs
   over the landed candidates in batch (``seisma.operators.matching``) or per
   micro-batch over the neighbourhood of its pairs (``stream_matches``).
 * ``route_late`` parts off the rows that a watermark would drop without a word.
@@ -26,6 +27,7 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from seisma.operators.dedup import dedup_latest
 from seisma.operators.matching import DEFAULT, MatchConfig, home, mutual_best, pair_columns, reach_keys, usable, within
+from seisma.operators.packs import packed, unpacked
 from seisma.operators.sinks import write_days
 from seisma.operators.snapshots import DayTable, in_days
 from seisma.operators.upsert import merge_stored, upsert
@@ -100,7 +102,7 @@ def stream_hourly_counts(spark: SparkSession, events: DataFrame, ts: str, target
 
 
 def stream_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFAULT,
-                      delay: str = "10 minutes") -> DataFrame:
+                      delay: str = "10 minutes", packs: bool = False) -> DataFrame:
     """Streaming candidate pairs: stream-stream equi-join on (start of the time bucket, lat cell, lon cell).
 
     Both inputs are streaming DataFrames with the matcher's event columns.  The
@@ -108,21 +110,30 @@ def stream_candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig = DEFA
     bucket once no row of it can come any more, and a pair is tested by its thresholds alone.
     A bucket a row is copied to may start up to the matcher's seconds and a bucket before
     the row, or those seconds after it: the watermarks wait so much longer than ``delay``.
+
+    With ``packs`` the events of a block are packed before the join, by day on the left, and it gives packed
+    rows: state, join and landing grow as the events, however many pairs they make; ``unpacked`` gives the pairs.
     """
     l, r = cfg.left, cfg.right
     width = cfg.time_bucket_seconds
     L = home(usable(left, l), l, cfg, "_ltb", "_llc", "_lgc")
     R = reach_keys(usable(right, r), r, cfg, "_rtb", "_rlc", "_rgc")
     later = f"{delay} {2 * (cfg.max_seconds + 1) + width} seconds"
-    L, R = (df.withColumn(start, F.timestamp_micros(F.col(tb) * (width * 1_000_000))).drop(tb).withWatermark(start, later)
+    L, R = (df.withColumn(start, F.timestamp_micros(F.col(tb) * (width * 1_000_000))).drop(tb)
             for df, tb, start in ((L, "_ltb", "_lstart"), (R, "_rtb", "_rstart")))
+    if packs:
+        L = packed(L.withColumn("_day", F.to_date(f"{l}_time")), ["_lstart", "_llc", "_lgc", "_day"], l)
+        R = packed(R, ["_rstart", "_rlc", "_rgc"], r)
+    L, R = L.withWatermark("_lstart", later), R.withWatermark("_rstart", later)
     same = (F.col("_lstart") == F.col("_rstart")) & (F.col("_llc") == F.col("_rlc")) & (F.col("_lgc") == F.col("_rgc"))
+    if packs:
+        return L.join(R, same, "inner").drop("_rstart", "_rlc", "_rgc")
     return L.join(R, same & within(cfg), "inner").select(*pair_columns(cfg))
 
 
 def land_candidates(spark: SparkSession, cands: DataFrame, path: str, checkpoint: str | None = None,
                     trigger: str | None = "availableNow") -> StreamingQuery:
-    """Append streaming candidate pairs to a Parquet table (append mode, file sink)."""
+    """Append streaming candidate pairs, or packed rows, to a Parquet table (append mode, file sink)."""
     w = cands.writeStream.format("parquet").outputMode("append").option("path", path).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-candidates"))
     return _trigger(w, trigger).start()
