@@ -29,7 +29,8 @@ PACK_ROWS = 1024
 #: Rows that a task gathers before it packs them.
 _GATHERED = 1 << 18
 
-#: Pairs that a task tests at once.
+#: Events whose packed rows a task takes up at once, and pairs that it tests at once.
+_TAKEN = 1 << 16
 _TESTED = 1 << 17
 
 _FIELDS = ("id", "time", "mag", "lon", "lat", "place")
@@ -101,7 +102,7 @@ def unpacked(packs: DataFrame, cfg: MatchConfig = DEFAULT, nearest: bool = False
     packs = packs.select(*keep, F.unix_micros(start).alias("_at"), f"{l}_pack", f"{r}_pack", *left, *right).repartition(n, f"{l}_pack", f"{r}_pack")
     schema = StructType([*[packs.schema[c] for c in keep], *[StructField(c, packs.schema[c].dataType.elementType) for c in left + right]])
 
-    tested = _TESTED
+    tested, taken = _TESTED, _TAKEN
     reach, max_mag, max_km, lat_reach = cfg.reach_micros, cfg.max_mag_diff, cfg.max_km, cfg.lat_reach_deg
     spare = 1 << 20  # micros that a bucket's edge may be off by
     span = cfg.time_bucket_seconds * 1_000_000 + 2 * (reach + spare) + 1
@@ -196,10 +197,16 @@ def unpacked(packs: DataFrame, cfg: MatchConfig = DEFAULT, nearest: bool = False
             keep = least(i, first, last, l_after) | least(j, first, last, r_after)
             yield i[keep], order[j[keep]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def some_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
+            events, at = np.cumsum(sum(pc.list_value_length(b.column(c[0])).to_numpy() for c in (left, right))), 0
+            while at < b.num_rows:
+                until = max(at + 1, int(np.searchsorted(events, (events[at - 1] if at else 0) + taken, "right")))
+                yield b.slice(at, until - at)
+                at = until
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in some_rows(batches):
             lists = {c: b.column(c).flatten() for c in left + right}
             row = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(left[0])).to_numpy())
             for i, j in pairs(b):

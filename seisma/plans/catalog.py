@@ -1161,7 +1161,7 @@ def q_quarantine(spark, sf):
 
 @register("stream_mutual_best", ORACLE["mutual_best"])
 def q_stream_mutual_best(spark, sf):
-    """Mutual best kept current as candidate pairs stream in, micro-batch by micro-batch."""
+    """Mutual best kept current as candidate pairs stream in (in packed form), micro-batch by micro-batch."""
     stored, out = (DayTable(spark, sinks.table_path(spark, n)) for n in ("candidates", "matches"))
-    J.run_to_end(J.stream_matches(spark, _candidate_stream(spark, sf), stored, out))
+    J.run_to_end(J.stream_matches(spark, _candidate_stream(spark, sf, packs=True), stored, out))
     return naive_ts(out.read().drop("event_date").withColumn("distance_km", F.round("distance_km", 6)))

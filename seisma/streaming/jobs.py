@@ -195,13 +195,18 @@ def update_matches(batch: DataFrame, batch_id: int, cands: DayTable, matches: Da
     the history.  A batch's pairs are written once, straight into the candidates' folder; days that
     held pairs before are written again.  A repeated batch leaves both tables as they are.  A pair is replaced
     when it comes again; one whose event moved to another day stays until its own day sees it again.
+    A batch of packed rows (``stream_candidates`` with ``packs``) does the same with ``cands`` in packed form.
     """
+    if f"{cfg.left}_pack" in batch.columns:
+        return _update_by_packs(batch, batch_id, cands, matches, cfg)
     l, r = f"{cfg.left}_id", f"{cfg.right}_id"
     columns, day = [c for c in batch.columns if c not in ("batch_id", cands.date_col)], cands.date_col
     rows = batch.select(*columns).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(day, F.to_date(f"{cfg.left}_time"))
     commit, new = cands.stage(rows)  # the stream's join runs once
     spark = new.sparkSession
     times = [(a, b) for a, b in new.select(day, F.to_date(f"{cfg.right}_time")).distinct().collect()]  # calendar days
+    if not times:  # no pairs: commit nothing
+        return 0
     found = {a for a, _ in times}
     # partners of either event of a pair, a day away at most
     near = {d for t in times for x in t for d in (x - dt.timedelta(days=1), x, x + dt.timedelta(days=1))}
@@ -223,25 +228,90 @@ def update_matches(batch: DataFrame, batch_id: int, cands: DayTable, matches: Da
             _written(dedup_latest(twice, [l, r], order), "pairs-newest"))
 
     # all pairs of the days around stand here, so every verdict on a pair of a changed event is whole
-    now = mutual_best(pairs.select(*columns), cfg)
+    after = _renewed(mutual_best(pairs.select(*columns), cfg), [new.select(c) for c in (l, r)], matches, base, near, bool(held), cfg)
+
+    # only days that had pairs before, or pairs twice, are written again; others are committed as staged
+    mixed = (found & held) | moved
+    stored = pairs.select(*columns, "batch_id", day)
+    cands.replace(stored.where(in_days(day, mixed)) if mixed else None, mixed, version, {"batch_id": batch_id}, (commit, found - mixed), stored.schema)
+    matches.replace(after, found | near, base, {"batch_id": batch_id})
+    return len(near)
+
+
+def _renewed(now: DataFrame, changed: list[DataFrame], matches: DayTable, base: int | None, near: set[dt.date], old_pairs: bool, cfg: MatchConfig) -> DataFrame:
+    """The matches of the days ``near``, by day: those of ``now`` on the changed events, and the kept ones of others.
+
+    ``changed`` gives the ids of the left and the right events; without pairs or matches of before, all of ``now`` are new.
+    """
+    l, r, day, columns = f"{cfg.left}_id", f"{cfg.right}_id", matches.date_col, now.columns
     near_matches = near & set(matches.days(base)) if base is not None else set()
-    if held or near_matches:
-        changed_l, changed_r = (_written(new.select(c).distinct(), "changed") for c in (l, r))
+    if old_pairs or near_matches:
+        changed_l, changed_r = (_written(ids.distinct(), "changed") for ids in changed)
         marked = now.join(changed_l.withColumn("_l", F.lit(True)), l, "left").join(changed_r.withColumn("_r", F.lit(True)), r, "left")
         now = marked.where(F.col("_l").isNotNull() | F.col("_r").isNotNull())
     after = now.withColumn(day, F.to_date(f"{cfg.left}_time")).select(*columns, day)
     if near_matches:
         kept = matches.read(base, near_matches).join(changed_l, l, "left_anti").join(changed_r, r, "left_anti")
         after = kept.select(*columns, day).unionByName(after)
+    return after
 
-    # only days that had pairs before, or pairs twice, are written again; others are committed as staged
-    mixed = (found & held) | moved
-    stored = pairs.select(*columns, "batch_id", day)
-    cands.replace(stored.where(in_days(day, mixed)) if mixed else None, mixed, version, {"batch_id": batch_id}, (commit, found - mixed), stored.schema)
+
+def _update_by_packs(batch: DataFrame, batch_id: int, cands: DayTable, matches: DayTable, cfg: MatchConfig) -> int:
+    """``update_matches`` for packed rows; ``cands`` keeps them as they came, with their batch, so it grows as the events.
+
+    A repeated batch replaces its rows of the first time.
+    """
+    l, r, day = f"{cfg.left}_id", f"{cfg.right}_id", cands.date_col
+    commit, new = cands.stage(batch.withColumnRenamed("_day", day).withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+    on = F.array_distinct(F.transform(f"{cfg.right}_time", lambda t: F.to_date(F.timestamp_micros(t))))
+    times = [(a, b) for a, b in new.select(day, F.explode(on)).distinct().collect()]  # calendar days
+    if not times:  # no events met: commit nothing
+        return 0
+    found = {a for a, _ in times}
+    near = {d for t in times for x in t for d in (x - dt.timedelta(days=1), x, x + dt.timedelta(days=1))}
+    version, base = cands.version(), matches.version()
+    held = near & set(cands.days(version)) if version is not None else set()
+    packs = cands.read(version, held).where(F.col("batch_id") != batch_id).unionByName(new) if held else new
+
+    now = mutual_best(_newest_pairs(packs, cfg), cfg)
+    after = _renewed(now, [new.select(F.explode(c).alias(c)) for c in (l, r)], matches, base, near, bool(held), cfg)
+    mixed = found & held
+    cands.replace(packs.where(in_days(day, mixed)) if mixed else None, mixed, version, {"batch_id": batch_id}, (commit, found - mixed), new.schema)
     matches.replace(after, found | near, base, {"batch_id": batch_id})
     return len(near)
 
 
+def _newest_pairs(packs: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """The pairs of packed rows, each as its newest batch has it; of rows without repeated events only those that can win.
+
+    A pair stands twice only where its left event came twice, or its right event twice to one block: rows
+    with such events are unpacked whole, and of their pairs the newest are taken.
+    """
+    l, r = f"{cfg.left}_id", f"{cfg.right}_id"
+
+    def again(pack: str, ids: str, by: tuple[str, ...] = ()) -> DataFrame | None:
+        """The packs with events that came more than once."""
+        rows = packs.select(pack, *by, F.posexplode(ids).alias("_place", "_id"))
+        rows = rows.select(pack, F.xxhash64("_id", *by).alias("_event"), F.xxhash64(pack, "_place").alias("_arrival"))
+        more = rows.groupBy("_event").agg(F.min("_arrival").alias("_a"), F.max("_arrival").alias("_b")).where("_a <> _b").select("_event")
+        more = _written(more, "events-again")
+        return None if more.isEmpty() else _written(rows.join(more, "_event", "left_semi").select(pack).distinct(), "packs-again")
+
+    twice = {pack: found for pack, ids, by in ((f"{cfg.left}_pack", l, ()), (f"{cfg.right}_pack", r, ("_lstart", "_llc", "_lgc")))
+             if (found := again(pack, ids, by)) is not None}
+    if not twice:
+        return unpacked(packs, cfg, nearest=True)
+    marked = packs.withColumn("_twice", F.lit(False))
+    for pack, found in twice.items():
+        marked = marked.join(found.withColumn("_again", F.lit(True)), pack, "left").withColumn(
+            "_twice", F.col("_twice") | F.col("_again").isNotNull()).drop("_again")
+    pairs = _written(unpacked(marked.where("_twice"), cfg, keep=("batch_id",)), "pairs-twice")
+    columns = [c for c in pairs.columns if c != "batch_id"]
+    order = [F.col("batch_id").desc(), *[F.col(c).asc_nulls_last() for c in columns]]
+    newest = _written(dedup_latest(pairs, [l, r], order).select(*columns), "pairs-newest")
+    return unpacked(marked.where("NOT _twice"), cfg, nearest=True).unionByName(newest)
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: its size is known, so a small one is broadcast."""
     path = scratch_path(df.sparkSession, name)
@@ -254,8 +324,7 @@ def stream_matches(spark: SparkSession, cands: DataFrame, stored: DayTable, matc
     """Keep a mutual-best matches table current while candidate pairs stream in (``update_matches`` per micro-batch)."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            update_matches(batch, batch_id, stored, matches, cfg)
+        update_matches(batch, batch_id, stored, matches, cfg)
 
     w = cands.writeStream.foreachBatch(apply).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-matches"))
